@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The source model loads its ledger as a one-shot batch and has no streams,
+watermarks or state; no streaming operator is built (see README).
+"""
