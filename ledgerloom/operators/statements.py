@@ -36,12 +36,13 @@ def rollup(leaf: DataFrame, items: DataFrame, by: list[str], with_formulas: bool
             .agg(F.sum(hierarchy.signed(F.col("amount"), F.col("leaf_sign"))).cast(MONEY_SUM).alias("signed")))
 
 
-def statement(fact: DataFrame, items: DataFrame, statement_type: str, by: list[str],
+def statement(fact: DataFrame, items: DataFrame, statement_type: str | None, by: list[str],
               measure: str = "amount_eur", with_formulas: bool = True) -> DataFrame:
     """Statement lines (by, node) with names, order, signed and display amounts."""
     leaf = leaf_totals(fact, items, by, measure, statement_type)
     r = rollup(leaf, items, by, with_formulas)
-    it = F.broadcast(items.filter(F.col("statement_type") == statement_type).select(
+    nodes = items if statement_type is None else items.filter(F.col("statement_type") == statement_type)
+    it = F.broadcast(nodes.select(
         F.col("budget_item_id").alias("node_id"), "item_name", "sort_order", "sign_convention",
         "is_subtotal"))
     return (r.join(it, "node_id")

@@ -29,3 +29,183 @@ def pl_statement(spark, sf_dir):
     lines = statements.statement(m.fact, m.items, "PL", ["scenario_id", "year"])
     return lines.select("scenario_id", "year", "budget_item_id", "item_name", "sort_order",
                         "signed", "display")
+
+
+def _signed_sql(x="f.amt"):
+    return f"SUM(CASE WHEN e.leaf_sign < 0 THEN -{x} ELSE {x} END)"
+
+
+@job("account_closure", q("""
+SELECT w.ancestor_id, w.descendant_id, w.distance, COALESCE(r.n, 0) AS fact_rows
+FROM walk w
+LEFT JOIN (SELECT budget_item_id, COUNT(*) AS n FROM fact WHERE scenario_id = 1 GROUP BY budget_item_id) r
+  ON r.budget_item_id = w.descendant_id
+"""))
+def account_closure(spark, sf_dir):
+    """Ancestor-or-self pairs of the account tree with the actual rows posted under each pair."""
+    m = stored_model(spark, sf_dir)
+    c = hierarchy.closure(m.items)
+    rows = m.fact.filter(F.col("scenario_id") == 1).groupBy("budget_item_id").agg(F.count("*").alias("n"))
+    return (c.join(rows, c.descendant_id == rows.budget_item_id, "left")
+            .select("ancestor_id", "descendant_id", "distance",
+                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("fact_rows")))
+
+
+@job("account_flatten", q("""
+WITH dep AS (SELECT descendant_id, MAX(distance) AS depth0 FROM walk GROUP BY descendant_id),
+fl AS (
+  SELECT w.descendant_id AS budget_item_id, d.depth0,
+         MAX(CASE WHEN d.depth0 - w.distance = 0 THEN i.item_name END) AS l1,
+         MAX(CASE WHEN d.depth0 - w.distance = 1 THEN i.item_name END) AS l2,
+         MAX(CASE WHEN d.depth0 - w.distance = 2 THEN i.item_name END) AS l3,
+         string_agg(i.item_name, ' > ' ORDER BY d.depth0 - w.distance) AS path
+  FROM walk w JOIN dep d ON d.descendant_id = w.descendant_id
+  JOIN items i ON i.budget_item_id = w.ancestor_id
+  GROUP BY w.descendant_id, d.depth0
+)
+SELECT fl.budget_item_id, CAST(depth0 + 1 AS INTEGER) AS depth, l1 AS level1, COALESCE(l2, l1) AS level2,
+       COALESCE(l3, l2, l1) AS level3, path, CAST(a.amt AS DOUBLE) AS amount_eur
+FROM fl LEFT JOIN (SELECT budget_item_id, SUM(amount_eur) AS amt FROM fact WHERE scenario_id = 1
+                   GROUP BY budget_item_id) a ON a.budget_item_id = fl.budget_item_id
+"""))
+def account_flatten(spark, sf_dir):
+    """Ragged tree as fixed levels with path and depth, with each leaf's actual total."""
+    m = stored_model(spark, sf_dir)
+    flat = hierarchy.flatten(m.items)
+    tot = (m.fact.filter(F.col("scenario_id") == 1).groupBy("budget_item_id")
+           .agg(F.sum("amount_eur").cast("decimal(38,2)").alias("amount_eur")))
+    return flat.join(tot, "budget_item_id", "left")
+
+
+@job("statement_rollup", q(f"""
+SELECT f.scenario_id, f.date_id, e.node_id AS budget_item_id,
+       CAST({_signed_sql()} AS DOUBLE) AS signed,
+       CAST(CASE WHEN n.sign_convention < 0 THEN -{_signed_sql()} ELSE {_signed_sql()} END AS DOUBLE) AS display
+FROM (SELECT scenario_id, date_id, budget_item_id, SUM(amount_eur) AS amt FROM fact
+      GROUP BY scenario_id, date_id, budget_item_id) f
+JOIN tree_edges e ON e.leaf_id = f.budget_item_id
+JOIN items n ON n.budget_item_id = e.node_id
+GROUP BY f.scenario_id, f.date_id, e.node_id, n.sign_convention
+"""))
+def statement_rollup(spark, sf_dir):
+    """Tree roll-up of every node (both statements) by scenario and month-end, both sign views."""
+    m = stored_model(spark, sf_dir)
+    lines = statements.statement(m.fact, m.items, None, ["scenario_id", "date_id"], with_formulas=False)
+    return lines.select("scenario_id", "date_id", "budget_item_id", "signed", "display")
+
+
+@job("formula_subtotals", q(f"""
+SELECT f.scenario_id, f.year, e.node_id AS budget_item_id, n.item_name,
+       CAST({_signed_sql()} AS DOUBLE) AS amount
+FROM (SELECT scenario_id, year, budget_item_id, SUM(amount_eur) AS amt FROM fact
+      GROUP BY scenario_id, year, budget_item_id) f
+JOIN edges e ON e.leaf_id = f.budget_item_id
+JOIN items n ON n.budget_item_id = e.node_id
+WHERE e.node_id IN (19, 21)
+GROUP BY f.scenario_id, f.year, e.node_id, n.item_name
+"""))
+def formula_subtotals(spark, sf_dir):
+    """Profit Before Tax and Net Income (formula nodes without children) by scenario and year."""
+    m = stored_model(spark, sf_dir)
+    lines = statements.statement(m.fact, m.items, "PL", ["scenario_id", "year"])
+    return (lines.filter(F.col("budget_item_id").isin(19, 21))
+            .select("scenario_id", "year", "budget_item_id", "item_name", F.col("signed").alias("amount")))
+
+
+_BS_MONTHLY = f"""bs_monthly AS (
+  SELECT f.scenario_id, f.year, f.date_id, e.node_id AS budget_item_id, n.item_name, n.sort_order,
+         {_signed_sql()} AS signed,
+         CASE WHEN n.sign_convention < 0 THEN -{_signed_sql()} ELSE {_signed_sql()} END AS display
+  FROM (SELECT scenario_id, year, date_id, budget_item_id, SUM(amount_eur) AS amt FROM fact
+        GROUP BY scenario_id, year, date_id, budget_item_id) f
+  JOIN edges e ON e.leaf_id = f.budget_item_id
+  JOIN items n ON n.budget_item_id = e.node_id
+  WHERE n.statement_type = 'BS'
+  GROUP BY f.scenario_id, f.year, f.date_id, e.node_id, n.item_name, n.sort_order, n.sign_convention
+),
+bs_closing AS (
+  SELECT scenario_id, year, budget_item_id, item_name, sort_order, MAX(date_id) AS closing_date_id,
+         arg_max(signed, date_id) AS signed, arg_max(display, date_id) AS display
+  FROM bs_monthly GROUP BY scenario_id, year, budget_item_id, item_name, sort_order
+)"""
+
+
+def _bs_closing(m):
+    monthly = statements.statement(m.fact, m.items, "BS", ["scenario_id", "year", "date_id"])
+    return statements.closing_lines(monthly, ["scenario_id", "year"],
+                                    ["budget_item_id", "item_name", "sort_order"], ["signed", "display"])
+
+
+@job("bs_statement", q(f"""
+WITH {_BS_MONTHLY}
+SELECT scenario_id, year, budget_item_id, item_name, sort_order, closing_date_id,
+       CAST(signed AS DOUBLE) AS signed, CAST(display AS DOUBLE) AS display
+FROM bs_closing
+"""))
+def bs_statement(spark, sf_dir):
+    """Balance-sheet lines at the closing month-end of each year (semi-additive)."""
+    return _bs_closing(stored_model(spark, sf_dir))
+
+
+@job("bs_balance_check", q(f"""
+WITH {_BS_MONTHLY}
+SELECT scenario_id, year,
+       CAST(SUM(CASE WHEN budget_item_id = 22 THEN display END) AS DOUBLE) AS assets,
+       CAST(SUM(CASE WHEN budget_item_id = 31 THEN display END) AS DOUBLE) AS liabilities,
+       CAST(SUM(CASE WHEN budget_item_id = 39 THEN display END) AS DOUBLE) AS equity,
+       CAST(SUM(CASE WHEN budget_item_id = 22 THEN display END)
+            - SUM(CASE WHEN budget_item_id = 31 THEN display END)
+            - SUM(CASE WHEN budget_item_id = 39 THEN display END) AS DOUBLE) AS difference
+FROM bs_closing GROUP BY scenario_id, year
+"""))
+def bs_balance_check(spark, sf_dir):
+    """Assets - Liabilities - Equity at each closing month-end (reported, not asserted)."""
+    return statements.balance_check(_bs_closing(stored_model(spark, sf_dir)), ["scenario_id", "year"])
+
+
+@job("bs_ratios", q(f"""
+WITH {_BS_MONTHLY},
+pl AS (
+  SELECT f.scenario_id, f.year, e.node_id AS budget_item_id,
+         CASE WHEN n.sign_convention < 0 THEN -{_signed_sql()} ELSE {_signed_sql()} END AS display
+  FROM (SELECT scenario_id, year, budget_item_id, SUM(amount_eur) AS amt FROM fact
+        GROUP BY scenario_id, year, budget_item_id) f
+  JOIN edges e ON e.leaf_id = f.budget_item_id
+  JOIN items n ON n.budget_item_id = e.node_id
+  WHERE n.statement_type = 'PL'
+  GROUP BY f.scenario_id, f.year, e.node_id, n.sign_convention
+),
+p AS (SELECT scenario_id, year, SUM(CASE WHEN budget_item_id = 14 THEN display END) AS opex,
+             SUM(CASE WHEN budget_item_id = 1 THEN display END) AS nii,
+             SUM(CASE WHEN budget_item_id = 9 THEN display END) AS nonii
+      FROM pl GROUP BY scenario_id, year),
+b AS (SELECT scenario_id, year, SUM(CASE WHEN budget_item_id = 24 THEN display END) AS loans,
+             SUM(CASE WHEN budget_item_id = 32 THEN display END) AS deposits,
+             SUM(CASE WHEN budget_item_id = 39 THEN display END) AS equity,
+             SUM(CASE WHEN budget_item_id = 22 THEN display END) AS assets
+      FROM bs_closing GROUP BY scenario_id, year),
+am AS (SELECT f.scenario_id, f.year, f.date_id, SUM(f.daily_avg_eur) AS v
+       FROM fact f JOIN tree_edges e ON e.leaf_id = f.budget_item_id WHERE e.node_id = 22
+       GROUP BY f.scenario_id, f.year, f.date_id),
+av AS (SELECT scenario_id, year, CAST(SUM(v) AS DOUBLE) / COUNT(*) AS avg_assets
+       FROM am GROUP BY scenario_id, year)
+SELECT COALESCE(p.scenario_id, b.scenario_id) AS scenario_id, COALESCE(p.year, b.year) AS year,
+       round(CAST(b.loans AS DOUBLE) / NULLIF(CAST(b.deposits AS DOUBLE), 0), 6) AS loan_to_deposit,
+       round(CAST(b.equity AS DOUBLE) / NULLIF(CAST(b.assets AS DOUBLE), 0), 6) AS equity_to_assets,
+       round(CAST(p.opex AS DOUBLE) / NULLIF(CAST(p.nii + p.nonii AS DOUBLE), 0), 6) AS cost_to_income,
+       round(CAST(p.nii AS DOUBLE) / NULLIF(av.avg_assets, 0), 6) AS net_interest_margin
+FROM p FULL JOIN b ON p.scenario_id = b.scenario_id AND p.year = b.year
+LEFT JOIN av ON av.scenario_id = COALESCE(p.scenario_id, b.scenario_id) AND av.year = COALESCE(p.year, b.year)
+"""))
+def bs_ratios(spark, sf_dir):
+    """Loan-to-deposit, equity-to-assets, cost-to-income and net interest margin per scenario-year."""
+    m = stored_model(spark, sf_dir)
+    by = ["scenario_id", "year"]
+    pl = statements.statement(m.fact, m.items, "PL", by)
+    bs = _bs_closing(m)
+    node22 = (hierarchy.rollup_edges(m.items, with_formulas=False)
+              .filter(F.col("node_id") == 22).select(F.col("leaf_id").alias("budget_item_id")))
+    monthly = (m.fact.join(F.broadcast(node22), "budget_item_id", "left_semi")
+               .groupBy(*by, "date_id").agg(F.sum("daily_avg_eur").alias("v")))
+    avg = monthly.groupBy(*by).agg((F.sum("v").cast("double") / F.count("*")).alias("avg_assets"))
+    return statements.ratios(pl, bs, avg, by)

@@ -174,9 +174,12 @@ walk(ancestor_id, descendant_id, distance) AS (
   FROM walk w JOIN items i ON i.budget_item_id = w.ancestor_id
   WHERE i.parent_item_id IS NOT NULL
 ),
-edges AS (
+tree_edges AS (
   SELECT w.ancestor_id AS node_id, w.descendant_id AS leaf_id, i.sign_convention AS leaf_sign
   FROM walk w JOIN items i ON i.budget_item_id = w.descendant_id WHERE NOT i.is_subtotal
+),
+edges AS (
+  SELECT * FROM tree_edges
   UNION ALL
   SELECT f.node_id, i.budget_item_id, i.sign_convention
   FROM (VALUES {_values(fixed.FORMULA_NODES)}) f(node_id, bound)

@@ -22,6 +22,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
