@@ -9,6 +9,7 @@ throughout and cast to DOUBLE only in the final projection.
 from __future__ import annotations
 
 from ..sources import fixed
+from ..sources.tpch import ADAPTER_SCENARIOS
 
 
 def _lit(v) -> str:
@@ -128,6 +129,21 @@ month_ends AS (
   FROM (SELECT last_day(CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE)) AS me
         FROM bounds) m
 ),
+calendar AS (
+  SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_id,
+         strftime(d, '%Y-%m-%d') AS full_date, CAST(year(d) AS INTEGER) AS year,
+         CAST(quarter(d) AS INTEGER) AS quarter, 'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_name,
+         CAST(month(d) AS INTEGER) AS month, strftime(d, '%B') AS month_name,
+         left(strftime(d, '%B'), 3) AS month_name_short, CAST(day(d) AS INTEGER) AS day,
+         d = last_day(d) AS is_month_end, CAST(day(last_day(d)) AS INTEGER) AS days_in_month,
+         CASE WHEN year(d) % 400 = 0 OR (year(d) % 4 = 0 AND year(d) % 100 <> 0) THEN 366 ELSE 365 END
+           AS days_in_year
+  FROM (SELECT CAST(unnest(generate_series(lo, make_date(year(hi), 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+        FROM bounds) x
+),
+scenarios(scenario_id, scenario_name, scenario_type) AS (VALUES
+    {_values(ADAPTER_SCENARIOS)}
+),
 currencies(currency_id, currency_code, currency_name, currency_symbol) AS (VALUES
     {_values(fixed.CURRENCIES)}
 ),
