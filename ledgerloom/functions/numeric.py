@@ -15,6 +15,8 @@ from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(22, 2)
 MONEY_SUM = DecimalType(38, 2)
+# widest amount whose product with a DECIMAL(10,6) rate stays exact (26 + 10 + 1 <= 38 digits)
+MONEY_WIDE = DecimalType(26, 2)
 RATE = DecimalType(10, 6)
 
 

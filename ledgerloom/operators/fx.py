@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates as fd
-from ..functions.numeric import RATE, dec, money, money_sum, seeded_draw
+from ..functions.numeric import MONEY_WIDE, RATE, dec, money, money_sum, seeded_draw
 from ..sources import fixed
 
 RATES_SCHEMA = T.StructType([
@@ -114,7 +114,7 @@ def restate(fact: DataFrame, rates: DataFrame, currency_id: int, by: list[str],
     """EUR amounts restated in ``currency_id``: sum to (by, month) first, multiply once, cast once."""
     rate_col = "eom_rate" if rate == "eom" else "daily_avg_rate"
     keys = list(dict.fromkeys(["date_id"] + by))
-    monthly = fact.groupBy(*keys).agg(money_sum(measure).alias("amount_eur"))
+    monthly = fact.groupBy(*keys).agg(F.sum(measure).cast(MONEY_WIDE).alias("amount_eur"))
     r = F.broadcast(rates.filter(F.col("currency_id") == currency_id)
                     .select("date_id", F.col(rate_col).alias("rate")))
     return (monthly.join(r, "date_id", "inner")
@@ -147,7 +147,7 @@ def fx_effect(fact: DataFrame, rates: DataFrame, by: list[str]) -> DataFrame:
     volume = (E1 - E0) * r0, rate = E1 * (r1 - r0), total = E1*r1 - E0*r0.
     """
     keys = list(dict.fromkeys(by + ["currency_id"]))
-    monthly = (fact.groupBy(*keys, "date_id").agg(money_sum("amount_eur").alias("eur"))
+    monthly = (fact.groupBy(*keys, "date_id").agg(F.sum("amount_eur").cast(MONEY_WIDE).alias("eur"))
                .join(F.broadcast(rates.select("date_id", "currency_id", "eom_rate")),
                      ["date_id", "currency_id"]))
     prior = monthly.select(*keys, fd.shift_month_end("date_id", 12).alias("date_id"),
