@@ -61,6 +61,21 @@ def seeded_draw(seed, *keys, modulus: int) -> Column:
     return (h % F.lit(modulus)).cast("int")
 
 
+def seeded_digest(seed, *keys) -> Column:
+    """md5 hex of 'seed|k1|k2..' — one digest can feed several independent draws."""
+    parts = [F.lit(str(seed))] + [_c(k).cast("string") for k in keys]
+    return F.md5(F.concat_ws("|", *parts))
+
+
+def draw_from(digest: Column, slot: int, span) -> Column:
+    """Centered draw from the ``slot``-th 32-bit word of a digest: v % span - span/2."""
+    v = F.conv(F.substring(digest, 1 + 8 * slot, 8), 16, 10).cast("bigint")
+    span_c = F.lit(span) if isinstance(span, int) else span
+    half = F.lit(span // 2) if isinstance(span, int) else F.floor(span / 2).cast("int")
+    return (v % span_c).cast("int") - half
+
+
 def seeded_noise(seed, *keys, span: int) -> Column:
     """Centered draw in [-span/2, span/2 - 1], the shape of the source noise term."""
-    return seeded_draw(seed, *keys, modulus=span) - F.lit(span // 2)
+    half = F.lit(span // 2) if isinstance(span, int) else F.floor(span / 2).cast("int")
+    return seeded_draw(seed, *keys, modulus=span) - half
