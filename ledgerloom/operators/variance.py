@@ -18,3 +18,53 @@ def align(fact: DataFrame, keys: list[str], sides: dict[str, int], measure: str
     aggs = [F.sum(F.when(F.col("scenario_id") == sid, F.col(measure))).cast(MONEY_SUM).alias(name)
             for name, sid in sides.items()]
     return f.groupBy(*keys).agg(*aggs)
+
+
+def variance(lines: DataFrame, keys: list[str], left: int, right: int,
+             left_name: str = "actual", right_name: str = "budget") -> DataFrame:
+    """Per key: left/right display amounts, variance, variance %, favourable status.
+
+    ``lines`` carries scenario_id, keys, signed and display (statement lines).
+    variance = display difference; % = variance / |right| (NULL when right is 0
+    or missing); favourability compares *signed* amounts (income up or cost
+    down is favourable).  A missing side stays NULL.
+    """
+    f = lines.filter(F.col("scenario_id").isin(left, right))
+
+    def side(sid, col):
+        return F.sum(F.when(F.col("scenario_id") == sid, F.col(col))).cast(MONEY_SUM)
+
+    g = f.groupBy(*keys).agg(side(left, "display").alias(left_name), side(right, "display").alias(right_name),
+                             side(left, "signed").alias("_ls"), side(right, "signed").alias("_rs"))
+    var = (F.col(left_name) - F.col(right_name)).cast(MONEY_SUM)
+    diff = F.col("_ls") - F.col("_rs")
+    status = (F.when(F.col("_ls").isNull() | F.col("_rs").isNull(), F.lit("n/a"))
+              .when(diff > 0, F.lit("favourable")).when(diff < 0, F.lit("adverse"))
+              .otherwise(F.lit("on plan")))
+    return g.select(*keys, left_name, right_name, var.alias("variance"),
+                    safe_ratio(var, F.abs(F.col(right_name))).alias("variance_pct"),
+                    status.alias("status"))
+
+
+def waterfall(steps: DataFrame, partition: list[str], order: str = "step") -> DataFrame:
+    """Bars of a waterfall: totals stand on zero, steps float on the running sum.
+
+    ``steps`` has partition keys, ``step`` order, ``amount`` and ``is_total``.
+    The running sum is a window per partition (never global).
+    """
+    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    run = F.sum(F.when(F.col("is_total"), F.lit(0)).otherwise(F.col("amount"))).over(w).cast(MONEY_SUM)
+    end = F.when(F.col("is_total"), F.col("amount")).otherwise(run)
+    start = F.when(F.col("is_total"), F.lit(0).cast(MONEY_SUM)).otherwise(run - F.col("amount"))
+    return steps.select("*", start.cast(MONEY_SUM).alias("bar_start"), end.cast(MONEY_SUM).alias("bar_end"))
+
+
+def forecast_accuracy(series: DataFrame, keys: list[str], period_keys: list[str]) -> DataFrame:
+    """Error by period where forecast and actual both exist; MAPE per ``period_keys``."""
+    both = series.filter(F.col("actual").isNotNull() & F.col("forecast").isNotNull())
+    err = (F.col("forecast") - F.col("actual")).cast(MONEY_SUM)
+    ape = F.abs(err.cast("double")) / F.nullif(F.abs(F.col("actual").cast("double")), F.lit(0.0))
+    out = both.select(*keys, "actual", "forecast", err.alias("error"), ape.alias("_ape"))
+    w = Window.partitionBy(*period_keys)
+    return out.select(*keys, "actual", "forecast", "error", F.round("_ape", 6).alias("ape"),
+                      F.round(F.avg("_ape").over(w), 6).alias("mape"))

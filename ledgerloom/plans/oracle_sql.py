@@ -200,6 +200,23 @@ edges AS (
   SELECT f.node_id, i.budget_item_id, i.sign_convention
   FROM (VALUES {_values(fixed.FORMULA_NODES)}) f(node_id, bound)
   JOIN items i ON i.statement_type = 'PL' AND NOT i.is_subtotal AND i.sort_order < f.bound
+),
+pl_lines AS (
+  SELECT f.scenario_id, f.year, e.node_id AS budget_item_id, n.item_name, n.sort_order,
+         SUM(CASE WHEN e.leaf_sign < 0 THEN -f.amt ELSE f.amt END) AS signed,
+         CASE WHEN n.sign_convention < 0 THEN -SUM(CASE WHEN e.leaf_sign < 0 THEN -f.amt ELSE f.amt END)
+              ELSE SUM(CASE WHEN e.leaf_sign < 0 THEN -f.amt ELSE f.amt END) END AS display
+  FROM (SELECT scenario_id, year, budget_item_id, SUM(amount_eur) AS amt FROM fact
+        GROUP BY scenario_id, year, budget_item_id) f
+  JOIN edges e ON e.leaf_id = f.budget_item_id
+  JOIN items n ON n.budget_item_id = e.node_id
+  WHERE n.statement_type = 'PL'
+  GROUP BY f.scenario_id, f.year, e.node_id, n.item_name, n.sort_order, n.sign_convention
+),
+ni_rows AS (
+  SELECT f.*, CASE WHEN i.sign_convention < 0 THEN -f.amount_eur ELSE f.amount_eur END AS signed
+  FROM fact f JOIN items i ON i.budget_item_id = f.budget_item_id
+  WHERE i.statement_type = 'PL' AND NOT i.is_subtotal
 )"""
 
 
