@@ -73,6 +73,21 @@ def rollup_edges(items: DataFrame, with_formulas: bool = True) -> DataFrame:
     return edges.join(leaves, "leaf_id").select("node_id", "leaf_id", "leaf_sign")
 
 
+_EDGE_CACHE: dict = {}
+
+
+def cached_edges(items: DataFrame, with_formulas: bool = True) -> DataFrame:
+    """``rollup_edges`` memoized per (items DataFrame, formulas) and cached: the edge list is
+    bounded by the chart of accounts and reused by every statement of a session.
+    A cached block that is lost is recomputed from its lineage."""
+    key = (id(items), with_formulas)
+    hit = _EDGE_CACHE.get(key)
+    if hit is None or hit[0] is not items:
+        hit = (items, rollup_edges(items, with_formulas).cache())
+        _EDGE_CACHE[key] = hit
+    return hit[1]
+
+
 def flatten(items: DataFrame) -> DataFrame:
     """Ragged tree to fixed level1..level3 names, path and depth.
 

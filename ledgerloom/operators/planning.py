@@ -95,8 +95,9 @@ def scenario_amounts(combos: DataFrame, channels: DataFrame, month_ends: DataFra
     periods = bm.select("scenario_id", "year", "date_id", "span_amount", "span_daily",
                         (mult * season_driver(F.col("season_set"), F.col("quarter"))).alias("t"))
     lv = leaves(items).select("budget_item_id", "category")
-    bases = (blocks.select("scenario_id", "year", "base_set").crossJoin(lv)
-             .select("scenario_id", "year", "budget_item_id",
+    cats = lv.select("category").distinct()
+    bases = (blocks.select("scenario_id", "year", "base_set").crossJoin(cats)
+             .select("scenario_id", "year", "category",
                      base_driver(F.col("base_set"), F.col("category")).alias("base"),
                      (base_driver(F.col("base_set"), F.col("category"))
                       * _case(F.col("category"), fixed.DRIVER_DAILY_ADJ, "1.00", 3, 2)).alias("base_daily")))
@@ -106,22 +107,32 @@ def scenario_amounts(combos: DataFrame, channels: DataFrame, month_ends: DataFra
                  (channel_driver(F.col("channel_type"), F.col("channel_name"))
                   * _case(F.col("segment_id"), fixed.DRIVER_SEGMENT, "1.0", 3, 2)
                   * _case(F.col("currency_id"), fixed.DRIVER_CURRENCY, "1.0", 3, 2)).alias("k")))
-    # periods (blocks x 12) and bases (blocks x leaves) are bounded: broadcast; combos stream
-    pb = periods.join(bases, ["scenario_id", "year"])
-    spine = k.crossJoin(F.broadcast(pb))
+    # Only the combinations grow; periods (blocks x 12), category bases (blocks x 5) and
+    # leaves are bounded and broadcast.  The exact product depends on the account only
+    # through its category, so it is formed on (combination, month, category) rows and the
+    # 31 leaves fan out afterwards: the widest stream only adds noise, takes ABS and rounds.
+    # The combinations come out of a small (AQE-coalesced) shuffle; spread them over the
+    # cluster before the ~4,000x fan-out so the generated rows are not built by one task.
+    par = k.sparkSession.sparkContext.defaultParallelism
+    kp = k.repartition(par).crossJoin(F.broadcast(periods)).withColumn("tk", F.col("t") * F.col("k"))
+    kpc = (kp.join(F.broadcast(bases), ["scenario_id", "year"])
+           .select("scenario_id", "date_id", "channel_id", "segment_id", "product_id", "currency_id",
+                   "category", "span_amount", "span_daily",
+                   (F.col("base") * F.col("tk")).alias("p"), (F.col("base_daily") * F.col("tk")).alias("pd")))
+    spine = kpc.join(F.broadcast(lv), "category")
     keys = ["scenario_id", "date_id", "channel_id", "segment_id", "product_id", "currency_id",
             "budget_item_id"]
     if seed is None:
         n_amt = n_daily = F.lit(0)
     else:
-        d = seeded_digest(seed, *keys)
-        n_amt = draw_from(d, 0, F.col("span_amount"))
-        n_daily = draw_from(d, 1, F.col("span_daily"))
-    tk = F.col("t") * F.col("k")
+        # one digest column per row, referenced by both draws (not inlined twice)
+        spine = spine.withColumn("_d", seeded_digest(seed, *keys))
+        n_amt = draw_from(F.col("_d"), 0, F.col("span_amount"))
+        n_daily = draw_from(F.col("_d"), 1, F.col("span_daily"))
     return spine.select(
         "date_id", "channel_id", "segment_id", "product_id", "currency_id", "scenario_id", "budget_item_id",
-        money(F.abs(F.col("base") * tk + n_amt)).alias("amount_eur"),
-        money(F.abs(F.col("base_daily") * tk + n_daily)).alias("daily_avg_eur"))
+        money(F.abs(F.col("p") + n_amt)).alias("amount_eur"),
+        money(F.abs(F.col("pd") + n_daily)).alias("daily_avg_eur"))
 
 
 def growth_plan(base: DataFrame, factors: DataFrame, keys: list[str], measure: str = "amount_eur",

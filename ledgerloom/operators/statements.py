@@ -30,7 +30,7 @@ def leaf_totals(fact: DataFrame, items: DataFrame, by: list[str], measure: str =
 
 def rollup(leaf: DataFrame, items: DataFrame, by: list[str], with_formulas: bool = True) -> DataFrame:
     """(by, node_id, signed) from leaf totals (by, budget_item_id, amount)."""
-    edges = F.broadcast(hierarchy.rollup_edges(items, with_formulas))
+    edges = F.broadcast(hierarchy.cached_edges(items, with_formulas))
     j = leaf.join(edges, leaf.budget_item_id == edges.leaf_id)
     return (j.groupBy(*by, "node_id")
             .agg(F.sum(hierarchy.signed(F.col("amount"), F.col("leaf_sign"))).cast(MONEY_SUM).alias("signed")))

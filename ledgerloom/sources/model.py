@@ -106,8 +106,16 @@ class Model:
         }
 
 
+_ITEMS: dict = {}
+
+
 def budget_items(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(fixed.BUDGET_ITEMS, ITEMS_SCHEMA)
+    """The fixed chart of accounts; one DataFrame per session so derived tables can be reused."""
+    hit = _ITEMS.get(id(spark))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.createDataFrame(fixed.BUDGET_ITEMS, ITEMS_SCHEMA))
+        _ITEMS[id(spark)] = hit
+    return hit[1]
 
 
 def channels(spark: SparkSession) -> DataFrame:
