@@ -4,7 +4,8 @@ The load (``append_fact``) writes the adapter ledger as Parquet under the
 shared folder the cluster names in ``spark.checkpoint.dir``; reports read it
 back, which cuts the lineage of the order-table joins and lets every report
 prune on the partition columns.  The location is keyed by the source files'
-paths, sizes and modification times, so a changed source gets a new ledger.
+paths, sizes and modification times and by the code that builds it, so a
+changed source or a changed adapter gets a new ledger.
 A write that dies part-way leaves no ``_SUCCESS`` marker and is redone.
 """
 
@@ -30,8 +31,21 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _source_key(spark: SparkSession, sf_dir: str) -> str:
+def _code_fingerprint() -> str:
+    """Digest of the modules that define the ledger, so a code change gets a new ledger."""
+    from ..functions import dates as f_dates, numeric as f_numeric
+    from ..operators import fx as o_fx
+    from . import dates as s_dates, fixed as s_fixed, model as s_model, tpch as s_tpch
+
     h = hashlib.sha1()
+    for mod in (f_dates, f_numeric, o_fx, s_dates, s_fixed, s_model, s_tpch):
+        with open(mod.__file__, "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()
+
+
+def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha1(_code_fingerprint().encode())
     for t in SOURCE_TABLES:
         path = f"{sf_dir}/{t}.parquet"
         fs, p = _fs(spark, path)
@@ -46,11 +60,21 @@ def ledger_path(spark: SparkSession, sf_dir: str) -> str:
     return f"{root}/ledgerloom/ledger-{_source_key(spark, sf_dir)}"
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def write_fact(fact: DataFrame, path: str) -> None:
-    """Partitioned write; one task per (scenario, year) partition directory."""
+    """Partitioned write without a shuffle on the partition columns.
+
+    A hash repartition on (scenario_id, year) would send a hot scenario-year to
+    one task; instead every task writes its own rows into the partition
+    directories, sorted within the task so it keeps one open file at a time,
+    and files are capped in rows.
+    """
     (fact.withColumn("year", fd.year_of("date_id"))
-     .repartition(*PARTITION_COLUMNS)
-     .write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path))
+     .sortWithinPartitions(*PARTITION_COLUMNS)
+     .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:

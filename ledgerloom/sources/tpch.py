@@ -212,8 +212,12 @@ def ledger_model(spark: SparkSession, sf_dir: str) -> Model:
     base = with_plan_scenarios(actual_ledger(spark, sf_dir, items))
     base = (base.join(F.broadcast(daily_adjust(items)), "budget_item_id")
             .withColumn("daily_avg_eur", money(F.col("amount_eur") * F.col("adj"))).drop("adj"))
-    from .model import FACT_COLUMNS
-    fact = fx.add_nominal(base, rates).select(*FACT_COLUMNS)
+    from decimal import Decimal
+
+    from .model import FACT_COLUMNS, default_fill
+    # column DEFAULTs of the fact (amounts default to 0.00 on insert)
+    fact = default_fill(fx.add_nominal(base, rates).select(*FACT_COLUMNS),
+                        {"amount_eur": Decimal("0.00"), "amount_nominal": Decimal("0.00")})
     ch = channel_dim(spark, sf_dir).drop("currency_id")
     return Model(fact=fact, dates=cal, channels=ch, segments=segment_dim(spark, sf_dir),
                  products=product_dim(spark, sf_dir), rates=rates,
