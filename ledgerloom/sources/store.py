@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as fd
 from ..session import ensure_checkpoint_dir
-from .model import FACT_COLUMNS, Model
-from .tpch import ledger_model
+from pyspark.sql import types as T
+
+from .model import FACT_COLUMNS, FACT_SCHEMA, Model
+from .tpch import ledger_dims, ledger_fact
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "part", "nation", "region"]
 PARTITION_COLUMNS = ["scenario_id", "year"]
@@ -78,19 +80,32 @@ def write_fact(fact: DataFrame, path: str) -> None:
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*FACT_COLUMNS, "year")
+    """Read with the declared schema (partition columns included): no inference job."""
+    schema = T.StructType(FACT_SCHEMA.fields + [T.StructField("year", T.IntegerType(), True)])
+    return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS, "year")
+
+
+_MODELS: dict = {}
 
 
 def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Model:
     """The ledger model with its fact read from the stored, partitioned table.
 
     The fact carries ``year`` (a partition column) and ``month`` besides the
-    schema columns.
+    schema columns.  The adapter fact is only planned when the store has to be
+    (re)written; the resulting lazy model is memoized per session and ledger
+    path (DataFrames are immutable plans), so reports pay no rebuild cost.
     """
-    m = ledger_model(spark, sf_dir)
     path = ledger_path(spark, sf_dir)
+    key = (id(spark), path)
+    hit = _MODELS.get(key)
+    if hit is not None and hit[0] is spark and not rebuild:
+        return hit[1]
+    dims = ledger_dims(spark, sf_dir)
     fs, p = _fs(spark, f"{path}/_SUCCESS")
     if rebuild or not fs.exists(p):
-        write_fact(m.fact, path)
+        write_fact(ledger_fact(spark, sf_dir, dims), path)
     fact = read_fact(spark, path).withColumn("month", fd.month_of("date_id"))
-    return m.with_fact(fact)
+    model = dims.with_fact(fact)
+    _MODELS[key] = (spark, model)
+    return model

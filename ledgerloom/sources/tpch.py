@@ -54,8 +54,22 @@ FORECAST_UPLIFT = "1.04"
 FORECAST_CUTOFF_MONTH = 9
 
 
+# Read schemas of the order tables (only the columns the ledger uses).  Declaring them
+# skips Parquet schema inference, which otherwise launches a footer-reading job per read.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_extendedprice double, l_discount double, l_shipdate timestamp_ntz"),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def channel_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,21 +218,33 @@ def ledger_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_for_bounds(bounds)
 
 
-def ledger_model(spark: SparkSession, sf_dir: str) -> Model:
-    """The full ledger star built from the order tables (all lazy)."""
+def ledger_dims(spark: SparkSession, sf_dir: str) -> Model:
+    """The seven dimensions of the adapter ledger (lazy); ``fact`` is left as None."""
     items = budget_items(spark)
     cal = ledger_calendar(spark, sf_dir)
     rates = fx.rate_table(month_end_spine(cal), fx.bands(spark), FX_SEED)
-    base = with_plan_scenarios(actual_ledger(spark, sf_dir, items))
-    base = (base.join(F.broadcast(daily_adjust(items)), "budget_item_id")
-            .withColumn("daily_avg_eur", money(F.col("amount_eur") * F.col("adj"))).drop("adj"))
+    ch = channel_dim(spark, sf_dir).drop("currency_id")
+    return Model(fact=None, dates=cal, channels=ch, segments=segment_dim(spark, sf_dir),
+                 products=product_dim(spark, sf_dir), rates=rates,
+                 scenarios=scenario_dim(spark), items=items)
+
+
+def ledger_fact(spark: SparkSession, sf_dir: str, dims: Model) -> DataFrame:
+    """The adapter fact: actual rows at the grain, plan scenarios, daily-average and nominal amounts."""
     from decimal import Decimal
 
     from .model import FACT_COLUMNS, default_fill
+
+    items = dims.items
+    base = with_plan_scenarios(actual_ledger(spark, sf_dir, items))
+    base = (base.join(F.broadcast(daily_adjust(items)), "budget_item_id")
+            .withColumn("daily_avg_eur", money(F.col("amount_eur") * F.col("adj"))).drop("adj"))
     # column DEFAULTs of the fact (amounts default to 0.00 on insert)
-    fact = default_fill(fx.add_nominal(base, rates).select(*FACT_COLUMNS),
+    return default_fill(fx.add_nominal(base, dims.rates).select(*FACT_COLUMNS),
                         {"amount_eur": Decimal("0.00"), "amount_nominal": Decimal("0.00")})
-    ch = channel_dim(spark, sf_dir).drop("currency_id")
-    return Model(fact=fact, dates=cal, channels=ch, segments=segment_dim(spark, sf_dir),
-                 products=product_dim(spark, sf_dir), rates=rates,
-                 scenarios=scenario_dim(spark), items=items)
+
+
+def ledger_model(spark: SparkSession, sf_dir: str) -> Model:
+    """The full ledger star built from the order tables (all lazy)."""
+    dims = ledger_dims(spark, sf_dir)
+    return dims.with_fact(ledger_fact(spark, sf_dir, dims))
