@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates as fd
-from ..functions.numeric import MONEY_WIDE, RATE, dec, money, money_sum, seeded_draw
+from ..functions.numeric import MONEY_WIDE, RATE, dec, money, seeded_draw
 from ..sources import fixed
 
 RATES_SCHEMA = T.StructType([

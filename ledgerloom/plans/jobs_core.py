@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numeric import MONEY_SUM
 from ..operators import counts, star
 from ..sources.dates import month_end_spine
 from ..sources.model import FACT_COLUMNS, GRAIN

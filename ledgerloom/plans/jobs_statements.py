@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates as fd
 from ..operators import hierarchy, statements
 from ..sources.store import stored_model
 from .oracle_sql import q

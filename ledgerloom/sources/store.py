@@ -11,6 +11,7 @@ A write that dies part-way leaves no ``_SUCCESS`` marker and is redone.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,10 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+@functools.lru_cache(maxsize=1)
 def _code_fingerprint() -> str:
-    """Digest of the modules that define the ledger, so a code change gets a new ledger."""
+    """Digest of the modules that define the ledger (as loaded by this process), so a code
+    change gets a new ledger."""
     from ..functions import dates as f_dates, numeric as f_numeric
     from ..operators import fx as o_fx
     from . import dates as s_dates, fixed as s_fixed, model as s_model, tpch as s_tpch
