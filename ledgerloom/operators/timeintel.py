@@ -29,9 +29,14 @@ def to_date(df: DataFrame, keys: list[str], grain: str = "year", value: str = "v
 
 
 def prior(df: DataFrame, keys: list[str], months: int, value: str = "value", out: str = "prior") -> DataFrame:
-    """Attach the value ``months`` earlier by an equi-join on the shifted month index (NULL if absent)."""
-    p = df.select(*keys, (F.col("month_idx") + months).alias("month_idx"), F.col(value).alias(out))
-    return df.join(p, keys + ["month_idx"], "left")
+    """Attach the value exactly ``months`` earlier (NULL if that month is absent).
+
+    A RANGE frame fixed at [-months, -months] on the month index selects that one
+    row inside the same window pass — no self-join, no second scan, and gaps in
+    the series give NULL rather than a wrong neighbour.
+    """
+    w = Window.partitionBy(*keys).orderBy("month_idx").rangeBetween(-months, -months)
+    return df.withColumn(out, F.first(value).over(w))
 
 
 def change(df: DataFrame, value: str = "value", base: str = "prior") -> DataFrame:
@@ -60,9 +65,14 @@ def closing(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
 
 
 def opening(closing_df: DataFrame, keys: list[str]) -> DataFrame:
-    """Opening balance = closing balance of the previous year (NULL if that year is absent)."""
-    prev = closing_df.select(*keys, (F.col("year") + 1).alias("year"), F.col("closing").alias("opening"))
-    return closing_df.join(prev, keys + ["year"], "left")
+    """Opening balance = closing balance of the previous year (NULL if that year is absent).
+
+    The previous row of the per-key year series is taken with ``lag`` and kept
+    only when it is exactly the prior year, so a gap yields NULL.
+    """
+    w = Window.partitionBy(*keys).orderBy("year")
+    prev_year = F.lag("year").over(w)
+    return closing_df.withColumn("opening", F.when(prev_year == F.col("year") - 1, F.lag("closing").over(w)))
 
 
 def average(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY_SUM
@@ -128,23 +129,32 @@ SELECT year, step, label, CAST(amount AS DOUBLE) AS amount, is_total,
 FROM w
 """))
 def variance_waterfall(spark, sf_dir):
-    """Budget Net Income -> signed variance of each top-level P&L line -> Actual Net Income."""
+    """Budget Net Income -> signed variance of each top-level P&L line -> Actual Net Income.
+
+    One aggregate per (year, line) feeds every bar: Net Income rows expand into the
+    opening and closing totals, the other lines into their variance steps (a
+    generator, not three branches over the ledger).
+    """
     m = stored_model(spark, sf_dir)
     lines = statements.statement(m.fact.filter(F.col("scenario_id").isin(1, 2)), m.items, "PL",
                                  ["scenario_id", "year"])
-    ni = variance.align(lines.filter(F.col("budget_item_id") == 21), ["year"], {"act": 1, "bud": 2},
-                        measure="signed").filter(F.col("act").isNotNull() & F.col("bud").isNotNull())
-    deltas = (variance.align(lines.filter(F.col("budget_item_id").isin(*_TOP_LINES)),
-                             ["year", "sort_order", "item_name"], {"a": 1, "b": 2}, measure="signed")
-              .join(ni.select("year"), "year", "left_semi")
-              .select("year", F.col("sort_order").alias("step"), F.col("item_name").alias("label"),
-                      (F.col("a") - F.col("b")).cast(MONEY_SUM).alias("amount"), F.lit(False).alias("is_total")))
-    start = ni.select("year", F.lit(0).alias("step"), F.lit("Budget Net Income").alias("label"),
-                      F.col("bud").alias("amount"), F.lit(True).alias("is_total"))
-    end = ni.select("year", F.lit(99).alias("step"), F.lit("Actual Net Income").alias("label"),
-                    F.col("act").alias("amount"), F.lit(True).alias("is_total"))
-    steps = start.unionByName(deltas).unionByName(end)
-    # the opening total carries the running sum: treat it as a step for the window, a total for display
+    g = variance.align(lines.filter(F.col("budget_item_id").isin(*_TOP_LINES, 21)),
+                       ["year", "budget_item_id", "sort_order", "item_name"], {"a": 1, "b": 2}, measure="signed")
+    ni = F.col("budget_item_id") == 21
+
+    def bar(step, label, amount, total):
+        return F.struct(step.alias("step"), label.alias("label"), amount.cast(MONEY_SUM).alias("amount"),
+                        F.lit(total).alias("is_total"))
+
+    rows = F.array(F.when(ni, bar(F.lit(0), F.lit("Budget Net Income"), F.col("b"), True)),
+                   F.when(~ni, bar(F.col("sort_order"), F.col("item_name"), F.col("a") - F.col("b"), False)),
+                   F.when(ni, bar(F.lit(99), F.lit("Actual Net Income"), F.col("a"), True)))
+    both = F.max(F.when(ni & F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).over(
+        Window.partitionBy("year"))
+    steps = (g.withColumn("_both", both).filter(F.col("_both") == 1)
+             .select("year", F.explode(rows).alias("s")).filter(F.col("s").isNotNull())
+             .select("year", "s.step", "s.label", "s.amount", "s.is_total"))
+    # the opening total carries the running sum: a step for the window, a total for display
     w = variance.waterfall(steps.withColumn("is_total", F.col("step") == 99), ["year"])
     return w.select("year", "step", "label", "amount", (F.col("step").isin(0, 99)).alias("is_total"),
                     F.when(F.col("step") == 0, F.lit(0).cast(MONEY_SUM)).otherwise(F.col("bar_start"))
