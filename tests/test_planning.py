@@ -47,3 +47,49 @@ def test_noise_is_repeatable_and_nominal_exact(spark):
     eur = a.filter(F.col("currency_id") == 1)
     assert eur.filter(F.col("amount_eur") != F.col("amount_nominal")).count() == 0
     assert a.select(*keys).distinct().count() == 221340
+
+
+GOLDEN_ALL = {
+    (1, 2022): ("4188604500.00", "3449439000.00"),
+    (1, 2023): ("4607464950.03", "3794382900.00"),
+    (1, 2024): ("5068211445.42", "4173821190.21"),
+    (1, 2025): ("5570843985.42", "4587753870.21"),
+    (2, 2023): ("5001686550.00", "4311798750.00"),
+    (3, 2024): ("5601888935.91", "4829214600.00"),
+    (4, 2025): ("6252108187.71", "5389748437.71"),
+    (5, 2026): ("6902327439.09", "5950282275.00"),
+    (6, 2026): ("6402158784.09", "5519102400.00"),
+    (7, 2025): ("5534717271.42", "4558002458.73"),
+    (8, 2026): ("6602226246.21", "5691574350.21"),
+}
+
+
+def test_full_model_counts_and_golden_totals(spark):
+    m = reference_model(spark, seed=None)
+    fact = m.fact.withColumn("year", fd.year_of("date_id"))
+    by_scenario = {r.scenario_id: r["count"] for r in fact.groupBy("scenario_id").count().collect()}
+    assert sum(by_scenario.values()) == 2434740
+    assert by_scenario[1] == 885360 and all(by_scenario[s] == 221340 for s in range(2, 9))
+    by_cur = {r.currency_id: r["count"] for r in fact.groupBy("currency_id").count().collect()}
+    assert by_cur == {1: 1362636, 2: 855228, 3: 216876}
+    lines = statements.statement(fact, m.items, "PL", ["scenario_id", "year"])
+    got = {(r.scenario_id, r.year, r.budget_item_id): r.signed
+           for r in lines.filter(F.col("budget_item_id").isin(19, 21)).collect()}
+    for (s, y), (pbt, ni) in GOLDEN_ALL.items():
+        assert got[(s, y, 19)] == Decimal(pbt), (s, y)
+        assert got[(s, y, 21)] == Decimal(ni), (s, y)
+
+
+def test_reference_validation_queries(spark):
+    from ledgerloom.operators import checks, counts
+
+    m = reference_model(spark, seed=11)
+    got = {r.tbl: r.row_count for r in counts.table_counts(m.tables()).collect()}
+    assert got == {"dim_date": 1826, "dim_channel": 14, "dim_segment": 5, "dim_product": 17,
+                   "dim_currency": 180, "dim_scenario": 8, "dim_budget_items": 43,
+                   "fact_financial_data": 2434740}
+    eur = checks.eur_identity(m.fact, m.rates).collect()[0]
+    assert eur.rows_checked == 1362636 and eur.violations == 0
+    nom = checks.nominal_recon(m.fact, m.rates).collect()[0]
+    assert nom.rows_checked == 855228 + 216876 and nom.violations == 0
+    assert m.fact.filter(F.col("amount_eur") < 0).count() == 0
