@@ -42,12 +42,17 @@ def cube(df: DataFrame, cols: list[str], value: str = "net_income") -> DataFrame
 
 
 def shares(df: DataFrame, member: list[str], parent: list[str], value: str = "net_income") -> DataFrame:
-    """Share of each member in its parent and in the total (windows over pre-aggregated rows)."""
+    """Share of each member in its parent (window per parent) and in the total.
+
+    The total is a one-row aggregate broadcast back to the members, so no step
+    gathers the rows into a single partition.
+    """
     wp = Window.partitionBy(*parent)
-    wt = Window.partitionBy()
-    return df.select(*parent, *member, value,
-                     safe_ratio(F.col(value), F.sum(value).over(wp)).alias("share_of_parent"),
-                     safe_ratio(F.col(value), F.sum(value).over(wt)).alias("share_of_total"))
+    total = F.broadcast(df.agg(F.sum(value).alias("_total")))
+    return df.crossJoin(total).select(
+        *parent, *member, value,
+        safe_ratio(F.col(value), F.sum(value).over(wp)).alias("share_of_parent"),
+        safe_ratio(F.col(value), F.col("_total")).alias("share_of_total"))
 
 
 def top_n(df: DataFrame, partition: list[str], order_desc: str, tie: str, n: int) -> DataFrame:

@@ -8,7 +8,6 @@ from ..operators import counts, star
 from ..sources.dates import month_end_spine
 from ..sources.model import FACT_COLUMNS, GRAIN
 from ..sources.store import stored_model
-from ..sources.tpch import ledger_calendar
 from .oracle_sql import q
 from .registry import job
 
@@ -16,7 +15,7 @@ from .registry import job
 @job("calendar", q("SELECT * FROM calendar"))
 def calendar(spark, sf_dir):
     """Day calendar over whole years spanned by the ledger (shipments + one plan year)."""
-    return ledger_calendar(spark, sf_dir)
+    return stored_model(spark, sf_dir).dates
 
 
 @job("month_end_spine", q("""
@@ -24,7 +23,7 @@ SELECT date_id, year, quarter, month, days_in_month FROM calendar WHERE is_month
 """))
 def month_end_spine_job(spark, sf_dir):
     """Month-end rows of the calendar."""
-    return month_end_spine(ledger_calendar(spark, sf_dir)).select(
+    return month_end_spine(stored_model(spark, sf_dir).dates).select(
         "date_id", "year", "quarter", "month", "days_in_month")
 
 

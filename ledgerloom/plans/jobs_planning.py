@@ -10,8 +10,7 @@ from ..operators.variance import align
 from ..sources import fixed
 from ..sources.dates import calendar, month_end_spine
 from ..sources.store import stored_model
-from ..sources.tpch import (BUDGET_UPLIFT, FORECAST_CUTOFF_MONTH, FORECAST_UPLIFT, channel_dim,
-                            ledger_calendar)
+from ..sources.tpch import BUDGET_UPLIFT, FORECAST_CUTOFF_MONTH, FORECAST_UPLIFT
 from .oracle_sql import _values, q
 from .registry import job
 
@@ -106,7 +105,7 @@ def scenario_amounts(spark, sf_dir):
     combos = (m.fact.filter(F.col("scenario_id") == 1)
               .select("channel_id", "segment_id", "product_id", "currency_id").distinct())
     me = month_end_spine(calendar(spark, fixed.MODEL_START, fixed.MODEL_END))
-    rows = planning.scenario_amounts(combos, channel_dim(spark, sf_dir), me, m.items,
+    rows = planning.scenario_amounts(combos, m.channels, me, m.items,
                                      planning.plan_blocks(spark), seed=42)
     from ..functions import dates as fd
     return (rows.withColumn("year", fd.year_of("date_id"))
@@ -123,7 +122,7 @@ FROM fact WHERE scenario_id = 2 GROUP BY year, budget_item_id
 def growth_plan(spark, sf_dir):
     """Budget = prior-year actual of the same month x the year's growth factor, rounded per row."""
     m = stored_model(spark, sf_dir)
-    years = ledger_calendar(spark, sf_dir).select("year").distinct()
+    years = m.dates.select("year").distinct()
     factors = years.select("year", dec(BUDGET_UPLIFT, 3, 2).alias("factor"))
     keys = ["channel_id", "segment_id", "product_id", "currency_id", "budget_item_id"]
     plan = planning.growth_plan(m.fact.filter(F.col("scenario_id") == 1), factors, keys)

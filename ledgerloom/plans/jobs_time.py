@@ -9,7 +9,6 @@ from ..functions.numeric import MONEY_SUM
 from ..operators import hierarchy, profit, timeintel
 from ..sources.dates import month_end_spine
 from ..sources.store import stored_model
-from ..sources.tpch import ledger_calendar
 from .oracle_sql import q
 from .registry import job
 
@@ -224,5 +223,5 @@ LEFT JOIN ser s ON s.scenario_id = k.scenario_id AND s.channel_id = k.channel_id
 """))
 def dense_months(spark, sf_dir):
     """Every (scenario, channel) on every month-end of the ledger calendar, missing months as 0."""
-    me = month_end_spine(ledger_calendar(spark, sf_dir))
+    me = month_end_spine(stored_model(spark, sf_dir).dates)
     return timeintel.densify(_series(spark, sf_dir), KEYS, me)

@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates as fd
 
 
+CALENDAR_SCHEMA = T.StructType([
+    T.StructField("date_id", T.IntegerType(), False),
+    T.StructField("full_date", T.DateType(), False),
+    T.StructField("year", T.IntegerType(), False),
+    T.StructField("quarter", T.IntegerType(), False),
+    T.StructField("quarter_name", T.StringType(), False),
+    T.StructField("month", T.IntegerType(), False),
+    T.StructField("month_name", T.StringType(), False),
+    T.StructField("month_name_short", T.StringType(), False),
+    T.StructField("day", T.IntegerType(), False),
+    T.StructField("is_month_end", T.BooleanType(), False),
+    T.StructField("days_in_month", T.IntegerType(), False),
+    T.StructField("days_in_year", T.IntegerType(), False),
+])
+
+
 def _calendar_from_bounds(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
     days = bounds.select(F.explode(F.sequence(start, end, F.expr("interval 1 day"))).alias("d"))
     return days.select(

@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates as fd
+from ..operators import fx
 from ..session import ensure_checkpoint_dir
-from pyspark.sql import types as T
-
-from .model import FACT_COLUMNS, FACT_SCHEMA, Model
-from .tpch import ledger_dims, ledger_fact
+from .dates import CALENDAR_SCHEMA
+from .model import (CHANNEL_SCHEMA, FACT_COLUMNS, FACT_SCHEMA, PRODUCT_SCHEMA, SEGMENT_SCHEMA, Model,
+                    budget_items)
+from .tpch import ledger_dims, ledger_fact, scenario_dim
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "part", "nation", "region"]
 PARTITION_COLUMNS = ["scenario_id", "year"]
@@ -88,27 +90,55 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS, "year")
 
 
+# Dimensions derived from the order tables, stored next to the fact so that reports never
+# scan lineitem, customer or part again.  Each is bounded (calendar days, nations, market
+# segments, brands, month-ends x currencies) and written as one file.
+STORED_DIMS = {
+    "dim_date": ("dates", CALENDAR_SCHEMA),
+    "dim_channel": ("channels", CHANNEL_SCHEMA),
+    "dim_segment": ("segments", SEGMENT_SCHEMA),
+    "dim_product": ("products", PRODUCT_SCHEMA),
+    "dim_currency": ("rates", fx.RATES_SCHEMA),
+}
+
+
+def write_dims(dims: Model, path: str) -> None:
+    for name, (attr, schema) in STORED_DIMS.items():
+        (getattr(dims, attr).select(*schema.fieldNames()).coalesce(1)
+         .write.mode("overwrite").parquet(f"{path}/dims/{name}"))
+
+
+def read_dims(spark: SparkSession, path: str) -> dict:
+    return {attr: spark.read.schema(schema).parquet(f"{path}/dims/{name}")
+            for name, (attr, schema) in STORED_DIMS.items()}
+
+
 _MODELS: dict = {}
+_LOCK = threading.Lock()
 
 
 def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Model:
-    """The ledger model with its fact read from the stored, partitioned table.
+    """The ledger model read from the stored tables: partitioned fact plus stored dimensions.
 
-    The fact carries ``year`` (a partition column) and ``month`` besides the
-    schema columns.  The adapter fact is only planned when the store has to be
-    (re)written; the resulting lazy model is memoized per session and ledger
-    path (DataFrames are immutable plans), so reports pay no rebuild cost.
+    The load writes the dimensions first and the fact last, so the fact's
+    ``_SUCCESS`` marker means the whole model is complete.  The adapter is only
+    planned when the store has to be (re)written; the lazy model is memoized per
+    session and ledger path (DataFrames are immutable plans).  The fact carries
+    ``year`` (a partition column) and ``month`` besides the schema columns.
     """
     path = ledger_path(spark, sf_dir)
     key = (id(spark), path)
-    hit = _MODELS.get(key)
-    if hit is not None and hit[0] is spark and not rebuild:
-        return hit[1]
-    dims = ledger_dims(spark, sf_dir)
-    fs, p = _fs(spark, f"{path}/_SUCCESS")
-    if rebuild or not fs.exists(p):
-        write_fact(ledger_fact(spark, sf_dir, dims), path)
-    fact = read_fact(spark, path).withColumn("month", fd.month_of("date_id"))
-    model = dims.with_fact(fact)
-    _MODELS[key] = (spark, model)
-    return model
+    with _LOCK:  # jobs of one process may run in threads; one of them loads the ledger
+        hit = _MODELS.get(key)
+        if hit is not None and hit[0] is spark and not rebuild:
+            return hit[1]
+        fs, p = _fs(spark, f"{path}/fact/_SUCCESS")
+        if rebuild or not fs.exists(p):
+            dims = ledger_dims(spark, sf_dir)
+            write_dims(dims, path)
+            write_fact(ledger_fact(spark, sf_dir, dims), f"{path}/fact")
+        fact = read_fact(spark, f"{path}/fact").withColumn("month", fd.month_of("date_id"))
+        model = Model(fact=fact, scenarios=scenario_dim(spark), items=budget_items(spark),
+                      **read_dims(spark, path))
+        _MODELS[key] = (spark, model)
+        return model

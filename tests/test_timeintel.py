@@ -30,3 +30,13 @@ def test_densify_fills_missing_months(spark):
     d = {r.date_id: r for r in timeintel.densify(s, ["k"], me).collect()}
     assert d[20230228].value == Decimal("0.00") and d[20230228].filled
     assert not d[20230131].filled
+
+
+def test_opening_balance_is_prior_year_closing_and_null_after_a_gap(spark):
+    rows = [(1, 20210630, Decimal("5.00")), (1, 20211231, Decimal("7.00")),
+            (1, 20220331, Decimal("9.00")), (1, 20240131, Decimal("4.00"))]
+    s = timeintel.with_periods(spark.createDataFrame(rows, "k int, date_id int, value decimal(38,2)"))
+    o = {r.year: r for r in timeintel.opening(timeintel.closing(s, ["k"]), ["k"]).collect()}
+    assert o[2021].closing == Decimal("7.00") and o[2021].opening is None
+    assert o[2022].opening == Decimal("7.00") and o[2022].closing_date_id == 20220331
+    assert o[2024].opening is None  # 2023 absent: no carried-over balance from 2022
