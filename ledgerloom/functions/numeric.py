@@ -1,8 +1,8 @@
 """Exact-decimal and seeded-draw expressions.
 
 Money is DECIMAL(22,2) in storage and DECIMAL(38,2) after aggregation; it is
-never a double inside the library.  ``report_money`` turns an exact amount
-into a double only for presentation at the edge of a report.
+never a double inside the library (registered jobs turn exact amounts into
+doubles only at their output edge, see ``plans.registry.present``).
 """
 
 from __future__ import annotations
@@ -38,11 +38,6 @@ def money_sum(c) -> Column:
     return F.sum(_c(c)).cast(MONEY_SUM)
 
 
-def report_money(c) -> Column:
-    """Exact cents to a double for the report edge (lossless below 2**53 cents)."""
-    return _c(c).cast(MONEY_SUM).cast("double")
-
-
 def safe_ratio(num, den, digits: int = 6) -> Column:
     """num / den as a double rounded to ``digits``; NULL when den is 0 or NULL."""
     n = _c(num).cast("double")
@@ -50,32 +45,32 @@ def safe_ratio(num, den, digits: int = 6) -> Column:
     return F.round(n / F.nullif(d, F.lit(0.0)), digits)
 
 
-def seeded_draw(seed, *keys, modulus: int) -> Column:
-    """Repeatable integer in [0, modulus): first 32 bits of md5('seed|k1|k2..') mod n.
+def seeded_digest(seed, *keys) -> Column:
+    """md5 hex of 'seed|k1|k2..' — one digest can feed several independent draws.
 
-    Replaces the non-repeatable ``ABS(CHECKSUM(NEWID())) % n`` of the source
-    model; identical in any engine with md5 and hex parsing.
+    Replaces the non-repeatable ``ABS(CHECKSUM(NEWID()))`` of the source model;
+    identical in any engine with md5 and hex parsing.
     """
     parts = [F.lit(str(seed))] + [_c(k).cast("string") for k in keys]
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
-    return (h % F.lit(modulus)).cast("int")
+    return F.md5(F.concat_ws("|", *parts))
 
 
-def seeded_digest(seed, *keys) -> Column:
-    """md5 hex of 'seed|k1|k2..' — one digest can feed several independent draws."""
-    parts = [F.lit(str(seed))] + [_c(k).cast("string") for k in keys]
-    return F.md5(F.concat_ws("|", *parts))
+def _word(digest: Column, slot: int) -> Column:
+    """The ``slot``-th 32-bit word of a hex digest as a non-negative bigint."""
+    return F.conv(F.substring(digest, 1 + 8 * slot, 8), 16, 10).cast("bigint")
+
+
+def seeded_draw(seed, *keys, modulus) -> Column:
+    """Repeatable integer in [0, modulus) from the first word of the digest."""
+    return (_word(seeded_digest(seed, *keys), 0) % F.lit(modulus)).cast("int")
 
 
 def draw_from(digest: Column, slot: int, span) -> Column:
-    """Centered draw from the ``slot``-th 32-bit word of a digest: v % span - span/2."""
-    v = F.conv(F.substring(digest, 1 + 8 * slot, 8), 16, 10).cast("bigint")
+    """Centered draw in [-span/2, span/2 - 1] from one word of a digest (the source noise shape)."""
     span_c = F.lit(span) if isinstance(span, int) else span
     half = F.lit(span // 2) if isinstance(span, int) else F.floor(span / 2).cast("int")
-    return (v % span_c).cast("int") - half
+    return (_word(digest, slot) % span_c).cast("int") - half
 
 
-def seeded_noise(seed, *keys, span: int) -> Column:
-    """Centered draw in [-span/2, span/2 - 1], the shape of the source noise term."""
-    half = F.lit(span // 2) if isinstance(span, int) else F.floor(span / 2).cast("int")
-    return seeded_draw(seed, *keys, modulus=span) - half
+def seeded_noise(seed, *keys, span) -> Column:
+    return draw_from(seeded_digest(seed, *keys), 0, span)
