@@ -33,6 +33,14 @@ def coverage_matrix(spark: SparkSession, rules=fixed.COVERAGE_RULES) -> DataFram
                     F.col("p.currency_id").alias("currency_id")))
 
 
+def _parallelism(spark: SparkSession) -> int:
+    """Cluster cores (default parallelism), or the shuffle partition count if not exposed."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def plan_blocks(spark: SparkSession, blocks=fixed.PLAN_BLOCKS) -> DataFrame:
     return spark.createDataFrame(blocks, BLOCK_SCHEMA)
 
@@ -113,7 +121,7 @@ def scenario_amounts(combos: DataFrame, channels: DataFrame, month_ends: DataFra
     # 31 leaves fan out afterwards: the widest stream only adds noise, takes ABS and rounds.
     # The combinations come out of a small (AQE-coalesced) shuffle; spread them over the
     # cluster before the ~4,000x fan-out so the generated rows are not built by one task.
-    par = k.sparkSession.sparkContext.defaultParallelism
+    par = _parallelism(k.sparkSession)
     kp = k.repartition(par).crossJoin(F.broadcast(periods)).withColumn("tk", F.col("t") * F.col("k"))
     kpc = (kp.join(F.broadcast(bases), ["scenario_id", "year"])
            .select("scenario_id", "date_id", "channel_id", "segment_id", "product_id", "currency_id",
