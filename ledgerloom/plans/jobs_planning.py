@@ -50,6 +50,17 @@ def _noise_sql(slot: int, span: str) -> str:
             f"product_id, currency_id, budget_item_id)), {1 + 8 * slot}, 8))::BIGINT % {span} - {span} // 2)")
 
 
+_DRIVERS_SQL = {
+    "base": _values([(sset, cat, v) for sset, pairs in fixed.DRIVER_BASE.items() for cat, v in pairs]),
+    "base_other": _values([(sset, v) for sset, v in fixed.BASE_OTHER.items()]),
+    "chan": _values([(t, v) for t, v in fixed.DRIVER_CHANNEL]),
+    "seg": _values([(k, v) for k, v in fixed.DRIVER_SEGMENT]),
+    "season": _values([(sset, qn, v) for sset, pairs in fixed.DRIVER_SEASON.items() for qn, v in pairs]),
+    "cur": _values([(k, v) for k, v in fixed.DRIVER_CURRENCY]),
+    "adj": _values([(c, v) for c, v in fixed.DRIVER_DAILY_ADJ]),
+}
+
+
 @job("scenario_amounts", q(f"""
 WITH combos AS (SELECT DISTINCT channel_id, segment_id, product_id, currency_id FROM fact WHERE scenario_id = 1),
 blocks_raw(scenario_id, year, base_set, mult_a, mult_b, cutoff_month, season_set, span_amount, span_daily)
@@ -57,6 +68,13 @@ blocks_raw(scenario_id, year, base_set, mult_a, mult_b, cutoff_month, season_set
 blocks AS (SELECT scenario_id, year, base_set, CAST(mult_a AS DECIMAL(5,4)) AS mult_a,
                   CAST(mult_b AS DECIMAL(5,4)) AS mult_b, cutoff_month, season_set, span_amount, span_daily
            FROM blocks_raw),
+d_base(base_set, category, v) AS (VALUES {_DRIVERS_SQL["base"]}),
+d_base_other(base_set, v) AS (VALUES {_DRIVERS_SQL["base_other"]}),
+d_chan(channel_type, v) AS (VALUES {_DRIVERS_SQL["chan"]}),
+d_seg(segment_id, v) AS (VALUES {_DRIVERS_SQL["seg"]}),
+d_season(season_set, quarter, v) AS (VALUES {_DRIVERS_SQL["season"]}),
+d_cur(currency_id, v) AS (VALUES {_DRIVERS_SQL["cur"]}),
+d_adj(category, v) AS (VALUES {_DRIVERS_SQL["adj"]}),
 pme AS (SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_id,
                CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
                CAST(quarter(d) AS INTEGER) AS quarter
@@ -64,35 +82,30 @@ pme AS (SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS dat
                                                           INTERVAL 1 MONTH)) AS DATE)) AS d) x),
 sp AS (
   SELECT b.scenario_id, pme.date_id, c.channel_id, c.segment_id, c.product_id, c.currency_id,
-         i.budget_item_id, pme.year, i.category, b.span_amount, b.span_daily,
-         CAST(CASE WHEN b.base_set = 'A' THEN CASE i.category WHEN 'Income' THEN 50000 WHEN 'Expense' THEN 30000
-                   WHEN 'Asset' THEN 2000000 WHEN 'Liability' THEN 1500000 WHEN 'Equity' THEN 500000 ELSE 20000 END
-              ELSE CASE i.category WHEN 'Income' THEN 53000 WHEN 'Expense' THEN 28000
-                   WHEN 'Asset' THEN 2100000 WHEN 'Liability' THEN 1550000 WHEN 'Equity' THEN 520000 ELSE 21000 END
-              END AS DECIMAL(38,0))
-         * CAST(CASE ch.channel_type WHEN 'Branch' THEN CASE WHEN ch.channel_name LIKE '%Flagship%' THEN 3.0
-                                                        ELSE 2.0 END
-                WHEN 'Digital' THEN 1.5 WHEN 'Remote' THEN 0.8 WHEN 'Business Unit' THEN 2.5 ELSE 1.0 END
-                AS DECIMAL(3,2))
-         * CAST(CASE c.segment_id WHEN 3 THEN 4.0 WHEN 4 THEN 3.0 WHEN 5 THEN 2.5 WHEN 2 THEN 2.0 ELSE 1.0 END
-                AS DECIMAL(3,2))
-         * CASE WHEN pme.month <= b.cutoff_month THEN b.mult_a ELSE b.mult_b END
-         * CAST(CASE WHEN b.season_set = 'A' THEN CASE pme.quarter WHEN 1 THEN 0.90 WHEN 2 THEN 0.95
-                                                   WHEN 3 THEN 1.00 WHEN 4 THEN 1.15 ELSE 1.0 END
-                     ELSE CASE pme.quarter WHEN 1 THEN 0.92 WHEN 2 THEN 0.96 WHEN 3 THEN 1.00
-                                           WHEN 4 THEN 1.12 ELSE 1.0 END END AS DECIMAL(3,2))
-         * CAST(CASE c.currency_id WHEN 1 THEN 1.00 WHEN 2 THEN 0.40 WHEN 3 THEN 0.25 ELSE 1.0 END
-                AS DECIMAL(3,2)) AS prod
+         i.budget_item_id, pme.year, b.span_amount, b.span_daily,
+         CAST(COALESCE(db.v, dbo.v) AS DECIMAL(38,0))
+         * CAST(CASE WHEN ch.channel_name LIKE '{fixed.FLAGSHIP_PATTERN}' AND ch.channel_type = 'Branch'
+                     THEN {fixed.DRIVER_CHANNEL_FLAGSHIP} ELSE COALESCE(dc.v, 1.0) END AS DECIMAL(3,2))
+         * CAST(COALESCE(dsg.v, 1.0) AS DECIMAL(3,2))
+         * (CASE WHEN pme.month <= b.cutoff_month THEN b.mult_a ELSE b.mult_b END)
+         * CAST(COALESCE(dse.v, 1.0) AS DECIMAL(3,2))
+         * CAST(COALESCE(dcu.v, 1.0) AS DECIMAL(3,2)) AS prod,
+         CAST(COALESCE(da.v, 1.00) AS DECIMAL(3,2)) AS adj
   FROM combos c JOIN channels ch ON ch.channel_id = c.channel_id
   CROSS JOIN pme JOIN blocks b ON b.year = pme.year
   CROSS JOIN (SELECT budget_item_id, category FROM items WHERE NOT is_subtotal) i
+  LEFT JOIN d_base db ON db.base_set = b.base_set AND db.category = i.category
+  LEFT JOIN d_base_other dbo ON dbo.base_set = b.base_set
+  LEFT JOIN d_chan dc ON dc.channel_type = ch.channel_type
+  LEFT JOIN d_seg dsg ON dsg.segment_id = c.segment_id
+  LEFT JOIN d_season dse ON dse.season_set = b.season_set AND dse.quarter = pme.quarter
+  LEFT JOIN d_cur dcu ON dcu.currency_id = c.currency_id
+  LEFT JOIN d_adj da ON da.category = i.category
 ),
 r AS (
   SELECT scenario_id, year, budget_item_id,
          CAST(abs(prod + {_noise_sql(0, 'span_amount')}) AS DECIMAL(22,2)) AS amount_eur,
-         CAST(abs(prod * CAST(CASE category WHEN 'Asset' THEN 0.94 WHEN 'Liability' THEN 1.03 ELSE 1.00 END
-                              AS DECIMAL(3,2))
-                  + {_noise_sql(1, 'span_daily')}) AS DECIMAL(22,2)) AS daily_avg_eur
+         CAST(abs(prod * adj + {_noise_sql(1, 'span_daily')}) AS DECIMAL(22,2)) AS daily_avg_eur
   FROM sp
 )
 SELECT scenario_id, year, budget_item_id, CAST(SUM(amount_eur) AS DOUBLE) AS amount_eur,
