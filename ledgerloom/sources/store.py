@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import threading
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,10 +22,10 @@ from pyspark.sql import types as T
 from ..functions import dates as fd
 from ..operators import fx
 from ..session import ensure_checkpoint_dir
-from .dates import CALENDAR_SCHEMA
+from .dates import CALENDAR_SCHEMA, month_end_spine
 from .model import (CHANNEL_SCHEMA, FACT_COLUMNS, FACT_SCHEMA, PRODUCT_SCHEMA, SEGMENT_SCHEMA, Model,
                     budget_items)
-from .tpch import ledger_dims, ledger_fact, scenario_dim
+from .tpch import FX_SEED, ledger_dims, ledger_fact, scenario_dim
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "part", "nation", "region"]
 PARTITION_COLUMNS = ["scenario_id", "year"]
@@ -102,15 +103,34 @@ STORED_DIMS = {
 }
 
 
-def write_dims(dims: Model, path: str) -> None:
-    for name, (attr, schema) in STORED_DIMS.items():
-        (getattr(dims, attr).select(*schema.fieldNames()).coalesce(1)
-         .write.mode("overwrite").parquet(f"{path}/dims/{name}"))
+def _write_dim(df: DataFrame, path: str, name: str) -> None:
+    schema = STORED_DIMS[name][1]
+    df.select(*schema.fieldNames()).coalesce(1).write.mode("overwrite").parquet(f"{path}/dims/{name}")
+
+
+def _read_dim(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.schema(STORED_DIMS[name][1]).parquet(f"{path}/dims/{name}")
 
 
 def read_dims(spark: SparkSession, path: str) -> dict:
-    return {attr: spark.read.schema(schema).parquet(f"{path}/dims/{name}")
-            for name, (attr, schema) in STORED_DIMS.items()}
+    return {attr: _read_dim(spark, path, name) for name, (attr, _) in STORED_DIMS.items()}
+
+
+def load(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the dimensions, then the fact (its ``_SUCCESS`` marks the model complete).
+
+    The calendar's bounds need one scan of the shipment dates; the rate table is
+    derived from the stored calendar and the fact's rate join reads the stored
+    rates, so that scan happens once per load.
+    """
+    dims = ledger_dims(spark, sf_dir)
+    _write_dim(dims.dates, path, "dim_date")
+    dates = _read_dim(spark, path, "dim_date")
+    _write_dim(fx.rate_table(month_end_spine(dates), fx.bands(spark), FX_SEED), path, "dim_currency")
+    rates = _read_dim(spark, path, "dim_currency")
+    for name, attr in [("dim_channel", "channels"), ("dim_segment", "segments"), ("dim_product", "products")]:
+        _write_dim(getattr(dims, attr), path, name)
+    write_fact(ledger_fact(spark, sf_dir, replace(dims, dates=dates, rates=rates)), f"{path}/fact")
 
 
 _MODELS: dict = {}
@@ -134,9 +154,7 @@ def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Mod
             return hit[1]
         fs, p = _fs(spark, f"{path}/fact/_SUCCESS")
         if rebuild or not fs.exists(p):
-            dims = ledger_dims(spark, sf_dir)
-            write_dims(dims, path)
-            write_fact(ledger_fact(spark, sf_dir, dims), f"{path}/fact")
+            load(spark, sf_dir, path)
         fact = read_fact(spark, f"{path}/fact").withColumn("month", fd.month_of("date_id"))
         model = Model(fact=fact, scenarios=scenario_dim(spark), items=budget_items(spark),
                       **read_dims(spark, path))
