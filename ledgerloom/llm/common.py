@@ -161,8 +161,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarr
             s = np.sort(rolling[a:b - k + 1])
             out.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
         elif b > a:
-            short = (hashes[a:b] * factors[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a) * factors[k]
-            out.append(mix(np.array([short], np.uint64)))
+            parts = np.append(hashes[a:b] * factors[:b - a], factors[k:] * np.uint64(b - a))
+            out.append(mix(parts.sum(dtype=np.uint64, keepdims=True)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

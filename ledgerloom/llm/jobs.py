@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import toxicity
+from . import jaccard_join, toxicity
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
+    "op8_jaccard_join": (jaccard_join.query, None),
 }
