@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, toxicity
+from . import jaccard_join, pii, toxicity
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
     "op8_jaccard_join": (jaccard_join.query, None),
+    "op10_pii": (pii.query, None),
 }
