@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, pii, toxicity
+import corpus_pipeline
+
+from . import jaccard_join, mixing, packing, pii, toxicity
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
+    "op3_mixing": (mixing.query, mixing.ORACLE_SQL),
+    "op6_packing": (packing.query, None),
     "op8_jaccard_join": (jaccard_join.query, None),
     "op10_pii": (pii.query, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
