@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import jaccard_join, mixing, packing, pii, toxicity
+from . import jaccard_join, mixing, packing, pii, quality, toxicity
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
+    "op2_quality_mcd": (quality.query, None),
     "op3_mixing": (mixing.query, mixing.ORACLE_SQL),
     "op6_packing": (packing.query, None),
     "op8_jaccard_join": (jaccard_join.query, None),
