@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import jaccard_join, mixing, packing, pii, quality, token_counts, toxicity
+from . import chat_format, jaccard_join, mixing, packing, pii, quality, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
     "op2_quality_mcd": (quality.query, None),
     "op3_mixing": (mixing.query, mixing.ORACLE_SQL),
     "op4_token_counts": (token_counts.query, None),
+    "op5_chat_format": (chat_format.query, chat_format.ORACLE_SQL),
     "op6_packing": (packing.query, None),
     "op8_jaccard_join": (jaccard_join.query, None),
     "op10_pii": (pii.query, None),
