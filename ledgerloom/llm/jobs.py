@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat_format, jaccard_join, mixing, packing, pii, quality, token_counts, token_files, toxicity
+from . import chat_format, embedding_dedup, jaccard_join, mixing, packing, pii, quality, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
@@ -15,6 +15,7 @@ QUERIES = {
     "op6_packing": (packing.query, None),
     "op7_token_files": (token_files.query, None),
     "op8_jaccard_join": (jaccard_join.query, None),
+    "op9_embedding_dedup": (embedding_dedup.query, None),
     "op10_pii": (pii.query, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
