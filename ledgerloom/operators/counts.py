@@ -32,6 +32,17 @@ def sample_rows(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 
+def check_additive(by: list[str], measures: list[str]) -> None:
+    nominal = [m for m in measures if m.endswith("_nominal")]
+    if nominal and not {"currency_id", "rate_id", "currency_code"} & set(by):
+        raise ValueError(f"{', '.join(nominal)} can't be added over currencies; group by currency_id")
+
+
 def sum_by(df: DataFrame, by: list[str], measures: list[str]) -> DataFrame:
-    """Additive sum of measures over any subset of dimensions (drill-down)."""
+    """Additive sum of measures over any subset of dimensions (drill-down).
+
+    Nominal amounts are in each row's own currency: summing them without the currency
+    among ``by`` is refused.
+    """
+    check_additive(by, measures)
     return df.groupBy(*by).agg(*[F.sum(m).cast(MONEY_SUM).alias(m) for m in measures])

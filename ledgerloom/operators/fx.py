@@ -109,16 +109,15 @@ def measure_select(fact: DataFrame, keys: list[str], measures: list[str] | None
     return fact.unpivot(keys, ms, "measure", "amount")
 
 
-def restate(fact: DataFrame, rates: DataFrame, currency_id: int, by: list[str],
-            rate: str = "eom", measure: str = "amount_eur") -> DataFrame:
-    """EUR amounts restated in ``currency_id``: sum to (by, month) first, multiply once, cast once."""
-    rate_col = "eom_rate" if rate == "eom" else "daily_avg_rate"
+def restate(fact: DataFrame, rates: DataFrame, currency_id: int, by: list[str], measure: str = "amount_eur") -> DataFrame:
+    """EUR amounts restated in ``currency_id`` at both rates: sum to (by, month) once, multiply once, cast once."""
     keys = list(dict.fromkeys(["date_id"] + by))
     monthly = fact.groupBy(*keys).agg(F.sum(measure).cast(MONEY_WIDE).alias("amount_eur"))
-    r = F.broadcast(rates.filter(F.col("currency_id") == currency_id)
-                    .select("date_id", F.col(rate_col).alias("rate")))
-    return (monthly.join(r, "date_id", "inner")
-            .withColumn("amount_restated", money(F.col("amount_eur") * F.col("rate")).cast("decimal(38,2)")))
+    r = rates.filter(F.col("currency_id") == currency_id).select("date_id", "eom_rate", "daily_avg_rate")
+    return monthly.join(r, "date_id").select(
+        *keys, "amount_eur",
+        *[money(F.col("amount_eur") * F.col(c)).cast("decimal(38,2)").alias(o)
+          for c, o in (("eom_rate", "restated_eom"), ("daily_avg_rate", "restated_avg"))])
 
 
 def cross_rates(rates: DataFrame) -> DataFrame:
@@ -142,17 +141,24 @@ def eom_vs_avg(rates: DataFrame) -> DataFrame:
 def fx_effect(fact: DataFrame, rates: DataFrame, by: list[str]) -> DataFrame:
     """Nominal change vs. the same month a year earlier, split exactly into volume and rate.
 
-    Sum EUR to (by, currency, month) first, attach the month's eom rate, align
-    with the prior-year month by an equi-join on the shifted key, then
-    volume = (E1 - E0) * r0, rate = E1 * (r1 - r0), total = E1*r1 - E0*r0.
+    Sum EUR to (by, currency, month) first; every monthly amount then counts once as this
+    year's and once, a year later, as the prior year's, so a cell that is new or has ended
+    has a zero on its other side.  volume = (E1 - E0) * r0, rate = E1 * (r1 - r0),
+    total = E1*r1 - E0*r0.  Months reach to the last one with data; a month whose own or
+    prior-year rate is not in the rate table has no comparison.
     """
     keys = list(dict.fromkeys(by + ["currency_id"]))
-    monthly = (fact.groupBy(*keys, "date_id").agg(F.sum("amount_eur").cast(MONEY_WIDE).alias("eur"))
-               .join(F.broadcast(rates.select("date_id", "currency_id", "eom_rate")),
-                     ["date_id", "currency_id"]))
-    prior = monthly.select(*keys, fd.shift_month_end("date_id", 12).alias("date_id"),
-                           F.col("eur").alias("eur_py"), F.col("eom_rate").alias("rate_py"))
-    j = monthly.join(prior, keys + ["date_id"], "inner")
+    monthly = fact.groupBy(*keys, "date_id").agg(F.sum("amount_eur").cast(MONEY_WIDE).alias("eur"))
+    zero = F.lit(0).cast(MONEY_WIDE)
+    sides = F.array(F.struct("date_id", F.col("eur").alias("eur"), zero.alias("eur_py")),
+                    F.struct(fd.shift_month_end("date_id", 12).alias("date_id"), zero.alias("eur"), F.col("eur").alias("eur_py")))
+    cells = (monthly.select(*keys, F.explode(sides).alias("s")).groupBy(*keys, "s.date_id")
+             .agg(F.sum("s.eur").cast(MONEY_WIDE).alias("eur"), F.sum("s.eur_py").cast(MONEY_WIDE).alias("eur_py")))
+    last = fact.agg(F.max("date_id").alias("last"))  # one row
+    r = rates.select("date_id", "currency_id", "eom_rate")
+    py = rates.select(fd.shift_month_end("date_id", 12).alias("date_id"), "currency_id", F.col("eom_rate").alias("rate_py"))
+    j = (cells.join(F.broadcast(last), F.col("date_id") <= F.col("last"))
+         .join(r, ["date_id", "currency_id"]).join(py, ["date_id", "currency_id"]))
     vol = (F.col("eur") - F.col("eur_py")) * F.col("rate_py")
     rt = F.col("eur") * (F.col("eom_rate") - F.col("rate_py"))
     tot = F.col("eur") * F.col("eom_rate") - F.col("eur_py") * F.col("rate_py")

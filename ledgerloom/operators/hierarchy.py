@@ -14,18 +14,17 @@ from pyspark.sql import functions as F
 from ..sources import fixed
 
 
-MAX_DEPTH = 16
 _NO_PARENT = -2147483648  # sentinel: no parent (NULLs inside long lambdas are avoided)
 
 
-def closure(items: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(ancestor_id, descendant_id, distance) for every ancestor-or-self pair.
+def closure(items: DataFrame) -> DataFrame:
+    """(ancestor_id, descendant_id, distance) for every ancestor-or-self pair, at any depth.
 
     The chart of accounts is a bounded dimension: its parent map is gathered
     into one map value, broadcast to every item, and each item's ancestor
-    chain is walked with a higher-order ``aggregate`` — two small stages, no
-    per-level job.  A tree deeper than ``max_depth`` fails with an error
-    instead of returning a truncated closure.
+    chain is walked with a higher-order ``aggregate`` until no parent is left —
+    two small stages, no per-level job.  A chain cannot be longer than the
+    number of items; one that still has a parent then is a cycle, which fails.
     """
     none = F.lit(_NO_PARENT)
     pm = items.agg(F.map_from_entries(F.collect_list(F.struct(
@@ -35,12 +34,11 @@ def closure(items: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
 
     def step(acc, _):
         last = F.element_at(acc, -1)
-        nxt = F.when(last == none, none).otherwise(F.coalesce(F.try_element_at(F.col("pm"), last), none))
-        return F.concat(acc, F.array(nxt))
+        nxt = F.coalesce(F.try_element_at(F.col("pm"), last), none)
+        return F.when(last == none, acc).otherwise(F.concat(acc, F.array(nxt)))
 
-    chain = F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), F.array(F.col("descendant_id")), step)
-    guard = F.when(F.element_at(F.col("chain"), -1) != none,
-                   F.raise_error(F.lit(f"account tree deeper than {max_depth}")))
+    chain = F.aggregate(F.sequence(F.lit(1), F.size("pm")), F.array(F.col("descendant_id")), step)
+    guard = F.when(F.element_at(F.col("chain"), -1) != none, F.raise_error(F.lit("account tree has a cycle")))
     return (it.select("descendant_id", chain.alias("chain"))
             .select("descendant_id", F.posexplode("chain").alias("distance", "ancestor_id"),
                     guard.alias("_guard"))
@@ -89,28 +87,21 @@ def cached_edges(items: DataFrame, with_formulas: bool = True) -> DataFrame:
 
 
 def flatten(items: DataFrame) -> DataFrame:
-    """Ragged tree to fixed level1..level3 names, path and depth.
+    """Ragged tree to level1..levelN names, path and depth; N is the depth of the tree.
 
     Short branches repeat their last name in the deeper levels.
     """
     c = closure(items)
-    depth = c.groupBy("descendant_id").agg(F.max("distance").alias("depth0"))
+    deepest = (c.agg(F.max("distance")).first()[0] or 0) + 1  # one number of a bounded dimension
     names = items.select(F.col("budget_item_id").alias("ancestor_id"), F.col("item_name").alias("anc_name"))
-    lv = (c.join(depth, "descendant_id").join(names, "ancestor_id")
-          .withColumn("level", F.col("depth0") - F.col("distance") + 1))
-    agg = lv.groupBy("descendant_id", "depth0").agg(
-        F.max(F.when(F.col("level") == 1, F.col("anc_name"))).alias("l1"),
-        F.max(F.when(F.col("level") == 2, F.col("anc_name"))).alias("l2"),
-        F.max(F.when(F.col("level") == 3, F.col("anc_name"))).alias("l3"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-            F.col("level").alias("lv"), F.col("anc_name").alias("nm")))), lambda s: s["nm"]), " > ").alias("path"))
+    chain = F.reverse(F.array_sort(F.collect_list(F.struct("distance", "anc_name"))))  # root first
+    agg = (c.join(names, "ancestor_id").groupBy("descendant_id").agg(chain.alias("chain"))
+           .withColumn("names", F.transform("chain", lambda s: s["anc_name"])))
     return agg.select(
         F.col("descendant_id").alias("budget_item_id"),
-        (F.col("depth0") + 1).cast("int").alias("depth"),
-        F.col("l1").alias("level1"),
-        F.coalesce("l2", "l1").alias("level2"),
-        F.coalesce("l3", "l2", "l1").alias("level3"),
-        "path")
+        F.size("names").alias("depth"),
+        *[F.element_at("names", F.least(F.lit(i), F.size("names"))).alias(f"level{i}") for i in range(1, deepest + 1)],
+        F.array_join("names", " > ").alias("path"))
 
 
 def signed(amount: Column, sign: Column) -> Column:

@@ -42,17 +42,18 @@ def cube(df: DataFrame, cols: list[str], value: str = "net_income") -> DataFrame
 
 
 def shares(df: DataFrame, member: list[str], parent: list[str], value: str = "net_income") -> DataFrame:
-    """Share of each member in its parent (window per parent) and in the total.
+    """Share of each member in its parent and in the total, from one pass over the members.
 
-    The total is a one-row aggregate broadcast back to the members, so no step
-    gathers the rows into a single partition.
+    ``df`` is a report: one row per member (a dimension), already aggregated.  Sums per parent
+    are taken first, so the window over everything sees one row per parent only.
     """
-    wp = Window.partitionBy(*parent)
-    total = F.broadcast(df.agg(F.sum(value).alias("_total")))
-    return df.crossJoin(total).select(
-        *parent, *member, value,
-        safe_ratio(F.col(value), F.sum(value).over(wp)).alias("share_of_parent"),
-        safe_ratio(F.col(value), F.col("_total")).alias("share_of_total"))
+    parents = df.groupBy(*parent).agg(F.sum(value).alias("_parent"), F.collect_list(F.struct(*member, value)).alias("_m"))
+    total = F.sum("_parent").over(Window.partitionBy(F.lit(0)))
+    rows = parents.withColumn("_total", total).select(*parent, "_parent", "_total", F.explode("_m").alias("_m"))
+    return rows.select(
+        *parent, *[F.col(f"_m.{c}").alias(c) for c in (*member, value)],
+        safe_ratio(F.col(f"_m.{value}"), F.col("_parent")).alias("share_of_parent"),
+        safe_ratio(F.col(f"_m.{value}"), F.col("_total")).alias("share_of_total"))
 
 
 def top_n(df: DataFrame, partition: list[str], order_desc: str, tie: str, n: int) -> DataFrame:

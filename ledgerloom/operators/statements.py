@@ -11,16 +11,18 @@ bounded edge list and sum again (a tiny second shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import MONEY_SUM
+from ..functions.numeric import MONEY_SUM, safe_ratio
 from . import hierarchy
+from .counts import check_additive
 
 
 def leaf_totals(fact: DataFrame, items: DataFrame, by: list[str], measure: str = "amount_eur",
                 statement_type: str | None = None) -> DataFrame:
     """Sum ``measure`` to (by, budget_item_id) over the statement's posting leaves."""
+    check_additive(by, [measure])
     lv = items.filter(~F.col("is_subtotal"))
     if statement_type:
         lv = lv.filter(F.col("statement_type") == statement_type)
@@ -53,9 +55,15 @@ def statement(fact: DataFrame, items: DataFrame, statement_type: str | None, by:
 
 def closing_lines(lines: DataFrame, period_keys: list[str], other_keys: list[str],
                   value_cols: list[str], date_col: str = "date_id") -> DataFrame:
-    """Semi-additive pick: value at the last month-end of each period that has data."""
-    aggs = [F.max_by(F.col(v), F.col(date_col)).alias(v) for v in value_cols]
-    return lines.groupBy(*period_keys, *other_keys).agg(F.max(date_col).alias("closing_date_id"), *aggs)
+    """Semi-additive pick: every line at the period's one closing month-end.
+
+    The closing month is that of the whole statement, so a sheet never mixes dates; a line
+    without postings in that month has no row there.
+    """
+    w = Window.partitionBy(*period_keys)
+    at_close = (lines.withColumn("closing_date_id", F.max(date_col).over(w))
+                .filter(F.col(date_col) == F.col("closing_date_id")))
+    return at_close.select(*period_keys, *other_keys, "closing_date_id", *value_cols)
 
 
 def balance_check(bs_lines: DataFrame, by: list[str], assets: int = 22, liabilities: int = 31,
@@ -70,19 +78,38 @@ def balance_check(bs_lines: DataFrame, by: list[str], assets: int = 22, liabilit
                         (F.col("assets") - F.col("liabilities") - F.col("equity")).cast(MONEY_SUM))
 
 
-def ratios(pl_lines: DataFrame, bs_lines: DataFrame, avg_assets: DataFrame, by: list[str]) -> DataFrame:
+def ratios_of(fact: DataFrame, items: DataFrame, by: list[str]) -> DataFrame:
     """Loan-to-deposit (24/32), equity-to-assets (39/22), cost-to-income (14/(1+9)),
-    net interest margin (1 / average of 22 on daily-average EUR); ratios as doubles."""
-    def pick(node, col="display"):
-        return F.sum(F.when(F.col("budget_item_id") == node, F.col(col)))
-
-    pl = pl_lines.groupBy(*by).agg(pick(14).alias("opex"), pick(1).alias("nii"), pick(9).alias("nonii"))
-    bs = bs_lines.groupBy(*by).agg(pick(24).alias("loans"), pick(32).alias("deposits"),
-                                   pick(39).alias("equity"), pick(22).alias("assets"))
-    j = pl.join(bs, by, "full").join(avg_assets, by, "left")
-    from ..functions.numeric import safe_ratio
-    return j.select(*by,
-                    safe_ratio("loans", "deposits").alias("loan_to_deposit"),
+    net interest margin (1 / average of 22 on daily-average EUR); ratios as doubles.
+
+    Everything comes from one aggregate of the fact to (by, month-end, item); flows are then
+    summed over the months, balances taken at the period's closing month-end.
+    """
+    leaf = fact.groupBy(*by, "date_id", "budget_item_id").agg(
+        F.sum("amount_eur").cast(MONEY_SUM).alias("amount"), F.sum("daily_avg_eur").cast(MONEY_SUM).alias("daily"))
+    edges = F.broadcast(hierarchy.cached_edges(items, True))
+    nodes = F.broadcast(items.select(F.col("budget_item_id").alias("node_id"), "sign_convention",
+                                     (F.col("statement_type") == "BS").alias("bs")))
+    j = leaf.join(edges, leaf.budget_item_id == edges.leaf_id).join(nodes, "node_id")
+    shown = hierarchy.signed(hierarchy.signed(F.col("amount"), F.col("leaf_sign")), F.col("sign_convention"))
+
+    def pick(node, value=shown):
+        return F.sum(F.when(F.col("node_id") == node, value)).cast(MONEY_SUM)
+
+    monthly = j.groupBy(*by, "date_id").agg(
+        pick(14).alias("opex"), pick(1).alias("nii"), pick(9).alias("nonii"), pick(24).alias("loans"),
+        pick(32).alias("deposits"), pick(39).alias("equity"), pick(22).alias("assets"),
+        pick(22, F.col("daily")).alias("avg"), F.max("bs").alias("bs"))
+    close = F.max(F.when(F.col("bs"), F.col("date_id"))).over(Window.partitionBy(*by))
+    w = monthly.withColumn("closing", close)
+
+    def at_close(c):
+        return F.sum(F.when(F.col("date_id") == F.col("closing"), F.col(c))).alias(c)
+
+    g = w.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("opex", "nii", "nonii")],
+                           *[at_close(c) for c in ("loans", "deposits", "equity", "assets")],
+                           (F.sum("avg").cast("double") / F.count("avg")).alias("avg_assets"))
+    return g.select(*by, safe_ratio("loans", "deposits").alias("loan_to_deposit"),
                     safe_ratio("equity", "assets").alias("equity_to_assets"),
                     safe_ratio(F.col("opex"), F.col("nii") + F.col("nonii")).alias("cost_to_income"),
                     safe_ratio("nii", "avg_assets").alias("net_interest_margin"))

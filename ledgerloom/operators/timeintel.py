@@ -58,10 +58,17 @@ def period_total(df: DataFrame, keys: list[str], grain: str = "year", value: str
                                  F.count(F.lit(1)).alias("months"))
 
 
-def closing(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    """Semi-additive: value at the last month-end of each year that has data."""
-    return df.groupBy(*keys, "year").agg(F.max("date_id").alias("closing_date_id"),
-                                         F.max_by(value, "date_id").alias("closing"))
+def closing(df: DataFrame, keys: list[str], book_keys: list[str], value: str = "value") -> DataFrame:
+    """Semi-additive: every key's value at the closing month-end of its book and year.
+
+    ``book_keys`` (a subset of ``keys``, e.g. the scenario) name the book that closes on one
+    date: its last month-end with data.  A key without a value in that month has no row, so
+    the closing values of a book add up to its balance on that date.
+    """
+    w = Window.partitionBy(*book_keys, "year")
+    return (df.withColumn("closing_date_id", F.max("date_id").over(w))
+            .filter(F.col("date_id") == F.col("closing_date_id"))
+            .select(*keys, "year", "closing_date_id", F.col(value).alias("closing")))
 
 
 def opening(closing_df: DataFrame, keys: list[str]) -> DataFrame:
@@ -92,8 +99,14 @@ def per_day(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def densify(df: DataFrame, keys: list[str], month_ends: DataFrame, value: str = "value") -> DataFrame:
-    """Fill missing (keys, month) cells with 0: distinct keys x month spine, left join, coalesce."""
-    spine = df.select(*keys).distinct().crossJoin(F.broadcast(month_ends.select("date_id")))
-    j = spine.join(df.select(*keys, "date_id", value), keys + ["date_id"], "left")
-    return j.select(*keys, "date_id", F.coalesce(F.col(value), F.lit(0).cast(MONEY_SUM)).cast(MONEY_SUM)
-                    .alias(value), F.col(value).isNull().alias("filled"))
+    """Fill missing (keys, month) cells with 0, reading ``df`` (one row per key and month) once.
+
+    The months and values of a key become one map (at most one entry per calendar month), and
+    each key is then unfolded over the month spine, so no second aggregate and no join back is needed.
+    """
+    have = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("date_id", value))).alias("have"))
+    spine = month_ends.agg(F.array_sort(F.collect_list("date_id")).alias("spine"))  # one row
+    full = have.crossJoin(F.broadcast(spine)).select(*keys, "have", F.explode("spine").alias("date_id"))
+    found = F.try_element_at(F.col("have"), F.col("date_id"))
+    return full.select(*keys, "date_id", F.coalesce(found, F.lit(0).cast(MONEY_SUM)).cast(MONEY_SUM).alias(value),
+                       found.isNull().alias("filled"))

@@ -139,6 +139,10 @@ GROUP BY f.scenario_id, f.year, ch.channel_type, sm.c_mktsegment, p.product_cate
 def sum_by_dims(spark, sf_dir):
     """Additive EUR sums by scenario, year, channel type, segment and product category."""
     m = stored_model(spark, sf_dir)
-    j = star.star_join(m)
-    return counts.sum_by(j, ["scenario_id", "year", "channel_type", "segment_name", "product_category"],
-                         ["amount_eur", "daily_avg_eur"])
+    measures = ["amount_eur", "daily_avg_eur"]
+    # the fact is summed to ids first; only that result meets the three dimensions it shows
+    per = counts.sum_by(m.fact, ["scenario_id", "year", "channel_id", "segment_id", "product_id"], measures)
+    j = (per.join(m.channels.select("channel_id", "channel_type"), "channel_id")
+         .join(m.segments.select("segment_id", "segment_name"), "segment_id")
+         .join(m.products.select("product_id", "product_category"), "product_id"))
+    return counts.sum_by(j, ["scenario_id", "year", "channel_type", "segment_name", "product_category"], measures)

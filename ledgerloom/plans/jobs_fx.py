@@ -82,11 +82,9 @@ JOIN rates r ON r.date_id = f.date_id AND r.currency_id = 2
 def fx_report_currency(spark, sf_dir):
     """EUR totals restated in USD at the month-end and the daily-average rate (sum first, convert once)."""
     m = stored_model(spark, sf_dir)
-    eom = fx.restate(m.fact, m.rates, 2, ["scenario_id"], rate="eom")
-    avg = fx.restate(m.fact, m.rates, 2, ["scenario_id"], rate="avg")
-    return (eom.select("scenario_id", "date_id", "amount_eur", F.col("amount_restated").alias("usd_eom"))
-            .join(avg.select("scenario_id", "date_id", F.col("amount_restated").alias("usd_avg")),
-                  ["scenario_id", "date_id"]))
+    both = fx.restate(m.fact, m.rates, 2, ["scenario_id"])
+    return both.select("scenario_id", "date_id", "amount_eur", F.col("restated_eom").alias("usd_eom"),
+                       F.col("restated_avg").alias("usd_avg"))
 
 
 @job("fx_cross_rate", q("""
@@ -112,24 +110,33 @@ def fx_eom_vs_avg(spark, sf_dir):
 
 @job("fx_effect", q("""
 WITH mo AS (
-  SELECT f.currency_id, f.date_id, CAST(SUM(f.amount_eur) AS DECIMAL(26,2)) AS eur, r.eom_rate
-  FROM fact f JOIN rates r ON r.date_id = f.date_id AND r.currency_id = f.currency_id
-  WHERE f.scenario_id = 1
-  GROUP BY f.currency_id, f.date_id, r.eom_rate
+  SELECT budget_item_id, currency_id, date_id, SUM(amount_eur) AS eur FROM fact WHERE scenario_id = 1
+  GROUP BY budget_item_id, currency_id, date_id
+),
+sides AS (
+  SELECT budget_item_id, currency_id, date_id, CAST(eur AS DECIMAL(26,2)) AS eur, CAST(0 AS DECIMAL(26,2)) AS eur_py FROM mo
+  UNION ALL
+  SELECT budget_item_id, currency_id, CAST(strftime(last_day(make_date(date_id // 10000 + 1, date_id // 100 % 100, 1)),
+                                    '%Y%m%d') AS INTEGER), CAST(0 AS DECIMAL(26,2)), CAST(eur AS DECIMAL(26,2)) FROM mo
+),
+cells AS (
+  SELECT budget_item_id, currency_id, date_id, CAST(SUM(eur) AS DECIMAL(26,2)) AS eur, CAST(SUM(eur_py) AS DECIMAL(26,2)) AS eur_py
+  FROM sides GROUP BY budget_item_id, currency_id, date_id
 ),
 py AS (
-  SELECT currency_id, CAST(strftime(last_day(make_date(date_id // 10000 + 1, date_id // 100 % 100, 1)),
-                                    '%Y%m%d') AS INTEGER) AS date_id, eur AS eur_py, eom_rate AS rate_py
-  FROM mo
+  SELECT currency_id, CAST(strftime(last_day(make_date(date_id // 10000 + 1, date_id // 100 % 100, 1)), '%Y%m%d') AS INTEGER) AS date_id,
+         eom_rate AS rate_py FROM rates
 )
-SELECT mo.currency_id, mo.date_id, CAST(mo.eur AS DOUBLE) AS eur, CAST(py.eur_py AS DOUBLE) AS eur_py,
-       CAST(mo.eom_rate AS DOUBLE) AS eom_rate, CAST(py.rate_py AS DOUBLE) AS rate_py,
-       CAST((mo.eur - py.eur_py) * py.rate_py AS DOUBLE) AS volume_effect,
-       CAST(mo.eur * (mo.eom_rate - py.rate_py) AS DOUBLE) AS rate_effect,
-       CAST(mo.eur * mo.eom_rate - py.eur_py * py.rate_py AS DOUBLE) AS total_effect
-FROM mo JOIN py ON py.currency_id = mo.currency_id AND py.date_id = mo.date_id
+SELECT c.budget_item_id, c.currency_id, c.date_id, CAST(c.eur AS DOUBLE) AS eur, CAST(c.eur_py AS DOUBLE) AS eur_py,
+       CAST(r.eom_rate AS DOUBLE) AS eom_rate, CAST(py.rate_py AS DOUBLE) AS rate_py,
+       CAST((c.eur - c.eur_py) * py.rate_py AS DOUBLE) AS volume_effect,
+       CAST(c.eur * (r.eom_rate - py.rate_py) AS DOUBLE) AS rate_effect,
+       CAST(c.eur * r.eom_rate - c.eur_py * py.rate_py AS DOUBLE) AS total_effect
+FROM cells c JOIN rates r ON r.date_id = c.date_id AND r.currency_id = c.currency_id
+JOIN py ON py.currency_id = c.currency_id AND py.date_id = c.date_id
+WHERE c.date_id <= (SELECT MAX(date_id) FROM mo)
 """))
 def fx_effect(spark, sf_dir):
-    """Actual nominal change vs. the prior-year month, split into volume and rate effects."""
+    """Actual nominal change vs. the prior-year month by item and currency, split into volume and rate."""
     m = stored_model(spark, sf_dir)
-    return fx.fx_effect(m.fact.filter(F.col("scenario_id") == 1), m.rates, [])
+    return fx.fx_effect(m.fact.filter(F.col("scenario_id") == 1), m.rates, ["budget_item_id"])

@@ -123,9 +123,10 @@ _BS_MONTHLY = f"""bs_monthly AS (
   GROUP BY f.scenario_id, f.year, f.date_id, e.node_id, n.item_name, n.sort_order, n.sign_convention
 ),
 bs_closing AS (
-  SELECT scenario_id, year, budget_item_id, item_name, sort_order, MAX(date_id) AS closing_date_id,
-         arg_max(signed, date_id) AS signed, arg_max(display, date_id) AS display
-  FROM bs_monthly GROUP BY scenario_id, year, budget_item_id, item_name, sort_order
+  SELECT b.scenario_id, b.year, b.budget_item_id, b.item_name, b.sort_order, c.closing_date_id, b.signed, b.display
+  FROM bs_monthly b
+  JOIN (SELECT scenario_id, year, MAX(date_id) AS closing_date_id FROM bs_monthly GROUP BY scenario_id, year) c
+    ON c.scenario_id = b.scenario_id AND c.year = b.year AND c.closing_date_id = b.date_id
 )"""
 
 
@@ -197,14 +198,10 @@ FROM p FULL JOIN b ON p.scenario_id = b.scenario_id AND p.year = b.year
 LEFT JOIN av ON av.scenario_id = COALESCE(p.scenario_id, b.scenario_id) AND av.year = COALESCE(p.year, b.year)
 """))
 def bs_ratios(spark, sf_dir):
-    """Loan-to-deposit, equity-to-assets, cost-to-income and net interest margin per scenario-year."""
+    """Loan-to-deposit, equity-to-assets, cost-to-income and net interest margin per scenario-year.
+
+    One scan of the ledger: both measures summed to (scenario, year, month-end, item) feed the
+    P&L totals, the closing balance sheet and the average of total assets.
+    """
     m = stored_model(spark, sf_dir)
-    by = ["scenario_id", "year"]
-    pl = statements.statement(m.fact, m.items, "PL", by)
-    bs = _bs_closing(m)
-    node22 = (hierarchy.rollup_edges(m.items, with_formulas=False)
-              .filter(F.col("node_id") == 22).select(F.col("leaf_id").alias("budget_item_id")))
-    monthly = (m.fact.join(F.broadcast(node22), "budget_item_id", "left_semi")
-               .groupBy(*by, "date_id").agg(F.sum("daily_avg_eur").alias("v")))
-    avg = monthly.groupBy(*by).agg((F.sum("v").cast("double") / F.count("*")).alias("avg_assets"))
-    return statements.ratios(pl, bs, avg, by)
+    return statements.ratios_of(m.fact, m.items, ["scenario_id", "year"])

@@ -158,8 +158,10 @@ def quarter_total(spark, sf_dir):
 
 
 _CLOSING = """cl AS (
-  SELECT scenario_id, channel_id, year, MAX(date_id) AS closing_date_id, arg_max(value, date_id) AS closing
-  FROM assets GROUP BY scenario_id, channel_id, year
+  SELECT a.scenario_id, a.channel_id, a.year, c.closing_date_id, a.value AS closing
+  FROM assets a
+  JOIN (SELECT scenario_id, year, MAX(date_id) AS closing_date_id FROM assets GROUP BY scenario_id, year) c
+    ON c.scenario_id = a.scenario_id AND c.year = a.year AND c.closing_date_id = a.date_id
 )"""
 
 
@@ -168,8 +170,8 @@ WITH {_ASSETS}, {_CLOSING}
 SELECT scenario_id, channel_id, year, closing_date_id, CAST(closing AS DOUBLE) AS closing FROM cl
 """))
 def closing_balance(spark, sf_dir):
-    """Total Assets at the last month-end of each year that has data."""
-    return timeintel.closing(_assets(spark, sf_dir), KEYS)
+    """Total Assets at each scenario-year's closing month-end (one date for all channels)."""
+    return timeintel.closing(_assets(spark, sf_dir), KEYS, ["scenario_id"])
 
 
 @job("opening_balance", q(f"""
@@ -180,7 +182,7 @@ FROM cl a LEFT JOIN cl b ON b.scenario_id = a.scenario_id AND b.channel_id = a.c
 """))
 def opening_balance(spark, sf_dir):
     """Total Assets opening balance = previous year's closing balance."""
-    return timeintel.opening(timeintel.closing(_assets(spark, sf_dir), KEYS), KEYS)
+    return timeintel.opening(timeintel.closing(_assets(spark, sf_dir), KEYS, ["scenario_id"]), KEYS)
 
 
 @job("average_balance", q(f"""

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.numeric import MONEY_SUM
 from ..operators import statements, variance
 from ..operators.profit import signed_pl
+from ..sources import fixed
 from ..sources.store import stored_model
+from ..sources.tpch import ADAPTER_SCENARIOS
 from .oracle_sql import q
 from .registry import job
 
@@ -76,26 +78,30 @@ def forecast_accuracy(spark, sf_dir):
     return variance.forecast_accuracy(series, ["year", "month"], ["year"])
 
 
-@job("scenario_pivot", q("""
+@job("scenario_pivot", q(f"""
 SELECT year,
-       CAST(SUM(CASE WHEN scenario_id = 1 THEN signed END) AS DOUBLE) AS scenario_1,
-       CAST(SUM(CASE WHEN scenario_id = 2 THEN signed END) AS DOUBLE) AS scenario_2,
-       CAST(SUM(CASE WHEN scenario_id = 5 THEN signed END) AS DOUBLE) AS scenario_5,
-       CAST(SUM(CASE WHEN scenario_id = 6 THEN signed END) AS DOUBLE) AS scenario_6,
-       CAST(SUM(CASE WHEN scenario_id = 7 THEN signed END) AS DOUBLE) AS scenario_7
+       {", ".join(f"CAST(SUM(CASE WHEN scenario_id = {i} THEN signed END) AS DOUBLE) AS scenario_{i}" for i, *_ in ADAPTER_SCENARIOS)}
 FROM pl_lines WHERE budget_item_id = 21 GROUP BY year
 """))
 def scenario_pivot(spark, sf_dir):
-    """Net Income by year with one column per scenario (explicit pivot values)."""
+    """Net Income by year with one column per scenario of the scenario table."""
     m = stored_model(spark, sf_dir)
     lines = statements.statement(m.fact, m.items, "PL", ["scenario_id", "year"])
-    ids = [1, 2, 5, 6, 7]
+    ids = sorted(r.scenario_id for r in m.scenarios.select("scenario_id").collect())  # a dimension
     p = (lines.filter(F.col("budget_item_id") == 21).groupBy("year")
          .pivot("scenario_id", ids).agg(F.sum("signed").cast(MONEY_SUM)))
     return p.select("year", *[F.col(str(i)).alias(f"scenario_{i}") for i in ids])
 
 
-_TOP_LINES = [1, 9, 14, 18, 20]
+#: P&L lines without a parent; the formula subtotals among them are totals, the others steps.
+_FORMULAS = [n for n, _ in fixed.FORMULA_NODES]
+_ROOTS_SQL = "SELECT budget_item_id FROM items WHERE parent_item_id IS NULL AND statement_type = 'PL'"
+_STEPS_SQL = f"{_ROOTS_SQL} AND budget_item_id NOT IN ({', '.join(map(str, _FORMULAS))})"
+_LAST_SQL = "(SELECT MAX(sort_order) + 1 FROM items WHERE statement_type = 'PL')"
+
+
+def _roots(items):
+    return items.filter(F.col("parent_item_id").isNull() & (F.col("statement_type") == "PL")).select("budget_item_id")
 
 
 @job("variance_waterfall", q(f"""
@@ -112,20 +118,20 @@ steps AS (
   SELECT p.year, CAST(p.sort_order AS INTEGER), p.item_name,
          SUM(CASE WHEN p.scenario_id = 1 THEN p.signed END) - SUM(CASE WHEN p.scenario_id = 2 THEN p.signed END),
          FALSE
-  FROM pl_lines p WHERE p.budget_item_id IN ({', '.join(map(str, _TOP_LINES))}) AND p.scenario_id IN (1, 2)
+  FROM pl_lines p WHERE p.budget_item_id IN ({_STEPS_SQL}) AND p.scenario_id IN (1, 2)
     AND p.year IN (SELECT year FROM yrs)
   GROUP BY p.year, p.sort_order, p.item_name
   UNION ALL
-  SELECT year, 99, 'Actual Net Income', act, TRUE FROM ni WHERE year IN (SELECT year FROM yrs)
+  SELECT year, {_LAST_SQL}, 'Actual Net Income', act, TRUE FROM ni WHERE year IN (SELECT year FROM yrs)
 ),
 w AS (
-  SELECT *, SUM(CASE WHEN step = 99 THEN 0 ELSE amount END)
+  SELECT *, SUM(CASE WHEN step = {_LAST_SQL} THEN 0 ELSE amount END)
               OVER (PARTITION BY year ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
   FROM steps
 )
 SELECT year, step, label, CAST(amount AS DOUBLE) AS amount, is_total,
-       CAST(CASE WHEN step IN (0, 99) THEN 0 ELSE run - amount END AS DOUBLE) AS bar_start,
-       CAST(CASE WHEN step IN (0, 99) THEN amount ELSE run END AS DOUBLE) AS bar_end
+       CAST(CASE WHEN step IN (0, {_LAST_SQL}) THEN 0 ELSE run - amount END AS DOUBLE) AS bar_start,
+       CAST(CASE WHEN step IN (0, {_LAST_SQL}) THEN amount ELSE run END AS DOUBLE) AS bar_end
 FROM w
 """))
 def variance_waterfall(spark, sf_dir):
@@ -138,7 +144,9 @@ def variance_waterfall(spark, sf_dir):
     m = stored_model(spark, sf_dir)
     lines = statements.statement(m.fact.filter(F.col("scenario_id").isin(1, 2)), m.items, "PL",
                                  ["scenario_id", "year"])
-    g = variance.align(lines.filter(F.col("budget_item_id").isin(*_TOP_LINES, 21)),
+    shown = _roots(m.items).filter((F.col("budget_item_id") == 21) | ~F.col("budget_item_id").isin(*_FORMULAS))
+    last = m.items.filter(F.col("statement_type") == "PL").agg(F.max("sort_order")).first()[0] + 1  # after every line
+    g = variance.align(lines.join(F.broadcast(shown), "budget_item_id", "left_semi"),
                        ["year", "budget_item_id", "sort_order", "item_name"], {"a": 1, "b": 2}, measure="signed")
     ni = F.col("budget_item_id") == 21
 
@@ -148,27 +156,24 @@ def variance_waterfall(spark, sf_dir):
 
     rows = F.array(F.when(ni, bar(F.lit(0), F.lit("Budget Net Income"), F.col("b"), True)),
                    F.when(~ni, bar(F.col("sort_order"), F.col("item_name"), F.col("a") - F.col("b"), False)),
-                   F.when(ni, bar(F.lit(99), F.lit("Actual Net Income"), F.col("a"), True)))
+                   F.when(ni, bar(F.lit(last), F.lit("Actual Net Income"), F.col("a"), True)))
     both = F.max(F.when(ni & F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).over(
         Window.partitionBy("year"))
     steps = (g.withColumn("_both", both).filter(F.col("_both") == 1)
              .select("year", F.explode(rows).alias("s")).filter(F.col("s").isNotNull())
              .select("year", "s.step", "s.label", "s.amount", "s.is_total"))
     # the opening total carries the running sum: a step for the window, a total for display
-    w = variance.waterfall(steps.withColumn("is_total", F.col("step") == 99), ["year"])
-    return w.select("year", "step", "label", "amount", (F.col("step").isin(0, 99)).alias("is_total"),
+    w = variance.waterfall(steps.withColumn("is_total", F.col("step") == last), ["year"])
+    return w.select("year", "step", "label", "amount", (F.col("step").isin(0, last)).alias("is_total"),
                     F.when(F.col("step") == 0, F.lit(0).cast(MONEY_SUM)).otherwise(F.col("bar_start"))
                     .alias("bar_start"), "bar_end")
 
 
-_PL_STEPS = [1, 9, 14, 18, 19, 20, 21]
-
-
 @job("pl_waterfall", q(f"""
 WITH steps AS (
   SELECT scenario_id, year, sort_order AS step, item_name AS label, signed AS amount,
-         budget_item_id IN (19, 21) AS is_total
-  FROM pl_lines WHERE budget_item_id IN ({', '.join(map(str, _PL_STEPS))})
+         budget_item_id IN ({', '.join(map(str, _FORMULAS))}) AS is_total
+  FROM pl_lines WHERE budget_item_id IN ({_ROOTS_SQL})
 ),
 w AS (
   SELECT *, SUM(CASE WHEN is_total THEN 0 ELSE amount END)
@@ -185,7 +190,7 @@ def pl_waterfall(spark, sf_dir):
     """NII -> +non-interest -> -opex -> -provision -> PBT -> -tax -> Net Income (totals stand on zero)."""
     m = stored_model(spark, sf_dir)
     lines = statements.statement(m.fact, m.items, "PL", ["scenario_id", "year"])
-    steps = (lines.filter(F.col("budget_item_id").isin(*_PL_STEPS))
+    steps = (lines.join(F.broadcast(_roots(m.items)), "budget_item_id", "left_semi")
              .select("scenario_id", "year", F.col("sort_order").alias("step"), F.col("item_name").alias("label"),
-                     F.col("signed").alias("amount"), F.col("budget_item_id").isin(19, 21).alias("is_total")))
+                     F.col("signed").alias("amount"), F.col("budget_item_id").isin(*_FORMULAS).alias("is_total")))
     return variance.waterfall(steps, ["scenario_id", "year"])

@@ -86,7 +86,7 @@ lines AS (
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN channels ch ON ch.channel_id = s.s_nationkey + 1
-  JOIN slots sl ON sl.slot = (l.l_partkey + l.l_linenumber) % 31
+  JOIN slots sl ON sl.slot = (l.l_partkey + l.l_linenumber) % (SELECT COUNT(*) FROM slots)
 ),
 actual AS (
   SELECT date_id, channel_id, segment_id, product_id, currency_id, budget_item_id,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -33,18 +34,23 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster names the shared checkpoint folder; only set one when it is unset (tests)."""
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset a local master gets a scratch folder of its own; on a cluster that
+    would be a different disk for every executor, so it is an error there.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - the stored tables only need the folder name
-        pass
     return d
 
 
-def apply_required(spark: SparkSession) -> None:
+def check_session(spark: SparkSession) -> None:
+    """Warn about settings that results or plans rely on; the caller's session is left as it is."""
     for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
+        if spark.conf.get(k, v) != v:
+            warnings.warn(f"{k} is {spark.conf.get(k)}; this library is built for {v}", stacklevel=2)

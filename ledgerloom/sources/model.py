@@ -155,6 +155,9 @@ def leaf_slots(items: DataFrame) -> DataFrame:
 
 
 def default_fill(df: DataFrame, defaults: dict) -> DataFrame:
-    """Column DEFAULTs on insert: ``coalesce(col, default)`` for the named columns."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-                           for c, v in defaults.items()})
+    """Column DEFAULTs on insert: ``{column: literal}`` for columns that ``df`` doesn't have.
+
+    A DEFAULT stands in for an omitted column only; an explicit NULL stays for the
+    NOT NULL check to find.
+    """
+    return df.withColumns({c: F.lit(v) for c, v in defaults.items() if c not in df.columns})

@@ -6,14 +6,18 @@ back, which cuts the lineage of the order-table joins and lets every report
 prune on the partition columns.  The location is keyed by the source files'
 paths, sizes and modification times and by the code that builds it, so a
 changed source or a changed adapter gets a new ledger.
-A write that dies part-way leaves no ``_SUCCESS`` marker and is redone.
+Every load writes a fresh version and commits it last, so one that dies part-way is
+never read and is redone.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import sys
 import threading
+import time
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +29,8 @@ from ..session import ensure_checkpoint_dir
 from .dates import CALENDAR_SCHEMA, month_end_spine
 from .model import (CHANNEL_SCHEMA, FACT_COLUMNS, FACT_SCHEMA, PRODUCT_SCHEMA, SEGMENT_SCHEMA, Model,
                     budget_items)
-from .tpch import FX_SEED, ledger_dims, ledger_fact, scenario_dim
+from ..operators.checks import reconciliation
+from .tpch import FX_SEED, ledger_dims, ledger_fact, scenario_dim, source_total
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "part", "nation", "region"]
 PARTITION_COLUMNS = ["scenario_id", "year"]
@@ -46,42 +51,65 @@ def _code_fingerprint() -> str:
     from . import dates as s_dates, fixed as s_fixed, model as s_model, tpch as s_tpch
 
     h = hashlib.sha1()
-    for mod in (f_dates, f_numeric, o_fx, s_dates, s_fixed, s_model, s_tpch):
+    for mod in (f_dates, f_numeric, o_fx, s_dates, s_fixed, s_model, s_tpch, sys.modules[__name__]):
         with open(mod.__file__, "rb") as fh:
             h.update(fh.read())
     return h.hexdigest()
 
 
 def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of the code and of every source file's path, size and time (a table may be a folder of files)."""
     h = hashlib.sha1(_code_fingerprint().encode())
     for t in SOURCE_TABLES:
-        path = f"{sf_dir}/{t}.parquet"
-        fs, p = _fs(spark, path)
-        st = fs.getFileStatus(p)
-        size = fs.getContentSummary(p).getLength()
-        h.update(f"{fs.makeQualified(p).toString()}|{size}|{st.getModificationTime()}".encode())
+        fs, p = _fs(spark, f"{sf_dir}/{t}.parquet")
+        found, files = fs.listFiles(p, True), []
+        while found.hasNext():
+            st = found.next()
+            files.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join([t, *sorted(files)]).encode())
     return h.hexdigest()[:16]
 
 
 def ledger_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of all versions of one ledger; ``current_version`` names the committed one."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/ledgerloom/ledger-{_source_key(spark, sf_dir)}"
 
 
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Path of the newest committed version, or None.
+
+    A version is committed by an empty marker file whose name holds its number and id; the
+    marker is created after everything else, so a load that dies leaves nothing to read, and
+    of two writers each commits a complete version of its own.
+    """
+    fs, p = _fs(spark, f"{path}/commits")
+    if not fs.exists(p):
+        return None
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p))
+    return f"{path}/{names[-1]}" if names else None
+
+
+def commit(spark: SparkSession, path: str, version: str) -> None:
+    fs, p = _fs(spark, f"{path}/commits/{version}")
+    fs.create(p, False).close()
+
+
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
-    """Partitioned write without a shuffle on the partition columns.
+    """Partitioned write, rebalanced on the partition columns.
 
-    A hash repartition on (scenario_id, year) would send a hot scenario-year to
-    one task; instead every task writes its own rows into the partition
-    directories, sorted within the task so it keeps one open file at a time,
-    and files are capped in rows.
+    A plain hash repartition on (scenario_id, year) would send a hot scenario-year to one
+    task, no repartition would make every task write a file per scenario-year; the REBALANCE
+    hint gathers small partitions and lets AQE split hot ones.  Rows are sorted within a task
+    so that it keeps one open file at a time, and a file's rows are bounded.
     """
     (fact.withColumn("year", fd.year_of("date_id"))
+     .hint("rebalance", *PARTITION_COLUMNS)
      .sortWithinPartitions(*PARTITION_COLUMNS)
-     .write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
@@ -105,7 +133,7 @@ STORED_DIMS = {
 
 def _write_dim(df: DataFrame, path: str, name: str) -> None:
     schema = STORED_DIMS[name][1]
-    df.select(*schema.fieldNames()).coalesce(1).write.mode("overwrite").parquet(f"{path}/dims/{name}")
+    df.select(*schema.fieldNames()).coalesce(1).write.parquet(f"{path}/dims/{name}")
 
 
 def _read_dim(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -116,21 +144,29 @@ def read_dims(spark: SparkSession, path: str) -> dict:
     return {attr: _read_dim(spark, path, name) for name, (attr, _) in STORED_DIMS.items()}
 
 
-def load(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write the dimensions, then the fact (its ``_SUCCESS`` marks the model complete).
+def load(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the dimensions and the fact under a fresh version folder, reconcile, then commit it.
 
     The calendar's bounds need one scan of the shipment dates; the rate table is
     derived from the stored calendar and the fact's rate join reads the stored
-    rates, so that scan happens once per load.
+    rates, so that scan happens once per load.  A ledger whose actual amounts don't
+    add up to those of the order lines is not committed: the load fails.
     """
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    at = f"{path}/{version}"
     dims = ledger_dims(spark, sf_dir)
-    _write_dim(dims.dates, path, "dim_date")
-    dates = _read_dim(spark, path, "dim_date")
-    _write_dim(fx.rate_table(month_end_spine(dates), fx.bands(spark), FX_SEED), path, "dim_currency")
-    rates = _read_dim(spark, path, "dim_currency")
+    _write_dim(dims.dates, at, "dim_date")
+    dates = _read_dim(spark, at, "dim_date")
+    _write_dim(fx.rate_table(month_end_spine(dates), fx.bands(spark), FX_SEED), at, "dim_currency")
+    rates = _read_dim(spark, at, "dim_currency")
     for name, attr in [("dim_channel", "channels"), ("dim_segment", "segments"), ("dim_product", "products")]:
-        _write_dim(getattr(dims, attr), path, name)
-    write_fact(ledger_fact(spark, sf_dir, replace(dims, dates=dates, rates=rates)), f"{path}/fact")
+        _write_dim(getattr(dims, attr), at, name)
+    write_fact(ledger_fact(spark, sf_dir, replace(dims, dates=dates, rates=rates)), f"{at}/fact")
+    check = reconciliation(source_total(spark, sf_dir), read_fact(spark, f"{at}/fact")).first()
+    if not check.reconciled:
+        raise RuntimeError(f"ledger not committed: order lines hold {check.source_amount}, actuals {check.ledger_amount}")
+    commit(spark, path, version)
+    return at
 
 
 _MODELS: dict = {}
@@ -140,9 +176,8 @@ _LOCK = threading.Lock()
 def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Model:
     """The ledger model read from the stored tables: partitioned fact plus stored dimensions.
 
-    The load writes the dimensions first and the fact last, so the fact's
-    ``_SUCCESS`` marker means the whole model is complete.  The adapter is only
-    planned when the store has to be (re)written; the lazy model is memoized per
+    The adapter is only planned when there is no committed version (or ``rebuild``
+    asks for a new one); the lazy model is memoized per
     session and ledger path (DataFrames are immutable plans).  The fact carries
     ``year`` (a partition column) and ``month`` besides the schema columns.
     """
@@ -152,11 +187,12 @@ def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Mod
         hit = _MODELS.get(key)
         if hit is not None and hit[0] is spark and not rebuild:
             return hit[1]
-        fs, p = _fs(spark, f"{path}/fact/_SUCCESS")
-        if rebuild or not fs.exists(p):
-            load(spark, sf_dir, path)
-        fact = read_fact(spark, f"{path}/fact").withColumn("month", fd.month_of("date_id"))
+        for old in [k for k, (s, _) in _MODELS.items() if s is not spark]:
+            del _MODELS[old]  # plans of sessions that have ended
+        at = None if rebuild else current_version(spark, path)
+        at = at or load(spark, sf_dir, path)
+        fact = read_fact(spark, f"{at}/fact").withColumn("month", fd.month_of("date_id"))
         model = Model(fact=fact, scenarios=scenario_dim(spark), items=budget_items(spark),
-                      **read_dims(spark, path))
+                      **read_dims(spark, at))
         _MODELS[key] = (spark, model)
         return model

@@ -32,10 +32,9 @@ from ..functions.numeric import dec, money
 from ..operators import fx
 from . import fixed
 from .dates import calendar_for_bounds, month_end_spine
-from .model import Model, budget_items, leaf_slots
+from .model import Model, budget_items, leaf_slots, leaves
 
 FX_SEED = 42
-N_LEAVES = 31
 CHANNEL_TYPES = ["Branch", "Digital", "Remote", "Business Unit"]
 PRODUCT_CATEGORIES = ["Loan", "Card", "Deposit", "Service"]
 
@@ -72,6 +71,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows up to which a dimension is broadcast; the count is checked before the hint is given.
+BROADCAST_ROWS = 100_000
+
+
+def small(dim: DataFrame) -> DataFrame:
+    """``dim`` with a broadcast hint if it is counted to be small, else as it is (a shuffle join)."""
+    return F.broadcast(dim) if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else dim
+
+
 def channel_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -106,7 +114,8 @@ def segment_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_key(brand):
-    return F.regexp_extract(brand, r"(\d+)$", 1).cast("int")
+    """Number at the end of a brand; a brand without one (NULL) is left out and shows in the load reconciliation."""
+    return F.regexp_extract(brand, r"(\d+)$", 1).try_cast("int")
 
 
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +136,18 @@ def scenario_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, SCENARIO_SCHEMA)
 
 
+def line_amount():
+    """A line's amount: extended price net of discount, exact cents."""
+    return money(F.col("l_extendedprice").cast("decimal(22,2)")
+                 * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
+
+
+def source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: lines and their total amount as they stand in the order tables."""
+    return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("source_lines"),
+                                                F.sum(line_amount()).cast("decimal(38,2)").alias("source_amount"))
+
+
 def actual_lines(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
     """Line-level actual postings with ledger keys (before aggregation)."""
     items = items if items is not None else budget_items(spark)
@@ -134,23 +155,23 @@ def actual_lines(spark: SparkSession, sf_dir: str, items: DataFrame | None = Non
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount",
         "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # market segments and nations are looked up in bounded maps: no shuffle on a key of few values
     cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-            .join(segment_map(spark, sf_dir), "c_mktsegment").select("c_custkey", "segment_id"))
+            .join(small(segment_map(spark, sf_dir)), "c_mktsegment").select("c_custkey", "segment_id"))
     order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "segment_id")
     supp = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(channel_dim(spark, sf_dir).select("channel_id", "currency_id"),
+            .join(small(channel_dim(spark, sf_dir).select("channel_id", "currency_id")),
                   F.col("s_nationkey") + 1 == F.col("channel_id"))
             .select("s_suppkey", "channel_id", "currency_id"))
     part = table(spark, sf_dir, "part").select("p_partkey", product_key(F.col("p_brand")).alias("product_id"))
     slots = F.broadcast(leaf_slots(items).select("slot", "budget_item_id"))
+    n_leaves = leaves(items).count()  # one number of the chart of accounts
 
-    amt = money(F.col("l_extendedprice").cast("decimal(22,2)")
-                * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
     lines = li.select(
         "l_orderkey", "l_partkey", "l_suppkey",
         fd.date_key(F.last_day(F.col("l_shipdate").cast("date"))).alias("date_id"),
-        F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(N_LEAVES)).cast("int").alias("slot"),
-        amt.alias("amount"))
+        F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(n_leaves)).cast("int").alias("slot"),
+        line_amount().alias("amount"))
     return (lines
             .join(order_seg, lines.l_orderkey == order_seg.o_orderkey)
             .join(part, lines.l_partkey == part.p_partkey)
@@ -239,9 +260,9 @@ def ledger_fact(spark: SparkSession, sf_dir: str, dims: Model) -> DataFrame:
     base = with_plan_scenarios(actual_ledger(spark, sf_dir, items))
     base = (base.join(F.broadcast(daily_adjust(items)), "budget_item_id")
             .withColumn("daily_avg_eur", money(F.col("amount_eur") * F.col("adj"))).drop("adj"))
-    # column DEFAULTs of the fact (amounts default to 0.00 on insert)
-    return default_fill(fx.add_nominal(base, dims.rates).select(*FACT_COLUMNS),
-                        {"amount_eur": Decimal("0.00"), "amount_nominal": Decimal("0.00")})
+    # column DEFAULTs of the fact (omitted amounts are 0.00 on insert)
+    return default_fill(fx.add_nominal(base, dims.rates),
+                        {"amount_eur": Decimal("0.00"), "amount_nominal": Decimal("0.00")}).select(*FACT_COLUMNS)
 
 
 def ledger_model(spark: SparkSession, sf_dir: str) -> Model:

@@ -1,8 +1,11 @@
+from dataclasses import replace
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import checks
+from ledgerloom.operators import checks, counts
 from ledgerloom.sources import fixed
 from ledgerloom.sources.reference import reference_model
 
@@ -54,4 +57,37 @@ def test_rate_range_flags_band_overshoot(spark):
     m = reference_model(spark, seed=None, blocks=[fixed.PLAN_BLOCKS[0]])
     v = _v(checks.rate_range(m.rates, spark))
     assert v["currency_code_length"] == 0
-    assert v["rate_outside_range"] >= 0
+    known = v["rate_outside_range"]
+    off = m.rates.limit(1).withColumns({"currency_id": F.lit(9), "currency_code": F.lit("ABCD")})
+    v = _v(checks.rate_range(m.rates.unionByName(off), spark))
+    assert v == {"rate_outside_range": known + 1, "currency_code_length": 1}
+
+
+def test_key_null_and_nominal_faults_are_found(spark):
+    m = _clean(spark)
+    assert set(_v(checks.pk_unique(m)).values()) == {0}
+    assert _v(checks.pk_unique(replace(m, channels=m.channels.union(m.channels.limit(1)))))["dim_channel"] == 2
+    eur = m.fact.filter(F.col("currency_id") == 1).limit(1)
+    null = eur.withColumn("daily_avg_nominal", F.lit(None).cast("decimal(22,2)"))
+    stray = eur.withColumn("rate_id", F.lit("none"))
+    foreign = eur.withColumn("currency_id", F.lit(7)).withColumn("rate_id", F.lit("none"))
+    assert _v(checks.eur_identity(m.fact.unionByName(null).unionByName(stray), m.rates)) == {"eur_identity": 2}
+    assert _v(checks.nominal_recon(m.fact.unionByName(foreign), m.rates)) == {"nominal_recon": 1}
+    assert _v(checks.not_null(m.fact.unionByName(null), ["daily_avg_nominal"])) == {"daily_avg_nominal": 1}
+    assert _v(checks.rate_key(m.fact.unionByName(eur.withColumn("rate_id", F.lit(None).cast("string"))), m.rates))["fact_rate_id"] == 1
+
+
+def test_coverage_finds_both_faults(spark):
+    keys = "channel_id int, segment_id int, product_id int, currency_id int"
+    fact = spark.createDataFrame([(1, 1, 1, 1), (1, 1, 2, 1)], keys)
+    allowed = spark.createDataFrame([(1, 1, 1, 1), (2, 1, 1, 1)], keys)
+    assert _v(checks.coverage(fact, allowed)) == {"outside_matrix": 1, "allowed_missing": 1}
+
+
+def test_lost_lines_and_nominal_sums_are_refused(spark):
+    source = spark.createDataFrame([(2, Decimal("30.00"))], "source_lines long, source_amount decimal(38,2)")
+    fact = spark.createDataFrame([(1, Decimal("10.00")), (2, Decimal("20.00"))], "scenario_id int, amount_eur decimal(22,2)")
+    row = checks.reconciliation(source, fact).first()
+    assert row.difference == Decimal("20.00") and not row.reconciled
+    with pytest.raises(ValueError, match="currencies"):
+        counts.sum_by(fact, ["scenario_id"], ["amount_nominal"])

@@ -46,3 +46,13 @@ def test_waterfall_ends_on_total(spark):
     w = {r.step: r for r in variance.waterfall(steps, ["p"]).collect()}
     assert w[1].bar_start == Decimal("100.00") and w[1].bar_end == Decimal("70.00")
     assert w[2].bar_start == 0 and w[2].bar_end == Decimal("70.00")
+
+
+def test_fx_effect_keeps_new_and_ended_cells(spark):
+    rates = spark.createDataFrame([(d, 2, Decimal("1.000000")) for d in (20230131, 20240131)],
+                                  "date_id int, currency_id int, eom_rate decimal(10,6)")
+    fact = spark.createDataFrame([(1, 20230131, 2, Decimal("100.00")), (1, 20240131, 2, Decimal("130.00")),
+                                  (2, 20230131, 2, Decimal("70.00")), (3, 20240131, 2, Decimal("10.00"))],
+                                 "budget_item_id int, date_id int, currency_id int, amount_eur decimal(22,2)")
+    e = {r.budget_item_id: r.total_effect for r in fx.fx_effect(fact, rates, ["budget_item_id"]).collect()}
+    assert e == {1: Decimal("30.00000000"), 2: Decimal("-70.00000000"), 3: Decimal("10.00000000")}

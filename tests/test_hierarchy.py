@@ -19,12 +19,22 @@ def test_closure_sizes(spark):
     assert rows[(1, 6)] == 1 and rows[(1, 7)] == 2 and rows[(7, 7)] == 0
 
 
-def test_closure_depth_guard(spark):
-    chain = [(i, f"n{i}", "PL", "Income", None, i - 1 if i > 1 else None, i, i < 5, 1) for i in range(1, 6)]
-    items = spark.createDataFrame(chain, ITEMS_SCHEMA)
-    assert hierarchy.closure(items, max_depth=8).count() == 15
-    with pytest.raises(Exception):
-        hierarchy.closure(items, max_depth=3).collect()
+def _chain(spark, n):
+    rows = [(i, f"n{i}", "PL", "Income", None, i - 1 if i > 1 else None, i, i < n, 1) for i in range(1, n + 1)]
+    return spark.createDataFrame(rows, ITEMS_SCHEMA)
+
+
+def test_deep_trees_are_walked_to_the_root(spark):
+    assert hierarchy.closure(_chain(spark, 40)).count() == 40 * 41 // 2
+    flat = {r.budget_item_id: r for r in hierarchy.flatten(_chain(spark, 4)).collect()}
+    assert (flat[4].level1, flat[4].level4, flat[4].depth) == ("n1", "n4", 4)
+    assert flat[2].level4 == "n2"
+
+
+def test_a_cycle_fails(spark):
+    rows = [(1, "a", "PL", "Income", None, 2, 1, True, 1), (2, "b", "PL", "Income", None, 1, 2, False, 1)]
+    with pytest.raises(Exception, match="cycle"):
+        hierarchy.closure(spark.createDataFrame(rows, ITEMS_SCHEMA)).collect()
 
 
 def test_flatten_repeats_last_name(spark):

@@ -1,3 +1,6 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.sources import store
@@ -18,7 +21,7 @@ def test_stored_model_is_memoized_and_rebuild_is_idempotent(spark):
 
 def test_dimensions_are_stored_with_the_ledger(spark):
     m = store.stored_model(spark, SF)
-    path = store.ledger_path(spark, SF)
+    path = store.current_version(spark, store.ledger_path(spark, SF))
     assert path.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
     counts = {k: getattr(m, k).count() for k in ["dates", "channels", "segments", "products", "rates"]}
     month_ends = m.dates.filter(F.col("is_month_end")).count()
@@ -27,3 +30,32 @@ def test_dimensions_are_stored_with_the_ledger(spark):
     # every fact month has a rate for its currency
     missing = m.fact.join(m.rates.select("rate_id"), "rate_id", "left_anti").count()
     assert missing == 0
+
+
+def test_a_load_that_dies_leaves_the_committed_version(spark, monkeypatch):
+    store.stored_model(spark, SF)
+    path = store.ledger_path(spark, SF)
+    before = store.current_version(spark, path)
+    monkeypatch.setattr(store, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        store.stored_model(spark, SF, rebuild=True)
+    assert store.current_version(spark, path) == before
+
+
+def test_two_writers_commit_complete_versions(spark):
+    path = store.ledger_path(spark, SF)
+    first, second = store.load(spark, SF, path), store.load(spark, SF, path)
+    assert store.current_version(spark, path) == second != first
+    for at in (first, second):
+        assert store.read_fact(spark, f"{at}/fact").count() == store.stored_model(spark, SF).fact.count()
+
+
+def test_a_rewrite_of_the_same_size_is_a_new_source(spark, tmp_path):
+    for t in store.SOURCE_TABLES:
+        (tmp_path / f"{t}.parquet").mkdir()
+        (tmp_path / f"{t}.parquet" / "part-0").write_bytes(b"abc")
+    a = store.ledger_path(spark, str(tmp_path))
+    part = tmp_path / "part.parquet" / "part-0"
+    part.write_bytes(b"xyz")
+    os.utime(part, (1, 1))
+    assert store.ledger_path(spark, str(tmp_path)) != a

@@ -36,7 +36,14 @@ def test_opening_balance_is_prior_year_closing_and_null_after_a_gap(spark):
     rows = [(1, 20210630, Decimal("5.00")), (1, 20211231, Decimal("7.00")),
             (1, 20220331, Decimal("9.00")), (1, 20240131, Decimal("4.00"))]
     s = timeintel.with_periods(spark.createDataFrame(rows, "k int, date_id int, value decimal(38,2)"))
-    o = {r.year: r for r in timeintel.opening(timeintel.closing(s, ["k"]), ["k"]).collect()}
+    o = {r.year: r for r in timeintel.opening(timeintel.closing(s, ["k"], ["k"]), ["k"]).collect()}
     assert o[2021].closing == Decimal("7.00") and o[2021].opening is None
     assert o[2022].opening == Decimal("7.00") and o[2022].closing_date_id == 20220331
     assert o[2024].opening is None  # 2023 absent: no carried-over balance from 2022
+
+
+def test_a_book_closes_on_one_date(spark):
+    rows = [(1, 1, 20231130, Decimal("40.00")), (1, 1, 20231231, Decimal("50.00")), (1, 2, 20231130, Decimal("7.00"))]
+    s = timeintel.with_periods(spark.createDataFrame(rows, "scenario_id int, channel_id int, date_id int, value decimal(38,2)"))
+    got = {(r.channel_id, r.closing_date_id): r.closing for r in timeintel.closing(s, ["scenario_id", "channel_id"], ["scenario_id"]).collect()}
+    assert got == {(1, 20231231): Decimal("50.00")}  # channel 2 had nothing left at the year's close
