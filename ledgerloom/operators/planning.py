@@ -143,6 +143,27 @@ def scenario_amounts(combos: DataFrame, channels: DataFrame, month_ends: DataFra
         money(F.abs(F.col("pd") + n_daily)).alias("daily_avg_eur"))
 
 
+def driven_plan(base: DataFrame, channels: DataFrame, items: DataFrame, season_set: str,
+                measure: str = "amount_eur") -> DataFrame:
+    """Drivers applied to given amounts: plan = amount x channel x segment x season x currency driver.
+
+    ``base`` holds ledger rows (ids, date_id, ``measure``); returns them a year later with the
+    planned amount and its daily average (x the category's factor), each rounded once per row.
+    Rows whose channel or account is unknown keep a driver of 1.  Dimensions are joined, the
+    rows are not multiplied.
+    """
+    ch = channels.select("channel_id", channel_driver(F.col("channel_type"), F.col("channel_name")).alias("by_channel"))
+    adj = items.select("budget_item_id", _case(F.col("category"), fixed.DRIVER_DAILY_ADJ, "1.00", 3, 2).alias("by_day"))
+    one = dec("1.00", 3, 2)
+    moved = base.withColumn("date_id", fd.shift_month_end("date_id", 12))
+    k = (F.coalesce("by_channel", one) * _case(F.col("segment_id"), fixed.DRIVER_SEGMENT, "1.0", 3, 2)
+         * season_driver(F.lit(season_set), fd.quarter_of("date_id")) * _case(F.col("currency_id"), fixed.DRIVER_CURRENCY, "1.0", 3, 2))
+    j = moved.join(ch, "channel_id", "left").join(adj, "budget_item_id", "left").withColumn("k", k.cast("decimal(12,8)"))
+    amount = F.col(measure) * F.col("k")
+    return j.select("date_id", "channel_id", "segment_id", "product_id", "currency_id", "budget_item_id",
+                    money(amount).alias("amount_eur"), money(amount * F.coalesce("by_day", one)).alias("daily_avg_eur"))
+
+
 def growth_plan(base: DataFrame, factors: DataFrame, keys: list[str], measure: str = "amount_eur",
                 shift_years: int = 1) -> DataFrame:
     """Plan of year y = base of year y - shift at the same month x factor(y), rounded per row.

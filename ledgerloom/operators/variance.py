@@ -20,6 +20,12 @@ def align(fact: DataFrame, keys: list[str], sides: dict[str, int], measure: str
     return f.groupBy(*keys).agg(*aggs)
 
 
+def _status(left, right):
+    diff = left - right
+    return (F.when(left.isNull() | right.isNull(), F.lit("n/a")).when(diff > 0, F.lit("favourable"))
+            .when(diff < 0, F.lit("adverse")).otherwise(F.lit("on plan")))
+
+
 def variance(lines: DataFrame, keys: list[str], left: int, right: int,
              left_name: str = "actual", right_name: str = "budget") -> DataFrame:
     """Per key: left/right display amounts, variance, variance %, favourable status.
@@ -37,13 +43,29 @@ def variance(lines: DataFrame, keys: list[str], left: int, right: int,
     g = f.groupBy(*keys).agg(side(left, "display").alias(left_name), side(right, "display").alias(right_name),
                              side(left, "signed").alias("_ls"), side(right, "signed").alias("_rs"))
     var = (F.col(left_name) - F.col(right_name)).cast(MONEY_SUM)
-    diff = F.col("_ls") - F.col("_rs")
-    status = (F.when(F.col("_ls").isNull() | F.col("_rs").isNull(), F.lit("n/a"))
-              .when(diff > 0, F.lit("favourable")).when(diff < 0, F.lit("adverse"))
-              .otherwise(F.lit("on plan")))
     return g.select(*keys, left_name, right_name, var.alias("variance"),
                     safe_ratio(var, F.abs(F.col(right_name))).alias("variance_pct"),
-                    status.alias("status"))
+                    _status(F.col("_ls"), F.col("_rs")).alias("status"))
+
+
+def variance_pairs(lines: DataFrame, keys: list[str], pairs: DataFrame) -> DataFrame:
+    """``variance`` for many scenario pairs at once, which may differ by year.
+
+    ``pairs`` has (year, left_id, right_id): a year can be held against its own budget, or a
+    forecast against several.  A line counts on the side(s) its scenario has in a pair of its
+    year; ``keys`` must hold ``year``.
+    """
+    j = lines.join(pairs, "year").filter((F.col("scenario_id") == F.col("left_id")) | (F.col("scenario_id") == F.col("right_id")))
+
+    def side(which, col):
+        return F.sum(F.when(F.col("scenario_id") == F.col(which), F.col(col))).cast(MONEY_SUM)
+
+    g = j.groupBy("left_id", "right_id", *keys).agg(side("left_id", "display").alias("left_amount"), side("right_id", "display").alias("right_amount"),
+                                                    side("left_id", "signed").alias("_ls"), side("right_id", "signed").alias("_rs"))
+    var = (F.col("left_amount") - F.col("right_amount")).cast(MONEY_SUM)
+    return g.select("left_id", "right_id", *keys, "left_amount", "right_amount", var.alias("variance"),
+                    safe_ratio(var, F.abs(F.col("right_amount"))).alias("variance_pct"),
+                    _status(F.col("_ls"), F.col("_rs")).alias("status"))
 
 
 def waterfall(steps: DataFrame, partition: list[str], order: str = "step") -> DataFrame:

@@ -128,6 +128,44 @@ def scenario_amounts(spark, sf_dir):
                  F.count("*").alias("row_count")))
 
 
+_SEASON = next(iter(fixed.DRIVER_SEASON))
+
+
+@job("driven_plan", q(f"""
+WITH d_chan(channel_type, v) AS (VALUES {_DRIVERS_SQL["chan"]}),
+d_seg(segment_id, v) AS (VALUES {_DRIVERS_SQL["seg"]}),
+d_season(season_set, quarter, v) AS (VALUES {_DRIVERS_SQL["season"]}),
+d_cur(currency_id, v) AS (VALUES {_DRIVERS_SQL["cur"]}),
+d_adj(category, v) AS (VALUES {_DRIVERS_SQL["adj"]}),
+moved AS (SELECT f.*, CAST(f.date_id // 10000 + 1 AS INTEGER) AS plan_year, CAST((f.date_id // 100 % 100 + 2) // 3 AS INTEGER) AS plan_quarter
+          FROM fact f WHERE f.scenario_id = 1),
+p AS (
+  SELECT m.plan_year, m.budget_item_id,
+         m.amount_eur * CAST(CAST(CASE WHEN ch.channel_name LIKE '{fixed.FLAGSHIP_PATTERN}' AND ch.channel_type = 'Branch'
+             THEN {fixed.DRIVER_CHANNEL_FLAGSHIP} ELSE COALESCE(dc.v, 1.0) END AS DECIMAL(3,2))
+           * CAST(COALESCE(ds.v, 1.0) AS DECIMAL(3,2)) * CAST(COALESCE(dn.v, 1.0) AS DECIMAL(3,2)) * CAST(COALESCE(du.v, 1.0) AS DECIMAL(3,2)) AS DECIMAL(12,8)) AS amount,
+         CAST(COALESCE(da.v, 1.00) AS DECIMAL(3,2)) AS adj
+  FROM moved m JOIN channels ch ON ch.channel_id = m.channel_id
+  JOIN items i ON i.budget_item_id = m.budget_item_id
+  LEFT JOIN d_chan dc ON dc.channel_type = ch.channel_type
+  LEFT JOIN d_seg ds ON ds.segment_id = m.segment_id
+  LEFT JOIN d_season dn ON dn.season_set = '{_SEASON}' AND dn.quarter = m.plan_quarter
+  LEFT JOIN d_cur du ON du.currency_id = m.currency_id
+  LEFT JOIN d_adj da ON da.category = i.category
+)
+SELECT plan_year AS year, budget_item_id, CAST(SUM(CAST(amount AS DECIMAL(22,2))) AS DOUBLE) AS amount_eur,
+       CAST(SUM(CAST(amount * adj AS DECIMAL(22,2))) AS DOUBLE) AS daily_avg_eur, COUNT(*) AS row_count
+FROM p GROUP BY plan_year, budget_item_id
+"""))
+def driven_plan(spark, sf_dir):
+    """Next year's plan: the planning drivers applied to the actual amounts, by year and account."""
+    m = stored_model(spark, sf_dir)
+    rows = planning.driven_plan(m.fact.filter(F.col("scenario_id") == 1), m.channels, m.items, _SEASON)
+    return rows.groupBy(fd.year_of("date_id").alias("year"), "budget_item_id").agg(
+        F.sum("amount_eur").cast(MONEY_SUM).alias("amount_eur"), F.sum("daily_avg_eur").cast(MONEY_SUM).alias("daily_avg_eur"),
+        F.count("*").alias("row_count"))
+
+
 @job("growth_plan", q("""
 SELECT year, budget_item_id, CAST(SUM(amount_eur) AS DOUBLE) AS amount_eur, COUNT(*) AS row_count
 FROM fact WHERE scenario_id = 2 GROUP BY year, budget_item_id
@@ -171,6 +209,7 @@ GROUP BY f.year, ch.channel_type
 def topdown_vs_bottomup(spark, sf_dir):
     """Top-down against bottom-up budget by year and channel type."""
     m = stored_model(spark, sf_dir)
-    f = m.fact.join(m.channels.select("channel_id", "channel_type"), "channel_id")
-    a = align(f, ["year", "channel_type"], {"topdown": 5, "bottomup": 6})
+    per = (m.fact.filter(F.col("scenario_id").isin(5, 6)).groupBy("scenario_id", "year", "channel_id")
+           .agg(F.sum("amount_eur").cast(MONEY_SUM).alias("amount_eur")))
+    a = align(per.join(m.channels.select("channel_id", "channel_type"), "channel_id"), ["year", "channel_type"], {"topdown": 5, "bottomup": 6})
     return a.withColumn("difference", (F.col("topdown") - F.col("bottomup")).cast(MONEY_SUM))

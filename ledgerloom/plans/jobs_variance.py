@@ -55,6 +55,49 @@ def forecast_vs_budget(spark, sf_dir):
     return variance.variance(_pl(spark, sf_dir, [7, 2]), _KEYS, 7, 2, left_name="forecast")
 
 
+#: Budgets by turns of the year: each year is held against a budget scenario of its own.
+_BUDGETS = [2, 5, 6]
+
+
+def _pairs_sql(pairs: str) -> str:
+    return q(f"""
+WITH pairs AS ({pairs}),
+v AS (
+  SELECT p.left_id, p.right_id, l.year, l.budget_item_id, l.item_name, l.sort_order,
+         SUM(CASE WHEN l.scenario_id = p.left_id THEN l.display END) AS l,
+         SUM(CASE WHEN l.scenario_id = p.right_id THEN l.display END) AS r,
+         SUM(CASE WHEN l.scenario_id = p.left_id THEN l.signed END) AS ls,
+         SUM(CASE WHEN l.scenario_id = p.right_id THEN l.signed END) AS rs
+  FROM pl_lines l JOIN pairs p ON p.year = l.year AND l.scenario_id IN (p.left_id, p.right_id)
+  GROUP BY p.left_id, p.right_id, l.year, l.budget_item_id, l.item_name, l.sort_order
+)
+SELECT left_id, right_id, year, budget_item_id, item_name, sort_order, CAST(l AS DOUBLE) AS left_amount, CAST(r AS DOUBLE) AS right_amount,
+       CAST(l - r AS DOUBLE) AS variance, round(CAST(l - r AS DOUBLE) / NULLIF(abs(CAST(r AS DOUBLE)), 0), 6) AS variance_pct,
+       CASE WHEN ls IS NULL OR rs IS NULL THEN 'n/a' WHEN ls - rs > 0 THEN 'favourable'
+            WHEN ls - rs < 0 THEN 'adverse' ELSE 'on plan' END AS status
+FROM v
+""")
+
+
+@job("actual_vs_yearly_budget", _pairs_sql(
+    f"SELECT DISTINCT year, 1 AS left_id, CASE year % 3 WHEN 0 THEN {_BUDGETS[0]} WHEN 1 THEN {_BUDGETS[1]} ELSE {_BUDGETS[2]} END AS right_id FROM month_ends"))
+def actual_vs_yearly_budget(spark, sf_dir):
+    """P&L lines: the actuals of each year against that year's own budget scenario, in one report."""
+    years = stored_model(spark, sf_dir).dates.select("year").distinct()
+    budget = F.element_at(F.array(*[F.lit(b) for b in _BUDGETS]), (F.col("year") % 3 + 1).cast("int"))
+    pairs = years.select("year", F.lit(1).alias("left_id"), budget.alias("right_id"))
+    return variance.variance_pairs(_pl(spark, sf_dir, [1, *_BUDGETS]), _KEYS, pairs)
+
+
+@job("forecast_vs_each_budget", _pairs_sql(
+    "SELECT DISTINCT year, 7 AS left_id, b AS right_id FROM month_ends, (VALUES " + ", ".join(f"({b})" for b in _BUDGETS) + ") x(b)"))
+def forecast_vs_each_budget(spark, sf_dir):
+    """P&L lines by year: the rolling forecast against the budget, the top-down and the bottom-up plan."""
+    years = stored_model(spark, sf_dir).dates.select("year").distinct()
+    pairs = years.select("year", F.lit(7).alias("left_id"), F.explode(F.array(*[F.lit(b) for b in _BUDGETS])).alias("right_id"))
+    return variance.variance_pairs(_pl(spark, sf_dir, [7, *_BUDGETS]), _KEYS, pairs)
+
+
 @job("forecast_accuracy", q("""
 WITH s AS (
   SELECT year, month, SUM(CASE WHEN scenario_id = 1 THEN signed END) AS actual,

@@ -93,3 +93,15 @@ def test_reference_validation_queries(spark):
     nom = checks.nominal_recon(m.fact, m.rates).collect()[0]
     assert nom.rows_checked == 855228 + 216876 and nom.violations == 0
     assert m.fact.filter(F.col("amount_eur") < 0).count() == 0
+
+
+def test_drivers_apply_to_given_amounts(spark):
+    base = spark.createDataFrame([(20230331, 1, 3, 1, 2, 2, Decimal("100.00")), (20230331, 2, 1, 1, 1, 2, Decimal("100.00"))],
+                                 "date_id int, channel_id int, segment_id int, product_id int, currency_id int, budget_item_id int, amount_eur decimal(22,2)")
+    channels = spark.createDataFrame([(1, "City Flagship", "Branch"), (2, "Side Street", "Branch")], "channel_id int, channel_name string, channel_type string")
+    items = spark.createDataFrame([(2, "Asset")], "budget_item_id int, category string")
+    got = {r.channel_id: r for r in planning.driven_plan(base, channels, items, "none").collect()}
+    assert got[1].date_id == 20240331
+    assert got[1].amount_eur == Decimal("480.00")  # 100 x 3.0 (flagship) x 4.0 x 0.40
+    assert got[2].amount_eur == Decimal("200.00")  # 100 x 2.0 (other branch) x 1.0 x 1.00
+    assert got[1].daily_avg_eur == Decimal("451.20")
