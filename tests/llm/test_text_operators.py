@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
@@ -145,3 +146,40 @@ def test_base_digest_of_query(spark, tmp_path):
     got = {r.doc_id: r for r in pii.query(spark, str(tmp_path)).collect()}
     assert got[8].base_sha256 == hashlib.sha256(b"").hexdigest() and got[8].spans == ""
     assert got[13].base_sha256 == hashlib.sha256(b"card:0:16").hexdigest() and got[13].n_card == 1
+
+
+def plain_mcd(x):
+    """Squared distances by concentration steps on the exact 75 % of the rows."""
+    x = np.array(x, float)
+    q = np.percentile(x, [25, 50, 75], axis=0)
+    floor = np.diag((np.array(quality.FLOORS) * quality.UNIT) ** 2)
+    mean, cov = q[1], np.diag(((q[2] - q[0]) / 1.349) ** 2) + floor
+    for step in range(quality.STEPS + 1):
+        d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        if step < quality.STEPS:
+            half = x[np.argsort(d2, kind="stable")[:int(np.ceil(quality.SHARE * len(x)))]]
+            mean, cov = half.mean(axis=0), np.cov(half.T, bias=True) * quality.CONSISTENCY + floor
+    return d2
+
+
+def test_outliers_equal_plain_mcd(spark):
+    rows = quality.with_groups(quality.statistics(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).toPandas()
+    got = quality.judged(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).toPandas().set_index("doc_id").kept
+    rows = rows[~rows.base_failed]
+    assert rows.grp.nunique() > 1
+    want = {}
+    for _, g in rows.groupby("grp"):
+        want.update(zip(g.doc_id, plain_mcd(g[quality.STATS]) <= quality.CUT, strict=True) if len(g) >= 10 else zip(g.doc_id, [True] * len(g), strict=True))
+    assert len(got) == 1000 and 0 < sum(not v for v in want.values()) < 200
+    # bins of distances move the 75 % point by less than a bin: verdicts may differ on the very edge only
+    assert sum(got[i] != v for i, v in want.items()) <= 2
+
+
+def test_chat_query_equals_the_rows(spark, tmp_path):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (2, 1, "assistant", "b"), (2, 0, "system", "s"), (2, 2, "user", "</s>"), (3, None, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.conv_id: r for r in chat_format.query(spark, str(tmp_path)).collect()}
+    assert set(got) == {1, 2, 3, -7}
+    assert got[2].turns_sha256 == hashlib.sha256(b"system\ns\nassistant\nb\nuser\n</s>\n").hexdigest() and got[2].n_turns == 3
+    assert got[1].loss_chars == 0 and got[2].loss_sha256 == hashlib.sha256(b"b").hexdigest()
+    assert got[-7].loss_chars == len(HARD[0]) and got[3].n_turns == 1
