@@ -176,7 +176,7 @@ def test_mixing_takes_prefixes_of_seeded_epochs(spark, monkeypatch):
     large = {r.doc_id for r in mixing.mixed(d.drop("mix_copies"), F.lit("d0"), n_words(F.col("text")), 60, 1, {}, {}).collect()}
     assert small < large
     twice = mixing.mixed(d.drop("mix_copies"), F.lit("d0"), n_words(F.col("text")), 150, 4, {}, {}).agg(F.min("mix_copies"), F.max("mix_copies")).first()
-    assert twice[0] >= 1 and twice[1] == 2
+    assert twice[0] >= 1 and 2 <= twice[1] <= 4
     assert mixing.mixed(d.drop("mix_copies").limit(0), F.lit("d0"), n_words(F.col("text")), 30, 1, {}, {}).count() == 0
 
 
