@@ -122,6 +122,25 @@ def coverage(fact: DataFrame, matrix: DataFrame) -> DataFrame:
                    _one("allowed_missing", matrix.select(*keys).join(combos, keys, "left_anti"))])
 
 
+def plan_coverage(fact: DataFrame, keys: list[str], booked: int = 1, allowed: int = 2) -> DataFrame:
+    """Booked combinations that the plan of the year doesn't hold, and planned ones without a booking.
+
+    The plan scenario is the coverage rule: a combination of ``keys`` is allowed in a year if
+    it is planned there.  Years without either side are not compared.  One aggregate of the
+    fact gives both sides.
+    """
+    sid = F.col("scenario_id")
+    g = fact.filter(sid.isin(booked, allowed)).groupBy("year", *keys).agg(
+        F.max((sid == booked).cast("int")).alias("b"), F.max((sid == allowed).cast("int")).alias("a"))
+    per_year = g.groupBy("year").agg(F.sum(F.when((F.col("b") == 1) & (F.col("a") == 0), 1).otherwise(0)).alias("outside"),
+                                     F.sum(F.when((F.col("a") == 1) & (F.col("b") == 0), 1).otherwise(0)).alias("missing"),
+                                     F.max("b").alias("b"), F.max("a").alias("a")).filter("a = 1 AND b = 1")
+    total = per_year.agg(F.coalesce(F.sum("outside"), F.lit(0)).cast("bigint").alias("outside_matrix"),
+                         F.coalesce(F.sum("missing"), F.lit(0)).cast("bigint").alias("allowed_missing"))
+    return total.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(c).alias("violations"))
+                                            for c in ("outside_matrix", "allowed_missing")])).alias("s")).select("s.*")
+
+
 def rate_range(rates: DataFrame, spark) -> DataFrame:
     """Rates outside the documented yearly ranges; currency codes not 3 characters."""
     rng = spark.createDataFrame(fixed.FX_DOCUMENTED_RANGES,

@@ -84,6 +84,12 @@ def test_coverage_finds_both_faults(spark):
     assert _v(checks.coverage(fact, allowed)) == {"outside_matrix": 1, "allowed_missing": 1}
 
 
+def test_plan_coverage_is_by_year(spark):
+    rows = [(1, 2023, 1), (2, 2023, 1), (1, 2023, 2), (2, 2024, 3), (1, 2024, 1), (1, 2022, 9)]
+    fact = spark.createDataFrame(rows, "scenario_id int, year int, channel_id int")
+    assert _v(checks.plan_coverage(fact, ["channel_id"])) == {"outside_matrix": 2, "allowed_missing": 1}
+
+
 def test_lost_lines_and_nominal_sums_are_refused(spark):
     source = spark.createDataFrame([(2, Decimal("30.00"))], "source_lines long, source_amount decimal(38,2)")
     fact = spark.createDataFrame([(1, Decimal("10.00")), (2, Decimal("20.00"))], "scenario_id int, amount_eur decimal(22,2)")

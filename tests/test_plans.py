@@ -18,7 +18,7 @@ def _plan(spark, key):
 def test_reports_never_rescan_the_order_tables(spark):
     for key in all_jobs():
         tables = set(re.findall(r"testdata/sf0\.001/(\w+)\.parquet", _plan(spark, key)))
-        allowed = {"q8_coverage": {"nation", "region"}, "load_reconciliation": {"lineitem"}}.get(key, set())
+        allowed = {"load_reconciliation": {"lineitem"}}.get(key, set())
         assert tables <= allowed, (key, tables)
 
 
