@@ -75,12 +75,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     kinds = dict(sample.dtypes)
     rows = stored(sample.mapInArrow(features, f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, grams binary"), "grams")
     # the sample is bounded, so are its features: only buckets that the ratio tells apart stay
-    parts = sorted(((r.doc_id, r.toxic, bytes(r.grams)) for r in rows.toLocalIterator()), key=repr)
+    parts = sorted(((str(r.doc_id), r.toxic, bytes(r.grams)) for r in rows.toLocalIterator()))
     y = np.array([p[1] for p in parts], float)
     weights = np.zeros(BUCKETS)
     if len(set(y)) < 2:
         return weights, float(20 * y.mean() - 10) if len(y) else -10.0
     grams = [np.frombuffer(p[2], np.int32) for p in parts]
+    del parts
     with_it = [sum((np.bincount(g, minlength=BUCKETS) for g, t in zip(grams, y, strict=True) if t == c),
                    np.zeros(BUCKETS, np.int64)) for c in (1, 0)]
     ratio = np.log((with_it[0] + 1) / (with_it[0].sum() + BUCKETS)) - np.log((with_it[1] + 1) / (with_it[1].sum() + BUCKETS))
