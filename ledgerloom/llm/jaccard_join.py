@@ -5,15 +5,16 @@ shingle sets are one class (distance 0).  The classes are joined by regions:
 
 1. *First regions.*  Two far documents have distance near 1 to any third one, so document pivots alone would
    replicate every document to every region.  The first pivots are therefore single shingles: a set has
-   distance 1 - 1/n to a shingle it holds, 1 otherwise, and a linked pair shares a shingle among the first
-   n - ceil(t n) + 1 of each side in one common order (rare shingles first, frequent ones last).  Classes that
-   share such a shingle are connected; a connected region holds every link of its members.
+   distance 1 - 1/n to a shingle it holds, 1 otherwise, and a linked pair shares at least SHARED shingles (or
+   its whole intersection) among the first n - ceil(t n) + SHARED of each side in one common order, rare
+   shingles first, frequent ones last.  Classes that share so many are connected; a connected region holds
+   every link of its members.
 2. *Document pivots.*  A region picks pivots and measures its members' distance to each.  d <= eps links a member to the
-   pivot.  What can still link is, by the triangle inequality, either two members of the far region (linked
-   to no pivot), or, around pivot i, a member with eps < d_i <= 2 eps and a linked boundary member with
-   d_i >= (smallest such distance) - eps.  These windows are the next regions.
-3. Regions within ``REGION_ROWS`` members and ``REGION_WEIGHT`` shingles recurse inside one task, larger ones
-   over the cluster with ``PIVOTS`` pivots a round (members are dealt to slots, pivots copied to each slot).  A
+   pivot, whose cell is then connected.  What can still link is a member outside the cell: with another such
+   member, or, by the triangle inequality, with a cell member whose d is at least the outsiders' least d - eps.
+   The outsiders and this boundary window of the cell are the next region.
+3. Regions within ``REGION_WEIGHT`` shingles (and ``REGION_WORK``) recurse inside one task, larger ones over
+   the cluster with ``PIVOTS`` pivots a round (members are dealt to slots, pivots copied to each slot).  A
    large region that pivots don't shrink is compared block by block, blocks dealt over the cluster.
 
 Links are united by connected components.  Shingles are 64-bit hashes, classes 64 bits of a digest of the set.
@@ -35,12 +36,17 @@ from .components import connected_components
 #: Frequent shingles that go last in the order: at most this many, by count over all documents.  Any order is
 #: right; this one keeps regions small.  8 bytes each are broadcast.
 FREQUENT = 1 << 17
-#: Shingles that a task counts at once for that list; those seen less than three times there don't count.
+#: Shingles that a task counts at once for that list; those seen once there don't count.
 COUNT_BLOCK = 4 << 20
-#: A region of at most so many classes and shingles is joined in one task.
-REGION_ROWS, REGION_WEIGHT = 1024, 2 << 20
-#: Pivots a round of a larger region, and rounds after which what is left is compared in blocks.
-PIVOTS, MAX_ROUNDS = 16, 6
+#: Shingles that linked documents share at least in their prefixes (fewer for small sets), and the longest run of
+#: one shingle's classes whose pairs are counted; a longer run connects all its classes.
+SHARED, RUN = 4, 32
+#: A region of at most so many shingles, and so many times its inner members, is joined in one task.
+REGION_WEIGHT, REGION_WORK = 1 << 20, 1 << 30
+#: Pivots whose distances a task keeps for the windows of later ones.
+KNOWN = 16
+#: Pivots a round of a larger region, rounds after which what is left is compared in blocks, and rows of a block.
+PIVOTS, MAX_ROUNDS, BLOCK_ROWS = 64, 5, 512
 
 Pair = tuple[int, int]
 
@@ -62,7 +68,7 @@ def _scan(k: int) -> Callable:
 
         def often() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            values, counts = values[counts > 2], counts[counts > 2]
+            values, counts = values[counts > 1], counts[counts > 1]
             return _batch(schema, np.ones(len(values), np.int32), pa.nulls(len(values), pa.int64()), counts, values.view(np.int64))
 
         for b in small_batches(batches):
@@ -92,7 +98,7 @@ def _prefixes(k: int, percent: int, frequent) -> Callable:
                 if not len(s) or (c := _class_key(s)) in seen:
                     continue
                 seen.add(c)
-                length = len(s) - -(-percent * len(s) // 100) + 1
+                length = min(len(s), len(s) - -(-percent * len(s) // 100) + SHARED)
                 at = np.searchsorted(last[0], s)
                 common = last[0][np.minimum(at, len(last[0]) - 1)] == s if len(last[0]) else np.zeros(len(s), bool)
                 rare = s[~common]
@@ -108,25 +114,49 @@ def _prefixes(k: int, percent: int, frequent) -> Callable:
     return run
 
 
-def _stars(percent: int) -> Callable:
-    """From rows sorted by (shingle, n, cls): links (a, b) between neighbours of a shingle whose sizes allow it.
+def _need(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Prefix shingles that a linked pair shares at least."""
+    return np.minimum(SHARED, -(-percent * np.maximum(n, m).astype(np.int64) // 100))
 
-    Neighbours by size suffice: if two members' sizes allow a link, so do those of all members between them.
+
+def _pairs(percent: int) -> Callable:
+    """From rows sorted by (shingle, n, cls): pairs of classes with the number of shingles shared, and needed.
+
+    A run of at most RUN classes gives its pairs that sizes allow.  In a longer run each class is paired with
+    the next by size only, as if enough were shared: if two sizes allow a link, so do all sizes between them.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        tail = None
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int32()), ("need", pa.int32())])
+
+        def rows(s: np.ndarray, c: np.ndarray, n: np.ndarray, long: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for d in range(1, RUN):
+                same = s[d:] == s[:-d]
+                if not same.any():
+                    break
+                at = np.flatnonzero(same & ((d == 1) | ~long[d:]) & (100 * n[:-d].astype(np.int64) >= percent * n[d:].astype(np.int64)) & (c[d:] != c[:-d]))
+                if len(at):
+                    x, y = c[at], c[at + d]
+                    yield _batch(schema, np.minimum(x, y), np.maximum(x, y), np.where(long[at], SHARED, 1).astype(np.int32),
+                                 _need(n[at], n[at + d], percent).astype(np.int32))
+
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        cut = False  # the held rows end a longer run, of which only the last row is kept
         for b in batches:
-            cols = [np.asarray(b.column(c)) for c in ("shingle", "cls", "n")]
-            if tail is not None:
-                cols = [np.concatenate((t, c)) for t, c in zip(tail, cols, strict=True)]
-            tail = [c[-1:] for c in cols]
-            s, c, n = cols
-            ok = (s[1:] == s[:-1]) & (c[1:] != c[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
-            pairs = np.stack((np.minimum(c[:-1][ok], c[1:][ok]), np.maximum(c[:-1][ok], c[1:][ok])))
-            pairs = np.unique(pairs, axis=1)
-            if pairs.shape[1]:
-                yield _batch(schema, pairs[0], pairs[1])
+            s, c, n = held = [np.concatenate((h, np.asarray(b.column(x)))) for h, x in zip(held, ("shingle", "cls", "n"), strict=True)]
+            if not len(s):
+                continue
+            starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+            lengths = np.diff(np.append(starts, len(s)))
+            long = np.repeat(lengths > RUN, lengths)
+            long[:lengths[0]] |= cut
+            last = starts[-1]
+            cut = bool(long[-1])
+            done = len(s) if cut else last
+            yield from rows(s[:done], c[:done], n[:done], long[:done])
+            held = [x[-1:] if cut else x[last:] for x in held]
+        s, c, n = held
+        if len(s) and not cut:
+            yield from rows(s, c, n, np.zeros(len(s), bool))
 
     return run
 
@@ -141,41 +171,46 @@ def overlaps(pivot: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndar
 
 def join_region(keys: list[int], sets: list[np.ndarray], n_inner: int, percent: int) -> list[Pair]:
     """Links among the first ``n_inner`` members and between them and the others (the boundary, whose members
-    are connected with each other already), as many as it takes to connect what links connect."""
+    are connected with each other already), as many as it takes to connect what links connect.
+
+    Every inner member becomes a pivot in turn, unless it joins the boundary's connected group first (without a
+    boundary: the first pivot's that has a link).  A pivot meets the members that aren't connected with it and
+    that no earlier pivot's distance puts outside its window.
+    """
     links: list[Pair] = []
-    size, eps = np.array([len(s) for s in sets]), 1 - percent / 100
-    root = np.arange(len(sets))
-    todo = [(np.arange(n_inner), np.arange(n_inner, len(sets)))]
-    while todo:
-        inner, boundary = todo.pop()
-        while len(inner) and len(inner) + len(boundary) > 1:
-            p, inner = inner[0], inner[1:]
-            near = np.concatenate((inner, boundary))
-            near = near[100 * np.minimum(size[near], size[p]) >= percent * np.maximum(size[near], size[p])]
-            if not len(near):
-                continue
-            both = overlaps(sets[p], np.concatenate([sets[i] for i in near]), np.concatenate(([0], np.cumsum(size[near])[:-1])))
-            union = size[near] + size[p] - both
-            linked, dist = 100 * both >= percent * union, 1 - both / union
-            for i in near[linked]:
-                if root[i] != root[p]:
-                    links.append((keys[p], keys[i]))
-                    root[root == root[i]] = root[p]
-            ball = np.isin(inner, near[linked])
-            around = ~linked & (dist <= 2 * eps + 1e-9) & (root[near] != root[p])
-            if ball.any() and around.any():
-                edge = near[linked & (dist >= dist[around].min() - eps - 1e-9)]
-                edge = edge[np.isin(edge, inner[ball])]
-                if len(edge):
-                    todo.append((near[around], edge))
-            inner = inner[~ball]
+    size, eps = np.array([len(s) for s in sets]), 1 - percent / 100 + 1e-9
+    root, alive = np.arange(len(sets)), np.ones(len(sets), bool)
+    root[n_inner:] = n_inner
+    group = n_inner if n_inner < len(sets) else None
+    known: list[np.ndarray] = []
+    for p in range(n_inner):
+        if group is not None and root[p] == root[group]:
+            continue
+        alive[p] = False
+        meet = alive & (root != root[p]) & (100 * np.minimum(size, size[p]) >= percent * np.maximum(size, size[p]))
+        for d in known:
+            meet &= ~(np.abs(d - d[p]) > eps)  # unknown distances are NaN: no window
+        near = np.flatnonzero(meet)
+        if not len(near):
+            continue
+        both = overlaps(sets[p], np.concatenate([sets[i] for i in near]), np.concatenate(([0], np.cumsum(size[near])[:-1])))
+        union = size[near] + size[p] - both
+        for i in near[100 * both >= percent * union]:
+            if root[i] != root[p]:
+                links.append((keys[p], keys[i]))
+                root[root == root[i]] = root[p]
+                group = p if group is None else group
+        if len(known) < KNOWN:
+            dist = np.full(len(sets), np.nan)
+            dist[p], dist[near] = 0, 1 - both / union
+            known.append(dist)
     return links
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Runs of rows with equal ``by`` columns from sorted batches, as lists of row values."""
     key, held = None, []
-    for b in batches:
+    for b in small_batches(batches):
         for row in b.to_pylist():
             k = tuple(row[c] for c in by)
             if k != key:
@@ -239,7 +274,7 @@ def _pivot_distances(k: int, percent: int) -> Callable:
 
 def _sized(members: DataFrame) -> DataFrame:
     """Members with their region's rows and weight."""
-    stats = members.groupBy("region").agg(F.count("*").alias("rows"), F.sum("n").alias("weight"))
+    stats = members.groupBy("region").agg(F.count("*").alias("rows"), F.sum(1 - F.col("role")).alias("inner"), F.sum("n").alias("weight"))
     return members.join(stats, "region")
 
 
@@ -253,7 +288,13 @@ def _local_links(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
 
 
 def _round(members: DataFrame, texts: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """One round of pivots over large regions: links found and the members of the next regions."""
+    """One round of pivots over large regions: links found, and what is left of the regions.
+
+    The members connected with a region's boundary (or, as long as it has none, its largest connected group)
+    are connected with each other, so only links that involve one of the others, the inner members, are still
+    sought.  A connected member stays as boundary unless some pivot is too near to it for any inner member's
+    window.  Pivots have met every member and leave.
+    """
     eps = 1 - percent / 100
     parts = F.ceil(F.greatest(F.col("rows") / 256, F.col("weight") / F.lit(REGION_WEIGHT / 4))).cast("int")
     pivots = members.where("role = 0").groupBy("region", F.pmod("cls", F.lit(PIVOTS)).alias("slot"), parts.alias("parts")).agg(
@@ -267,25 +308,30 @@ def _round(members: DataFrame, texts: DataFrame, k: int, percent: int) -> tuple[
         _pivot_distances(k, percent), "region long, role int, cls long, n long, near array<struct<p long, d double>>"), "near")
     each = near.select("region", "role", "cls", "n", F.explode("near").alias("x")).select("region", "role", "cls", "n", "x.p", "x.d").where("p <> cls")
     links = stored(each.where(F.col("d") <= eps).select(F.col("p").alias("a"), F.col("cls").alias("b")), "links")
-    label = connected_components(links)
-    around = (each.where(F.col("d") > eps).join(label.toDF("cls", "lc"), "cls", "left").join(label.toDF("p", "lp"), "p", "left")
-              .where("lp IS NOT NULL AND NOT (lc <=> lp)"))
-    around = stored(around.select(F.xxhash64("region", "p").alias("region"), "cls", "n", "d"), "around")
-    least = around.groupBy("region").agg(F.min("d").alias("least"))
-    edge = (each.where(F.col("d") <= eps).where("role = 0").select(F.xxhash64("region", "p").alias("region"), "cls", "n", "d")
-            .join(least, "region").where(F.col("d") >= F.col("least") - eps - 1e-9))
-    pivot_ids = pivots.select("region", "cls", F.lit(True).alias("used"))
-    far = (near.where("role = 0").where(~F.exists("near", lambda x: (x.p != F.col("cls")) & (x.d <= eps)))
-           .join(pivot_ids, ["region", "cls"], "left_anti").select("region", F.lit(0).alias("role"), "cls", "n"))
-    kept = near.where("role = 1").select("region", "role", "cls", "n").join(far.select("region").distinct(), "region", "left_semi")
-    rest = far.union(kept).withColumn("region", F.xxhash64("region", F.lit("far")))
-    rest = rest.union(around.select("region", F.lit(0).alias("role"), "cls", "n")).union(edge.select("region", F.lit(1).alias("role"), "cls", "n"))
-    return links, stored(_sized(rest.where("region IS NOT NULL")), "regions")
+    label = connected_components(links).toDF("cls", "label")
+
+    labelled = near.select("region", "role", "cls", "n").join(label, "cls", "left")
+    groups = labelled.where("label IS NOT NULL").groupBy("region", "label").agg(F.count("*").alias("size"), F.max("role").alias("role"))
+    first = groups.groupBy("region").agg(F.max(F.struct("size", "label"))["label"].alias("largest"))
+    bounded = labelled.groupBy("region").agg(F.max("role").alias("bounded"))
+    joined = (groups.join(first, "region").join(bounded, "region").where("role = 1 OR (bounded = 0 AND label = largest)")
+              .select("region", "label", F.lit(1).alias("in")))
+    met = pivots.select("region", "cls")
+    left = labelled.join(joined, ["region", "label"], "left").select(
+        "region", "cls", "n", F.greatest("role", F.coalesce("in", F.lit(0))).alias("role")).join(met, ["region", "cls"], "left_anti")
+    left = stored(left, "left")
+    inner, outer = left.where("role = 0"), left.where("role = 1")
+    least = each.join(inner.select("region", "cls"), ["region", "cls"], "left_semi").groupBy("region", "p").agg(F.min("d").alias("least"))
+    apart = (each.join(least, ["region", "p"], "left").where(F.col("d") < F.coalesce("least", F.lit(2 * eps)) - eps - 1e-9)
+             .select("region", "cls").distinct())
+    outer = outer.join(inner.select("region").distinct(), "region", "left_semi").join(apart, ["region", "cls"], "left_anti")
+    rest = inner.unionByName(outer).select("region", "role", "cls", "n")
+    return links, stored(_sized(rest), "regions")
 
 
 def _blocks(members: DataFrame) -> DataFrame:
     """Every pair of blocks of a region as a region of its own."""
-    nb = F.ceil(F.greatest(F.col("rows") / (REGION_ROWS // 2), F.col("weight") / F.lit(REGION_WEIGHT / 2))).cast("int")
+    nb = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("weight") / F.lit(REGION_WEIGHT / 2))).cast("int")
     rows = members.withColumn("nb", nb).withColumn("i", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
     rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     return rows.select(F.xxhash64("region", F.least("i", "j"), F.greatest("i", "j")).alias("region"), "role", "cls", "n")
@@ -311,14 +357,16 @@ def jaccard_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     order = np.argsort(hashes)
     frequent = spark.sparkContext.broadcast((hashes[order], order))  # at most 16 * FREQUENT bytes
     prefixes = docs.where("doc_id IS NOT NULL").mapInArrow(_prefixes(k, percent, frequent), "shingle long, cls long, n int")
-    stars = prefixes.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_stars(percent), "a long, b long")
-    region = connected_components(stars).toDF("cls", "region")
+    pairs = prefixes.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(
+        _pairs(percent), "a long, b long, shared int, need int")
+    near = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need")
+    region = connected_components(near).toDF("cls", "region")
 
     members = classes.join(region, "cls").select("region", F.lit(0).alias("role"), "cls", "n", "doc_id")
     members = stored(_sized(members), "regions")
     texts = stored(docs.join(members.select("doc_id", "cls"), "doc_id").select("cls", "text"), "texts")
     members = members.drop("doc_id")
-    small = F.expr(f"rows <= {REGION_ROWS} AND weight <= {REGION_WEIGHT}")
+    small = F.expr(f"weight <= {REGION_WEIGHT} AND inner * weight <= {REGION_WORK}")
     found = [_local_links(members.where(small), texts, k, percent)]
     for _ in range(MAX_ROUNDS):
         members = members.where(~small)

@@ -69,7 +69,7 @@ def corpus(seed=0):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"REGION_ROWS": 2, "MAX_ROUNDS": 3}, {"REGION_ROWS": 3, "MAX_ROUNDS": 1, "RUN": 2, "PIVOTS": 2}])
+@pytest.mark.parametrize("limits", [{}, {"REGION_WEIGHT": 50, "MAX_ROUNDS": 3}, {"REGION_WEIGHT": 80, "MAX_ROUNDS": 1, "RUN": 2, "PIVOTS": 2}])
 def test_jaccard_join_is_exact(spark, monkeypatch, limits):
     for k, v in limits.items():
         monkeypatch.setattr(jaccard_join, k, v)
@@ -80,6 +80,27 @@ def test_jaccard_join_is_exact(spark, monkeypatch, limits):
         assert got == plain_components(rows, k, percent)
 
 
+@pytest.mark.parametrize("n_inner", [1, 7, 40])
+def test_regions_connect_what_links_connect(n_inner):
+    rng = np.random.default_rng(n_inner)
+    bases = [rng.choice(3000, 60, replace=False) for _ in range(4)]
+    sets = []
+    for _ in range(40):
+        s = set(bases[rng.integers(4)].tolist()) - set(rng.choice(3000, 150).tolist())
+        sets.append(np.array(sorted(s | set(rng.choice(3000, rng.integers(0, 8)).tolist())), np.uint64))
+    want, got = Sets(), Sets()
+    for i in range(n_inner, 40):
+        want.join(n_inner, i)
+        got.join(n_inner, i)
+    for a, b in itertools.combinations(range(40), 2):
+        x, y = set(sets[a].tolist()), set(sets[b].tolist())
+        if a < n_inner and 100 * len(x & y) >= 80 * len(x | y):
+            want.join(a, b)
+    for a, b in jaccard_join.join_region(list(range(40)), sets, n_inner, 80):
+        got.join(a, b)
+    assert [got.find(i) for i in range(40)] == [want.find(i) for i in range(40)]
+
+
 def test_jaccard_join_of_odd_rows(spark):
     d = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (2, None)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d, 4, 85).collect()), key=repr)
