@@ -56,9 +56,10 @@ def leaf_budgets(leaves: DataFrame, percent: int, max_epochs: int, domains: dict
     caps = leaves.withColumn("cap", F.col("supply") * max_epochs)
     lang = caps.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"), F.sum("supply").alias("supply"))
     domain = lang.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("supply").alias("supply"))
-    total = domain.agg(F.floor(F.sum("supply") * percent / 100).cast("long").alias("budget"))
     # one row per domain: as many as the tree has first children
-    top = filled(domain.crossJoin(total).withColumn("weight", weight(F.col("domain"), domains)), [])
+    total = F.sum("supply").over(Window.partitionBy(F.lit(0)))
+    budget = F.floor(total * percent / 100).cast("long")
+    top = filled(domain.withColumns({"budget": budget, "weight": weight(F.col("domain"), domains)}), [])
     mid = lang.join(top.select("domain", F.col("share").alias("budget")), "domain").withColumn("weight", weight(F.col("lang"), langs))
     mid = filled(mid, ["domain"]).select("domain", "lang", F.col("share").alias("budget"))
     low = filled(caps.join(mid, ["domain", "lang"]).withColumn("weight", F.lit(1).cast("long")), ["domain", "lang"])
