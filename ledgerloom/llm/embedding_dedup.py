@@ -1,12 +1,18 @@
 """Operator 9: near-duplicate embeddings by a forest of random-projection trees.
 
-A tree splits the vectors again and again by a random direction at its median; vectors close to a split go to
-both sides (spill).  Vectors are compared within leaves only, in double precision, over many trees, and links
-are united.  A pair that shares several leaves counts in the first: rows carry the numbers of all their leaves.
-
-Trees are fitted on at most ``SAMPLE`` vectors (the smallest hashed ids); every vector is routed.  A node that
-directions can't part, a dense cluster, stays a leaf.  Leaves beyond ``BLOCK`` vectors are compared block by
-block, so no task holds more than two blocks.  Equal vectors are one class with a count.
+A tree splits the vectors again and again by a random direction, where few vectors are near; vectors close to a
+split go to both sides (spill).  Vectors are compared within leaves only, in double precision, and links are
+united.  A pair that shares several leaves counts in the first: rows carry the numbers of all their leaves.
+
+A split loses some pairs, more in denser nodes.  Each sampled vector carries how likely a vector linked to it by
+just the threshold is still with it: a node that no split parts at a fair price, or whose path has lost its
+part of pairs, stays a leaf, however large.  Trees are added until, by this estimate, all of them together miss
+no more than ``MISSED`` of these pairs in a leaf, but for leaves with a share ``OPEN`` of the vectors; leaves whose pairs are found are left
+out of later trees.
+
+Trees are fitted on at most ``SAMPLE`` vectors (the smallest hashed ids); every vector is routed.  Leaves beyond
+``BLOCK`` vectors are compared block by block, so no task holds more than two blocks.  Equal vectors are one class
+with a count.
 """
 
 from __future__ import annotations
@@ -22,20 +28,29 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .components import connected_components
 
-TREES, SAMPLE, SEED = 8, 20_000, 17
-#: Vectors aimed at in a leaf, and in a block of a larger leaf.
-LEAF, BLOCK = 256, 1024
+SAMPLE, SEED = 20_000, 17
+#: Vectors aimed at in a leaf, sampled vectors that it has at least, and vectors in a block of a larger leaf.
+LEAF, SAMPLED, BLOCK = 256, 16, 1024
 #: A split's spill on either side, in standard deviations of the projected difference of two vectors just linked.
 SPILL = 0.3
+#: Share of just linked pairs that all trees may miss in a leaf, and that one tree keeps on the way to a node.
+MISSED, KEPT = 0.005, 0.5
+#: Trees are added until at most this share of the sampled vectors lies in leaves that miss more.
+OPEN = 0.02
+#: A split is made if the log of the pairs it keeps is at most this part of the log of the comparisons it saves.
+PRICE = 0.5
+#: In place of a leaf whose pairs the trees before have found.
+DONE = -(2**31)
 THRESHOLD = 0.95
 
 
 @dataclass
 class Tree:
-    """Nodes: direction, split, children (negative: leaf ~child)."""
+    """Nodes: direction, split, spill, children (negative: leaf ~child, or DONE)."""
 
     directions: list[np.ndarray] = field(default_factory=list)
     splits: list[float] = field(default_factory=list)
+    spills: list[float] = field(default_factory=list)
     children: list[tuple[int, int]] = field(default_factory=list)
     root: int = -1
 
@@ -44,55 +59,100 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def grow(sample: np.ndarray, leaf: float, spill: float, rng: np.random.Generator, next_leaf: int) -> tuple[Tree, int]:
-    """A tree over unit vectors with leaves of about ``leaf`` sampled vectors; leaves are numbered on."""
-    tree = Tree()
+def below(z: np.ndarray) -> np.ndarray:
+    """The normal distribution function, to 0.0005."""
+    return 0.5 + 0.5 * np.tanh(0.7978846 * (z + 0.044715 * z**3))
+
 
-    def node(rows: np.ndarray) -> int:
+def grow(sample: np.ndarray, least: float, threshold: float, missed: np.ndarray, rng: np.random.Generator, next_leaf: int) -> tuple[Tree, int, np.ndarray]:
+    """A tree over unit vectors, the next leaf's number, and how likely each row shares a leaf with a vector just linked to it.
+
+    ``missed`` is how likely the trees before miss such a vector.
+    """
+    tree, found = Tree(), np.zeros(len(sample))
+    step = np.sqrt(2 - 2 * threshold)
+
+    def cut(rows: np.ndarray, kept: np.ndarray):
+        """The best (direction, split, spill, where rows lie, width, what is kept), or None."""
+        some = np.arange(0, len(rows), len(rows) // 500 + 1)
+        part, had = sample[rows[some]], kept[some, None, None]
+        spread = np.sqrt(part.var(axis=0).sum())
+        if not spread:
+            return None
+        directions = unit(rng.standard_normal((4, sample.shape[1])))
+        along = part @ directions.T
+        # differences of linked vectors lie where the node's vectors differ, at least
+        width = step * np.maximum(1 / np.sqrt(sample.shape[1]), along.std(axis=0) / spread)
+        spill = SPILL * width
+        splits = np.sort(along, axis=0)[(np.array([0.3, 0.4, 0.5, 0.6, 0.7]) * len(some)).astype(int)]
+        off = along[:, None] - splits
+        keep = np.where(np.abs(off) <= spill, 1.0, below((np.abs(off) + spill) / width))
+        larger = np.maximum((off <= spill).mean(axis=0), (off >= -spill).mean(axis=0))
+        price, gain = -np.log((had * keep).sum(axis=0) / had.sum()), -np.log(2 * larger**2)
+        cost = np.where(gain > 0, price / np.where(gain > 0, gain, 1), np.inf)
+        i, j = np.unravel_index(np.argmin(cost), cost.shape)
+        if cost[i, j] > PRICE:
+            return None
+        direction, split, spill, width = directions[j], float(splits[i, j]), float(spill[j]), width[j]
+        at = sample[rows] @ direction
+        off = np.abs(at - split)
+        return direction, split, spill, at, width, kept * np.where(off <= spill, 1.0, below((off + spill) / width))
+
+    def node(rows: np.ndarray, kept: np.ndarray, mass: np.ndarray) -> int:
         nonlocal next_leaf
-        if len(rows) > max(leaf, 1):
-            for _ in range(3):
-                direction = rng.standard_normal(sample.shape[1])
-                direction /= np.linalg.norm(direction)
-                at = sample[rows] @ direction
-                split = float(np.median(at))
-                sides = rows[at <= split + spill], rows[at >= split - spill]
-                if max(map(len, sides)) <= 0.8 * len(rows):
-                    me = len(tree.splits)
-                    tree.directions.append(direction)
-                    tree.splits.append(split)
-                    tree.children.append((0, 0))
-                    tree.children[me] = (node(sides[0]), node(sides[1]))
-                    return me
-        next_leaf += 1
-        return ~(next_leaf - 1)
-
-    tree.root = node(np.arange(len(sample)))
-    return tree, next_leaf
-
-
-def route(tree: Tree, x: np.ndarray, spill: float) -> list[tuple[int, np.ndarray]]:
+        if len(rows) and missed[rows].max() <= MISSED:
+            return DONE
+        best = cut(rows, kept) if len(rows) > least else None
+        if best is None or best[-1].mean() < KEPT:
+            if len(rows) and missed[rows].mean() <= MISSED:
+                return DONE
+            found[rows] += mass
+            next_leaf += 1
+            return ~(next_leaf - 1)
+        direction, split, spill, at, width, kept = best
+        me = len(tree.splits)
+        tree.directions.append(direction)
+        tree.splits.append(split)
+        tree.spills.append(spill)
+        tree.children.append((0, 0))
+        children = []
+        for sign in (1, -1):
+            side = sign * (at - split) <= spill
+            off = sign * (split - at[side])
+            # a linked vector counts on one side only
+            children.append(node(rows[side], kept[side], mass[side] * below((off + np.where(off > spill, spill, 0)) / width)))
+        tree.children[me] = children[0], children[1]
+        return me
+
+    tree.root = node(np.arange(len(sample)), np.ones(len(sample)), np.ones(len(sample)))
+    return tree, next_leaf, found
+
+
+def route(tree: Tree, x: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(leaf, rows) for unit vectors."""
     out, todo = [], [(tree.root, np.arange(len(x)))]
     while todo:
         at, rows = todo.pop()
+        if at == DONE:
+            continue
         if at < 0:
             out.append((~at, rows))
         elif len(rows):
-            along = x[rows] @ tree.directions[at]
+            off = x[rows] @ tree.directions[at] - tree.splits[at]
             left, right = tree.children[at]
-            todo += [(left, rows[along <= tree.splits[at] + spill]), (right, rows[along >= tree.splits[at] - spill])]
+            todo += [(left, rows[off <= tree.spills[at]]), (right, rows[off >= -tree.spills[at]])]
     return out
 
 
-def forest(sample: np.ndarray, n: int, threshold: float) -> tuple[list[Tree], float]:
-    """TREES trees for ``n`` vectors, and the spill."""
-    spill = SPILL * np.sqrt(2 - 2 * threshold) / np.sqrt(max(sample.shape[1], 1))
+def forest(sample: np.ndarray, n: int, threshold: float) -> list[Tree]:
+    """Trees for ``n`` vectors, as many as MISSED asks for."""
     rng, leaves, trees = np.random.default_rng(SEED), 0, []
-    for _ in range(TREES):
-        tree, leaves = grow(sample, LEAF * len(sample) / max(n, 1), spill, rng, leaves)
-        trees.append(tree)
-    return trees, spill
+    missed = np.ones(len(sample))
+    while True:
+        tree, more, found = grow(sample, max(LEAF * len(sample) / max(n, 1), SAMPLED), threshold, missed, rng, leaves)
+        trees, leaves, missed = [*trees, tree], more, missed * np.clip(1 - found, 0, 1)
+        if (found > 0).mean() <= OPEN:
+            return trees
 
 
 def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,14 +172,14 @@ def _matrix(raw: list[bytes]) -> np.ndarray:
 
 def _route(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees, spill = shared.value
+        trees = shared.value
         for b in batches:
             if not b.num_rows:
                 continue
             x = _matrix(b.column("raw").to_pylist())
             leaves: list[list[int]] = [[] for _ in range(len(x))]
             for tree in trees:
-                for leaf, rows in route(tree, x, spill):
+                for leaf, rows in route(tree, x):
                     for r in rows.tolist():
                         leaves[r].append(leaf)
             yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("copies"), b.column("raw"), pa.array([sorted(v) for v in leaves], pa.list_(pa.int32()))],

@@ -135,6 +135,22 @@ def test_embedding_forest_finds_near_vectors(spark):
     assert embedding_dedup.embedding_links(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("typical", [0.985, 0.955, 0.93])
+def test_embedding_recall_in_dense_groups(spark, monkeypatch, typical):
+    """A third of the rows in one group; the forest is fitted on a tenth of them, with small leaves."""
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 400)
+    monkeypatch.setattr(embedding_dedup, "LEAF", 16)
+    rng = np.random.default_rng(11)
+    x = embedding_dedup.unit(rng.standard_normal((4000, 64)))
+    x[::3] = embedding_dedup.unit(x[1] + np.sqrt(1 / typical - 1) * x[::3])
+    link = embedding_dedup.unit(x) @ embedding_dedup.unit(x).T >= 0.95
+    np.fill_diagonal(link, False)
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.embedding_links(d).collect()}
+    assert all(got[i] <= n for i, n in enumerate(link.sum(axis=1)))
+    assert sum(got.values()) >= 0.98 * link.sum() > 0
+
+
 def test_large_leaves_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     x = np.random.default_rng(1).standard_normal((200, 8)) * 0.02 + 1
