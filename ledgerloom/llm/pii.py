@@ -23,6 +23,18 @@ OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 CONTEXT, THRESHOLD = 60, 1.0
 
 
+#: Lengths of IBANs by country: the ISO 13616 registry and the countries that use them unregistered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+#: Of exactly the country's length; after other letters as much as follows.
+IBAN = "|".join([rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items()] + [
+    rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9])"])
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -34,6 +46,7 @@ class Kind:
     checked: float = 0.0  # added when it holds
     context: str = ""  # adds 0.5 when found before the match
     against: str = ""  # takes 0.5 away
+    whole: str = ""  # when given, pattern finds starts only, and this the match at each of them
 
 
 def digits(match: Column) -> Column:
@@ -59,8 +72,8 @@ KINDS = (
          lambda m: F.when(F.length(digits(m)).between(12, 19), F.call_function("luhn_check", digits(m))).otherwise(False), True),
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]",
          lambda m: F.length(digits(m)).between(9, 15), True),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-         mod_97, False, 0.0, 1.0, "iban|account|konto|compte|cuenta"),
+    Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}",
+         mod_97, False, 0.0, 1.0, "iban|account|konto|compte|cuenta", whole=IBAN),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          lambda m: ~m.rlike("^(?:000|666|9[0-9]{2})|-00-|-0000$"), False, -1.0, 1.6,
          "ssn|social|security|tax", "order|invoice|part|serial|ref"),
@@ -82,7 +95,15 @@ def _matches(text: Column, kind: Kind) -> Column:
             (acc["at"] + s["gap"] + s["n"]).alias("at"),
             F.concat(acc["out"], F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + s["n"]).alias("end"),
                                                   s["match"].alias("match")))).alias("out")))
-    return walked["out"]
+    if not kind.whole:
+        return walked["out"]
+
+    # no match is longer than 34 characters with a blank before each, and the one after it
+    def from_start(m: Column) -> Column:
+        match = F.regexp_extract(F.substring(text, m["start"] + 1, F.lit(70)), f"^(?:{kind.whole})", 0)
+        return F.struct(m["start"].alias("start"), (m["start"] + F.length(match)).alias("end"), match.alias("match"))
+
+    return F.filter(F.transform(walked["out"], from_start), lambda m: m["match"] != "")
 
 
 def _scored(text: Column, kind: Kind, order: int) -> Column:

@@ -141,6 +141,17 @@ def test_checksums_context_and_redaction(spark):
     assert pii.with_spans(d.limit(0)).count() == 0
 
 
+def test_iban_before_other_words(spark):
+    one, other = "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19"
+    after = ["Please pay", "Bitte", "12 May", "BIC COBADEFFXXX", other, "on time", ", 5", "A"]
+    texts = [f"{code} {a}" for code in (one, one.replace(" ", "")) for a in after] + [f"AT12 {one} X", f"é😀 {one} Bitte", f"{one}X", f"NO93 8601 1117 947 IBAN {one}"]
+    rows = pii.with_spans(docs(spark, texts)).orderBy("doc_id").collect()
+    got = [[t[s.start:s.end] for s in r.pii if s.kind == "iban"] for t, r in zip(texts, rows, strict=True)]
+    want = [[code, other] if a == other else [code] for code in (one, one.replace(" ", "")) for a in after]
+    assert got == [*want, [one], [one], [], ["NO93 8601 1117 947", one]]
+    assert pii.redacted(docs(spark, [f"{one} Bitte"])).first().text == "[IBAN] Bitte"
+
+
 def test_base_digest_of_query(spark, tmp_path):
     docs(spark, PII_TEXTS).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r for r in pii.query(spark, str(tmp_path)).collect()}
