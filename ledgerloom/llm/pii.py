@@ -2,7 +2,7 @@
 
 Each kind has a proposing pattern, a validator and a score.  Kinds email, ip, card and phone are the base: a
 valid match is always a span.  The other kinds are spans when their score reaches ``THRESHOLD``: a checksum
-that holds adds to it, words within ``CONTEXT`` characters before the match add or take away.
+that holds adds to it, words within ``CONTEXT`` characters on either side add, words before it also take away.
 
 Positions come from the pieces between matches: the k-th match starts after the first k pieces and k matches.
 Everything is built-in expressions.  Patterns are written so that long runs of matching characters stay linear:
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-#: Characters before a match in which context words count, and the score from which a span is reported.
+#: Characters on either side of a match in which context words count, and the score from which a span is reported.
 CONTEXT, THRESHOLD = 60, 1.0
 
 
@@ -34,6 +34,9 @@ IBAN_LENGTHS = {
 IBAN = "|".join([rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items()] + [
     rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9])"])
 
+#: Of a listed country, in one piece or in groups of four: beside a context word an IBAN, also when mistyped.
+WRITTEN = rf"^(?:{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})(?:[A-Z0-9]+|[0-9]{{2}}(?:\x20[A-Z0-9]{{4}})+(?:\x20[A-Z0-9]{{1,3}})?)$"
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -44,8 +47,9 @@ class Kind:
     base: bool
     score: float = 0.0  # of a match whose validator fails
     checked: float = 0.0  # added when it holds
-    context: str = ""  # adds 0.5 when found before the match
-    against: str = ""  # takes 0.5 away
+    context: str = ""  # adds 0.5 when found on either side of the match
+    against: str = ""  # takes 0.5 away when found before it
+    shape: str = ""  # when given, words count only for matches of it
     whole: str = ""  # when given, pattern finds starts only, and this the match at each of them
 
 
@@ -73,7 +77,7 @@ KINDS = (
     Kind("phone", r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]",
          lambda m: F.length(digits(m)).between(9, 15), True),
     Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}",
-         mod_97, False, 0.0, 1.0, "iban|account|konto|compte|cuenta", whole=IBAN),
+         mod_97, False, 0.5, 0.5, "iban|account|konto|compte|cuenta", shape=WRITTEN, whole=IBAN),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          lambda m: ~m.rlike("^(?:000|666|9[0-9]{2})|-00-|-0000$"), False, -1.0, 1.6,
          "ssn|social|security|tax", "order|invoice|part|serial|ref"),
@@ -114,10 +118,13 @@ def _scored(text: Column, kind: Kind, order: int) -> Column:
             score = F.lit(1.0)
         else:
             before = F.lower(F.substring(text, F.greatest(m["start"] - CONTEXT, F.lit(0)) + 1, F.least(m["start"], F.lit(CONTEXT))))
+            after = F.lower(F.substring(text, m["end"] + 1, F.lit(CONTEXT)))
             score = F.lit(kind.score) + F.when(valid, kind.checked).otherwise(0.0)
-            for words, change in ((kind.context, 0.5), (kind.against, -0.5)):
+            for words, change, sides in ((kind.context, 0.5, (before, after)), (kind.against, -0.5, (before,))):
                 if words:
-                    score = score + F.when(before.rlike(rf"\b(?:{words})\b"), change).otherwise(0.0)
+                    found = F.array(*[side.rlike(rf"\b(?:{words})\b") for side in sides])
+                    counts = m["match"].rlike(kind.shape) if kind.shape else F.lit(True)
+                    score = score + F.when(counts & F.array_contains(found, True), change).otherwise(0.0)
         return F.struct(m["start"].alias("start"), F.lit(order).alias("order"), F.lit(kind.name).alias("kind"), m["end"].alias("end"),
                         score.alias("score"), valid.alias("valid"))
 

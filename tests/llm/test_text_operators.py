@@ -152,6 +152,14 @@ def test_iban_before_other_words(spark):
     assert pii.redacted(docs(spark, [f"{one} Bitte"])).first().text == "[IBAN] Bitte"
 
 
+def test_context_on_both_sides(spark):
+    bad, bad_at = "DE89 3704 0044 0532 0130 01", "AT61 1904 3002 3457 3202"
+    texts = ["123-45-6789 is my SSN", "123-45-6789 é social security", "ssn 123-45-6789, order 7", "order 123-45-6789", "123-45-6789 " + "x " * 40 + "ssn",
+             "666-45-6789 is my SSN", f"{bad} is my IBAN", f"Konto {bad_at}", f"{bad} sent", "account XX61 1904 3002 3457 3202"]
+    rows = pii.with_spans(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [[s.kind for s in r.pii] for r in rows] == [["ssn"], ["ssn"], ["ssn"], [], [], [], ["iban"], ["iban"], [], []]
+
+
 def test_base_digest_of_query(spark, tmp_path):
     docs(spark, PII_TEXTS).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r for r in pii.query(spark, str(tmp_path)).collect()}
