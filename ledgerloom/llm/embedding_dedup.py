@@ -10,7 +10,7 @@ part of pairs, stays a leaf, however large.  Trees are added until, by this esti
 no more than ``MISSED`` of these pairs in a leaf, but for leaves with a share ``OPEN`` of the vectors; leaves whose pairs are found are left
 out of later trees.
 
-Trees are fitted on at most ``SAMPLE`` vectors (the smallest hashed ids); every vector is routed.  Leaves beyond
+Trees are fitted on at most ``SAMPLE`` vectors (the smallest hashed ids), for each length; every vector is routed.  Leaves beyond
 ``BLOCK`` vectors are compared block by block, so no task holds more than two blocks.  Equal vectors are one class
 with a count.
 """
@@ -144,15 +144,26 @@ def route(tree: Tree, x: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def forest(sample: np.ndarray, n: int, threshold: float) -> list[Tree]:
-    """Trees for ``n`` vectors, as many as MISSED asks for."""
-    rng, leaves, trees = np.random.default_rng(SEED), 0, []
+def forest(sample: np.ndarray, n: int, threshold: float, leaves: int = 0) -> tuple[list[Tree], int]:
+    """Trees for ``n`` vectors, as many as MISSED asks for; leaves are numbered from ``leaves``, the next is returned."""
+    rng, trees = np.random.default_rng(SEED), []
     missed = np.ones(len(sample))
     while True:
-        tree, more, found = grow(sample, max(LEAF * len(sample) / max(n, 1), SAMPLED), threshold, missed, rng, leaves)
-        trees, leaves, missed = [*trees, tree], more, missed * np.clip(1 - found, 0, 1)
+        tree, leaves, found = grow(sample, max(LEAF * len(sample) / max(n, 1), SAMPLED), threshold, missed, rng, leaves)
+        trees, missed = [*trees, tree], missed * np.clip(1 - found, 0, 1)
         if (found > 0).mean() <= OPEN:
-            return trees
+            return trees, leaves
+
+
+def forests(raw: list[bytes], n: int, threshold: float) -> dict[int, list[Tree]]:
+    """A forest for each length in bytes, from a sample of ``n`` vectors."""
+    by_length: dict[int, list[bytes]] = {}
+    for v in raw:
+        by_length.setdefault(len(v), []).append(v)
+    out, leaves = {}, 0
+    for length, vectors in sorted(by_length.items()):
+        out[length], leaves = forest(_matrix(vectors), n * len(vectors) // len(raw), threshold, leaves)
+    return out
 
 
 def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,12 +187,21 @@ def _route(shared) -> Callable:
         for b in batches:
             if not b.num_rows:
                 continue
-            x = _matrix(b.column("raw").to_pylist())
-            leaves: list[list[int]] = [[] for _ in range(len(x))]
-            for tree in trees:
-                for leaf, rows in route(tree, x):
-                    for r in rows.tolist():
-                        leaves[r].append(leaf)
+            raw = b.column("raw").to_pylist()
+            lengths = np.array([len(v) for v in raw])
+            leaves: list[list[int]] = [[] for _ in raw]
+            for length in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == length)
+                if length not in trees:
+                    # too rare for the sample: one leaf
+                    for r in at.tolist():
+                        leaves[r].append(-length)
+                    continue
+                x = _matrix([raw[r] for r in at])
+                for tree in trees[length]:
+                    for leaf, rows in route(tree, x):
+                        for r in at[rows].tolist():
+                            leaves[r].append(leaf)
             yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("copies"), b.column("raw"), pa.array([sorted(v) for v in leaves], pa.list_(pa.int32()))],
                                              ["cls", "copies", "raw", "leaves"])
 
@@ -260,26 +280,24 @@ def _tiles(threshold: float) -> Callable:
 def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Columns vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding; others unread).
 
-    Vectors that are null, zero, empty, or hold null or non-finite components, vectors of another length than
-    the most common one and rows with a null vec_id link with nothing.  Repeated rows are vectors of their own
-    that link with each other.  An empty table gives an empty result.
+    Vectors that are null, zero, empty, or hold null or non-finite components and rows with a null vec_id link
+    with nothing; vectors link with those of their own length only.  Repeated rows are vectors of their own that
+    link with each other.  An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vec")).mapInArrow(_raw, "vec_id long, raw binary")
     rows = stored(rows.withColumn("key", F.sha2("raw", 256)), "vectors")
     good = rows.where("vec_id IS NOT NULL AND raw IS NOT NULL")
-    length = good.groupBy(F.length("raw").alias("bytes")).count().orderBy(F.desc("count"), F.desc("bytes")).first()
-    if length is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    good = good.where(F.length("raw") == length["bytes"])
     classes = stored(good.groupBy("key").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies"), F.min("raw").alias("raw")), "classes")
     n = classes.count()
+    if not n:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     # at most SAMPLE vectors
     sample = classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("raw").toPandas()["raw"]
-    shared = spark.sparkContext.broadcast(forest(_matrix([bytes(v) for v in sample]), n, threshold))
+    shared = spark.sparkContext.broadcast(forests([bytes(v) for v in sample], n, threshold))
     routed = stored(classes.select("cls", "copies", "raw").mapInArrow(_route(shared), "cls long, copies long, raw binary, leaves array<int>"), "routed")
     each = routed.select("cls", "copies", "raw", "leaves", F.explode("leaves").alias("leaf"))
-    # as many rows as the forest has leaves, which SAMPLE bounds
+    # as many rows as the forests have leaves, which SAMPLE bounds, and unsampled lengths
     sizes = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = each.join(F.broadcast(sizes), "leaf").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -151,6 +151,16 @@ def test_embedding_recall_in_dense_groups(spark, monkeypatch, typical):
     assert sum(got.values()) >= 0.98 * link.sum() > 0
 
 
+def test_vectors_of_several_lengths_link(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 20)
+    x = np.random.default_rng(2).standard_normal((60, 16)).tolist()
+    rows = [*x, [1.0, 2.0], [1.0, 2.01], [2.0, -1.0], [1.0, 2.0, 0.0], [1.0, 2.0, 0.1], x[0]]
+    d = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_links(d).collect()}
+    assert [got[i] for i in range(60, 66)] == [(1, 60), (1, 60), (0, 62), (1, 63), (1, 63), (1, 0)]
+    assert got[0] == (1, 0) and got[1] == (0, 1)
+
+
 def test_large_leaves_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     x = np.random.default_rng(1).standard_normal((200, 8)) * 0.02 + 1
