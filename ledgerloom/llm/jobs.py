@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat_format, embedding_dedup, jaccard_join, mixing, packing, pii, quality, token_counts, token_files, toxicity
+from . import (chat_format, embedding_dedup, jaccard_join, line_dedup, mixing, packing, periodic, pii, prefix_trie, quality, token_counts,
+               token_files, toxicity)
 
 QUERIES = {
     "op1_toxicity": (toxicity.query, None),
@@ -17,5 +18,8 @@ QUERIES = {
     "op8_jaccard_join": (jaccard_join.query, None),
     "op9_embedding_dedup": (embedding_dedup.query, None),
     "op10_pii": (pii.query, None),
+    "op11_line_dedup": (line_dedup.query, line_dedup.ORACLE_SQL),
+    "op12_prefix_trie": (prefix_trie.query, prefix_trie.ORACLE_SQL),
+    "op13_periodic_runs": (periodic.query, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
