@@ -167,10 +167,14 @@ def rate_key(fact: DataFrame, rates: DataFrame) -> DataFrame:
     ])
 
 
-def scenario_months(fact: DataFrame) -> DataFrame:
-    """Months present per (scenario, year); a complete plan year has 12."""
-    g = fact.groupBy("scenario_id", "year").agg(F.count_distinct("date_id").alias("months"))
-    return g.withColumn("complete", F.col("months") == 12)
+def scenario_months(versions: DataFrame) -> DataFrame:
+    """Versions of scenarios (``variance.validity``) and whether they are whole: ``complete`` if a plan holds the twelve
+    months of its fiscal year, ``year_set`` if a plan, and only a plan, has a fiscal year, ``in_year`` if its months lie in it."""
+    actual, fy = F.col("scenario_type") == "Actual", F.col("fiscal_year")
+    return versions.select(
+        "scenario_id", "fiscal_year", "first_month", "last_month", "months", (fy.isNotNull() & (F.col("months") == 12)).alias("complete"),
+        (actual == fy.isNull()).alias("year_set"),
+        F.coalesce((fd.year_of("first_month") == fy) & (fd.year_of("last_month") == fy), actual).alias("in_year"))
 
 
 def reconciliation(source: DataFrame, fact: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MONEY_SUM
@@ -32,6 +32,16 @@ def sample_rows(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 
+def sample_strata(df: DataFrame, stratum: str, keys: list[str], n: int) -> DataFrame:
+    """``sample_rows`` for every value of ``stratum`` at once; ``position`` numbers a stratum's rows from 1.
+
+    The bound on the row number becomes a window group limit: a task passes on ``n`` rows a stratum.
+    """
+    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    w = Window.partitionBy(stratum).orderBy("_h", *keys)
+    return df.withColumn("_h", h).withColumn("position", F.row_number().over(w).cast("long")).where(F.col("position") <= n).drop("_h")
+
+
 def check_additive(by: list[str], measures: list[str]) -> None:
     nominal = [m for m in measures if m.endswith("_nominal")]
     if nominal and not {"currency_id", "rate_id", "currency_code"} & set(by):

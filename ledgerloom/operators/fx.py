@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,14 +87,31 @@ def rate_table(month_ends: DataFrame, band_df: DataFrame, seed: int) -> DataFram
     )
 
 
+def rates_asof(dates: DataFrame, rates: DataFrame) -> DataFrame:
+    """date_id, currency_id, eom_rate, daily_avg_rate, rate_date: each currency's last known rate at each of ``dates``.
+
+    Rates and dates are laid over one another in date order and the last rate is carried forward; ``rate_date``
+    tells where it comes from (a date of its own: not carried).  Dates before a currency's first rate are missing.
+    Both tables are bounded by the calendar.
+    """
+    listed = rates.select("currency_id").distinct()
+    known = rates.select("currency_id", "date_id", F.lit(False).alias("wanted"), F.struct("eom_rate", "daily_avg_rate", F.col("date_id").alias("rate_date")).alias("rate"))
+    wanted = dates.select("date_id").distinct().crossJoin(F.broadcast(listed)).select(
+        "currency_id", "date_id", F.lit(True).alias("wanted"), F.lit(None).cast(known.schema["rate"].dataType).alias("rate"))
+    upto = Window.partitionBy("currency_id").orderBy("date_id", "wanted").rowsBetween(Window.unboundedPreceding, 0)
+    filled = known.unionByName(wanted).withColumn("rate", F.last("rate", ignorenulls=True).over(upto))
+    return filled.where("wanted AND rate IS NOT NULL").select("date_id", "currency_id", "rate.*")
+
+
 def add_nominal(base: DataFrame, rates: DataFrame) -> DataFrame:
     """Per-row nominal amounts: ``CAST(eur * rate AS DECIMAL(22,2))`` for both measures.
 
-    ``base`` has date_id, currency_id, amount_eur, daily_avg_eur.  Joined on the
-    (date_id, currency_id) pair, which is what ``rate_id`` encodes.
+    ``base`` has date_id, currency_id, amount_eur, daily_avg_eur.  Joined on the (date_id, currency_id) pair, which
+    is what ``rate_id`` encodes.  No row is lost: without a rate the nominal amounts are NULL (see ``rates_asof``
+    for months that take an earlier one).
     """
     r = F.broadcast(rates.select("date_id", "currency_id", "eom_rate", "daily_avg_rate"))
-    j = base.join(r, ["date_id", "currency_id"], "inner")
+    j = base.join(r, ["date_id", "currency_id"], "left")
     return (j.withColumn("rate_id", rate_id())
              .withColumn("amount_nominal", money(F.col("amount_eur") * F.col("eom_rate")))
              .withColumn("daily_avg_nominal", money(F.col("daily_avg_eur") * F.col("daily_avg_rate")))

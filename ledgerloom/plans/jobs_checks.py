@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import checks
+from ..operators import checks, variance
 from ..sources import fixed
 from ..sources.model import FACT_SCHEMA, MEASURES
-from ..sources.store import stored_model
-from ..sources.tpch import source_total
+from ..sources.store import load_outcomes, stored_model
+from ..sources.tpch import REASONS, source_total
+from .jobs_variance import VERSIONS_SQL
 from .oracle_sql import _values, q
 from .registry import job
 
@@ -159,13 +160,18 @@ def q10_rate_key(spark, sf_dir):
     return checks.rate_key(m.fact, m.rates)
 
 
-@job("q11_scenario_years", q("""
-SELECT scenario_id, year, COUNT(DISTINCT date_id) AS months, COUNT(DISTINCT date_id) = 12 AS complete
-FROM fact GROUP BY scenario_id, year
+@job("q11_scenario_years", q(f"""
+WITH {VERSIONS_SQL}
+SELECT scenario_id, CAST(fiscal_year AS DOUBLE) AS fiscal_year, first_month, last_month, months, fiscal_year IS NOT NULL AND months = 12 AS complete,
+       (scenario_type = 'Actual') = (fiscal_year IS NULL) AS year_set,
+       COALESCE(first_month // 10000 = fiscal_year AND last_month // 10000 = fiscal_year, scenario_type = 'Actual') AS in_year
+FROM versions
 """))
 def q11_scenario_years(spark, sf_dir):
-    """Months present per scenario and year (complete = 12)."""
-    return checks.scenario_months(stored_model(spark, sf_dir).fact)
+    """Scenario versions: months held, whole fiscal years, fiscal year set for plans only, months inside it."""
+    m = stored_model(spark, sf_dir)
+    out = checks.scenario_months(variance.validity(m.fact, m.scenarios))
+    return out.withColumn("fiscal_year", F.col("fiscal_year").cast("double"))
 
 
 @job("q12_nonneg", q("\nUNION ALL\n".join(
@@ -185,3 +191,34 @@ FROM (SELECT COUNT(*) AS source_lines, COALESCE(SUM(CAST(CAST(l_extendedprice AS
 def load_reconciliation(spark, sf_dir):
     """Order lines in, actuals out: the load lost no line (also asserted before a load is committed)."""
     return checks.reconciliation(source_total(spark, sf_dir), stored_model(spark, sf_dir).fact)
+
+
+_OUTCOMES = ["accepted", *REASONS, "no_rate"]
+
+
+@job("load_by_reason", q(f"""
+WITH j AS (
+  SELECT l.*, o.o_orderkey, sm.segment_id, p.p_partkey, b.product_id, s.s_suppkey, ch.channel_id, ch.currency_id,
+         CAST(CAST(l.l_extendedprice AS DECIMAL(22,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(22,2)) AS amount
+  FROM lineitem l
+  LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN segmap sm ON sm.c_mktsegment = c.c_mktsegment LEFT JOIN part p ON p.p_partkey = l.l_partkey
+  LEFT JOIN products b ON b.product_name = p.p_brand LEFT JOIN supplier s ON s.s_suppkey = l.l_suppkey
+  LEFT JOIN channels ch ON ch.channel_id = s.s_nationkey + 1
+),
+c AS (
+  SELECT amount, CASE WHEN l_shipdate IS NULL THEN 'no_date' WHEN amount IS NULL THEN 'no_amount' WHEN o_orderkey IS NULL THEN 'no_order'
+         WHEN segment_id IS NULL THEN 'no_customer' WHEN p_partkey IS NULL THEN 'no_part' WHEN product_id IS NULL THEN 'no_brand'
+         WHEN s_suppkey IS NULL THEN 'no_supplier' WHEN channel_id IS NULL THEN 'no_channel'
+         WHEN r.rate_id IS NULL THEN 'no_rate' ELSE 'accepted' END AS outcome
+  FROM j LEFT JOIN rates r ON r.currency_id = j.currency_id AND r.date_id // 100 = year(l_shipdate) * 100 + month(l_shipdate)
+)
+SELECT n.outcome, COUNT(c.outcome) AS lines, CAST(COALESCE(SUM(c.amount), 0) AS DOUBLE) AS amount
+FROM (VALUES {", ".join(f"('{x}')" for x in _OUTCOMES)}) n(outcome) LEFT JOIN c ON c.outcome = n.outcome GROUP BY n.outcome
+"""))
+def load_by_reason(spark, sf_dir):
+    """What became of every order line in the load: accepted, or rejected for which reason (zero if none)."""
+    got = load_outcomes(spark, sf_dir)
+    names = spark.createDataFrame([(x,) for x in _OUTCOMES], "outcome string")
+    return names.join(got, "outcome", "left").select("outcome", F.coalesce("lines", F.lit(0)).cast("long").alias("lines"),
+                                                     F.coalesce("amount", F.lit(0)).cast("decimal(38,2)").alias("amount"))

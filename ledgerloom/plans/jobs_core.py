@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import counts, star
+from ..functions.numeric import money
+from ..operators import counts, star, variance
 from ..operators.variance import align
+from .jobs_variance import VERSIONS_SQL
 from ..sources.dates import month_end_spine
 from ..sources.model import FACT_COLUMNS, GRAIN
 from ..sources.store import stored_model
@@ -92,38 +95,54 @@ def table_counts(spark, sf_dir):
     return counts.table_counts(stored_model(spark, sf_dir).tables())
 
 
-@job("scenario_counts", q("""
-SELECT s.scenario_name, s.scenario_type, f.year, COUNT(*) AS row_count
-FROM fact f JOIN scenarios s ON f.scenario_id = s.scenario_id
-GROUP BY s.scenario_name, s.scenario_type, f.year
+@job("scenario_counts", q(f"""
+WITH {VERSIONS_SQL}
+SELECT row_number() OVER (ORDER BY fiscal_year NULLS FIRST, scenario_type, scenario_name) AS position,
+       scenario_name, scenario_type, CAST(fiscal_year AS DOUBLE) AS fiscal_year, CAST(row_count AS BIGINT) AS row_count
+FROM versions
 """))
 def scenario_counts(spark, sf_dir):
-    """Rows per scenario and year (year taken from the date, as for the actuals)."""
+    """Rows per scenario and fiscal year, in the order fiscal year (scenarios without one first), type, name.
+
+    ``position`` states that order in the result.
+    """
     m = stored_model(spark, sf_dir)
-    j = m.fact.join(F.broadcast(m.scenarios.select("scenario_id", "scenario_name", "scenario_type")),
-                    "scenario_id")
-    return (counts.group_counts(j, ["scenario_name", "scenario_type", "year"])
-            .orderBy("year", "scenario_type", "scenario_name"))
-
-
-@job("sample_topn", q("""
-SELECT f.currency_id, CAST(r.eom_rate AS DOUBLE) AS eom_rate, CAST(r.daily_avg_rate AS DOUBLE) AS daily_avg_rate,
-       CAST(f.amount_eur AS DOUBLE) AS amount_eur, CAST(f.amount_nominal AS DOUBLE) AS amount_nominal,
-       CAST(abs(f.amount_eur - f.amount_nominal) AS DOUBLE) AS diff
-FROM fact f JOIN rates r ON r.rate_id = f.rate_id
-WHERE f.currency_id = 1
-ORDER BY md5(concat_ws('|', f.date_id, f.channel_id, f.segment_id, f.product_id, f.currency_id,
-                       f.scenario_id, f.budget_item_id)),
-         f.date_id, f.channel_id, f.segment_id, f.product_id, f.currency_id, f.scenario_id, f.budget_item_id
-LIMIT 5
-"""))
+    v = variance.validity(m.fact, m.scenarios)  # one row a scenario and year: the numbering sees no more
+    order = Window.orderBy(F.col("fiscal_year").asc_nulls_first(), "scenario_type", "scenario_name")
+    return v.select(F.row_number().over(order).cast("long").alias("position"), "scenario_name", "scenario_type",
+                    F.col("fiscal_year").cast("double").alias("fiscal_year"), "row_count")
+
+
+_SAMPLE_SQL = """
+SELECT * FROM (
+  SELECT CASE WHEN f.currency_id = 1 THEN 'EUR' ELSE 'foreign' END AS stratum,
+         row_number() OVER (PARTITION BY f.currency_id = 1 ORDER BY md5(concat_ws('|', f.date_id, f.channel_id, f.segment_id,
+           f.product_id, f.currency_id, f.scenario_id, f.budget_item_id)), f.date_id, f.channel_id, f.segment_id, f.product_id,
+           f.currency_id, f.scenario_id, f.budget_item_id) AS position,
+         f.currency_id, CAST(r.eom_rate AS DOUBLE) AS eom_rate, CAST(f.amount_eur AS DOUBLE) AS amount_eur,
+         CAST(f.amount_nominal AS DOUBLE) AS amount_nominal, CAST(CAST(f.amount_eur * r.eom_rate AS DECIMAL(22,2)) AS DOUBLE) AS expected_nominal,
+         CAST(r.daily_avg_rate AS DOUBLE) AS daily_avg_rate, CAST(f.daily_avg_eur AS DOUBLE) AS daily_avg_eur,
+         CAST(f.daily_avg_nominal AS DOUBLE) AS daily_avg_nominal,
+         CAST(CAST(f.daily_avg_eur * r.daily_avg_rate AS DECIMAL(22,2)) AS DOUBLE) AS expected_daily_nominal,
+         CAST(abs(f.amount_eur - f.amount_nominal) AS DOUBLE) AS diff
+  FROM fact f LEFT JOIN rates r ON r.rate_id = f.rate_id) s
+WHERE position <= 5
+"""
+
+
+@job("sample_topn", q(_SAMPLE_SQL))
 def sample_topn(spark, sf_dir):
-    """Five repeatable sample EUR rows with their rates and the EUR/nominal difference."""
+    """Repeatable samples of five EUR rows and five foreign ones, with their rates, recomputed amounts and EUR difference.
+
+    Both strata come from one scan; every task keeps five rows a stratum (window group limit) before the shuffle.
+    """
     m = stored_model(spark, sf_dir)
-    j = (m.fact.filter(F.col("currency_id") == 1)
-         .join(F.broadcast(m.rates.select("rate_id", "eom_rate", "daily_avg_rate")), "rate_id"))
-    s = counts.sample_rows(j, GRAIN, 5)
-    return s.select("currency_id", "eom_rate", "daily_avg_rate", "amount_eur", "amount_nominal",
+    stratum = F.when(F.col("currency_id") == 1, F.lit("EUR")).otherwise(F.lit("foreign"))
+    s = counts.sample_strata(m.fact.withColumn("stratum", stratum), "stratum", GRAIN, 5)
+    j = s.join(F.broadcast(m.rates.select("rate_id", "eom_rate", "daily_avg_rate")), "rate_id", "left")
+    return j.select("stratum", "position", "currency_id", "eom_rate", "amount_eur", "amount_nominal",
+                    money(F.col("amount_eur") * F.col("eom_rate")).alias("expected_nominal"), "daily_avg_rate", "daily_avg_eur", "daily_avg_nominal",
+                    money(F.col("daily_avg_eur") * F.col("daily_avg_rate")).alias("expected_daily_nominal"),
                     F.abs(F.col("amount_eur") - F.col("amount_nominal")).alias("diff"))
 
 

@@ -14,88 +14,85 @@ from ..sources.tpch import ADAPTER_SCENARIOS
 from .oracle_sql import q
 from .registry import job
 
-_KEYS = ["year", "budget_item_id", "item_name", "sort_order"]
+#: Versions of scenarios by fiscal year, and the pairs of them that share months.
+VERSIONS_SQL = """versions AS (
+  SELECT f.scenario_id, s.scenario_name, s.scenario_type, CASE WHEN s.scenario_type <> 'Actual' THEN f.year END AS fiscal_year,
+         MIN(f.date_id) AS first_month, MAX(f.date_id) AS last_month, COUNT(DISTINCT f.date_id) AS months, COUNT(*) AS row_count
+  FROM fact f JOIN scenarios s ON s.scenario_id = f.scenario_id GROUP BY 1, 2, 3, 4
+)"""
 
 
-def _variance_sql(left: int, right: int) -> str:
+def _fiscal_sql(left: str, right: str, columns: str) -> str:
     return q(f"""
-WITH v AS (
-  SELECT year, budget_item_id, item_name, sort_order,
-         SUM(CASE WHEN scenario_id = {left} THEN display END) AS l,
-         SUM(CASE WHEN scenario_id = {right} THEN display END) AS r,
-         SUM(CASE WHEN scenario_id = {left} THEN signed END) AS ls,
-         SUM(CASE WHEN scenario_id = {right} THEN signed END) AS rs
-  FROM pl_lines WHERE scenario_id IN ({left}, {right})
-  GROUP BY year, budget_item_id, item_name, sort_order
-)
-SELECT year, budget_item_id, item_name, sort_order, CAST(l AS DOUBLE) AS {{L}}, CAST(r AS DOUBLE) AS {{R}},
-       CAST(l - r AS DOUBLE) AS variance,
-       round(CAST(l - r AS DOUBLE) / NULLIF(abs(CAST(r AS DOUBLE)), 0), 6) AS variance_pct,
+WITH {VERSIONS_SQL},
+pairs AS (
+  SELECT l.scenario_id AS left_id, r.scenario_id AS right_id, COALESCE(r.fiscal_year, l.fiscal_year) AS fiscal_year,
+         GREATEST(l.first_month, r.first_month) AS lo, LEAST(l.last_month, r.last_month) AS hi
+  FROM versions l, versions r
+  WHERE l.{left} AND r.{right} AND l.first_month <= r.last_month AND r.first_month <= l.last_month
+    AND (l.fiscal_year IS NULL OR r.fiscal_year IS NULL OR l.fiscal_year = r.fiscal_year)
+),
+sides AS (
+  SELECT left_id, right_id, fiscal_year, left_id AS scenario_id, TRUE AS is_left, lo, hi FROM pairs
+  UNION ALL SELECT left_id, right_id, fiscal_year, right_id, FALSE, lo, hi FROM pairs
+),
+v AS (
+  SELECT p.left_id, p.right_id, p.fiscal_year, n.budget_item_id, n.item_name, n.sort_order, n.sign_convention,
+         SUM(CASE WHEN p.is_left THEN CASE WHEN e.leaf_sign < 0 THEN -f.amount_eur ELSE f.amount_eur END END) AS ls,
+         SUM(CASE WHEN NOT p.is_left THEN CASE WHEN e.leaf_sign < 0 THEN -f.amount_eur ELSE f.amount_eur END END) AS rs
+  FROM sides p JOIN fact f ON f.scenario_id = p.scenario_id AND f.date_id BETWEEN p.lo AND p.hi
+  JOIN edges e ON e.leaf_id = f.budget_item_id JOIN items n ON n.budget_item_id = e.node_id
+  WHERE n.statement_type = 'PL'
+  GROUP BY p.left_id, p.right_id, p.fiscal_year, n.budget_item_id, n.item_name, n.sort_order, n.sign_convention
+),
+d AS (SELECT *, CASE WHEN sign_convention < 0 THEN -ls ELSE ls END AS l, CASE WHEN sign_convention < 0 THEN -rs ELSE rs END AS r FROM v)
+SELECT {columns}, budget_item_id, item_name, sort_order, CAST(l AS DOUBLE) AS {{L}}, CAST(r AS DOUBLE) AS {{R}},
+       CAST(l - r AS DOUBLE) AS variance, round(CAST(l - r AS DOUBLE) / NULLIF(abs(CAST(r AS DOUBLE)), 0), 6) AS variance_pct,
        CASE WHEN ls IS NULL OR rs IS NULL THEN 'n/a' WHEN ls - rs > 0 THEN 'favourable'
             WHEN ls - rs < 0 THEN 'adverse' ELSE 'on plan' END AS status
-FROM v
+FROM d
 """)
 
 
-def _pl(spark, sf_dir, scenarios):
+def _fiscal(spark, sf_dir, left, right):
     m = stored_model(spark, sf_dir)
-    return statements.statement(m.fact.filter(F.col("scenario_id").isin(*scenarios)), m.items, "PL",
-                                ["scenario_id", "year"])
+    pairs = variance.version_pairs(variance.validity(m.fact, m.scenarios), F.expr(left), F.expr(right))
+    return variance.fiscal_variance(m.fact, m.items, pairs)
 
 
-@job("actual_vs_budget", _variance_sql(1, 2).replace("{L}", "actual").replace("{R}", "budget"))
+@job("actual_vs_budget", _fiscal_sql("scenario_id = 1", "scenario_id = 2", "fiscal_year").replace("{L}", "actual").replace("{R}", "budget"))
 def actual_vs_budget(spark, sf_dir):
-    """P&L lines by year: actual, budget, variance, variance % and favourability (missing side NULL)."""
-    return variance.variance(_pl(spark, sf_dir, [1, 2]), _KEYS, 1, 2)
+    """P&L lines by fiscal year of the budget: actual, budget, variance, variance % and favourability, over the months both have."""
+    v = _fiscal(spark, sf_dir, "scenario_id = 1", "scenario_id = 2")
+    return v.drop("left_id", "right_id").withColumnsRenamed({"left_amount": "actual", "right_amount": "budget"})
 
 
-@job("forecast_vs_budget", _variance_sql(7, 2).replace("{L}", "forecast").replace("{R}", "budget"))
+@job("forecast_vs_budget", _fiscal_sql("scenario_id = 7", "scenario_id = 2", "fiscal_year").replace("{L}", "forecast").replace("{R}", "budget"))
 def forecast_vs_budget(spark, sf_dir):
-    """P&L lines by year: rolling forecast against budget."""
-    return variance.variance(_pl(spark, sf_dir, [7, 2]), _KEYS, 7, 2, left_name="forecast")
-
-
-#: Budgets by turns of the year: each year is held against a budget scenario of its own.
-_BUDGETS = [2, 5, 6]
-
-
-def _pairs_sql(pairs: str) -> str:
-    return q(f"""
-WITH pairs AS ({pairs}),
-v AS (
-  SELECT p.left_id, p.right_id, l.year, l.budget_item_id, l.item_name, l.sort_order,
-         SUM(CASE WHEN l.scenario_id = p.left_id THEN l.display END) AS l,
-         SUM(CASE WHEN l.scenario_id = p.right_id THEN l.display END) AS r,
-         SUM(CASE WHEN l.scenario_id = p.left_id THEN l.signed END) AS ls,
-         SUM(CASE WHEN l.scenario_id = p.right_id THEN l.signed END) AS rs
-  FROM pl_lines l JOIN pairs p ON p.year = l.year AND l.scenario_id IN (p.left_id, p.right_id)
-  GROUP BY p.left_id, p.right_id, l.year, l.budget_item_id, l.item_name, l.sort_order
-)
-SELECT left_id, right_id, year, budget_item_id, item_name, sort_order, CAST(l AS DOUBLE) AS left_amount, CAST(r AS DOUBLE) AS right_amount,
-       CAST(l - r AS DOUBLE) AS variance, round(CAST(l - r AS DOUBLE) / NULLIF(abs(CAST(r AS DOUBLE)), 0), 6) AS variance_pct,
-       CASE WHEN ls IS NULL OR rs IS NULL THEN 'n/a' WHEN ls - rs > 0 THEN 'favourable'
-            WHEN ls - rs < 0 THEN 'adverse' ELSE 'on plan' END AS status
-FROM v
-""")
+    """P&L lines: each fiscal year's rolling forecast against its budget."""
+    v = _fiscal(spark, sf_dir, "scenario_id = 7", "scenario_id = 2")
+    return v.drop("left_id", "right_id").withColumnsRenamed({"left_amount": "forecast", "right_amount": "budget"})
 
 
-@job("actual_vs_yearly_budget", _pairs_sql(
-    f"SELECT DISTINCT year, 1 AS left_id, CASE year % 3 WHEN 0 THEN {_BUDGETS[0]} WHEN 1 THEN {_BUDGETS[1]} ELSE {_BUDGETS[2]} END AS right_id FROM month_ends"))
+@job("actual_vs_yearly_budget", _fiscal_sql("scenario_type = 'Actual'", "scenario_type = 'Budget'", "left_id, right_id, fiscal_year")
+     .replace("{L}", "left_amount").replace("{R}", "right_amount"))
 def actual_vs_yearly_budget(spark, sf_dir):
-    """P&L lines: the actuals of each year against that year's own budget scenario, in one report."""
-    years = stored_model(spark, sf_dir).dates.select("year").distinct()
-    budget = F.element_at(F.array(*[F.lit(b) for b in _BUDGETS]), (F.col("year") % 3 + 1).cast("int"))
-    pairs = years.select("year", F.lit(1).alias("left_id"), budget.alias("right_id"))
-    return variance.variance_pairs(_pl(spark, sf_dir, [1, *_BUDGETS]), _KEYS, pairs)
+    """P&L lines: the actuals against every budget of a fiscal year, in one report."""
+    return _fiscal(spark, sf_dir, "scenario_type = 'Actual'", "scenario_type = 'Budget'")
 
 
-@job("forecast_vs_each_budget", _pairs_sql(
-    "SELECT DISTINCT year, 7 AS left_id, b AS right_id FROM month_ends, (VALUES " + ", ".join(f"({b})" for b in _BUDGETS) + ") x(b)"))
+@job("forecast_vs_each_budget", _fiscal_sql("scenario_type = 'Forecast'", "scenario_type = 'Budget'", "left_id, right_id, fiscal_year")
+     .replace("{L}", "left_amount").replace("{R}", "right_amount"))
 def forecast_vs_each_budget(spark, sf_dir):
-    """P&L lines by year: the rolling forecast against the budget, the top-down and the bottom-up plan."""
-    years = stored_model(spark, sf_dir).dates.select("year").distinct()
-    pairs = years.select("year", F.lit(7).alias("left_id"), F.explode(F.array(*[F.lit(b) for b in _BUDGETS])).alias("right_id"))
-    return variance.variance_pairs(_pl(spark, sf_dir, [7, *_BUDGETS]), _KEYS, pairs)
+    """P&L lines: every forecast against each budget of its fiscal year (original, top-down, bottom-up)."""
+    return _fiscal(spark, sf_dir, "scenario_type = 'Forecast'", "scenario_type = 'Budget'")
+
+
+@job("scenario_versions", q(f"WITH {VERSIONS_SQL} SELECT * REPLACE (CAST(fiscal_year AS DOUBLE) AS fiscal_year) FROM versions"))
+def scenario_versions(spark, sf_dir):
+    """Validity table: every scenario's versions by fiscal year, the months they hold and their rows."""
+    m = stored_model(spark, sf_dir)
+    return variance.validity(m.fact, m.scenarios).withColumn("fiscal_year", F.col("fiscal_year").cast("double"))
 
 
 @job("forecast_accuracy", q("""

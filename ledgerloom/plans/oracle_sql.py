@@ -67,15 +67,15 @@ products AS (
               ELSE 'Service' END AS product_category,
          CASE WHEN product_id % 5 = 0 THEN NULL
               ELSE 'Tier ' || CAST((product_id - 1) % 3 + 1 AS VARCHAR) END AS product_subcategory
-  FROM (SELECT DISTINCT p_brand, CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) AS product_id
-        FROM part) b
+  FROM (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) AS INTEGER) AS product_id
+        FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL) d) b
 ),
 lines AS (
   SELECT CAST(year(last_day(CAST(l.l_shipdate AS DATE))) * 10000
               + month(last_day(CAST(l.l_shipdate AS DATE))) * 100
               + day(last_day(CAST(l.l_shipdate AS DATE))) AS INTEGER) AS date_id,
          ch.channel_id, sm.segment_id,
-         CAST(regexp_extract(p.p_brand, '(\\d+)$', 1) AS INTEGER) AS product_id,
+         b.product_id,
          ch.currency_id, sl.budget_item_id,
          CAST(CAST(l.l_extendedprice AS DECIMAL(22,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))
               AS DECIMAL(22,2)) AS amount
@@ -84,6 +84,7 @@ lines AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN segmap sm ON c.c_mktsegment = sm.c_mktsegment
   JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN products b ON b.product_name = p.p_brand
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN channels ch ON ch.channel_id = s.s_nationkey + 1
   JOIN slots sl ON sl.slot = (l.l_partkey + l.l_linenumber) % (SELECT COUNT(*) FROM slots)

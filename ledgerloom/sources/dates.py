@@ -25,8 +25,18 @@ CALENDAR_SCHEMA = T.StructType([
 ])
 
 
-def _calendar_from_bounds(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
-    days = bounds.select(F.explode(F.sequence(start, end, F.expr("interval 1 day"))).alias("d"))
+#: Years that a calendar may span; a wider one is refused (a wrong date among the sources, most likely).
+MAX_YEARS = 400
+
+
+def _calendar_from_bounds(bounds: DataFrame, start: Column, end: Column, max_years: int = MAX_YEARS) -> DataFrame:
+    """Days from ``start`` to ``end``: first the years, dealt over tasks, then each year's days."""
+    span = F.year(end) - F.year(start) + 1
+    checked = F.when(span > max_years, F.raise_error(F.concat(F.lit("calendar of "), span.cast("string"), F.lit(f" years, {max_years} allowed"))).cast("int")).otherwise(F.year(end))
+    years = bounds.select(start.alias("lo"), end.alias("hi"), F.explode(F.sequence(F.year(start), checked)).alias("y")).repartition("y")
+    first = F.greatest("lo", F.make_date("y", F.lit(1), F.lit(1)))
+    last = F.least("hi", F.make_date("y", F.lit(12), F.lit(31)))
+    days = years.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("d"))
     return days.select(
         fd.date_key("d").alias("date_id"),
         F.col("d").alias("full_date"),
@@ -49,16 +59,6 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     return _calendar_from_bounds(one, F.to_date(F.lit(start)), F.to_date(F.lit(end)))
 
 
-def calendar_spanning(df: DataFrame, date_col: str) -> DataFrame:
-    """Whole calendar years covering every value of ``date_col`` in ``df``.
-
-    The bounds come from one distributed min/max aggregate; the day sequence is
-    generated from that single row, so nothing passes through the driver.
-    """
-    d = F.col(date_col).cast("date")
-    return calendar_for_bounds(df.agg(F.min(d).alias("lo"), F.max(d).alias("hi")))
-
-
 def calendar_for_bounds(bounds: DataFrame) -> DataFrame:
     """Whole calendar years from year(lo) to year(hi) of a one-row (lo, hi) DataFrame."""
     return _calendar_from_bounds(bounds, F.trunc("lo", "year"),

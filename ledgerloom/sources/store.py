@@ -1,26 +1,30 @@
-"""Stored ledger: the fact is written once, partitioned by (scenario_id, year).
-
-The load (``append_fact``) writes the adapter ledger as Parquet under the
-shared folder the cluster names in ``spark.checkpoint.dir``; reports read it
-back, which cuts the lineage of the order-table joins and lets every report
-prune on the partition columns.  The location is keyed by the source files'
-paths, sizes and modification times and by the code that builds it, so a
-changed source or a changed adapter gets a new ledger.
-Every load writes a fresh version and commits it last, so one that dies part-way is
-never read and is redone.
+"""Stored ledger: the fact is written in partitions (scenario_id, year), and manifests say which files make it up.
+
+The load (``append_fact``) writes the adapter ledger as Parquet under the shared folder the cluster names in
+``spark.checkpoint.dir``; reports read it back, which cuts the lineage of the order-table joins and lets every
+report prune on the partition columns.  A ledger's folder is keyed by the source folder and by the code that builds it.
+
+Files are never changed.  Each load writes into folders of its own and then commits a manifest: for every partition
+the load that wrote it, its rows and its amount, besides the digest of the source files and the counts of lines
+read, accepted and rejected.  Commits are numbered; one that already exists is not replaced, so of two writers that start
+from the same state one fails and can try again, and a load that dies part-way is never read.  ``reload`` derives
+single scenario-years anew and commits a manifest in which only these differ.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import sys
 import threading
 import time
 import uuid
-from dataclasses import replace
+from dataclasses import asdict, dataclass, replace
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates as fd
@@ -29,8 +33,8 @@ from ..session import ensure_checkpoint_dir
 from .dates import CALENDAR_SCHEMA, month_end_spine
 from .model import (CHANNEL_SCHEMA, FACT_COLUMNS, FACT_SCHEMA, PRODUCT_SCHEMA, SEGMENT_SCHEMA, Model,
                     budget_items)
-from ..operators.checks import reconciliation
-from .tpch import FX_SEED, ledger_dims, ledger_fact, scenario_dim, source_total
+from .tpch import (FX_SEED, LEDGER_KEYS, LINE_KEYS, classified_lines, ledger_calendar, posted, scenario_dim,
+                   source_dims, staged_ledger)
 
 SOURCE_TABLES = ["lineitem", "orders", "customer", "supplier", "part", "nation", "region"]
 PARTITION_COLUMNS = ["scenario_id", "year"]
@@ -57,9 +61,9 @@ def _code_fingerprint() -> str:
     return h.hexdigest()
 
 
-def _source_key(spark: SparkSession, sf_dir: str) -> str:
-    """Digest of the code and of every source file's path, size and time (a table may be a folder of files)."""
-    h = hashlib.sha1(_code_fingerprint().encode())
+def source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Digest of every source file's path, size and time (a table may be a folder of files)."""
+    h = hashlib.sha1()
     for t in SOURCE_TABLES:
         fs, p = _fs(spark, f"{sf_dir}/{t}.parquet")
         found, files = fs.listFiles(p, True), []
@@ -71,28 +75,75 @@ def _source_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 def ledger_path(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of all versions of one ledger; ``current_version`` names the committed one."""
+    """Folder of one ledger: commits, and the files of all its loads."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/ledgerloom/ledger-{_source_key(spark, sf_dir)}"
+    key = hashlib.sha1(f"{_code_fingerprint()}|{sf_dir}".encode()).hexdigest()[:16]
+    return f"{root}/ledgerloom/ledger-{key}"
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Path of the newest committed version, or None.
+@dataclass(frozen=True)
+class Manifest:
+    """What makes up one state of a ledger.  ``partitions``: "scenario_id=1/year=1995" -> load, rows, amount."""
 
-    A version is committed by an empty marker file whose name holds its number and id; the
-    marker is created after everything else, so a load that dies leaves nothing to read, and
-    of two writers each commits a complete version of its own.
-    """
+    number: int
+    source: str
+    dims: str
+    staged: str
+    partitions: dict
+    lines: dict
+
+    def holds(self, scenario_id: int, year: int) -> bool:
+        return _partition(scenario_id, year) in self.partitions
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer has committed since this one began; nothing was changed."""
+
+
+def _partition(scenario_id: int, year: int) -> str:
+    return f"scenario_id={scenario_id}/year={year}"
+
+
+def _commits(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, f"{path}/commits")
     if not fs.exists(p):
-        return None
-    names = sorted(st.getPath().getName() for st in fs.listStatus(p))
-    return f"{path}/{names[-1]}" if names else None
+        return []
+    return sorted(n for n in (st.getPath().getName() for st in fs.listStatus(p)) if n.endswith(".json"))
+
 
+def read_manifest(spark: SparkSession, path: str, name: str) -> Manifest:
+    fs, p = _fs(spark, f"{path}/commits/{name}")
+    stream = fs.open(p)
+    try:
+        return Manifest(**json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
 
-def commit(spark: SparkSession, path: str, version: str) -> None:
-    fs, p = _fs(spark, f"{path}/commits/{version}")
-    fs.create(p, False).close()
+
+def current(spark: SparkSession, path: str) -> Manifest | None:
+    """The newest committed state, or None."""
+    names = _commits(spark, path)
+    return read_manifest(spark, path, names[-1]) if names else None
+
+
+def commit(spark: SparkSession, path: str, manifest: Manifest) -> None:
+    """Publish a manifest under its number: written aside whole, then renamed, which fails if the number is taken."""
+    jvm = spark.sparkContext._jvm
+    fs, aside = _fs(spark, f"{path}/commits/.{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(bytearray(json.dumps(asdict(manifest)).encode()))
+    out.close()
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}/commits/{manifest.number:012d}.json")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri() if aside.toUri().getScheme() else fs.getUri(),
+                                                                  spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(aside, target, none)
+    except Exception as e:
+        fs.delete(aside, False)
+        if fs.exists(target):
+            raise ConcurrentCommit(f"{target.toString()} was committed by another writer") from e
+        raise
 
 
 MAX_RECORDS_PER_FILE = 5_000_000
@@ -113,10 +164,16 @@ def write_fact(fact: DataFrame, path: str) -> None:
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """Read with the declared schema (partition columns included): no inference job."""
-    schema = T.StructType(FACT_SCHEMA.fields + [T.StructField("year", T.IntegerType(), True)])
-    return spark.read.schema(schema).parquet(path).select(*FACT_COLUMNS, "year")
+_FACT_WITH_YEAR = T.StructType(FACT_SCHEMA.fields + [T.StructField("year", T.IntegerType(), True)])
+
+
+def read_fact(spark: SparkSession, path: str, manifest: Manifest) -> DataFrame:
+    """The fact that a manifest describes, with the declared schema: no inference job, and filters prune partitions."""
+    if not manifest.partitions:
+        return spark.createDataFrame([], _FACT_WITH_YEAR)
+    folders = [f"{path}/fact/load={p['load']}/{k}" for k, p in sorted(manifest.partitions.items())]
+    rows = spark.read.schema(_FACT_WITH_YEAR).option("basePath", f"{path}/fact").parquet(*folders)
+    return rows.select(*FACT_COLUMNS, "year")
 
 
 # Dimensions derived from the order tables, stored next to the fact so that reports never
@@ -133,40 +190,191 @@ STORED_DIMS = {
 
 def _write_dim(df: DataFrame, path: str, name: str) -> None:
     schema = STORED_DIMS[name][1]
-    df.select(*schema.fieldNames()).coalesce(1).write.parquet(f"{path}/dims/{name}")
+    df.select(*schema.fieldNames()).coalesce(1).write.parquet(f"{path}/{name}")
 
 
 def _read_dim(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(STORED_DIMS[name][1]).parquet(f"{path}/dims/{name}")
+    return spark.read.schema(STORED_DIMS[name][1]).parquet(f"{path}/{name}")
 
 
 def read_dims(spark: SparkSession, path: str) -> dict:
     return {attr: _read_dim(spark, path, name) for name, (attr, _) in STORED_DIMS.items()}
 
 
-def load(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Write the dimensions and the fact under a fresh version folder, reconcile, then commit it.
+STAGED_SCHEMA = T.StructType(
+    [T.StructField(k, T.IntegerType()) for k in LEDGER_KEYS] + [T.StructField(k, t) for k, t in zip(LINE_KEYS, (T.LongType(), T.IntegerType()), strict=True)]
+    + [T.StructField("reason", T.StringType()), T.StructField("amount_eur", T.DecimalType(22, 2)), T.StructField("lines", T.LongType()),
+       T.StructField("rejected", T.BooleanType())])
+
+
+def read_staged(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """What one pass over the order lines has left: accepted amounts at the grain, and each rejected line with its reason."""
+    return spark.read.schema(STAGED_SCHEMA).parquet(f"{path}/staged/{run}")
+
+
+def _stage(spark: SparkSession, sf_dir: str, path: str, run: str, dims: Model, years: tuple[int, int] | None = None):
+    """Pass over the order lines once: write the staged ledger; returns lines read, first and last shipment date."""
+    seen = Observation()
+    lines = classified_lines(spark, sf_dir, dims, years, seen)
+    staged = staged_ledger(lines).select(*[F.col(f.name).cast(f.dataType) for f in STAGED_SCHEMA.fields[:-1]], F.col("reason").isNotNull().alias("rejected"))
+    staged.write.partitionBy("rejected").parquet(f"{path}/staged/{run}")
+    got = seen.get
+    return got["lines"], got["first"], got["last"]
+
 
-    The calendar's bounds need one scan of the shipment dates; the rate table is
-    derived from the stored calendar and the fact's rate join reads the stored
-    rates, so that scan happens once per load.  A ledger whose actual amounts don't
-    add up to those of the order lines is not committed: the load fails.
+def _unrated(actual: DataFrame, dims: Model) -> DataFrame:
+    """Accepted amounts of months in which their currency has no rate yet."""
+    rates = fx.rates_asof(month_end_spine(dims.dates), dims.rates).select("date_id", "currency_id")
+    return actual.join(F.broadcast(rates), ["date_id", "currency_id"], "left_anti")
+
+
+def _rated(actual: DataFrame, dims: Model) -> DataFrame:
+    rates = fx.rates_asof(month_end_spine(dims.dates), dims.rates).select("date_id", "currency_id")
+    return actual.join(F.broadcast(rates), ["date_id", "currency_id"], "left_semi")
+
+
+def line_counts(staged: DataFrame, dims: Model) -> DataFrame:
+    """outcome ("accepted" or a reason), lines, amount: what became of every order line."""
+    accepted = staged.where("NOT rejected")
+    parts = [_rated(accepted, dims).select(F.lit("accepted").alias("outcome"), "lines", "amount_eur"),
+             _unrated(accepted, dims).select(F.lit("no_rate").alias("outcome"), "lines", "amount_eur"),
+             staged.where("rejected").select(F.col("reason").alias("outcome"), "lines", "amount_eur")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("outcome").agg(F.sum("lines").alias("lines"), F.coalesce(F.sum("amount_eur"), F.lit(0)).cast("decimal(38,2)").alias("amount"))
+
+
+def _written(spark: SparkSession, path: str, run: str) -> dict:
+    """Manifest entries of the partitions that a run has written."""
+    fs, p = _fs(spark, f"{path}/fact/load={run}")
+    if not fs.exists(p):
+        return {}
+    rows = spark.read.schema(_FACT_WITH_YEAR).parquet(f"{path}/fact/load={run}").groupBy(*PARTITION_COLUMNS).agg(
+        F.count("*").alias("n"), F.sum("amount_eur").cast("decimal(38,2)").alias("amount")).collect()
+    return {_partition(r.scenario_id, r.year): {"load": run, "rows": r.n, "amount": str(r.amount)} for r in rows}
+
+
+def _next(spark: SparkSession, path: str) -> int:
+    names = _commits(spark, path)
+    return int(names[-1].split(".")[0]) + 1 if names else 0
+
+
+def _new_run() -> str:
+    return f"r{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def load(spark: SparkSession, sf_dir: str, path: str | None = None, rates: DataFrame | None = None) -> Manifest:
+    """Build the whole ledger from the order tables and commit it.
+
+    One pass over the lines gives the accepted amounts, the rejected lines with their reasons, the number of lines
+    and the calendar's bounds; the rest works on the ledger grain.  ``rates`` replaces the drawn rate table; a month
+    without a rate takes the last known one.  The load fails, and commits nothing, unless every line read was
+    accepted or rejected once and the actuals add up to the accepted amounts to the cent.
     """
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    at = f"{path}/{version}"
-    dims = ledger_dims(spark, sf_dir)
-    _write_dim(dims.dates, at, "dim_date")
-    dates = _read_dim(spark, at, "dim_date")
-    _write_dim(fx.rate_table(month_end_spine(dates), fx.bands(spark), FX_SEED), at, "dim_currency")
-    rates = _read_dim(spark, at, "dim_currency")
+    path = path or ledger_path(spark, sf_dir)
+    number, source, run = _next(spark, path), source_key(spark, sf_dir), _new_run()
+    at, dims = f"{path}/dims/{run}", source_dims(spark, sf_dir)
     for name, attr in [("dim_channel", "channels"), ("dim_segment", "segments"), ("dim_product", "products")]:
         _write_dim(getattr(dims, attr), at, name)
-    write_fact(ledger_fact(spark, sf_dir, replace(dims, dates=dates, rates=rates)), f"{at}/fact")
-    check = reconciliation(source_total(spark, sf_dir), read_fact(spark, f"{at}/fact")).first()
-    if not check.reconciled:
-        raise RuntimeError(f"ledger not committed: order lines hold {check.source_amount}, actuals {check.ledger_amount}")
-    commit(spark, path, version)
-    return at
+        dims = replace(dims, **{attr: _read_dim(spark, at, name)})
+    read, first, last = _stage(spark, sf_dir, path, run, dims)
+    _write_dim(ledger_calendar(spark, first, last), at, "dim_date")
+    dates = _read_dim(spark, at, "dim_date")
+    drawn = rates if rates is not None else fx.rate_table(month_end_spine(dates), fx.bands(spark), FX_SEED)
+    _write_dim(drawn, at, "dim_currency")
+    dims = replace(dims, dates=dates, rates=_read_dim(spark, at, "dim_currency"))
+    staged = read_staged(spark, path, run)
+    counts = {r.outcome: (r.lines, r.amount) for r in line_counts(staged, dims).collect()}
+    found = sum(n for n, _ in counts.values())
+    if found != read:  # a task that ran twice counts twice in an observation: count exactly before failing
+        read = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    if found != read:
+        raise RuntimeError(f"ledger not committed: {read} order lines gave {found} accepted and rejected ones (doubled keys?)")
+    write_fact(posted(_rated(staged.where("NOT rejected"), dims), dims), f"{path}/fact/load={run}")
+    partitions = _written(spark, path, run)
+    actuals = sum((Decimal(p["amount"]) for k, p in partitions.items() if k.startswith("scenario_id=1/")), Decimal(0))
+    accepted = counts.get("accepted", (0, Decimal(0)))[1]
+    if actuals != accepted:
+        raise RuntimeError(f"ledger not committed: accepted lines hold {accepted}, actuals {actuals}")
+    lines = {"read": read, "outcomes": {k: n for k, (n, _) in sorted(counts.items())}}
+    manifest = Manifest(number, source, run, run, partitions, lines)
+    commit(spark, path, manifest)
+    return manifest
+
+
+#: Scenarios derived from the actuals of the year before, and of the year before and the same year.
+_FROM_YEAR_BEFORE, _FROM_BOTH = (2, 5, 6), (7,)
+
+
+def dependents(year: int) -> list[tuple[int, int]]:
+    """Scenario-years that are derived from the actuals of ``year``."""
+    return [(s, year + 1) for s in (*_FROM_YEAR_BEFORE, *_FROM_BOTH)] + [(s, year) for s in _FROM_BOTH]
+
+
+def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> bool:
+    a, b = a.select(*columns), b.select(*columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def reload(spark: SparkSession, sf_dir: str, partitions: list[tuple[int, int]], cascade: bool = False) -> Manifest:
+    """Derive the given (scenario_id, year) partitions anew from the sources as they are now; the others stay as they are.
+
+    Actuals come from the lines shipped in that year, the other scenarios from the ledger's actuals (those reloaded
+    with them, if any).  ``cascade`` adds the scenarios that depend on a reloaded year of actuals.  The caller answers for
+    the sources having changed in these years only.  Doing it again gives the same ledger; a reload that dies leaves
+    the committed one.  New segments, brands or nations, or a year outside the calendar, need a full load and are
+    refused.  A partition that has no rows any more leaves the manifest.
+    """
+    path = ledger_path(spark, sf_dir)
+    before = current(spark, path)
+    if before is None:
+        raise RuntimeError("there is no ledger yet; load it first")
+    wanted = set(partitions) | {d for s, y in partitions if cascade and s == 1 for d in dependents(y)}
+    dims = Model(fact=None, scenarios=scenario_dim(spark), items=budget_items(spark), **read_dims(spark, f"{path}/dims/{before.dims}"))
+    years = {r.year for r in dims.dates.select("year").distinct().collect()}  # of the calendar
+    wanted = {(s, y) for s, y in wanted if y in years or (s, y) in partitions}
+    now = source_dims(spark, sf_dir)
+    if not ({y for _, y in wanted} <= years and _same(now.channels, dims.channels, CHANNEL_SCHEMA.fieldNames())
+            and _same(now.segments, dims.segments, ["segment_id", "segment_name"]) and _same(now.products, dims.products, ["product_id", "product_name"])):
+        raise RuntimeError("the dimensions have changed; a full load is needed")
+    run, source = _new_run(), source_key(spark, sf_dir)
+    fresh = sorted(y for s, y in wanted if s == 1)
+    kept = {y - d for s, y in wanted if s != 1 for d in ((1, 0) if s in _FROM_BOTH else (1,))} - set(fresh)
+    amounts = ["amount_eur"]
+    fact = read_fact(spark, path, before)
+    actual = fact.where((F.col("scenario_id") == 1) & F.col("year").isin(sorted(kept))).select(*LEDGER_KEYS, *amounts)
+    if fresh:
+        _stage(spark, sf_dir, path, run, dims, (fresh[0], fresh[-1]))
+        staged = read_staged(spark, path, run).where("NOT rejected").where(fd.year_of("date_id").isin(fresh))
+        actual = actual.unionByName(_rated(staged, dims).select(*LEDGER_KEYS, *amounts))
+    mine = F.struct("scenario_id", fd.year_of("date_id")).isin([F.struct(F.lit(s), F.lit(y)) for s, y in sorted(wanted)])
+    write_fact(posted(actual, dims).where(mine), f"{path}/fact/load={run}")
+    written = _written(spark, path, run)
+    rest = {k: p for k, p in before.partitions.items() if k not in {_partition(s, y) for s, y in wanted}}
+    manifest = replace(before, number=before.number + 1, source=source, partitions=rest | written)
+    commit(spark, path, manifest)
+    return manifest
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
+    """Delete what the last ``keep`` commits don't use: older commits, and the files of loads that are in none of them.
+
+    Only to be run while no other writer is at work (a load's files are unused until it commits).  Returns the loads deleted.
+    """
+    names = _commits(spark, path)
+    manifests = [read_manifest(spark, path, n) for n in names[-keep:]]
+    used = {m.dims for m in manifests} | {m.staged for m in manifests} | {p["load"] for m in manifests for p in m.partitions.values()}
+    gone = set()
+    for folder, prefix in (("fact", "load="), ("dims", ""), ("staged", "")):
+        fs, p = _fs(spark, f"{path}/{folder}")
+        for st in fs.listStatus(p) if fs.exists(p) else []:
+            run = st.getPath().getName().removeprefix(prefix)
+            if run not in used:
+                fs.delete(st.getPath(), True)
+                gone.add(run)
+    for n in names[:-keep]:
+        fs, p = _fs(spark, f"{path}/commits/{n}")
+        fs.delete(p, False)
+    return sorted(gone)
 
 
 _MODELS: dict = {}
@@ -176,23 +384,29 @@ _LOCK = threading.Lock()
 def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Model:
     """The ledger model read from the stored tables: partitioned fact plus stored dimensions.
 
-    The adapter is only planned when there is no committed version (or ``rebuild``
-    asks for a new one); the lazy model is memoized per
-    session and ledger path (DataFrames are immutable plans).  The fact carries
-    ``year`` (a partition column) and ``month`` besides the schema columns.
+    The adapter is only planned when there is no committed ledger of the sources as they are (or ``rebuild`` asks for a
+    new one); the lazy model is memoized per session and commit (DataFrames are immutable plans).  The fact
+    carries ``year`` (a partition column) and ``month`` besides the schema columns.
     """
     path = ledger_path(spark, sf_dir)
-    key = (id(spark), path)
     with _LOCK:  # jobs of one process may run in threads; one of them loads the ledger
-        hit = _MODELS.get(key)
-        if hit is not None and hit[0] is spark and not rebuild:
-            return hit[1]
-        for old in [k for k, (s, _) in _MODELS.items() if s is not spark]:
+        for old in [k for k, (s, *_) in _MODELS.items() if s is not spark]:
             del _MODELS[old]  # plans of sessions that have ended
-        at = None if rebuild else current_version(spark, path)
-        at = at or load(spark, sf_dir, path)
-        fact = read_fact(spark, f"{at}/fact").withColumn("month", fd.month_of("date_id"))
+        manifest = None if rebuild else current(spark, path)
+        if manifest is None or manifest.source != source_key(spark, sf_dir):
+            manifest = load(spark, sf_dir, path)
+        hit = _MODELS.get(path)
+        if hit is not None and hit[1] == manifest.number:
+            return hit[2]
+        fact = read_fact(spark, path, manifest).withColumn("month", fd.month_of("date_id"))
         model = Model(fact=fact, scenarios=scenario_dim(spark), items=budget_items(spark),
-                      **read_dims(spark, at))
-        _MODELS[key] = (spark, model)
+                      **read_dims(spark, f"{path}/dims/{manifest.dims}"))
+        _MODELS[path] = (spark, manifest.number, model)
         return model
+
+
+def load_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_counts`` of the last full load of the ledger that ``stored_model`` reads."""
+    dims = stored_model(spark, sf_dir)
+    path = ledger_path(spark, sf_dir)
+    return line_counts(read_staged(spark, path, current(spark, path).staged), dims)

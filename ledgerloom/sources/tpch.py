@@ -6,7 +6,7 @@ Mapping (ours; the ledger semantics are the source model's):
 * ``channel_id``     supplier nation (+1); country = nation, region = region
 * ``currency_id``    ``n_regionkey % 3 + 1`` of the supplier nation
 * ``segment_id``     customer market segment, ranked alphabetically from 1
-* ``product_id``     part brand number
+* ``product_id``     brands, ranked alphabetically from 1
 * ``budget_item_id`` k-th posting leaf in sort order, k = (l_partkey + l_linenumber) % 31
 * ``amount_eur``     extended price net of discount, exact cents, summed to grain
 
@@ -24,7 +24,7 @@ an explicit broadcast hint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as fd
@@ -113,21 +113,21 @@ def segment_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("description"))
 
 
-def product_key(brand):
-    """Number at the end of a brand; a brand without one (NULL) is left out and shows in the load reconciliation."""
-    return F.regexp_extract(brand, r"(\d+)$", 1).try_cast("int")
+def product_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_brand, product_id): distinct brands ranked alphabetically; parts without a brand have no product."""
+    brands = table(spark, sf_dir, "part").select("p_brand").where("p_brand IS NOT NULL").distinct()
+    return brands.select("p_brand", F.dense_rank().over(Window.orderBy("p_brand")).cast("int").alias("product_id"))
 
 
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    brands = table(spark, sf_dir, "part").select("p_brand").distinct()
-    pid = product_key(F.col("p_brand"))
+    pid = F.col("product_id")
     cat = F.element_at(F.array(*[F.lit(c) for c in PRODUCT_CATEGORIES]),
                        (F.pmod(pid - 1, F.lit(4)) + 1).cast("int"))
     sub = F.when(F.pmod(pid, F.lit(5)) == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("Tier "), (F.pmod(pid - 1, F.lit(3)) + 1).cast("string")))
-    return brands.select(pid.alias("product_id"), F.col("p_brand").alias("product_name"),
-                         cat.alias("product_category"), sub.alias("product_subcategory"),
-                         F.lit(True).alias("is_active"))
+    return product_map(spark, sf_dir).select(pid, F.col("p_brand").alias("product_name"),
+                                             cat.alias("product_category"), sub.alias("product_subcategory"),
+                                             F.lit(True).alias("is_active"))
 
 
 def scenario_dim(spark: SparkSession) -> DataFrame:
@@ -148,44 +148,65 @@ def source_total(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 F.sum(line_amount()).cast("decimal(38,2)").alias("source_amount"))
 
 
-def actual_lines(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
-    """Line-level actual postings with ledger keys (before aggregation)."""
-    items = items if items is not None else budget_items(spark)
+#: Why a line can't be posted; the first reason that holds counts.
+REASONS = ["no_date", "no_amount", "no_order", "no_customer", "no_part", "no_brand", "no_supplier", "no_channel"]
+LEDGER_KEYS = ["date_id", "channel_id", "segment_id", "product_id", "currency_id", "budget_item_id"]
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def classified_lines(spark: SparkSession, sf_dir: str, dims: Model, years: tuple[int, int] | None = None, seen: Observation | None = None) -> DataFrame:
+    """Every order line with its ledger keys, its amount and, if it can't be posted, a reason (see REASONS).
+
+    ``dims`` holds the channels, segments and products (names and ids).  All joins keep the line: a line that finds
+    no partner gets a reason instead.  ``years`` (first, last) restricts the lines by shipment date, down to the scan.  ``seen``
+    observes what the scan has read: lines, first and last shipment date.
+    """
+    items = dims.items
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount",
         "l_shipdate")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    # market segments and nations are looked up in bounded maps: no shuffle on a key of few values
+    if years:
+        li = li.where((F.col("l_shipdate") >= F.lit(f"{years[0]}-01-01").cast("timestamp_ntz"))
+                      & (F.col("l_shipdate") < F.lit(f"{years[1] + 1}-01-01").cast("timestamp_ntz")))
+    if seen is not None:
+        day = F.col("l_shipdate").cast("date")
+        li = li.observe(seen, F.count(F.lit(1)).alias("lines"), F.min(day).alias("first"), F.max(day).alias("last"))
+    # market segments, brands and nations are looked up in bounded maps: no shuffle on a key of few values
+    seg = small(dims.segments.select(F.col("segment_name").alias("c_mktsegment"), "segment_id"))
     cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-            .join(small(segment_map(spark, sf_dir)), "c_mktsegment").select("c_custkey", "segment_id"))
-    order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "segment_id")
+            .join(seg, "c_mktsegment", "left").select("c_custkey", "segment_id"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select("o_orderkey", "segment_id")
+    brand = small(dims.products.select(F.col("product_name").alias("p_brand"), "product_id"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand").join(brand, "p_brand", "left").select("p_partkey", "product_id")
+    channel = small(channel_dim(spark, sf_dir).select("channel_id", "currency_id"))
     supp = (table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(small(channel_dim(spark, sf_dir).select("channel_id", "currency_id")),
-                  F.col("s_nationkey") + 1 == F.col("channel_id"))
-            .select("s_suppkey", "channel_id", "currency_id"))
-    part = table(spark, sf_dir, "part").select("p_partkey", product_key(F.col("p_brand")).alias("product_id"))
+            .join(channel, F.col("s_nationkey") + 1 == F.col("channel_id"), "left").select("s_suppkey", "channel_id", "currency_id"))
     slots = F.broadcast(leaf_slots(items).select("slot", "budget_item_id"))
     n_leaves = leaves(items).count()  # one number of the chart of accounts
 
-    lines = li.select(
-        "l_orderkey", "l_partkey", "l_suppkey",
-        fd.date_key(F.last_day(F.col("l_shipdate").cast("date"))).alias("date_id"),
-        F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(n_leaves)).cast("int").alias("slot"),
-        line_amount().alias("amount"))
-    return (lines
-            .join(order_seg, lines.l_orderkey == order_seg.o_orderkey)
-            .join(part, lines.l_partkey == part.p_partkey)
-            .join(supp, lines.l_suppkey == supp.s_suppkey)
-            .join(slots, "slot")
-            .select("date_id", "channel_id", "segment_id", "product_id", "currency_id",
-                    "budget_item_id", "amount"))
+    lines = li.withColumns({
+        "date_id": fd.date_key(F.last_day(F.col("l_shipdate").cast("date"))),
+        "slot": F.pmod(F.col("l_partkey") + F.col("l_linenumber"), F.lit(n_leaves)).cast("int"),
+        "amount": line_amount()})
+    joined = (lines.join(order_seg, lines.l_orderkey == order_seg.o_orderkey, "left")
+              .join(part, lines.l_partkey == part.p_partkey, "left")
+              .join(supp, lines.l_suppkey == supp.s_suppkey, "left")
+              .join(slots, "slot", "left"))
+    missing = ["date_id", "amount", "o_orderkey", "segment_id", "p_partkey", "product_id", "s_suppkey", "channel_id"]
+    reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(r)) for r, c in zip(REASONS, missing, strict=True)])
+    return joined.select(*LEDGER_KEYS, "amount", *LINE_KEYS, "l_shipdate", reason.alias("reason"))
 
 
-def actual_ledger(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
-    """Actual amounts at the ledger grain (scenario 1), exact cents."""
-    keys = ["date_id", "channel_id", "segment_id", "product_id", "currency_id", "budget_item_id"]
-    return (actual_lines(spark, sf_dir, items).groupBy(*keys)
-            .agg(money(F.sum("amount")).alias("amount_eur")))
+def staged_ledger(lines: DataFrame) -> DataFrame:
+    """Classified lines in one aggregation: accepted ones summed to the ledger grain (reason null), rejected ones by themselves.
+
+    Columns: the ledger keys, the line's keys (null if accepted), reason, amount_eur, lines.
+    """
+    bad = F.col("reason").isNotNull()
+    keys = [F.when(~bad, F.col(k)).alias(k) for k in LEDGER_KEYS] + [F.when(bad, F.col(k)).alias(k) for k in LINE_KEYS]
+    return (lines.select(*keys, "reason", "amount").groupBy(*LEDGER_KEYS, *LINE_KEYS, "reason")
+            .agg(money(F.sum("amount")).alias("amount_eur"), F.count(F.lit(1)).alias("lines")))
 
 
 def with_plan_scenarios(actual: DataFrame) -> DataFrame:
@@ -232,40 +253,32 @@ def daily_adjust(items: DataFrame) -> DataFrame:
     return items.select("budget_item_id", expr.otherwise(dec("1.00", 3, 2)).alias("adj"))
 
 
-def ledger_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ledger_calendar(spark: SparkSession, first, last) -> DataFrame:
     """Whole years from the first shipment through the year after the last (plans reach +12 months)."""
-    d = F.col("l_shipdate").cast("date")
-    bounds = table(spark, sf_dir, "lineitem").agg(F.min(d).alias("lo"), F.max(F.add_months(d, 12)).alias("hi"))
-    return calendar_for_bounds(bounds)
+    bounds = spark.createDataFrame([(first, last)], "lo date, last date")
+    return calendar_for_bounds(bounds.select("lo", F.add_months("last", 12).alias("hi")))
 
 
-def ledger_dims(spark: SparkSession, sf_dir: str) -> Model:
-    """The seven dimensions of the adapter ledger (lazy); ``fact`` is left as None."""
-    items = budget_items(spark)
-    cal = ledger_calendar(spark, sf_dir)
-    rates = fx.rate_table(month_end_spine(cal), fx.bands(spark), FX_SEED)
-    ch = channel_dim(spark, sf_dir).drop("currency_id")
-    return Model(fact=None, dates=cal, channels=ch, segments=segment_dim(spark, sf_dir),
-                 products=product_dim(spark, sf_dir), rates=rates,
-                 scenarios=scenario_dim(spark), items=items)
+def source_dims(spark: SparkSession, sf_dir: str) -> Model:
+    """Channels, segments and products of the order tables, and the fixed dimensions; no calendar, rates or fact."""
+    return Model(fact=None, dates=None, channels=channel_dim(spark, sf_dir).drop("currency_id"), segments=segment_dim(spark, sf_dir),
+                 products=product_dim(spark, sf_dir), rates=None, scenarios=scenario_dim(spark), items=budget_items(spark))
 
 
-def ledger_fact(spark: SparkSession, sf_dir: str, dims: Model) -> DataFrame:
-    """The adapter fact: actual rows at the grain, plan scenarios, daily-average and nominal amounts."""
+def posted(actual: DataFrame, dims: Model) -> DataFrame:
+    """Fact rows from actual amounts at the grain: plan scenarios, daily averages and nominal amounts.
+
+    Nominal amounts use the month's rate or, without one, the last known before it; a row whose currency has no
+    rate yet has NULL nominal amounts.
+    """
     from decimal import Decimal
 
     from .model import FACT_COLUMNS, default_fill
 
-    items = dims.items
-    base = with_plan_scenarios(actual_ledger(spark, sf_dir, items))
-    base = (base.join(F.broadcast(daily_adjust(items)), "budget_item_id")
+    base = with_plan_scenarios(actual)
+    base = (base.join(F.broadcast(daily_adjust(dims.items)), "budget_item_id")
             .withColumn("daily_avg_eur", money(F.col("amount_eur") * F.col("adj"))).drop("adj"))
+    rates = fx.rates_asof(month_end_spine(dims.dates), dims.rates)
     # column DEFAULTs of the fact (omitted amounts are 0.00 on insert)
-    return default_fill(fx.add_nominal(base, dims.rates),
+    return default_fill(fx.add_nominal(base, rates),
                         {"amount_eur": Decimal("0.00"), "amount_nominal": Decimal("0.00")}).select(*FACT_COLUMNS)
-
-
-def ledger_model(spark: SparkSession, sf_dir: str) -> Model:
-    """The full ledger star built from the order tables (all lazy)."""
-    dims = ledger_dims(spark, sf_dir)
-    return dims.with_fact(ledger_fact(spark, sf_dir, dims))

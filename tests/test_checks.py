@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import checks, counts
+from ledgerloom.operators import checks, counts, variance
 from ledgerloom.sources import fixed
 from ledgerloom.sources.reference import reference_model
 
@@ -49,8 +49,13 @@ def test_planted_faults_are_found(spark):
     assert _v(checks.rate_key(bad.fact, bad.rates))["fact_rate_id"] == 1
     assert _v(checks.nominal_recon(bad.fact, bad.rates))["nominal_recon"] >= 1
     assert _v(checks.nonneg(bad.fact, ["amount_eur"]))["amount_eur"] == 1
-    months = checks.scenario_months(m.fact).collect()
-    assert months[0].months == 3 and not months[0].complete
+    actuals = checks.scenario_months(variance.validity(m.fact, m.scenarios)).first()
+    assert actuals.months == 3 and actuals.year_set and actuals.fiscal_year is None
+    plan = variance.validity(m.fact.withColumn("scenario_id", F.lit(2)), m.scenarios)
+    assert not checks.scenario_months(plan).first().complete
+    stray = checks.scenario_months(plan.withColumns({"last_month": F.lit(20230131), "fiscal_year": F.lit(2022)})).first()
+    assert stray.year_set and not stray.in_year
+    assert not checks.scenario_months(plan.withColumn("fiscal_year", F.lit(None).cast("int"))).first().year_set
 
 
 def test_rate_range_flags_band_overshoot(spark):
