@@ -158,15 +158,16 @@ def _runs(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([runs, pa.array([c for _, c in rows], pa.string())], ["runs", "collapsed"])
 
 
-def with_runs(rows: DataFrame, text: Column, name: str = "periodic") -> DataFrame:
-    """All columns, and a struct column ``name``: ``runs`` (start, length, period in words, by start then period)
+def with_runs(rows: DataFrame, text: Column, name: str = "periodic", keep: list[str] | None = None) -> DataFrame:
+    """All columns (or those of ``keep``), and a struct column ``name``: ``runs`` (start, length, period in words, by start then period)
     and ``collapsed`` (the kept words joined by one blank: of each run only its first period stays).
 
     Null, empty and blank texts have no runs and an empty collapsed text.  Every row is handled by itself, so
     repeated rows, ties and null ids give equal results; an empty table gives an empty one.  Other columns stay as
     they are; only a column that already has the name ``name`` is replaced.
     """
-    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != name]).alias("row"), text.alias("text"))
+    kept = [c for c in (rows.columns if keep is None else keep) if c != name]
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text.alias("text"))
     schema = T.StructType([packed.schema["row"], T.StructField(name, T._parse_datatype_string(OUT))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,8 +204,8 @@ def with_planted(doc_id: Column, text: Column) -> Column:
 
 def query(spark, sf_dir):
     """Runs of every document, with its planted repetition."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", with_planted(F.col("doc_id"), F.col("text")).alias("text"))
-    out = with_runs(docs, F.col("text")).select("doc_id", F.col("periodic.runs").alias("runs"), F.col("periodic.collapsed").alias("collapsed"))
+    docs = table(spark, sf_dir, "documents")
+    out = with_runs(docs, with_planted(F.col("doc_id"), F.col("text")), keep=["doc_id"]).select("doc_id", F.col("periodic.runs").alias("runs"), F.col("periodic.collapsed").alias("collapsed"))
     lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
     out = out.withColumn("best", longest(F.col("runs")))
     return out.select(
