@@ -122,6 +122,44 @@ def coverage(fact: DataFrame, matrix: DataFrame) -> DataFrame:
                    _one("allowed_missing", matrix.select(*keys).join(combos, keys, "left_anti"))])
 
 
+def rule_coverage(fact: DataFrame, channels: DataFrame, rules: DataFrame) -> DataFrame:
+    """Bookings against a table of rules, both ways, by channel type and segment.
+
+    ``rules``: channel_type, segment_id, pairs (array of distinct (product_id, currency_id)), one row each.  A booked
+    combination is allowed if its pair is in its rule's array; rules are not unfolded.  Returns allowed (pairs of the
+    rule), booked (allowed ones that are booked), missing (allowed, not booked), outside (booked, not allowed) and
+    outside_rows.  Bookings of a channel type and segment without a rule are outside, rules without bookings missing.
+    """
+    group, pair = ["channel_type", "segment_id"], F.struct("product_id", "currency_id")
+    combos = fact.groupBy("channel_id", "segment_id", "product_id", "currency_id").agg(F.count(F.lit(1)).alias("n"))
+    types = channels.select("channel_id", "channel_type")
+    booked = combos.join(types, "channel_id", "left").groupBy(*group, "product_id", "currency_id").agg(F.sum("n").alias("n"))
+    # rules are bounded by channel types x segments
+    j = booked.join(F.broadcast(rules.select(*group, "pairs")), group, "left")
+    inside = F.coalesce(F.array_contains("pairs", pair), F.lit(False))
+    seen = j.groupBy(*group).agg(F.count_if(inside).alias("booked"), F.count_if(~inside).alias("outside"), F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outside_rows"))
+    zero = F.lit(0).cast("long")
+    both = rules.select(*group, F.size("pairs").cast("long").alias("allowed")).join(seen, group, "full")
+    counts_ = {c: F.coalesce(c, zero) for c in ("allowed", "booked", "outside", "outside_rows")}
+    return both.withColumns(counts_).select(*group, "allowed", "booked", (F.col("allowed") - F.col("booked")).alias("missing"), "outside", "outside_rows")
+
+
+def rule_breaches(fact: DataFrame, channels: DataFrame, rules: DataFrame) -> DataFrame:
+    """breach (outside or missing), channel_type, segment_id, product_id, currency_id, fact_rows: the combinations themselves.
+
+    A rule's missing pairs are its array less the set of its booked pairs, which is no longer than the array.
+    """
+    group, pair = ["channel_type", "segment_id"], F.struct("product_id", "currency_id")
+    combos = fact.groupBy("channel_id", "segment_id", "product_id", "currency_id").agg(F.count(F.lit(1)).alias("n"))
+    booked = combos.join(channels.select("channel_id", "channel_type"), "channel_id", "left").groupBy(*group, "product_id", "currency_id").agg(F.sum("n").alias("n"))
+    r = F.broadcast(rules.select(*group, "pairs"))
+    j = booked.join(r, group, "left").withColumn("inside", F.coalesce(F.array_contains("pairs", pair), F.lit(False)))
+    outside = j.where("NOT inside").select(F.lit("outside").alias("breach"), *group, "product_id", "currency_id", F.col("n").alias("fact_rows"))
+    found = j.where("inside").groupBy(*group).agg(F.collect_set(pair).alias("found"))
+    left = rules.join(found, group, "left").select(*group, F.explode(F.when(F.col("found").isNull(), F.col("pairs")).otherwise(F.array_except("pairs", "found"))).alias("p"))
+    return outside.unionByName(left.select(F.lit("missing").alias("breach"), *group, "p.product_id", "p.currency_id", F.lit(0).cast("long").alias("fact_rows")))
+
+
 def plan_coverage(fact: DataFrame, keys: list[str], booked: int = 1, allowed: int = 2) -> DataFrame:
     """Booked combinations that the plan of the year doesn't hold, and planned ones without a booking.
 

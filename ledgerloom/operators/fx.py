@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates as fd
-from ..functions.numeric import MONEY_WIDE, RATE, dec, money, seeded_draw
+from ..functions.numeric import MONEY_SUM, MONEY_WIDE, RATE, dec, money, seeded_draw
 from ..sources import fixed
+from .counts import check_additive
 
 RATES_SCHEMA = T.StructType([
     T.StructField("rate_id", T.StringType(), False),
@@ -119,22 +120,34 @@ def add_nominal(base: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def measure_select(fact: DataFrame, keys: list[str], measures: list[str] | None = None) -> DataFrame:
-    """Unpivot the four amounts to (measure, amount): one report, interchangeable measures."""
+    """Sums of the four amounts by ``keys`` as (measure, amount): one report, interchangeable measures.
+
+    The amounts are summed first; only the sums are unpivoted.
+    """
     from ..sources.model import MEASURES
 
     ms = measures or MEASURES
-    return fact.unpivot(keys, ms, "measure", "amount")
+    check_additive(keys, ms)
+    sums = fact.groupBy(*keys).agg(*[F.sum(m).cast(MONEY_SUM).alias(m) for m in ms])
+    return sums.unpivot(keys, ms, "measure", "amount")
 
 
-def restate(fact: DataFrame, rates: DataFrame, currency_id: int, by: list[str], measure: str = "amount_eur") -> DataFrame:
-    """EUR amounts restated in ``currency_id`` at both rates: sum to (by, month) once, multiply once, cast once."""
+def restate(fact: DataFrame, rates: DataFrame, currency_ids: list[int], by: list[str], measure: str = "amount_eur") -> DataFrame:
+    """EUR amounts restated in each of ``currency_ids`` at both rates: sum to (by, month) once, multiply once, cast once.
+
+    A month without a rate takes the last known one; ``rate_date`` tells of which month, ``carried`` if that is an
+    earlier one.  Before a currency's first rate the restated amounts are NULL; no month is dropped.
+    """
     keys = list(dict.fromkeys(["date_id"] + by))
     monthly = fact.groupBy(*keys).agg(F.sum(measure).cast(MONEY_WIDE).alias("amount_eur"))
-    r = rates.filter(F.col("currency_id") == currency_id).select("date_id", "eom_rate", "daily_avg_rate")
-    return monthly.join(r, "date_id").select(
-        *keys, "amount_eur",
+    wanted = fact.sparkSession.createDataFrame([(c,) for c in currency_ids], "currency_id int")
+    r = rates_asof(monthly.select("date_id"), rates.join(F.broadcast(wanted), "currency_id", "left_semi"))
+    j = monthly.crossJoin(F.broadcast(wanted)).join(F.broadcast(r), ["date_id", "currency_id"], "left")
+    return j.select(
+        "currency_id", *keys, "amount_eur",
         *[money(F.col("amount_eur") * F.col(c)).cast("decimal(38,2)").alias(o)
-          for c, o in (("eom_rate", "restated_eom"), ("daily_avg_rate", "restated_avg"))])
+          for c, o in (("eom_rate", "restated_eom"), ("daily_avg_rate", "restated_avg"))],
+        "rate_date", (F.col("rate_date") < F.col("date_id")).alias("carried"))
 
 
 def cross_rates(rates: DataFrame) -> DataFrame:

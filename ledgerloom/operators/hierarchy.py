@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from ..sources import fixed
 
 
@@ -47,6 +48,32 @@ def closure(items: DataFrame) -> DataFrame:
                     "descendant_id", F.col("distance").cast("int").alias("distance")))
 
 
+def tree_closure(tree: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
+    """(ancestor_id, descendant_id, distance) for every ancestor-or-self pair of a tree given as a table.
+
+    Pointer doubling: after k rounds every node has its ancestors up to distance 2^k - 1 and a jump of 2^k; one join adds
+    the ancestors beyond, one doubles the jumps.  So a tree of any size takes log2(depth) rounds of joins on
+    stored tables, and nothing is gathered in one row.  A node that is its own ancestor and a node given twice raise
+    ValueError; a parent that is no node ends the chain, like NULL.
+    """
+    nodes = written(tree.select(F.col(node).alias("node"), F.col(parent).alias("to")), "tree")
+    n, distinct = nodes.agg(F.count("node"), F.count_distinct("node")).first()
+    if n != distinct:
+        raise ValueError("a node is given twice")
+    jump = written(nodes.where("to IS NOT NULL").join(nodes.select(F.col("node").alias("to")), "to", "left_semi").select("node", "to"), "jump")
+    pairs = nodes.where("node IS NOT NULL").select(F.col("node").alias("descendant_id"), F.col("node").alias("ancestor_id"), F.lit(0).alias("distance"))
+    span = 1
+    while not jump.isEmpty():
+        if span > n:  # a jump of more steps than there are nodes
+            raise ValueError("the tree has a cycle")
+        steps = jump.toDF("ancestor_id", "to")
+        further = pairs.join(steps, "ancestor_id").select("descendant_id", F.col("to").alias("ancestor_id"), (F.col("distance") + span).alias("distance"))
+        pairs = written(pairs.unionByName(further), "closure")
+        jump = written(jump.join(jump.toDF("to", "next"), "to").select("node", F.col("next").alias("to")), "jump")
+        span *= 2
+    return pairs.select("ancestor_id", "descendant_id", "distance")
+
+
 def formula_edges(items: DataFrame, formulas=fixed.FORMULA_NODES) -> DataFrame:
     """(node_id, leaf_id) for formula subtotals: P&L leaves with sort_order below the bound."""
     spark = items.sparkSession
@@ -86,13 +113,15 @@ def cached_edges(items: DataFrame, with_formulas: bool = True) -> DataFrame:
     return hit[1]
 
 
-def flatten(items: DataFrame) -> DataFrame:
-    """Ragged tree to level1..levelN names, path and depth; N is the depth of the tree.
+def flatten(items: DataFrame, pairs: DataFrame | None = None, levels: int | None = None) -> DataFrame:
+    """Ragged tree to level1..levelN names, path and depth, from its closure ``pairs``.
 
-    Short branches repeat their last name in the deeper levels.
+    Short branches repeat their last name in the deeper levels; deeper branches than ``levels`` keep their whole path.
+    Without ``levels`` the depth of the tree is looked up first.
     """
-    c = closure(items)
-    deepest = (c.agg(F.max("distance")).first()[0] or 0) + 1  # one number of a bounded dimension
+    c = closure(items) if pairs is None else pairs
+    if levels is None:
+        levels = (c.agg(F.max("distance")).first()[0] or 0) + 1
     names = items.select(F.col("budget_item_id").alias("ancestor_id"), F.col("item_name").alias("anc_name"))
     chain = F.reverse(F.array_sort(F.collect_list(F.struct("distance", "anc_name"))))  # root first
     agg = (c.join(names, "ancestor_id").groupBy("descendant_id").agg(chain.alias("chain"))
@@ -100,7 +129,7 @@ def flatten(items: DataFrame) -> DataFrame:
     return agg.select(
         F.col("descendant_id").alias("budget_item_id"),
         F.size("names").alias("depth"),
-        *[F.element_at("names", F.least(F.lit(i), F.size("names"))).alias(f"level{i}") for i in range(1, deepest + 1)],
+        *[F.element_at("names", F.least(F.lit(i), F.size("names"))).alias(f"level{i}") for i in range(1, levels + 1)],
         F.array_join("names", " > ").alias("path"))
 
 

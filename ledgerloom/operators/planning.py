@@ -10,7 +10,7 @@ without any shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as fd
@@ -166,15 +166,65 @@ def driven_plan(base: DataFrame, channels: DataFrame, items: DataFrame, season_s
 
 def growth_plan(base: DataFrame, factors: DataFrame, keys: list[str], measure: str = "amount_eur",
                 shift_years: int = 1) -> DataFrame:
-    """Plan of year y = base of year y - shift at the same month x factor(y), rounded per row.
+    """Plans of year y = base of year y - shift at the same month x factor, rounded per row.
 
-    ``factors`` is (year, factor) — bounded by the number of plan years, broadcast.
+    ``factors`` is (scenario_id, year, factor), bounded by scenarios and plan years and broadcast: a year may have
+    several plans, each its own factor, and a scenario another factor each year.
     """
     shifted = base.select(*keys, fd.shift_month_end("date_id", 12 * shift_years).alias("date_id"),
                           F.col(measure).alias("_base"))
     shifted = shifted.withColumn("year", fd.year_of("date_id"))
     j = shifted.join(F.broadcast(factors), "year")
-    return j.select(*keys, "date_id", "year", money(F.col("_base") * F.col("factor")).alias(measure))
+    return j.select("scenario_id", *keys, "date_id", "year", money(F.col("_base") * F.col("factor")).alias(measure))
+
+
+#: Parts that rows of equal remainder are dealt into before any of them is ranked.
+TIE_PARTS = 4096
+
+
+def apportion(rows: DataFrame, group: list[str], keys: list[str], exact: str, target: DataFrame, name: str = "amount_eur") -> DataFrame:
+    """Whole cents for every row so that each group adds up to its target (largest remainders).
+
+    ``exact`` is a row's share, a decimal of any scale and at least zero; ``target`` is (*group, target), bounded by the groups.
+    Every row gets its share rounded down to cents, and the cents that are left go one each to the rows with the
+    largest remainders (ties by md5 of ``keys``, then the keys).  ``keys`` identify a row within its group.  Groups
+    without a target are left out; a target that shares can't reach this way (less than the floors, or a cent a row more)
+    raises an error.
+
+    No group is ranked whole: counts by remainder (a bounded number of values) say which remainders get a cent, counts of hash
+    parts narrow the last remainder down, and only rows of one part of that remainder are sorted.
+    """
+    floors = F.floor(F.col(exact) * 100, 0).cast("decimal(38,0)")
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    cut = rows.withColumn("_floor", floors).withColumn("_rest", F.col(exact) * 100 - F.col("_floor")).withColumn("_digest", digest)
+    cut = cut.withColumn("_part", F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int"))
+    same = [*group]
+    totals = cut.groupBy(*same).agg(F.sum("_floor").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    left = (F.col("target") * 100 - F.col("_sum")).cast("long")
+    # targets are bounded by the groups, and so is everything below by groups x remainders (or x parts)
+    need = totals.join(F.broadcast(target), same).withColumn("_left", left)
+    need = need.withColumn("_left", F.when((F.col("_left") < 0) | (F.col("_left") > F.col("_n")), F.raise_error(F.lit("target out of reach of the shares")).cast("long")).otherwise(F.col("_left")))
+    by_rest = cut.groupBy(*same, "_rest").agg(F.count(F.lit(1)).alias("_k"))
+    before = F.coalesce(F.sum("_k").over(Window.partitionBy(*same).orderBy(F.desc("_rest")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edge = (by_rest.withColumn("_before", before).join(need.select(*same, "_left"), same)
+            .where((F.col("_before") <= F.col("_left")) & (F.col("_left") < F.col("_before") + F.col("_k")))
+            .select(*same, F.col("_rest").alias("_edge"), (F.col("_left") - F.col("_before")).alias("_ties")))
+    tied = cut.join(F.broadcast(edge), same).where("_rest = _edge")
+    parts = tied.groupBy(*same, "_ties", "_part").agg(F.count(F.lit(1)).alias("_k"))
+    ahead = F.coalesce(F.sum("_k").over(Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = (parts.withColumn("_ahead", ahead).where((F.col("_ahead") <= F.col("_ties")) & (F.col("_ties") < F.col("_ahead") + F.col("_k")))
+            .select(*same, F.col("_part").alias("_last"), (F.col("_ties") - F.col("_ahead")).alias("_take")))
+    # one row a group: the remainder from which on rows get a cent, the part up to which, and how many rows of that part
+    rule = need.select(*same, "_left").join(edge, same, "left").join(last, same, "left")
+    judged = cut.join(F.broadcast(rule), same)
+    at_edge, in_last = F.col("_rest") == F.col("_edge"), F.col("_part") == F.col("_last")
+    rank = F.row_number().over(Window.partitionBy(*same, "_part").orderBy("_digest", *keys))
+    sure = judged.where(~F.coalesce(at_edge & in_last, F.lit(False))).withColumn(
+        "_cent", F.when(F.col("_edge").isNull(), F.col("_left") > 0).when(at_edge, F.coalesce(F.col("_part") < F.col("_last"), F.col("_ties") > 0))
+        .otherwise(F.col("_rest") > F.col("_edge")))
+    ranked = judged.where(at_edge & in_last).withColumn("_cent", rank <= F.col("_take"))
+    amount = ((F.col("_floor") + F.col("_cent").cast("int")) / 100).cast("decimal(22,2)")
+    return sure.unionByName(ranked).select(*rows.columns, amount.alias(name))
 
 
 def rolling_forecast(actual: DataFrame, plan: DataFrame, cutoff_month: int, uplift: str,

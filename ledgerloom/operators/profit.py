@@ -42,18 +42,19 @@ def cube(df: DataFrame, cols: list[str], value: str = "net_income") -> DataFrame
 
 
 def shares(df: DataFrame, member: list[str], parent: list[str], value: str = "net_income") -> DataFrame:
-    """Share of each member in its parent and in the total, from one pass over the members.
+    """Share of each member in its parent and in the total.
 
-    ``df`` is a report: one row per member (a dimension), already aggregated.  Sums per parent
-    are taken first, so the window over everything sees one row per parent only.
+    ``df`` is a report: one row per member, already aggregated.  Sums per parent, and of those the sum of all, are
+    joined back to the members; no group is gathered into a row.
     """
-    parents = df.groupBy(*parent).agg(F.sum(value).alias("_parent"), F.collect_list(F.struct(*member, value)).alias("_m"))
-    total = F.sum("_parent").over(Window.partitionBy(F.lit(0)))
-    rows = parents.withColumn("_total", total).select(*parent, "_parent", "_total", F.explode("_m").alias("_m"))
+    parents = df.groupBy(*[F.col(p).alias(f"_of_{p}") for p in parent]).agg(F.sum(value).alias("_parent"))
+    total = df.agg(F.sum(value).alias("_total"))  # one row
+    same = [F.col(p).eqNullSafe(F.col(f"_of_{p}")) for p in parent]
+    rows = df.join(parents, same).join(F.broadcast(total))
     return rows.select(
-        *parent, *[F.col(f"_m.{c}").alias(c) for c in (*member, value)],
-        safe_ratio(F.col(f"_m.{value}"), F.col("_parent")).alias("share_of_parent"),
-        safe_ratio(F.col(f"_m.{value}"), F.col("_total")).alias("share_of_total"))
+        *parent, *member, value,
+        safe_ratio(F.col(value), F.col("_parent")).alias("share_of_parent"),
+        safe_ratio(F.col(value), F.col("_total")).alias("share_of_total"))
 
 
 def top_n(df: DataFrame, partition: list[str], order_desc: str, tie: str, n: int) -> DataFrame:

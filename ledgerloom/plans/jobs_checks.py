@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import checks, variance
+from ..operators import checks, constraints, variance
 from ..sources import fixed
-from ..sources.model import FACT_SCHEMA, MEASURES
+from ..sources.model import MEASURES
 from ..sources.store import load_outcomes, stored_model
-from ..sources.tpch import REASONS, source_total
+from ..sources.tpch import COVERAGE, REASONS, coverage_rules, source_total
 from .jobs_variance import VERSIONS_SQL
 from .oracle_sql import _values, q
 from .registry import job
@@ -63,15 +63,40 @@ def q3_grain_unique(spark, sf_dir):
     return checks.grain_unique(stored_model(spark, sf_dir).fact)
 
 
-_NOT_NULL = [f.name for f in FACT_SCHEMA.fields if not f.nullable]
+#: The eight tables in SQL, with the columns that their constraints name.
+_TABLES_SQL = {
+    "dim_date": "SELECT *, CAST(full_date AS DATE) AS d FROM calendar", "dim_channel": "SELECT *, TRUE AS is_active FROM channels",
+    "dim_segment": "SELECT segment_id, c_mktsegment AS segment_name FROM segmap", "dim_product": "SELECT *, TRUE AS is_active FROM products",
+    "dim_currency": "SELECT * FROM rates", "dim_scenario": "SELECT * FROM scenarios", "dim_budget_items": "SELECT * FROM items",
+    "fact_financial_data": "SELECT f.*, r.eom_rate, r.daily_avg_rate, i.is_subtotal FROM fact f LEFT JOIN rates r ON r.rate_id = f.rate_id "
+                           "LEFT JOIN items i ON i.budget_item_id = f.budget_item_id",
+}
 
 
-@job("q4_not_null", q("\nUNION ALL\n".join(
-    f"SELECT '{c}' AS check_name, CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM fact"
-    for c in _NOT_NULL)))
+def _checks_sql(kinds: tuple[str, ...]) -> str:
+    parts = []
+    for table, rows in _TABLES_SQL.items():
+        mine = [c for c in constraints.CONSTRAINTS if c.table == table and c.kind in kinds]
+        parts += [f"SELECT '{table}' AS table_name, '{c.name}' AS check_name, '{c.kind}' AS kind, COUNT(*) AS rows_checked, "
+                  f"COUNT(*) FILTER (WHERE ({c.holds}) IS NOT TRUE) AS violations FROM ({rows}) t" for c in mine]
+        key = constraints.KEYS[table]
+        if "key" in kinds:
+            null = " OR ".join(f"{k} IS NULL" for k in key)
+            parts.append(f"SELECT '{table}', '{','.join(key)}', 'key', CAST(COALESCE(SUM(n), 0) AS BIGINT), CAST(COALESCE(SUM(CASE WHEN n > 1 OR {null} THEN n END), 0) AS BIGINT) "
+                         f"FROM (SELECT {', '.join(key)}, COUNT(*) AS n FROM ({rows}) t GROUP BY {', '.join(key)}) g")
+    return q("\nUNION ALL\n".join(parts))
+
+
+@job("q4_not_null", _checks_sql(("not_null",)))
 def q4_not_null(spark, sf_dir):
-    """NULLs in the fact's NOT NULL columns, one pass."""
-    return checks.not_null(stored_model(spark, sf_dir).fact, _NOT_NULL)
+    """NULLs in the NOT NULL columns of all eight tables, one pass over each."""
+    return constraints.check_all(stored_model(spark, sf_dir), kinds=("not_null",))
+
+
+@job("ledger_checks", _checks_sql(("not_null", "length", "row", "key")))
+def ledger_checks(spark, sf_dir):
+    """Every constraint of the eight tables: keys, NULLs, lengths and row conditions; one scan of the ledger."""
+    return constraints.check_all(stored_model(spark, sf_dir))
 
 
 @job("q5_eur_identity", q("""
@@ -110,7 +135,47 @@ def q7_no_subtotal_rows(spark, sf_dir):
     return checks.no_subtotal_rows(m.fact, m.items)
 
 
-@job("q8_coverage", q("""
+_RULES_SQL = f"""rule_text(channel_type, segments, categories) AS (VALUES
+    {", ".join(f"('{t}', {'NULL' if seg is None else seg}::INTEGER[], {'NULL' if cat is None else cat}::VARCHAR[])" for t, seg, cat in COVERAGE)}),
+allowed AS (
+  SELECT r.channel_type, s.segment_id, p.product_id, c.currency_id
+  FROM rule_text r JOIN segmap s ON r.segments IS NULL OR list_contains(r.segments, s.segment_id)
+  JOIN products p ON r.categories IS NULL OR list_contains(r.categories, p.product_category), (SELECT DISTINCT currency_id FROM rates) c),
+booked AS (
+  SELECT ch.channel_type, f.segment_id, f.product_id, f.currency_id, COUNT(*) AS n
+  FROM fact f JOIN channels ch ON ch.channel_id = f.channel_id WHERE f.scenario_id = 1 GROUP BY ALL)"""
+
+
+@job("q8_coverage", q(f"""
+WITH {_RULES_SQL}
+SELECT COALESCE(a.channel_type, b.channel_type) AS channel_type, COALESCE(a.segment_id, b.segment_id) AS segment_id,
+       COUNT(a.product_id) AS allowed, COUNT(CASE WHEN a.product_id IS NOT NULL THEN b.product_id END) AS booked,
+       COUNT(CASE WHEN b.product_id IS NULL THEN a.product_id END) AS missing, COUNT(CASE WHEN a.product_id IS NULL THEN b.product_id END) AS outside,
+       CAST(COALESCE(SUM(CASE WHEN a.product_id IS NULL THEN b.n END), 0) AS BIGINT) AS outside_rows
+FROM allowed a FULL JOIN booked b ON a.channel_type = b.channel_type AND a.segment_id = b.segment_id AND a.product_id = b.product_id AND a.currency_id = b.currency_id
+GROUP BY 1, 2
+"""))
+def q8_coverage(spark, sf_dir):
+    """Actual bookings against the coverage rules, both ways, by channel type and segment."""
+    m = stored_model(spark, sf_dir)
+    return checks.rule_coverage(m.fact.filter(F.col("scenario_id") == 1), m.channels, coverage_rules(m))
+
+
+@job("coverage_breaches", q(f"""
+WITH {_RULES_SQL}
+SELECT CASE WHEN a.product_id IS NULL THEN 'outside' ELSE 'missing' END AS breach, COALESCE(a.channel_type, b.channel_type) AS channel_type,
+       COALESCE(a.segment_id, b.segment_id) AS segment_id, COALESCE(a.product_id, b.product_id) AS product_id,
+       COALESCE(a.currency_id, b.currency_id) AS currency_id, COALESCE(b.n, 0) AS fact_rows
+FROM allowed a FULL JOIN booked b ON a.channel_type = b.channel_type AND a.segment_id = b.segment_id AND a.product_id = b.product_id AND a.currency_id = b.currency_id
+WHERE a.product_id IS NULL OR b.product_id IS NULL
+"""))
+def coverage_breaches(spark, sf_dir):
+    """The combinations booked outside the coverage rules, and the allowed ones never booked."""
+    m = stored_model(spark, sf_dir)
+    return checks.rule_breaches(m.fact.filter(F.col("scenario_id") == 1), m.channels, coverage_rules(m))
+
+
+@job("q8_plan_coverage", q("""
 WITH g AS (SELECT year, channel_id, segment_id, product_id, currency_id, budget_item_id,
                   MAX(CASE WHEN scenario_id = 1 THEN 1 ELSE 0 END) AS b, MAX(CASE WHEN scenario_id = 2 THEN 1 ELSE 0 END) AS a
            FROM fact WHERE scenario_id IN (1, 2)
@@ -120,7 +185,7 @@ SELECT 'outside_matrix' AS check_name, COUNT(*) AS violations FROM c WHERE b = 1
 UNION ALL
 SELECT 'allowed_missing', COUNT(*) FROM c WHERE a = 1 AND b = 0
 """))
-def q8_coverage(spark, sf_dir):
+def q8_plan_coverage(spark, sf_dir):
     """Actual combinations (channel, segment, product, currency, account) against the year's budget, both ways."""
     m = stored_model(spark, sf_dir)
     return checks.plan_coverage(m.fact, ["channel_id", "segment_id", "product_id", "currency_id", "budget_item_id"])
@@ -146,13 +211,13 @@ def q9_rate_range(spark, sf_dir):
 
 @job("q10_rate_key", q("""
 SELECT 'fact_rate_id' AS check_name, COUNT(*) AS violations FROM fact
-WHERE rate_id <> CAST(date_id AS VARCHAR) || CAST(currency_id AS VARCHAR)
+WHERE rate_id IS DISTINCT FROM CAST(date_id AS VARCHAR) || CAST(currency_id AS VARCHAR)
 UNION ALL
-SELECT 'rates_rate_id', COUNT(*) FROM rates WHERE rate_id <> CAST(date_id AS VARCHAR) || CAST(currency_id AS VARCHAR)
+SELECT 'rates_rate_id', COUNT(*) FROM rates WHERE rate_id IS DISTINCT FROM CAST(date_id AS VARCHAR) || CAST(currency_id AS VARCHAR)
 UNION ALL
 SELECT 'rates_not_month_end', COUNT(*) FROM rates
 WHERE make_date(date_id // 10000, date_id // 100 % 100, date_id % 100)
-      <> last_day(make_date(date_id // 10000, date_id // 100 % 100, date_id % 100))
+      IS DISTINCT FROM last_day(make_date(date_id // 10000, date_id // 100 % 100, date_id % 100))
 """))
 def q10_rate_key(spark, sf_dir):
     """rate_id = CONCAT(date_id, currency_id) everywhere; rate dates are month-ends."""

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import money
 from ..operators import counts, star, variance
 from ..operators.variance import align
 from .jobs_variance import VERSIONS_SQL
+from ..sources import aggregates
 from ..sources.dates import month_end_spine
 from ..sources.model import FACT_COLUMNS, GRAIN
 from ..sources.store import stored_model
@@ -156,12 +159,25 @@ JOIN products p ON p.product_id = f.product_id
 GROUP BY f.scenario_id, f.year, ch.channel_type, sm.c_mktsegment, p.product_category
 """))
 def sum_by_dims(spark, sf_dir):
-    """Additive EUR sums by scenario, year, channel type, segment and product category."""
-    m = stored_model(spark, sf_dir)
-    measures = ["amount_eur", "daily_avg_eur"]
-    # the fact is summed to ids first; only that result meets the three dimensions it shows
-    per = counts.sum_by(m.fact, ["scenario_id", "year", "channel_id", "segment_id", "product_id"], measures)
-    j = (per.join(m.channels.select("channel_id", "channel_type"), "channel_id")
-         .join(m.segments.select("segment_id", "segment_name"), "segment_id")
-         .join(m.products.select("product_id", "product_category"), "product_id"))
-    return counts.sum_by(j, ["scenario_id", "year", "channel_type", "segment_name", "product_category"], measures)
+    """Additive EUR sums by scenario, year, channel type, segment and product category, from the stored aggregates."""
+    return aggregates.current_sums(spark, sf_dir, ["scenario_id", "year", "channel_type", "segment_name", "product_category"])
+
+
+#: Drill-downs of the reports: name and what they are summed by.
+_DRILLS = [("by region", ["scenario_name", "year", "region"]), ("by channel", ["scenario_name", "year", "channel_name"]),
+           ("by segment", ["scenario_name", "year", "segment_name"]), ("by product", ["scenario_name", "year", "product_name"]),
+           ("by account", ["scenario_name", "year", "item_name"]), ("by month", ["scenario_name", "year", "month"])]
+_ATTRIBUTE_SQL = {"region": "ch.region", "channel_name": "ch.channel_name", "segment_name": "sm.c_mktsegment", "product_name": "p.product_name",
+                  "item_name": "i.item_name", "month": "CAST(f.month AS VARCHAR)"}
+
+
+@job("drill_downs", q("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS report, s.scenario_name, f.year, {_ATTRIBUTE_SQL[by[2]]} AS member, CAST(SUM(f.amount_eur) AS DOUBLE) AS amount_eur, "
+    f"CAST(SUM(f.daily_avg_eur) AS DOUBLE) AS daily_avg_eur FROM fact f JOIN scenarios s ON s.scenario_id = f.scenario_id "
+    f"JOIN channels ch ON ch.channel_id = f.channel_id JOIN segmap sm ON sm.segment_id = f.segment_id JOIN products p ON p.product_id = f.product_id "
+    f"JOIN items i ON i.budget_item_id = f.budget_item_id GROUP BY ALL" for name, by in _DRILLS)))
+def drill_downs(spark, sf_dir):
+    """Sums by scenario and year down to regions, channels, segments, products, accounts and months; no scan of the ledger."""
+    parts = [aggregates.current_sums(spark, sf_dir, by).select(F.lit(name).alias("report"), "scenario_name", "year", F.col(by[2]).cast("string").alias("member"),
+                                                               "amount_eur", "daily_avg_eur") for name, by in _DRILLS]
+    return reduce(DataFrame.unionByName, parts)

@@ -65,26 +65,21 @@ SELECT scenario_id, year, currency_id, measure, CAST(SUM(amount) AS DOUBLE) AS a
 def fx_measure_select(spark, sf_dir):
     """The four amounts as one interchangeable (measure, amount) column; nominal kept per currency."""
     m = stored_model(spark, sf_dir)
-    long = fx.measure_select(m.fact.select("scenario_id", "year", "currency_id", "amount_eur",
-                                           "amount_nominal", "daily_avg_eur", "daily_avg_nominal"),
-                             ["scenario_id", "year", "currency_id"])
-    return long.groupBy("scenario_id", "year", "currency_id", "measure").agg(
-        F.sum("amount").cast(MONEY_SUM).alias("amount"))
+    return fx.measure_select(m.fact, ["scenario_id", "year", "currency_id"])
 
 
 @job("fx_report_currency", q("""
-SELECT f.scenario_id, f.date_id, CAST(f.amt AS DOUBLE) AS amount_eur,
-       CAST(CAST(CAST(f.amt AS DECIMAL(26,2)) * r.eom_rate AS DECIMAL(22,2)) AS DOUBLE) AS usd_eom,
-       CAST(CAST(CAST(f.amt AS DECIMAL(26,2)) * r.daily_avg_rate AS DECIMAL(22,2)) AS DOUBLE) AS usd_avg
+SELECT r.currency_id, f.scenario_id, f.date_id, CAST(f.amt AS DOUBLE) AS amount_eur,
+       CAST(CAST(CAST(f.amt AS DECIMAL(26,2)) * r.eom_rate AS DECIMAL(22,2)) AS DOUBLE) AS restated_eom,
+       CAST(CAST(CAST(f.amt AS DECIMAL(26,2)) * r.daily_avg_rate AS DECIMAL(22,2)) AS DOUBLE) AS restated_avg, r.date_id < f.date_id AS carried
 FROM (SELECT scenario_id, date_id, SUM(amount_eur) AS amt FROM fact GROUP BY scenario_id, date_id) f
-JOIN rates r ON r.date_id = f.date_id AND r.currency_id = 2
+JOIN rates r ON r.date_id = (SELECT MAX(x.date_id) FROM rates x WHERE x.date_id <= f.date_id AND x.currency_id = r.currency_id) AND r.currency_id IN (2, 3)
 """))
 def fx_report_currency(spark, sf_dir):
-    """EUR totals restated in USD at the month-end and the daily-average rate (sum first, convert once)."""
+    """EUR totals restated in USD and GBP at the month-end and the daily-average rate (sum first, convert once, last known rate)."""
     m = stored_model(spark, sf_dir)
-    both = fx.restate(m.fact, m.rates, 2, ["scenario_id"])
-    return both.select("scenario_id", "date_id", "amount_eur", F.col("restated_eom").alias("usd_eom"),
-                       F.col("restated_avg").alias("usd_avg"))
+    return fx.restate(m.fact, m.rates, [2, 3], ["scenario_id"]).select(
+        "currency_id", "scenario_id", "date_id", "amount_eur", "restated_eom", "restated_avg", "carried")
 
 
 @job("fx_cross_rate", q("""

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as fd
-from ..functions.numeric import MONEY_SUM, dec
+from ..functions.numeric import MONEY_SUM
 from ..operators import planning
 from ..operators.variance import align
 from ..sources import fixed
 from ..sources.dates import calendar, month_end_spine
 from ..sources.store import stored_model
-from ..sources.tpch import BUDGET_UPLIFT, FORECAST_CUTOFF_MONTH, FORECAST_UPLIFT
+from ..sources.tpch import BOTTOMUP_UPLIFT, BUDGET_UPLIFT, FORECAST_CUTOFF_MONTH, FORECAST_UPLIFT, TOPDOWN_UPLIFT
 from .oracle_sql import _values, q
 from .registry import job
 
@@ -166,19 +166,59 @@ def driven_plan(spark, sf_dir):
         F.count("*").alias("row_count"))
 
 
-@job("growth_plan", q("""
-SELECT year, budget_item_id, CAST(SUM(amount_eur) AS DOUBLE) AS amount_eur, COUNT(*) AS row_count
-FROM fact WHERE scenario_id = 2 GROUP BY year, budget_item_id
+#: Growth of plan scenarios over the actuals of the year before.
+_GROWTH = [(2, BUDGET_UPLIFT), (5, TOPDOWN_UPLIFT), (6, BOTTOMUP_UPLIFT)]
+
+
+def _growth_factors(spark, years):
+    rows = [(s, v) for s, v in _GROWTH]
+    return years.select("year").distinct().crossJoin(F.broadcast(spark.createDataFrame(rows, "scenario_id int, v string"))).select(
+        "scenario_id", "year", F.col("v").cast("decimal(5,4)").alias("factor"))
+
+
+_GROWTH_SQL = f"growth(scenario_id, factor) AS (VALUES {', '.join(f'({s}, CAST({v} AS DECIMAL(5,4)))' for s, v in _GROWTH)})"
+_PLAN_KEYS = ["channel_id", "segment_id", "product_id", "currency_id", "budget_item_id"]
+
+
+@job("growth_plan", q(f"""
+WITH {_GROWTH_SQL},
+p AS (SELECT g.scenario_id, f.year + 1 AS year, f.budget_item_id, CAST(f.amount_eur * g.factor AS DECIMAL(22,2)) AS amount
+      FROM fact f, growth g WHERE f.scenario_id = 1)
+SELECT scenario_id, year, budget_item_id, CAST(SUM(amount) AS DOUBLE) AS amount_eur, COUNT(*) AS row_count
+FROM p GROUP BY scenario_id, year, budget_item_id
 """))
 def growth_plan(spark, sf_dir):
-    """Budget = prior-year actual of the same month x the year's growth factor, rounded per row."""
+    """Plans by scenario and year = prior-year actual of the same month x their growth factor, rounded per row."""
+    m = stored_model(spark, sf_dir)
+    plan = planning.growth_plan(m.fact.filter(F.col("scenario_id") == 1), _growth_factors(spark, m.dates), _PLAN_KEYS)
+    return plan.groupBy("scenario_id", "year", "budget_item_id").agg(F.sum("amount_eur").cast(MONEY_SUM).alias("amount_eur"),
+                                                                     F.count("*").alias("row_count"))
+
+
+@job("apportioned_plan", q(f"""
+WITH {_GROWTH_SQL},
+t AS (SELECT g.scenario_id, f.year, CAST(SUM(f.amount_eur) * g.factor AS DECIMAL(38,2)) AS target
+      FROM fact f, growth g WHERE f.scenario_id = 1 AND g.scenario_id IN (5, 6) GROUP BY g.scenario_id, f.year, g.factor),
+x AS (SELECT g.scenario_id, f.*, floor(f.amount_eur * g.factor * 100) AS cents, f.amount_eur * g.factor * 100 - floor(f.amount_eur * g.factor * 100) AS rest
+      FROM (SELECT year, date_id, channel_id, segment_id, product_id, currency_id, budget_item_id, amount_eur FROM fact WHERE scenario_id = 1) f, growth g WHERE g.scenario_id IN (5, 6)),
+r AS (SELECT *, row_number() OVER (PARTITION BY scenario_id, year ORDER BY rest DESC, md5(concat_ws('|', date_id, channel_id, segment_id, product_id, currency_id, budget_item_id)),
+             date_id, channel_id, segment_id, product_id, currency_id, budget_item_id) AS k, SUM(cents) OVER (PARTITION BY scenario_id, year) AS floors FROM x)
+SELECT r.scenario_id, CAST(r.year + 1 AS INTEGER) AS year, r.budget_item_id,
+       CAST(SUM(CAST((cents + CASE WHEN k <= t.target * 100 - floors THEN 1 ELSE 0 END) / 100 AS DECIMAL(38,2))) AS DOUBLE) AS amount_eur, COUNT(*) AS row_count
+FROM r JOIN t ON t.scenario_id = r.scenario_id AND t.year = r.year GROUP BY r.scenario_id, r.year, r.budget_item_id
+"""))
+def apportioned_plan(spark, sf_dir):
+    """Top-down and bottom-up plans whose rows add up to the cent: total of the year before x growth, dealt by largest remainders."""
     m = stored_model(spark, sf_dir)
-    years = m.dates.select("year").distinct()
-    factors = years.select("year", dec(BUDGET_UPLIFT, 3, 2).alias("factor"))
-    keys = ["channel_id", "segment_id", "product_id", "currency_id", "budget_item_id"]
-    plan = planning.growth_plan(m.fact.filter(F.col("scenario_id") == 1), factors, keys)
-    return plan.groupBy("year", "budget_item_id").agg(F.sum("amount_eur").cast(MONEY_SUM).alias("amount_eur"),
-                                                      F.count("*").alias("row_count"))
+    actual = m.fact.filter(F.col("scenario_id") == 1)
+    factors = _growth_factors(spark, m.dates).where(F.col("scenario_id").isin(5, 6)).withColumn("year", F.col("year").cast("int"))
+    target = (actual.groupBy("year").agg(F.sum("amount_eur").alias("t")).join(F.broadcast(factors), "year")
+              .select("scenario_id", "year", (F.col("t").cast("decimal(26,2)") * F.col("factor")).cast("decimal(26,2)").alias("target")))
+    shares = actual.select("year", "date_id", *_PLAN_KEYS, "amount_eur").join(F.broadcast(factors), "year").select(
+        "scenario_id", "year", "date_id", *_PLAN_KEYS, (F.col("amount_eur") * F.col("factor")).alias("share"))
+    out = planning.apportion(shares, ["scenario_id", "year"], ["date_id", *_PLAN_KEYS], "share", target)
+    return out.groupBy("scenario_id", (F.col("year") + 1).alias("year"), "budget_item_id").agg(
+        F.sum("amount_eur").cast(MONEY_SUM).alias("amount_eur"), F.count("*").alias("row_count"))
 
 
 @job("rolling_forecast", q("""

@@ -34,6 +34,10 @@ def _signed_sql(x="f.amt"):
     return f"SUM(CASE WHEN e.leaf_sign < 0 THEN -{x} ELSE {x} END)"
 
 
+def _tree(m):
+    return hierarchy.tree_closure(m.items, "budget_item_id", "parent_item_id")
+
+
 @job("account_closure", q("""
 SELECT w.ancestor_id, w.descendant_id, w.distance, COALESCE(r.n, 0) AS fact_rows
 FROM walk w
@@ -43,36 +47,61 @@ LEFT JOIN (SELECT budget_item_id, COUNT(*) AS n FROM fact WHERE scenario_id = 1
 def account_closure(spark, sf_dir):
     """Ancestor-or-self pairs of the account tree with the actual rows posted under each pair."""
     m = stored_model(spark, sf_dir)
-    c = hierarchy.closure(m.items)
+    c = _tree(m)
     rows = m.fact.filter(F.col("scenario_id") == 1).groupBy("budget_item_id").agg(F.count("*").alias("n"))
     return (c.join(rows, c.descendant_id == rows.budget_item_id, "left")
             .select("ancestor_id", "descendant_id", "distance",
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("fact_rows")))
 
 
-@job("account_flatten", q("""
+_ORG_SQL = """org(node, parent) AS (
+  SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT)
+  UNION ALL SELECT 1 + r_regionkey, 0 FROM region
+  UNION ALL SELECT 1000 + n_nationkey, 1 + n_regionkey FROM nation
+  UNION ALL SELECT 1000000 + s_suppkey, 1000 + s_nationkey FROM supplier),
+up(ancestor_id, descendant_id, distance) AS (
+  SELECT node, node, 0 FROM org
+  UNION ALL SELECT o.parent, u.descendant_id, u.distance + 1 FROM up u JOIN org o ON o.node = u.ancestor_id WHERE o.parent IS NOT NULL)"""
+
+
+@job("org_closure", f"WITH RECURSIVE {_ORG_SQL} SELECT CAST(ancestor_id AS BIGINT) AS ancestor_id, CAST(descendant_id AS BIGINT) AS descendant_id, distance FROM up")
+def org_closure(spark, sf_dir):
+    """Ancestor-or-self pairs of the organisation: bank, regions, nations, suppliers, as the tables give it."""
+    def nodes(table, node, parent):
+        return spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(f"CAST({node} AS BIGINT) AS node", f"CAST({parent} AS BIGINT) AS parent")
+
+    tree = (spark.range(1).selectExpr("id AS node", "CAST(NULL AS BIGINT) AS parent").union(nodes("region", "1 + r_regionkey", "0"))
+            .union(nodes("nation", "1000 + n_nationkey", "1 + n_regionkey")).union(nodes("supplier", "1000000 + s_suppkey", "1000 + s_nationkey")))
+    return hierarchy.tree_closure(tree)
+
+
+#: Levels that the flattened account tree shows.
+_LEVELS = 3
+
+
+@job("account_flatten", q(f"""
 WITH dep AS (SELECT descendant_id, MAX(distance) AS depth0 FROM walk GROUP BY descendant_id),
 fl AS (
-  SELECT w.descendant_id AS budget_item_id, d.depth0,
-         MAX(CASE WHEN d.depth0 - w.distance = 0 THEN i.item_name END) AS l1,
-         MAX(CASE WHEN d.depth0 - w.distance = 1 THEN i.item_name END) AS l2,
-         MAX(CASE WHEN d.depth0 - w.distance = 2 THEN i.item_name END) AS l3,
-         string_agg(i.item_name, ' > ' ORDER BY d.depth0 - w.distance) AS path
+  SELECT w.descendant_id AS budget_item_id, d.depth0, list(i.item_name ORDER BY d.depth0 - w.distance) AS names
   FROM walk w JOIN dep d ON d.descendant_id = w.descendant_id
   JOIN items i ON i.budget_item_id = w.ancestor_id
   GROUP BY w.descendant_id, d.depth0
 )
-SELECT fl.budget_item_id, CAST(depth0 + 1 AS INTEGER) AS depth, l1 AS level1, COALESCE(l2, l1) AS level2,
-       COALESCE(l3, l2, l1) AS level3, path, CAST(a.amt AS DOUBLE) AS amount_eur
-FROM fl LEFT JOIN (SELECT budget_item_id, SUM(amount_eur) AS amt FROM fact WHERE scenario_id = 1
-                   GROUP BY budget_item_id) a ON a.budget_item_id = fl.budget_item_id
+SELECT fl.budget_item_id, CAST(depth0 + 1 AS INTEGER) AS depth,
+       {", ".join(f"names[least({i}, len(names))] AS level{i}" for i in range(1, _LEVELS + 1))},
+       array_to_string(names, ' > ') AS path, CAST(a.amt AS DOUBLE) AS amount_eur
+FROM fl LEFT JOIN (SELECT w.ancestor_id, SUM(f.amount_eur) AS amt FROM fact f JOIN walk w ON w.descendant_id = f.budget_item_id WHERE f.scenario_id = 1
+                   GROUP BY w.ancestor_id) a ON a.ancestor_id = fl.budget_item_id
 """))
 def account_flatten(spark, sf_dir):
-    """Ragged tree as fixed levels with path and depth, with each leaf's actual total."""
+    """Ragged tree as fixed levels with path and depth, with the actual total of each node's leaves."""
     m = stored_model(spark, sf_dir)
-    flat = hierarchy.flatten(m.items)
-    tot = (m.fact.filter(F.col("scenario_id") == 1).groupBy("budget_item_id")
-           .agg(F.sum("amount_eur").cast("decimal(38,2)").alias("amount_eur")))
+    c = _tree(m)
+    flat = hierarchy.flatten(m.items, c, _LEVELS)
+    leaf = (m.fact.filter(F.col("scenario_id") == 1).groupBy(F.col("budget_item_id").alias("descendant_id"))
+            .agg(F.sum("amount_eur").alias("amount")))
+    tot = (leaf.join(F.broadcast(c), "descendant_id").groupBy(F.col("ancestor_id").alias("budget_item_id"))
+           .agg(F.sum("amount").cast("decimal(38,2)").alias("amount_eur")))
     return flat.join(tot, "budget_item_id", "left")
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import warnings
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library needs regardless of cluster size.
 REQUIRED_CONF = {
@@ -49,6 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage and survives lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/ledgerloom/steps/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def check_session(spark: SparkSession) -> None:
     """Warn about settings that results or plans rely on; the caller's session is left as it is."""
     for k, v in REQUIRED_CONF.items():

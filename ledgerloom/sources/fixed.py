@@ -230,3 +230,28 @@ FX_BAND_YEARS = 5
 
 MODEL_START = "2022-01-01"
 MODEL_END = "2026-12-31"
+
+# ---- Column lengths of the tables (fixed values of the model) ---------------------------------
+VARCHAR_LENGTHS = [
+    ("dim_date", "quarter_name", 6),
+    ("dim_date", "month_name", 12),
+    ("dim_date", "month_name_short", 3),
+    ("dim_channel", "channel_name", 100),
+    ("dim_channel", "channel_type", 30),
+    ("dim_channel", "country", 50),
+    ("dim_channel", "region", 50),
+    ("dim_segment", "segment_name", 30),
+    ("dim_product", "product_name", 100),
+    ("dim_product", "product_category", 50),
+    ("dim_product", "product_subcategory", 50),
+    ("dim_currency", "rate_id", 20),
+    ("dim_currency", "currency_name", 50),
+    ("dim_currency", "currency_symbol", 5),
+    ("dim_scenario", "scenario_name", 50),
+    ("dim_scenario", "scenario_type", 30),
+    ("dim_budget_items", "item_name", 100),
+    ("dim_budget_items", "statement_type", 5),
+    ("dim_budget_items", "category", 50),
+    ("dim_budget_items", "subcategory", 50),
+    ("fact_financial_data", "rate_id", 20),
+]

@@ -371,6 +371,11 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1) -> list[str]:
             if run not in used:
                 fs.delete(st.getPath(), True)
                 gone.add(run)
+    numbers = {f"{m.number:012d}" for m in manifests}
+    fs, p = _fs(spark, f"{path}/aggregates")
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        if st.getPath().getName() not in numbers:
+            fs.delete(st.getPath(), True)
     for n in names[:-keep]:
         fs, p = _fs(spark, f"{path}/commits/{n}")
         fs.delete(p, False)

@@ -130,6 +130,29 @@ def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.lit(True).alias("is_active"))
 
 
+#: What may be sold where: channel type, segments and product categories (None: all); ours, after the model's rules.
+COVERAGE = [
+    ("Branch", None, None),
+    ("Digital", [1, 2, 4], None),
+    ("Remote", [1, 2], ["Card", "Deposit"]),
+    ("Business Unit", [3, 5], None),
+]
+
+
+def coverage_rules(m: Model, coverage=COVERAGE) -> DataFrame:
+    """channel_type, segment_id, pairs: COVERAGE over the dimensions, products in every currency with rates.
+
+    Bounded: a row for each channel type and segment, an array of products x currencies.
+    """
+    spark = m.segments.sparkSession
+    rules = spark.createDataFrame(coverage, "channel_type string, segments array<int>, categories array<string>")
+    currencies = m.rates.select("currency_id").distinct()
+    pairs = m.products.select("product_id", "product_category").join(F.broadcast(currencies))
+    j = (rules.join(F.broadcast(m.segments.select("segment_id")), F.col("segments").isNull() | F.array_contains("segments", F.col("segment_id")))
+         .join(F.broadcast(pairs), F.col("categories").isNull() | F.array_contains("categories", F.col("product_category"))))
+    return j.groupBy("channel_type", "segment_id").agg(F.array_sort(F.collect_set(F.struct("product_id", "currency_id"))).alias("pairs"))
+
+
 def scenario_dim(spark: SparkSession) -> DataFrame:
     rows = [(i, n, t, None, None) for i, n, t in ADAPTER_SCENARIOS]
     from .model import SCENARIO_SCHEMA

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates as fd
@@ -33,3 +34,10 @@ def test_reference_calendar_shape(spark):
     assert me.count() == 60
     assert cal.filter(F.col("year") == 2024).count() == 366
     assert cal.select(F.min("date_id"), F.max("date_id")).collect()[0] == (20220101, 20261231)
+
+
+def test_calendar_spans_are_bounded(spark):
+    assert calendar(spark, "2023-12-30", "2025-01-02").count() == 2 + 366 + 2
+    assert calendar(spark, "2024-05-05", "2024-05-05").count() == 1
+    with pytest.raises(Exception, match="500 years"):
+        calendar(spark, "1600-01-01", "2099-12-31").count()

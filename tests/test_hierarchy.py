@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -69,3 +70,49 @@ def test_statement_signs_and_formulas(spark):
     assert lines[6].display == Decimal("5.00")
     assert lines[19].signed == Decimal("70.00")  # leaves with sort_order < 50
     assert lines[21].signed == Decimal("65.00")  # leaves with sort_order < 52
+
+
+def _up(parents, node):
+    out = []
+    while node is not None:
+        out.append(node)
+        node = parents[node]
+    return out
+
+
+def test_closure_of_a_large_deep_tree(spark):
+    r = random.Random(7)
+    n, depth = 100_000, 60
+    layer = n // depth
+    # layers of a tree; a third of every layer hangs on one node
+    parents = {i: None if i < layer else ((i // layer - 1) * layer + (0 if i % 3 == 0 else r.randrange(layer))) for i in range(layer * depth)}
+    tree = spark.createDataFrame(list(parents.items()), "node long, parent long")
+    got = hierarchy.tree_closure(tree).groupBy("descendant_id").agg(F.count("*"), F.sum("ancestor_id"), F.max("distance")).collect()
+    want = {}
+    for i in parents:  # parents come before their children
+        c, total, d = want[parents[i]] if parents[i] is not None else (0, 0, -1)
+        want[i] = (c + 1, total + i, d + 1)
+    assert {row[0]: tuple(row[1:]) for row in got} == want
+    assert max(d for _, _, d in want.values()) == depth - 1
+
+
+def test_tree_closure_of_odd_trees(spark):
+    def closed(rows):
+        pairs = hierarchy.tree_closure(spark.createDataFrame(rows, "node long, parent long")).collect()
+        return {(p.ancestor_id, p.descendant_id): p.distance for p in pairs}
+
+    assert closed([]) == {}
+    assert closed([(1, None), (2, 1), (3, 99), (None, 1)]) == {(1, 1): 0, (2, 2): 0, (1, 2): 1, (3, 3): 0}  # 99 is no node
+    chain = {i: i - 1 if i else None for i in range(130)}
+    assert closed(list(chain.items())) == {(a, i): d for i in chain for d, a in enumerate(_up(chain, i))}
+    for cycle in ([(1, 1)], [(1, 2), (2, 3), (3, 1), (4, None)]):
+        with pytest.raises(ValueError, match="cycle"):
+            closed(cycle)
+    with pytest.raises(ValueError, match="twice"):
+        closed([(1, None), (1, None)])
+
+
+def test_flatten_with_given_levels(spark):
+    items = _chain(spark, 5)
+    flat = {r.budget_item_id: r for r in hierarchy.flatten(items, hierarchy.tree_closure(items, "budget_item_id", "parent_item_id"), 3).collect()}
+    assert (flat[5].level3, flat[5].path, flat[1].level3) == ("n3", "n1 > n2 > n3 > n4 > n5", "n1")

@@ -1,5 +1,8 @@
+import hashlib
+import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates as fd
@@ -105,3 +108,42 @@ def test_drivers_apply_to_given_amounts(spark):
     assert got[1].amount_eur == Decimal("480.00")  # 100 x 3.0 (flagship) x 4.0 x 0.40
     assert got[2].amount_eur == Decimal("200.00")  # 100 x 2.0 (other branch) x 1.0 x 1.00
     assert got[1].daily_avg_eur == Decimal("451.20")
+
+
+def _plain_apportion(shares, target):
+    """Cents by largest remainder, ties by md5 of the key and the key."""
+    cents = {k: int(v * 100) for k, v in shares.items()}
+    left = int(target * 100) - sum(cents.values())
+    order = sorted(shares, key=lambda k: (-(shares[k] * 100 - cents[k]), hashlib.md5(str(k).encode()).hexdigest(), k))
+    return {k: Decimal(cents[k] + (k in order[:left])) / 100 for k in shares}
+
+
+def test_apportioned_rows_add_up_to_the_target(spark):
+    r = random.Random(3)
+    groups = {1: {k: Decimal(r.randrange(0, 10**7)) / 10**4 for k in range(700)},
+              2: {k: Decimal("0.005") for k in range(300)},  # all tied
+              3: {k: Decimal(r.randrange(0, 3)) / 3 for k in range(50)} | {99: Decimal("0.00")},
+              4: {k: Decimal(k) for k in range(5)}}  # no cent left
+    groups = {g: {k: v.quantize(Decimal("0.0001")) for k, v in rows.items()} for g, rows in groups.items()}
+    target = {g: sum(rows.values()).quantize(Decimal("0.01")) for g, rows in groups.items()}
+    target[2] += Decimal("0.37")
+    rows = spark.createDataFrame([(g, k, v) for g, rows in groups.items() for k, v in rows.items()] + [(9, 1, Decimal(1))], "g int, k int, share decimal(20,4)")
+    targets = spark.createDataFrame(list(target.items()), "g int, target decimal(20,2)")
+    got = {(x.g, x.k): x.amount_eur for x in planning.apportion(rows.repartition(5), ["g"], ["k"], "share", targets).collect()}
+    assert got == {(g, k): v for g in groups for k, v in _plain_apportion(groups[g], target[g]).items()}
+    assert all(sum(v for (h, _), v in got.items() if h == g) == target[g] for g in groups)
+
+
+def test_targets_out_of_reach_are_refused(spark):
+    rows = spark.createDataFrame([(1, 1, Decimal("0.5"))], "g int, k int, share decimal(20,4)")
+    for t in ("0.52", "0.49"):
+        with pytest.raises(Exception, match="out of reach"):
+            planning.apportion(rows, ["g"], ["k"], "share", spark.createDataFrame([(1, Decimal(t))], "g int, target decimal(20,2)")).collect()
+    assert planning.apportion(rows.limit(0), ["g"], ["k"], "share", spark.createDataFrame([(1, Decimal("0.5"))], "g int, target decimal(20,2)")).count() == 0
+
+
+def test_growth_differs_by_scenario_and_year(spark):
+    base = spark.createDataFrame([(20221231, 1, Decimal("100.00")), (20231231, 1, Decimal("100.00"))], "date_id int, k int, amount_eur decimal(22,2)")
+    factors = spark.createDataFrame([(5, 2023, Decimal("1.10")), (5, 2024, Decimal("1.20")), (6, 2024, Decimal("0.90"))], "scenario_id int, year int, factor decimal(5,4)")
+    got = {(r.scenario_id, r.year): r.amount_eur for r in planning.growth_plan(base, factors, ["k"]).collect()}
+    assert got == {(5, 2023): Decimal("110.00"), (5, 2024): Decimal("120.00"), (6, 2024): Decimal("90.00")}

@@ -32,3 +32,13 @@ def test_prior_period_is_single_pass(spark):
     for key in ["yoy", "mom", "opening_balance", "variance_waterfall"]:
         s = summarize(_plan(spark, key))
         assert s["ledger_scans"] == 1 and s["smj"] == 0, (key, s)
+
+
+def test_samples_keep_a_few_rows_a_task(spark):
+    plan = _plan(spark, "sample_topn")
+    assert "WindowGroupLimit" in plan and summarize(plan)["ledger_scans"] <= 2  # the ledger and the rates
+
+
+def test_measures_are_summed_before_they_are_unpivoted(spark):
+    plan = _plan(spark, "fx_measure_select")
+    assert plan.index("Expand") < plan.index("HashAggregate") and plan.count("Exchange") == 1
