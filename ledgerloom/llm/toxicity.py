@@ -23,6 +23,8 @@ BUCKETS = 1 << 18
 SIZES = (3, 4, 5)
 #: Bound of the training sample, per class.
 MAX_PER_CLASS = 3000
+#: Features of the whole sample that the fit holds; the least telling buckets go first if there are more.
+MAX_ENTRIES = 1 << 24
 #: L2 penalty and rounds of the fit.
 PENALTY, ROUNDS = 1e-3, 60
 
@@ -59,6 +61,29 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic", "doc_id")
 
 
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a task that have each bucket, by class."""
+    counts = np.zeros((2, BUCKETS), np.int64)
+    for b in batches:
+        for toxic, raw in zip(b.column("toxic").to_pylist(), b.column("grams").to_pylist(), strict=True):
+            counts[0 if toxic else 1, np.frombuffer(raw, np.int32)] += 1
+    some = np.flatnonzero(counts.any(axis=0))
+    if len(some):
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[0, some]), pa.array(counts[1, some])], ["bucket", "n1", "n0"])
+
+
+def _telling(number):
+    """Buckets of each document that have a number, by these numbers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = number.value
+        for b in batches:
+            own = [numbers[np.frombuffer(g, np.int32)] for g in b.column("grams").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array([x[x >= 0].tobytes() for x in own], pa.binary())],
+                                             ["doc_id", "toxic", "grams"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> tuple[np.ndarray, float]:
     """Weights per bucket (ratio times coefficient) and intercept.
 
@@ -74,42 +99,52 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     sample = training_sample(docs, labels, max_per_class)
     kinds = dict(sample.dtypes)
     rows = stored(sample.mapInArrow(features, f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, grams binary"), "grams")
-    # the sample is bounded, so are its features: only buckets that the ratio tells apart stay
-    parts = sorted(((str(r.doc_id), r.toxic, bytes(r.grams)) for r in rows.toLocalIterator()))
+    # a row a bucket: documents of either class that have it
+    counts = rows.select("toxic", "grams").mapInArrow(_bucket_counts, "bucket int, n1 long, n0 long").groupBy("bucket").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).toPandas()
+    with_it = np.zeros((2, BUCKETS), np.int64)
+    with_it[:, counts["bucket"].to_numpy()] = counts[["n1", "n0"]].to_numpy().T
+    total = with_it.sum(axis=1, keepdims=True)
+    ratio = np.subtract(*np.log((with_it + 1) / (total + BUCKETS)))
+    telling = np.where(with_it.sum(axis=0) > 1, np.abs(ratio), 0)
+    # only buckets that the ratio tells apart (twice as likely in one class), the most telling first, while they fit
+    order = np.lexsort((np.arange(BUCKETS), -telling))
+    fits = (telling[order] > 0.7) & (np.cumsum(with_it.sum(axis=0)[order]) <= MAX_ENTRIES)
+    chosen = np.sort(order[fits])
+    number = np.full(BUCKETS, -1, np.int32)
+    number[chosen] = np.arange(len(chosen))
+    shared = docs.sparkSession.sparkContext.broadcast(number)
+    few = rows.mapInArrow(_telling(shared), f"doc_id {kinds['doc_id']}, toxic {kinds['toxic']}, grams binary")
+    parts = sorted((str(r.doc_id), r.toxic, bytes(r.grams)) for r in few.toLocalIterator())  # at most MAX_ENTRIES numbers
     y = np.array([p[1] for p in parts], float)
     weights = np.zeros(BUCKETS)
     if len(set(y)) < 2:
         return weights, float(20 * y.mean() - 10) if len(y) else -10.0
-    grams = [np.frombuffer(p[2], np.int32) for p in parts]
+    sizes = [len(p[2]) // 4 for p in parts]
+    col = np.frombuffer(b"".join(p[2] for p in parts), np.int32)
     del parts
-    with_it = [sum((np.bincount(g, minlength=BUCKETS) for g, t in zip(grams, y, strict=True) if t == c),
-                   np.zeros(BUCKETS, np.int64)) for c in (1, 0)]
-    ratio = np.log((with_it[0] + 1) / (with_it[0].sum() + BUCKETS)) - np.log((with_it[1] + 1) / (with_it[1].sum() + BUCKETS))
-    kept = np.where(with_it[0] + with_it[1] > 1, np.abs(ratio), 0)
-    informative = kept > 0.7  # a bucket twice as likely in one class
-    ratio = np.where(informative, ratio, 0.0)
-    grams = [g[informative[g]] for g in grams]
-    row = np.repeat(np.arange(len(y)), [len(g) for g in grams])
-    col = np.concatenate(grams).astype(np.int64)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
+    ratio = ratio[chosen]
     val = ratio[col]
     balance = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
-    coef, bias = np.zeros(BUCKETS), 0.0
+    n_buckets = len(chosen)
+    coef, bias = np.zeros(n_buckets), 0.0
     # accelerated gradient descent on the balanced, penalised logistic loss; its curvature bound sets the step
-    probe = np.ones(BUCKETS)
+    probe = np.ones(n_buckets)
     for _ in range(8):
-        probe /= np.linalg.norm(probe)
-        probe = np.bincount(col, val * (balance * np.bincount(row, val * probe[col], len(y)))[row], BUCKETS) / len(y)
+        probe /= np.linalg.norm(probe) or 1
+        probe = np.bincount(col, val * (balance * np.bincount(row, val * probe[col], len(y)))[row], n_buckets) / len(y)
     step = 1 / (0.3 * np.linalg.norm(probe) + PENALTY + 0.5)
     look_c, look_b, t = coef, bias, 1.0
     for _ in range(ROUNDS):
         margin = np.bincount(row, val * look_c[col], len(y)) + look_b
         err = balance * (1 / (1 + np.exp(-np.clip(margin, -35, 35))) - y) / len(y)
-        new_c = look_c - step * (np.bincount(col, val * err[row], BUCKETS) + PENALTY * look_c)
+        new_c = look_c - step * (np.bincount(col, val * err[row], n_buckets) + PENALTY * look_c)
         new_b = look_b - step * err.sum()
         t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         look_c, look_b = new_c + (last - 1) / t * (new_c - coef), new_b + (last - 1) / t * (new_b - bias)
         coef, bias = new_c, new_b
-    return coef * ratio, float(bias)
+    weights[chosen] = coef * ratio
+    return weights, float(bias)
 
 
 def scored(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> DataFrame:
