@@ -128,9 +128,16 @@ def grow(sample: np.ndarray, least: float, threshold: float, missed: np.ndarray,
     return tree, next_leaf, found
 
 
-def route(tree: Tree, x: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(leaf, rows) for unit vectors."""
-    out, todo = [], [(tree.root, np.arange(len(x)))]
+def plain(tree: Tree) -> tuple:
+    """A tree as arrays: a broadcast goes by plain pickle, which needs no class of this package on executors."""
+    children = np.array(tree.children, np.int64).reshape(-1, 2)
+    return tree.root, np.array(tree.directions), np.array(tree.splits), np.array(tree.spills), children
+
+
+def route(tree: tuple, x: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(leaf, rows) for unit vectors, by a tree as ``plain`` gives it."""
+    root, directions, splits, spills, children = tree
+    out, todo = [], [(root, np.arange(len(x)))]
     while todo:
         at, rows = todo.pop()
         if at == DONE:
@@ -138,9 +145,9 @@ def route(tree: Tree, x: np.ndarray) -> list[tuple[int, np.ndarray]]:
         if at < 0:
             out.append((~at, rows))
         elif len(rows):
-            off = x[rows] @ tree.directions[at] - tree.splits[at]
-            left, right = tree.children[at]
-            todo += [(left, rows[off <= tree.spills[at]]), (right, rows[off >= -tree.spills[at]])]
+            off = x[rows] @ directions[at] - splits[at]
+            left, right = children[at].tolist()
+            todo += [(left, rows[off <= spills[at]]), (right, rows[off >= -spills[at]])]
     return out
 
 
@@ -155,14 +162,15 @@ def forest(sample: np.ndarray, n: int, threshold: float, leaves: int = 0) -> tup
             return trees, leaves
 
 
-def forests(raw: list[bytes], n: int, threshold: float) -> dict[int, list[Tree]]:
-    """A forest for each length in bytes, from a sample of ``n`` vectors."""
+def forests(raw: list[bytes], n: int, threshold: float) -> dict[int, list[tuple]]:
+    """A forest (of ``plain`` trees) for each length in bytes, from a sample of ``n`` vectors."""
     by_length: dict[int, list[bytes]] = {}
     for v in raw:
         by_length.setdefault(len(v), []).append(v)
     out, leaves = {}, 0
     for length, vectors in sorted(by_length.items()):
-        out[length], leaves = forest(_matrix(vectors), n * len(vectors) // len(raw), threshold, leaves)
+        trees, leaves = forest(_matrix(vectors), n * len(vectors) // len(raw), threshold, leaves)
+        out[length] = [plain(t) for t in trees]
     return out
 
 
