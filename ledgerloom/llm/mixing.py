@@ -7,7 +7,7 @@ siblings.  A leaf reads its documents in whole epochs and then a token-prefix of
 a seeded hash, so a larger budget extends a smaller one's selection.
 
 Prefixes need no sort of a whole leaf: hashes are cut into buckets, bucket sums give the bucket in which the
-budget ends, and only that bucket is sorted.
+budget ends, and only that bucket is sorted.  The document at which it ends is read in part, so no budget is lost.
 """
 
 from __future__ import annotations
@@ -68,16 +68,20 @@ def leaf_budgets(leaves: DataFrame, percent: int, max_epochs: int, domains: dict
 
 def mixed(docs: DataFrame, domain: Column, tokens: Column, percent: int, max_epochs: int, domains: dict[str, int],
           langs: dict[str, int], seed: str = SEED) -> DataFrame:
-    """Rows of ``docs`` that are read at least once, with ``mix_domain`` and ``mix_copies`` (times read).
+    """Rows of ``docs`` that are read, with ``mix_domain``, ``mix_copies`` (times read whole) and ``mix_tokens``
+    (tokens of its beginning that are read once more: the document at which a leaf's budget ends).
 
     Uses doc_id, lang, source and what ``domain`` and ``tokens`` name; null names count as empty ones, a null
-    doc_id as an empty text.  Repeated rows of one doc_id are taken together, like any tie of the hash.  Leaves
-    without tokens give nothing, an empty table gives an empty result.
+    doc_id as an empty text.  Repeated rows of one doc_id are read alike: where the budget ends among them each gives
+    the same number of its first tokens.  Leaves without tokens give nothing, an empty table gives an empty result.
+    Columns of ``docs`` that have the names of the three new ones are replaced.
     """
-    named = docs.withColumns({"__domain": F.coalesce(domain, F.lit("")), "__lang": F.coalesce("lang", F.lit("")),
-                              "__source": F.coalesce("source", F.lit("")), "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
-    slim = stored(named.select(F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"),
-                               F.col("__id").alias("id"), tokens.alias("tokens")), "tokens")
+    mine = ("mix_domain", "mix_copies", "mix_tokens")
+    named = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in mine]).alias("row"), F.coalesce(domain, F.lit("")).alias("domain"),
+        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), tokens.cast("long").alias("tokens"))
+    slim = stored(named.drop("row"), "tokens")
     leaves = slim.groupBy(*LEAF).agg(F.sum("tokens").alias("supply"), F.count("*").alias("rows"))
     digits = F.greatest(F.ceil(F.log(16.0, F.col("rows") / BUCKET_ROWS)), F.lit(0)).cast("int")
     plan = stored(
@@ -90,16 +94,25 @@ def mixed(docs: DataFrame, domain: Column, tokens: Column, percent: int, max_epo
     upto = F.sum("tokens").over(Window.partitionBy(*LEAF).orderBy("bucket"))
     edge = stored(sums.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("tokens"))
                   .where("before <= rest AND upto > rest").select(*LEAF, "bucket", "before"), "edges")
+    # rows of one id are one row here, so a bucket's window holds as many rows as it has ids
+    ids = keyed.join(edge, [*LEAF, "bucket"]).groupBy(*LEAF, "rest", "before", "h").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("copies"))
     within = F.sum("tokens").over(Window.partitionBy(*LEAF).orderBy("h")) + F.col("before")
-    last = (keyed.join(edge, [*LEAF, "bucket"]).withColumn("upto", within).where("upto <= rest")
-            .groupBy(*LEAF).agg(F.max("h").alias("last")))
-    cut = stored(plan.join(edge.drop("before"), LEAF, "left").join(last, LEAF, "left").select(
-        *[F.col(c).alias(f"__{c}") for c in LEAF], F.col("epochs").alias("__epochs"), F.col("bucket").alias("__bucket"),
-        F.col("last").alias("__last")), "cuts")
-    out = named.join(cut, [f"__{c}" for c in LEAF]).withColumn("__h", _order(seed, F.col("__epochs"), F.col("__id")))
-    more = (F.col("__h") < F.col("__bucket")) | (F.col("__h") <= F.col("__last"))
-    out = out.withColumn("mix_copies", F.col("__epochs") + F.when(more, 1).otherwise(0)).where("mix_copies > 0")
-    return out.withColumn("mix_domain", F.col("__domain")).select(*docs.columns, "mix_domain", "mix_copies")
+    over = F.col("upto") > F.col("rest")
+    begin = F.struct("h", F.floor((F.col("rest") - F.col("upto") + F.col("tokens")) / F.col("copies")).cast("long").alias("tokens"))
+    last = ids.withColumn("upto", within).groupBy(*LEAF).agg(F.max(F.when(~over, F.col("h"))).alias("last"), F.min(F.when(over, begin)).alias("begun"))
+    cut = stored(plan.join(edge.drop("before"), LEAF, "left").join(last, LEAF, "left").select(*LEAF, "epochs", "bucket", "last", "begun"), "cuts")
+    out = named.join(cut, LEAF).withColumn("h", _order(seed, F.col("epochs"), F.col("id")))
+    more = F.coalesce((F.col("h") < F.col("bucket")) | (F.col("h") <= F.col("last")), F.lit(False))
+    begun = F.when(F.col("h") == F.col("begun.h"), F.least("begun.tokens", "tokens")).otherwise(0)
+    out = out.select("row", F.col("domain").alias("mix_domain"), (F.col("epochs") + F.when(more, 1).otherwise(0)).alias("mix_copies"), F.coalesce(begun, F.lit(0)).alias("mix_tokens"))
+    return out.where("mix_copies > 0 OR mix_tokens > 0").select("row.*", *mine)
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The beginning of a text up to its ``n``-th word, spacing kept; the whole text if it has no more words."""
+    parts = F.split(F.coalesce(text, F.lit("")), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    blank = F.rlike(parts[0], F.lit(r"^[\x20\x09-\x0D]*$")).cast("int")  # what comes before the first word
+    return F.regexp_replace(F.array_join(F.slice(parts, F.lit(1), n.cast("int") + blank), ""), r"[\x20\x09-\x0D]+$", "")
 
 
 def _order(seed: str, epoch: Column, doc_id: Column) -> Column:
@@ -113,15 +126,23 @@ def domain_of(source: Column) -> Column:
 
 
 def query(spark, sf_dir):
-    """As many tokens as the corpus has, at most four epochs of a source: the documents read, and how often."""
+    """As many tokens as the corpus has, at most four epochs of a source: the documents read, how often, and tokens of the last one begun."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", n_words(F.col("text")).alias("n_tokens"))
     out = mixed(docs, domain_of(F.col("source")), F.col("n_tokens"), 100, 4, DOMAIN_WEIGHTS, LANG_WEIGHTS)
-    return out.select("doc_id", F.col("mix_domain").alias("domain"), "lang", "source", "n_tokens", F.col("mix_copies").alias("copies"))
+    return out.select("doc_id", F.col("mix_domain").alias("domain"), "lang", "source", "n_tokens", F.col("mix_copies").alias("copies"), F.col("mix_tokens").alias("begun_tokens"))
 
 
 def stage(spark, docs, sf_dir):
-    """Each source's share of the target weights, every document at most once; 80 % of the tokens that came in."""
+    """Each source's share of the target weights, every document at most once; 80 % of the tokens that came in.
+
+    The document at which a source's budget ends is cut after its last word that is read.
+    """
     out = mixed(docs, domain_of(F.col("source")), n_words(F.col("text")), 80, 1, DOMAIN_WEIGHTS, LANG_WEIGHTS)
+    cut = F.col("mix_copies") == 0
+    text = F.when(cut, first_words(F.col("text"), F.col("mix_tokens"))).otherwise(F.col("text"))
+    out = out.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
@@ -155,7 +176,10 @@ domains AS (SELECT domain, sum(cap)::BIGINT AS cap FROM langs GROUP BY ALL),
 plan AS (SELECT domain, lang, source, (share // supply)::BIGINT AS epochs, share - (share // supply) * supply AS rest FROM low WHERE supply > 0),
 keyed AS (SELECT t.*, p.epochs, p.rest, md5('{SEED}:' || p.epochs || ':' || coalesce(t.doc_id::VARCHAR, '')) AS h
   FROM t JOIN plan p USING (domain, lang, source)),
-upto AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h) AS upto FROM keyed)
-SELECT doc_id, domain, given_lang AS lang, given_source AS source, n_tokens::BIGINT AS n_tokens, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS copies
-FROM upto WHERE epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END > 0
+upto AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h) AS upto,
+  sum(n_tokens) OVER (PARTITION BY domain, lang, source, h) AS own, count(*) OVER (PARTITION BY domain, lang, source, h) AS alike FROM keyed),
+read AS (SELECT *, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS copies,
+  CASE WHEN upto > rest AND upto - own <= rest THEN least((rest - upto + own) // alike, n_tokens) ELSE 0 END AS begun_tokens FROM upto)
+SELECT doc_id, domain, given_lang AS lang, given_source AS source, n_tokens::BIGINT AS n_tokens, copies, begun_tokens::BIGINT AS begun_tokens
+FROM read WHERE copies > 0 OR begun_tokens > 0
 """

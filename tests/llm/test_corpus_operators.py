@@ -8,11 +8,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerloom.llm import embedding_dedup, jaccard_join, mixing, packing, pii, token_files, toxicity
+from ledgerloom.llm.common import n_words
 from ledgerloom.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -217,8 +219,6 @@ def test_mixing_takes_prefixes_of_seeded_epochs(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
     d = spark.createDataFrame([(i, None if i % 2 else "en", "src" + str(i % 3), f"{'w ' * (i % 9)}", 1) for i in range(300)] + [(None, None, None, None, 1)],
                               "doc_id long, lang string, source string, text string, mix_copies int")
-    from ledgerloom.llm.common import n_words
-
     small = {r.doc_id for r in mixing.mixed(d.drop("mix_copies"), F.lit("d0"), n_words(F.col("text")), 30, 1, {}, {}).collect()}
     large = {r.doc_id for r in mixing.mixed(d.drop("mix_copies"), F.lit("d0"), n_words(F.col("text")), 60, 1, {}, {}).collect()}
     assert small < large
@@ -227,6 +227,46 @@ def test_mixing_takes_prefixes_of_seeded_epochs(spark, monkeypatch):
     assert mixing.mixed(d.drop("mix_copies").limit(0), F.lit("d0"), n_words(F.col("text")), 30, 1, {}, {}).count() == 0
 
 
+def mixed_words(rows, percent, epochs):
+    """Tokens read by leaf, and the rows, of rows (doc_id, source, n words); one domain and language."""
+    spark = SparkSession.getActiveSession()
+    d = spark.createDataFrame([(i, "en", s, " ".join(f"w{k}" for k in range(n)), 7, "own") for i, s, n in rows], "doc_id long, lang string, source string, text string, __id int, h string")
+    out = mixing.mixed(d, F.lit("d0"), n_words(F.col("text")), percent, epochs, {}, {}).collect()
+    read = {}
+    for r in out:
+        assert r["__id"] == 7 and r.h == "own"
+        read[r.source] = read.get(r.source, 0) + r.mix_copies * len(r.text.split()) + r.mix_tokens
+    return read, out
+
+
+def test_mixing_loses_no_budget_at_long_documents(spark):
+    read, _ = mixed_words([(1, "a", 1000), (2, "b", 10), (3, "b", 10)], 50, 1)
+    assert read == {"a": 490, "b": 20}  # of 510; b's shortage goes to a, whose only document is read in part
+    read, rows = mixed_words([(1, "a", 1000)], 80, 1)
+    assert read == {"a": 800} and rows[0].mix_copies == 0
+    assert mixed_words([(1, "a", 1000)], 250, 4)[0] == {"a": 2500}
+    # repeated ids share what is left of the budget
+    read, rows = mixed_words([(1, "a", 100)] * 4, 50, 1)
+    assert read == {"a": 200} and {r.mix_tokens for r in rows} == {50}
+
+
+def test_the_mixing_stage_cuts_the_last_document(spark):
+    text = "  one two\nthree\t four   five "
+    d = spark.createDataFrame([(1, text, "en", "s", 99)], "doc_id long, text string, lang string, source string, n_chars long")
+    row = mixing.stage(spark, d, SF).first()
+    assert row.text == "  one two\nthree\t four" and row.n_chars == len(row.text)
+    for n, want in [(0, ""), (1, "  one"), (3, "  one two\nthree"), (9, text.rstrip())]:
+        assert d.select(mixing.first_words(F.col("text"), F.lit(n))).first()[0] == want
+
+
+def test_own_columns_survive_mixing_and_redaction(spark):
+    d = spark.createDataFrame([(1, "mail a@b.cc now", "en", "s", 5, 6, 7)], "doc_id long, text string, lang string, source string, mix_copies int, spans int, __spans int")
+    out = mixing.mixed(d, F.lit("x"), n_words(F.col("text")), 100, 1, {}, {})
+    assert sorted(out.columns) == sorted([*[c for c in d.columns if c != "mix_copies"], "mix_domain", "mix_copies", "mix_tokens"])
+    clean = pii.redacted(d).first()
+    assert clean.text == "mail [EMAIL] now" and (clean.spans, clean["__spans"]) == (6, 7)
+
+
 def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_IDS", 500)
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
