@@ -147,17 +147,20 @@ def with_spans(df: DataFrame, text_col: str = "text", to: str = "pii") -> DataFr
 
 def redacted(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Every span of ``text_col`` replaced by its kind in brackets; overlapping spans by that of the first."""
-    found = with_spans(df, text_col, "__spans")
+    spans = "spans"
+    while spans in df.columns:  # a name of its own beside the table's
+        spans += "_"
+    found = with_spans(df, text_col, spans)
     text = F.col(text_col)
     start = F.expr("named_struct('at', 0, 'out', cast(array() as array<string>))")
-    walked = F.aggregate("__spans", start, lambda acc, s: F.when(
+    walked = F.aggregate(spans, start, lambda acc, s: F.when(
         s["start"] >= acc["at"],
         F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(
             F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out")),
     ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
     walked = F.transform(F.array(walked), lambda w: F.concat(F.array_join(w["out"], ""), F.substring(text, w["at"] + 1, F.length(text))))
-    clean = F.when(F.size("__spans") > 0, walked[0]).otherwise(text)
-    return found.withColumn(text_col, clean).drop("__spans")
+    clean = F.when(F.size(spans) > 0, walked[0]).otherwise(text)
+    return found.withColumn(text_col, clean).drop(spans)
 
 
 def _joined(spans: Column) -> Column:
