@@ -29,7 +29,7 @@ from .common import mix, scratch_path, small_batches, stored, table
 #: Longest code, ids between two checkpoints, ids of a block (a longer document makes a longer block).
 MAX_BITS, CHECK_IDS, BLOCK_IDS = 18, 128, 1 << 18
 #: Pre-tokens that a task remembers the ids of.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 21
 
 # ---- ids of texts -------------------------------------------------------------------------------
 
@@ -99,7 +99,8 @@ class Encoder:
         self.reset()
 
     def reset(self) -> None:
-        self.slots: dict[int, int] = {}
+        # hashes in order, and the slot of each: pre-tokens are looked up a batch at a time
+        self.keys, self.slot_of, self.n_slots = np.zeros(0, np.uint64), np.zeros(0, np.int32), 0
         self.flat, self.used = np.array([self.end_id] + [0] * 1023, np.uint32), 1
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.starts[0], self.sizes[0] = 0, 1  # slot 0: the end id
@@ -107,29 +108,35 @@ class Encoder:
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids + [self.end_id], np.uint32) for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: list[int], tokens: list[str]) -> None:
-        """Ids of new pre-tokens: those that hold more than white space in common texts, each after a line break."""
-        solid = [i for i, t in enumerate(tokens) if not t.isspace()]
-        ids: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(tokens)
-        texts = ["\n" + "\n".join([tokens[i] for i in solid[at:at + 256]]) for at in range(0, len(solid), 256)]
+    def _learn(self, tokens: list[str]) -> int:
+        """Encode new pre-tokens into the next slots, whose first it returns: those that hold more than white space in
+        common texts, each after a line break."""
+        solid = np.array([not t.isspace() for t in tokens], bool)
+        some = [t for t, s in zip(tokens, solid.tolist(), strict=True) if s]
+        texts = ["\n" + "\n".join(some[at:at + 256]) for at in range(0, len(some), 256)]
         joined = np.array([x for e in self.library.encode_batch_fast(texts, add_special_tokens=False) for x in e.ids], np.uint32)
-        cuts = np.append(np.flatnonzero(joined == self.newline[0]), len(joined))
-        for k, i in enumerate(solid):
-            ids[i] = joined[cuts[k] + 1:cuts[k + 1]]
-        for i, t in enumerate(tokens):
-            if t.isspace():
-                ids[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32)
-        first, sizes = len(self.slots) + 1, np.array([len(x) for x in ids])
-        need_slots, need_ids = first + len(ids), self.used + int(sizes.sum())
+        breaks = joined == self.newline[0]
+        sizes = np.zeros(len(tokens), np.int64)
+        sizes[solid] = np.diff(np.append(np.flatnonzero(breaks), len(joined))) - 1
+        parts = [joined[~breaks]]
+        starts = np.zeros(len(tokens), np.int64)
+        starts[solid] = np.cumsum(sizes[solid]) - sizes[solid]
+        held = len(parts[0])
+        for i in np.flatnonzero(~solid).tolist():
+            ids = np.array(self.library.encode(tokens[i], add_special_tokens=False).ids, np.uint32)
+            starts[i], sizes[i] = held, len(ids)
+            held += len(ids)
+            parts.append(ids)
+        first = self.n_slots + 1
+        need_slots, need_ids = first + len(tokens), self.used + held
         if need_slots > len(self.starts):
             self.starts, self.sizes = (np.resize(x, 2 * need_slots) for x in (self.starts, self.sizes))
         if need_ids > len(self.flat):
             self.flat = np.resize(self.flat, 2 * need_ids)
-        self.flat[self.used:need_ids] = np.concatenate(ids)
-        self.starts[first:need_slots] = self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.sizes[first:need_slots] = sizes
-        self.used = need_ids
-        self.slots.update(zip(hashes, range(first, need_slots), strict=True))
+        self.flat[self.used:need_ids] = np.concatenate(parts)
+        self.starts[first:need_slots], self.sizes[first:need_slots] = self.used + starts, sizes
+        self.used, self.n_slots = need_ids, self.n_slots + len(tokens)
+        return first
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text and the end id."""
@@ -165,14 +172,23 @@ class Encoder:
             np.cumprod(powers, out=powers)
             hashes = mix((sums[stops] - sums[starts]) * powers[starts])
             distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self.slots) + len(distinct) > REMEMBERED:
+            if self.n_slots + len(distinct) > REMEMBERED:
                 self.reset()
-            known = distinct.tolist()
-            new = [i for i, h in enumerate(known) if h not in self.slots]
-            if new:
+            place = np.searchsorted(self.keys, distinct)
+            own = np.zeros(len(distinct), np.int64)
+            there = np.zeros(len(distinct), bool)
+            if len(self.keys):
+                near = np.minimum(place, len(self.keys) - 1)
+                there = self.keys[near] == distinct
+                own = self.slot_of[near].astype(np.int64)
+            new = np.flatnonzero(~there)
+            if len(new):
                 text = codes.tobytes().decode("utf-32-le")
-                self._learn([known[i] for i in new], [text[a:b] for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist(), strict=True)])
-            slots = np.array([self.slots[h] for h in known], np.int64)[inverse]
+                first = self._learn([text[a:b] for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist(), strict=True)])
+                own[new] = np.arange(first, first + len(new))
+                self.keys = np.insert(self.keys, place[new], distinct[new])
+                self.slot_of = np.insert(self.slot_of, place[new], own[new].astype(np.int32))
+            slots = own[inverse]
             bounds = np.searchsorted(starts, ends)
         slots = np.insert(slots, bounds, 0)
         sizes = self.sizes[slots]
