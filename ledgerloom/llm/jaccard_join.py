@@ -60,21 +60,22 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 def _scan(k: int) -> Callable:
-    """Per document (kind 0): its class and set size; per task (kind 1): shingles seen often."""
+    """Per document (kind 0): its class, set size and text's hash; per task (kind 1): shingles seen often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64())])
+        schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("text_hash", pa.int64())])
         held: list[np.ndarray] = []
         room = COUNT_BLOCK
 
         def often() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             values, counts = values[counts > 1], counts[counts > 1]
-            return _batch(schema, np.ones(len(values), np.int32), pa.nulls(len(values), pa.int64()), counts, values.view(np.int64))
+            none = pa.nulls(len(values), pa.int64())
+            return _batch(schema, np.ones(len(values), np.int32), none, counts, values.view(np.int64), none)
 
         for b in small_batches(batches):
             sets = shingle_sets(*text_bytes(b.column("text")), k)
             yield _batch(schema, np.zeros(len(sets), np.int32), b.column("doc_id"), [len(s) for s in sets],
-                         [_class_key(s) if len(s) else None for s in sets])
+                         [_class_key(s) if len(s) else None for s in sets], b.column("text_hash"))
             held += sets
             room -= sum(map(len, sets))
             if room < 0:
@@ -337,18 +338,16 @@ def _blocks(members: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("region", F.least("i", "j"), F.greatest("i", "j")).alias("region"), "role", "cls", "n")
 
 
-def jaccard_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Columns doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text; other columns unread).
+def labelled(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, cls, text_hash) of ``docs``, and (cls, doc_id, label): each class's smallest doc_id and component.
 
-    Words fold A-Z; a set holds the distinct ``k``-word shingles, or the whole sequence if there are fewer
-    words.  Two rows link when 100 * intersection >= percent * union; the component is named by its smallest
-    doc_id.  Null, empty and blank texts have no shingles and link with nothing; rows with a null doc_id link
-    with nothing and have a null component.  Repeated rows each give a row.  An empty table gives none.
+    A class is a distinct shingle set (null without words), a component a set of classes that links connect.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scanned = stored(docs.mapInArrow(_scan(k), "kind int, doc_id long, n long, key long"), "scan")
-    each = scanned.where("kind = 0").select("doc_id", "n", F.col("key").alias("cls"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    scanned = stored(docs.mapInArrow(_scan(k), "kind int, doc_id long, n long, key long, text_hash long"), "scan")
+    docs = docs.drop("text_hash")
+    each = scanned.where("kind = 0").select("doc_id", "n", F.col("key").alias("cls"), "text_hash")
     classes = each.where("doc_id IS NOT NULL AND cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
 
     often = (scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT)
@@ -360,6 +359,7 @@ def jaccard_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     pairs = prefixes.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(
         _pairs(percent), "a long, b long, shared int, need int")
     near = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need")
+    near = stored(near.select("a", "b"), "near")  # read more than once
     region = connected_components(near).toDF("cls", "region")
 
     members = classes.join(region, "cls").select("region", F.lit(0).alias("role"), "cls", "n", "doc_id")
@@ -379,9 +379,21 @@ def jaccard_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     links = found[0]
     for more in found[1:]:
         links = links.union(more)
-    label = connected_components(links).toDF("cls", "label")
+    label = connected_components(stored(links, "links")).toDF("cls", "label")
 
     named = stored(classes.select("cls", "doc_id").join(label, "cls", "left").select("cls", "doc_id", F.coalesce("label", "cls").alias("label")), "named")
+    return each, named
+
+
+def jaccard_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Columns doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text; other columns unread).
+
+    Words fold A-Z; a set holds the distinct ``k``-word shingles, or the whole sequence if there are fewer
+    words.  Two rows link when 100 * intersection >= percent * union; the component is named by its smallest
+    doc_id.  Null, empty and blank texts have no shingles and link with nothing; rows with a null doc_id link
+    with nothing and have a null component.  Repeated rows each give a row.  An empty table gives none.
+    """
+    each, named = labelled(docs, k, percent)
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     component = named.join(smallest, "label").select("cls", "component_id")
     return each.join(component, "cls", "left").select(
@@ -397,9 +409,14 @@ def query(spark, sf_dir):
 def stage(spark, docs, sf_dir):
     """One document of each group of near-duplicates (5-word shingles, 0.8 or more) stays: the smallest doc_id.
 
-    Rows without a doc_id stay.  Of repeated rows of one doc_id one stays.
+    Different texts under one doc_id are documents of their own.  Rows without a doc_id and rows without words stay;
+    of rows of one doc_id with the same text one stays.
     """
-    found = jaccard_components(docs, 5, 80)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    numbered = docs.where("doc_id IS NOT NULL").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return numbered.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    each, named = labelled(docs, 5, 80)
+    each = each.where("doc_id IS NOT NULL")
+    first = each.where("cls IS NOT NULL").join(named.select("cls", "label"), "cls").groupBy("label").agg(F.min(F.struct("doc_id", "cls", "text_hash")).alias("first"))
+    keep = first.select("first.doc_id", "first.text_hash").unionByName(each.where("cls IS NULL").select("doc_id", "text_hash"))
+    keys = {"doc_id": F.col("row.doc_id").cast("long"), "text_hash": F.xxhash64(F.coalesce("row.text", F.lit("")))}
+    rows = docs.where("doc_id IS NOT NULL").select(F.struct("*").alias("row")).withColumns(keys)
+    kept = rows.join(keep, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    return kept.select("row.*").unionByName(docs.where("doc_id IS NULL"))

@@ -307,3 +307,20 @@ def test_pipeline_stages_take_effect(spark):
     assert pii.with_spans(clean).where(F.size("pii") > 0).count() == 0
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in rows} <= {r.doc_id for r in unique.collect()} and len({(r.doc_id, r.piece) for r in rows}) == len(rows)
+
+
+def test_no_text_is_lost_under_a_shared_id(spark):
+    rows = [(1, "one two three four five six seven eight nine", "a"), (1, "quite another text with no shingle in common at all", "b"), (1, "", "c"), (1, "", "d"),
+            (2, "one two three four five six seven eight nine", "e"), (None, "one two three four five six seven eight nine", "f"), (3, None, "g"), (3, "", "h")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, text_hash string")
+    got = jaccard_join.stage(spark, d, SF)
+    assert got.columns == d.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in got.collect()) == sorted([
+        ("1", rows[0][1]), ("1", rows[1][1]), ("1", ""), ("None", rows[0][1]), ("3", "")])
+    assert jaccard_join.stage(spark, d.limit(0), SF).count() == 0
+
+
+def test_the_pipeline_on_an_empty_table(spark, tmp_path):
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
