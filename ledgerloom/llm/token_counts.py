@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, stored, table
 
 #: Pre-tokens in the broadcast table, and their greatest length in characters; what is longer is joined by a shuffle.
-HEAD, HEAD_CHARS = 1 << 15, 64
+HEAD, HEAD_CHARS = 1 << 16, 64
 #: Distinct pre-tokens that a task holds before it hands on its counts.
 HELD = 1 << 18
 BLANK = "▁"
