@@ -9,13 +9,16 @@ shingle sets are one class (distance 0).  The classes are joined by regions:
    its whole intersection) among the first n - ceil(t n) + SHARED of each side in one common order, rare
    shingles first, frequent ones last.  Classes that share so many are connected; a connected region holds
    every link of its members.
-2. *Document pivots.*  A region picks pivots and measures its members' distance to each.  d <= eps links a member to the
-   pivot, whose cell is then connected.  What can still link is a member outside the cell: with another such
-   member, or, by the triangle inequality, with a cell member whose d is at least the outsiders' least d - eps.
-   The outsiders and this boundary window of the cell are the next region.
+2. *Voronoi cells.*  A region picks pivots among its members, measures every member's distance to each, and assigns
+   each to its nearest pivot.  A linked pair x, y of cells i, j satisfies, by the triangle inequality, d(y, i) <= r + eps
+   (r: the cell's radius) and d(y, i) <= d(y, j) + 2 eps; members in that window are copied into cell i.  Members about as
+   far from all pivots as can be (1 - eps or more) would widen every cell, so they form a cell of their own, which gets
+   other pivots.  Cells recurse; pivots have met every member and leave, so each step ends nearer.
 3. Regions within ``REGION_WEIGHT`` shingles (and ``REGION_WORK``) recurse inside one task, larger ones over
-   the cluster with ``PIVOTS`` pivots a round (members are dealt to slots, pivots copied to each slot).  A
-   large region that pivots don't shrink is compared block by block, blocks dealt over the cluster.
+   the cluster with ``PIVOTS`` pivots a round (members are dealt to slots, pivots copied to each slot).  Members
+   connected with a region's largest group are kept as copies only: their links with each other are not
+   needed.  A region whose windows would copy it more than ``COPIES`` times is compared block by block, blocks
+   dealt over the cluster, as is what is left after ``MAX_ROUNDS``.
 
 Links are united by connected components.  Shingles are 64-bit hashes, classes 64 bits of a digest of the set.
 """
@@ -43,10 +46,11 @@ COUNT_BLOCK = 4 << 20
 SHARED, RUN = 4, 32
 #: A region of at most so many shingles, and so many times its inner members, is joined in one task.
 REGION_WEIGHT, REGION_WORK = 1 << 20, 1 << 30
-#: Pivots whose distances a task keeps for the windows of later ones.
-KNOWN = 16
-#: Pivots a round of a larger region, rounds after which what is left is compared in blocks, and rows of a block.
-PIVOTS, MAX_ROUNDS, BLOCK_ROWS = 64, 5, 512
+#: Members that a task compares directly, and pivots of a larger region in a task.
+DIRECT, CELLS = 4, 16
+#: Pivots a round of a larger region, rounds after which what is left is compared in blocks, rows of a block, and times
+#: that a round may copy a region.
+PIVOTS, MAX_ROUNDS, BLOCK_ROWS, COPIES = 64, 5, 512, 3
 
 Pair = tuple[int, int]
 
@@ -171,40 +175,43 @@ def overlaps(pivot: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> np.ndar
 
 
 def join_region(keys: list[int], sets: list[np.ndarray], n_inner: int, percent: int) -> list[Pair]:
-    """Links among the first ``n_inner`` members and between them and the others (the boundary, whose members
-    are connected with each other already), as many as it takes to connect what links connect.
-
-    Every inner member becomes a pivot in turn, unless it joins the boundary's connected group first (without a
-    boundary: the first pivot's that has a link).  A pivot meets the members that aren't connected with it and
-    that no earlier pivot's distance puts outside its window.
-    """
+    """Links among the first ``n_inner`` members and between them and the others (copies from other cells), as many as
+    it takes to connect what links connect: by Voronoi cells, recursively."""
     links: list[Pair] = []
-    size, eps = np.array([len(s) for s in sets]), 1 - percent / 100 + 1e-9
-    root, alive = np.arange(len(sets)), np.ones(len(sets), bool)
-    root[n_inner:] = n_inner
-    group = n_inner if n_inner < len(sets) else None
-    known: list[np.ndarray] = []
-    for p in range(n_inner):
-        if group is not None and root[p] == root[group]:
+    size, eps, tiny = np.array([len(s) for s in sets]), 1 - percent / 100, 1e-9
+    root = np.arange(len(sets))
+    todo = [(np.arange(n_inner), np.arange(n_inner, len(sets)))]
+    while todo:
+        inner, outer = todo.pop()
+        members = np.concatenate((inner, outer))
+        if not len(inner) or (root[members] == root[members[0]]).all():
             continue
-        alive[p] = False
-        meet = alive & (root != root[p]) & (100 * np.minimum(size, size[p]) >= percent * np.maximum(size, size[p]))
-        for d in known:
-            meet &= ~(np.abs(d - d[p]) > eps)  # unknown distances are NaN: no window
-        near = np.flatnonzero(meet)
-        if not len(near):
+        n_pivots = len(inner) if len(inner) <= DIRECT else min(CELLS, int(len(inner) ** 0.5))
+        flat, starts = np.concatenate([sets[i] for i in members]), np.concatenate(([0], np.cumsum(size[members])[:-1]))
+        distance = np.empty((n_pivots, len(members)))
+        for i, p in enumerate(inner[:n_pivots]):
+            both = overlaps(sets[p], flat, starts)
+            union = size[members] + size[p] - both
+            distance[i] = 1 - both / union
+            for x in members[100 * both >= percent * union]:
+                if root[x] != root[p]:
+                    links.append((keys[p], keys[x]))
+                    root[root == root[x]] = root[p]
+        # pivots have met everyone and leave
+        distance, others, left = distance[:, n_pivots:], members[n_pivots:], len(inner) - n_pivots
+        if not left:
             continue
-        both = overlaps(sets[p], np.concatenate([sets[i] for i in near]), np.concatenate(([0], np.cumsum(size[near])[:-1])))
-        union = size[near] + size[p] - both
-        for i in near[100 * both >= percent * union]:
-            if root[i] != root[p]:
-                links.append((keys[p], keys[i]))
-                root[root == root[i]] = root[p]
-                group = p if group is None else group
-        if len(known) < KNOWN:
-            dist = np.full(len(sets), np.nan)
-            dist[p], dist[near] = 0, 1 - both / union
-            known.append(dist)
+        nearest, least = distance.argmin(axis=0), distance.min(axis=0)
+        own = np.arange(len(others)) < left
+        near = own & (least < 1 - eps)
+        for j in range(n_pivots):
+            cell = near & (nearest == j)
+            if cell.any():
+                window = ~cell & (distance[j] <= least[cell].max() + eps + tiny) & (~near | (distance[j] <= least + 2 * eps + tiny))
+                todo.append((others[cell], others[window]))
+        far = own & ~near
+        if far.any():
+            todo.append((others[far], others[~own & (least >= least[far].min() - eps - tiny)]))
     return links
 
 
@@ -245,10 +252,10 @@ def _join_regions(k: int, percent: int) -> Callable:
 
 
 def _pivot_distances(k: int, percent: int) -> Callable:
-    """From rows sorted by (region, part, pivots first): each member's pivots within twice the radius."""
+    """From rows sorted by (region, part, pivots first): each member's distances to the pivots it shares shingles with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("region", pa.int64()), ("role", pa.int32()), ("cls", pa.int64()), ("n", pa.int64()),
-                            ("near", pa.list_(pa.struct([("p", pa.int64()), ("d", pa.float64())])))])
+        schema = pa.schema([("region", pa.int64()), ("origin", pa.int64()), ("role", pa.int32()), ("cls", pa.int64()), ("n", pa.int64()),
+                            ("near", pa.list_(pa.struct([("d", pa.float64()), ("p", pa.int64())])))])
         eps = 1 - percent / 100
         for _, rows in _grouped(batches, ["region", "part"]):
             pivots = _sets_of([r for r in rows if r["pivot"]], k)
@@ -265,10 +272,9 @@ def _pivot_distances(k: int, percent: int) -> Callable:
                 both = overlaps(pivot, flat, starts)
                 union = size + len(pivot) - both
                 dist = np.where(100 * both >= percent * union, np.minimum(1 - both / union, eps), np.maximum(1 - both / union, eps + 1e-12))
-                for i in np.flatnonzero(dist <= 2 * eps + 1e-9):
-                    near[i].append({"p": c, "d": dist[i]})
-            yield _batch(schema, [r["region"] for r in members], [r["role"] for r in members], [r["cls"] for r in members],
-                         [r["n"] for r in members], near)
+                for i in np.flatnonzero(both):
+                    near[i].append({"d": dist[i], "p": c})
+            yield _batch(schema, *[[r[c] for r in members] for c in ("region", "origin", "role", "cls", "n")], near)
 
     return run
 
@@ -288,46 +294,54 @@ def _local_links(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
     return rows.select("region", "role", "cls", "text").mapInArrow(_join_regions(k, percent), "a long, b long")
 
 
-def _round(members: DataFrame, texts: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """One round of pivots over large regions: links found, and what is left of the regions.
+def _round(members: DataFrame, texts: DataFrame, links: DataFrame | None, anchors: DataFrame | None, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """One round of Voronoi cells of large regions: all links so far, the anchors, the cells, and what is too dense for cells.
 
-    The members connected with a region's boundary (or, as long as it has none, its largest connected group)
-    are connected with each other, so only links that involve one of the others, the inner members, are still
-    sought.  A connected member stays as boundary unless some pivot is too near to it for any inner member's
-    window.  Pivots have met every member and leave.
+    An anchor is a member of the largest connected group that the first round finds in a first region.  Members
+    connected with their anchor are copies from then on: a pair of which both are needs no link, and a pair of which
+    one is not is found where that one is no copy.
     """
-    eps = 1 - percent / 100
+    eps, tiny = 1 - percent / 100, 1e-9
     parts = F.ceil(F.greatest(F.col("rows") / 256, F.col("weight") / F.lit(REGION_WEIGHT / 4))).cast("int")
     pivots = members.where("role = 0").groupBy("region", F.pmod("cls", F.lit(PIVOTS)).alias("slot"), parts.alias("parts")).agg(
-        F.min("cls").alias("cls"))
-    copies = pivots.select("region", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"),
+        F.min("cls").alias("cls"), F.min("origin").alias("origin"))
+    copies = pivots.select("region", "origin", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"),
                            "cls", F.lit(0).cast("long").alias("n"), F.lit(True).alias("pivot"))
-    dealt = members.select("region", F.pmod(F.xxhash64("cls"), parts).cast("int").alias("part"), "role", "cls", "n", F.lit(False).alias("pivot"))
+    dealt = members.select("region", "origin", F.pmod(F.xxhash64("cls"), parts).cast("int").alias("part"), "role", "cls", "n", F.lit(False).alias("pivot"))
     rows = _with_text(dealt.unionByName(copies), texts)
     rows = rows.repartition("region", "part").sortWithinPartitions("region", "part", F.desc("pivot"))
-    near = stored(rows.select("region", "part", "role", "cls", "n", "pivot", "text").mapInArrow(
-        _pivot_distances(k, percent), "region long, role int, cls long, n long, near array<struct<p long, d double>>"), "near")
-    each = near.select("region", "role", "cls", "n", F.explode("near").alias("x")).select("region", "role", "cls", "n", "x.p", "x.d").where("p <> cls")
-    links = stored(each.where(F.col("d") <= eps).select(F.col("p").alias("a"), F.col("cls").alias("b")), "links")
-    label = connected_components(links).toDF("cls", "label")
-
-    labelled = near.select("region", "role", "cls", "n").join(label, "cls", "left")
-    groups = labelled.where("label IS NOT NULL").groupBy("region", "label").agg(F.count("*").alias("size"), F.max("role").alias("role"))
-    first = groups.groupBy("region").agg(F.max(F.struct("size", "label"))["label"].alias("largest"))
-    bounded = labelled.groupBy("region").agg(F.max("role").alias("bounded"))
-    joined = (groups.join(first, "region").join(bounded, "region").where("role = 1 OR (bounded = 0 AND label = largest)")
-              .select("region", "label", F.lit(1).alias("in")))
-    met = pivots.select("region", "cls")
-    left = labelled.join(joined, ["region", "label"], "left").select(
-        "region", "cls", "n", F.greatest("role", F.coalesce("in", F.lit(0))).alias("role")).join(met, ["region", "cls"], "left_anti")
-    left = stored(left, "left")
-    inner, outer = left.where("role = 0"), left.where("role = 1")
-    least = each.join(inner.select("region", "cls"), ["region", "cls"], "left_semi").groupBy("region", "p").agg(F.min("d").alias("least"))
-    apart = (each.join(least, ["region", "p"], "left").where(F.col("d") < F.coalesce("least", F.lit(2 * eps)) - eps - 1e-9)
-             .select("region", "cls").distinct())
-    outer = outer.join(inner.select("region").distinct(), "region", "left_semi").join(apart, ["region", "cls"], "left_anti")
-    rest = inner.unionByName(outer).select("region", "role", "cls", "n")
-    return links, stored(_sized(rest), "regions")
+    near = stored(rows.select("region", "origin", "part", "role", "cls", "n", "pivot", "text").mapInArrow(
+        _pivot_distances(k, percent), "region long, origin long, role int, cls long, n long, near array<struct<d double, p long>>"), "distances")
+    found = near.select("cls", F.explode("near").alias("x")).where((F.col("x.d") <= eps) & (F.col("x.p") != F.col("cls"))).select(F.col("x.p").alias("a"), F.col("cls").alias("b"))
+    links = stored(found if links is None else links.unionByName(found), "links")
+    label = stored(connected_components(links).toDF("cls", "label"), "labels")
+    if anchors is None:
+        groups = near.select("origin", "cls").distinct().join(label, "cls").groupBy("origin", "label").agg(F.count("*").alias("size"), F.min("cls").alias("anchor"))
+        anchors = stored(groups.groupBy("origin").agg(F.max_by("anchor", F.struct("size", "label")).alias("anchor")), "anchors")
+    main = anchors.join(label.withColumnRenamed("cls", "anchor"), "anchor").select("origin", F.col("label").alias("main"))
+
+    left = near.join(pivots.select("region", "cls"), ["region", "cls"], "left_anti").join(label, "cls", "left").join(main, "origin", "left")
+    best = F.array_min("near")
+    left = left.withColumns({"least": F.coalesce(best["d"], F.lit(1.0)), "cell": best["p"],
+                             "own": (F.col("role") == 0) & ~F.coalesce(F.col("label") == F.col("main"), F.lit(False))})
+    left = stored(left.withColumn("in_cell", F.col("own") & (F.col("least") < 1 - eps)).drop("label", "main"), "left")
+    named = ["origin", "cls", "n"]
+    centres = left.where("in_cell").groupBy("region", F.col("cell").alias("p")).agg(F.max("least").alias("radius"))
+    inner = left.where("in_cell").select("region", F.xxhash64("region", "cell").alias("to"), F.lit(0).alias("role"), *named)
+    reach = left.select("region", *named, "in_cell", "least", "cell", F.explode("near").alias("x")).select("region", *named, "in_cell", "least", "cell", "x.d", "x.p")
+    window = (F.col("d") <= F.col("radius") + eps + tiny) & (~F.col("in_cell") | ((F.col("p") != F.col("cell")) & (F.col("d") <= F.col("least") + 2 * eps + tiny)))
+    outer = reach.join(centres, ["region", "p"]).where(window).select("region", F.xxhash64("region", "p").alias("to"), F.lit(1).alias("role"), *named)
+    far = left.where("own AND NOT in_cell")
+    beyond = far.groupBy("region").agg(F.min("least").alias("from"))
+    apart = F.xxhash64("region", F.lit("far")).alias("to")
+    far_outer = left.where("NOT own").join(beyond, "region").where(F.col("least") >= F.col("from") - eps - tiny).select("region", apart, F.lit(1).alias("role"), *named)
+    cells = stored(inner.unionByName(outer).unionByName(far.select("region", apart, F.lit(0).alias("role"), *named)).unionByName(far_outer), "cells")
+
+    many = cells.groupBy("region").agg(F.count("*").alias("copied")).join(left.groupBy("region").agg(F.count("*").alias("had")), "region")
+    dense = stored(many.where(F.col("copied") > COPIES * F.col("had")).select("region"), "dense")
+    whole = left.join(dense, "region", "left_semi").select("region", F.when(F.col("own"), 0).otherwise(1).alias("role"), *named)
+    parted = cells.join(dense, "region", "left_anti").select(F.col("to").alias("region"), "role", *named)
+    return links, anchors, stored(_sized(parted), "regions"), stored(_sized(whole), "whole")
 
 
 def _blocks(members: DataFrame) -> DataFrame:
@@ -362,22 +376,22 @@ def labelled(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
     near = stored(near.select("a", "b"), "near")  # read more than once
     region = connected_components(near).toDF("cls", "region")
 
-    members = classes.join(region, "cls").select("region", F.lit(0).alias("role"), "cls", "n", "doc_id")
+    members = classes.join(region, "cls").select("region", F.col("region").alias("origin"), F.lit(0).alias("role"), "cls", "n", "doc_id")
     members = stored(_sized(members), "regions")
     texts = stored(docs.join(members.select("doc_id", "cls"), "doc_id").select("cls", "text"), "texts")
     members = members.drop("doc_id")
     small = F.expr(f"weight <= {REGION_WEIGHT} AND inner * weight <= {REGION_WORK}")
-    found = [_local_links(members.where(small), texts, k, percent)]
+    found, met, anchors = [_local_links(members.where(small), texts, k, percent)], None, None
     for _ in range(MAX_ROUNDS):
         members = members.where(~small)
         if members.isEmpty():
             break
-        links, members = _round(members, texts, k, percent)
-        found += [links, _local_links(members.where(small), texts, k, percent)]
+        met, anchors, members, whole = _round(members, texts, met, anchors, k, percent)
+        found += [_local_links(members.where(small), texts, k, percent), _local_links(_blocks(whole), texts, k, percent)]
     else:
         found.append(_local_links(_blocks(members.where(~small)), texts, k, percent))
     links = found[0]
-    for more in found[1:]:
+    for more in [*found[1:], *([met] if met is not None else [])]:
         links = links.union(more)
     label = connected_components(stored(links, "links")).toDF("cls", "label")
 

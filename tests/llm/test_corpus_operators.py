@@ -71,15 +71,19 @@ def corpus(seed=0):
     return [(i, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"REGION_WEIGHT": 50, "MAX_ROUNDS": 3}, {"REGION_WEIGHT": 80, "MAX_ROUNDS": 1, "RUN": 2, "PIVOTS": 2}])
+@pytest.mark.parametrize("limits", [{}, {"REGION_WEIGHT": 50, "MAX_ROUNDS": 3}, {"REGION_WEIGHT": 80, "MAX_ROUNDS": 1, "RUN": 2, "PIVOTS": 2},
+                                    {"REGION_WEIGHT": 60, "RUN": 2, "PIVOTS": 3, "COPIES": 100}, {"REGION_WEIGHT": 60, "RUN": 2, "PIVOTS": 5, "COPIES": 0}])
 def test_jaccard_join_is_exact(spark, monkeypatch, limits):
     for k, v in limits.items():
         monkeypatch.setattr(jaccard_join, k, v)
+    rounds, plain_round = [], jaccard_join._round
+    monkeypatch.setattr(jaccard_join, "_round", lambda *a: rounds.append(1) or plain_round(*a))
     rows = corpus()
     d = spark.createDataFrame([(i, t, "x", 9) for i, t in rows], "doc_id long, text string, cls string, n int")
     for k, percent in ((4, 85), (5, 80))[: 1 if limits else 2]:
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d, k, percent).collect()}
         assert got == plain_components(rows, k, percent)
+    assert bool(rounds) == bool(limits)
 
 
 @pytest.mark.parametrize("n_inner", [1, 7, 40])
