@@ -213,9 +213,14 @@ def read_staged(spark: SparkSession, path: str, run: str) -> DataFrame:
 
 
 def _stage(spark: SparkSession, sf_dir: str, path: str, run: str, dims: Model, years: tuple[int, int] | None = None):
-    """Pass over the order lines once: write the staged ledger; returns lines read, first and last shipment date."""
-    seen = Observation()
-    lines = classified_lines(spark, sf_dir, dims, years, seen)
+    """Pass over the order lines once: write the staged ledger; returns lines read, first and last shipment date.
+
+    Where the order tables are laid out in buckets (``buckets.prepare``), lines and orders are read from there.
+    """
+    from . import buckets
+
+    seen, found = Observation(), buckets.layout(spark, sf_dir)
+    lines = classified_lines(spark, sf_dir, dims, years, seen, found.read(spark) if found else None)
     staged = staged_ledger(lines).select(*[F.col(f.name).cast(f.dataType) for f in STAGED_SCHEMA.fields[:-1]], F.col("reason").isNotNull().alias("rejected"))
     staged.write.partitionBy("rejected").parquet(f"{path}/staged/{run}")
     got = seen.get

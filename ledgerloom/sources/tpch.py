@@ -177,15 +177,25 @@ LEDGER_KEYS = ["date_id", "channel_id", "segment_id", "product_id", "currency_id
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 
-def classified_lines(spark: SparkSession, sf_dir: str, dims: Model, years: tuple[int, int] | None = None, seen: Observation | None = None) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines, and orders with their customer's market segment (``has_customer`` false if there is none)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return table(spark, sf_dir, "lineitem"), orders.select("o_orderkey", "o_custkey", F.col("c_custkey").isNotNull().alias("has_customer"), "c_mktsegment")
+
+
+def classified_lines(spark: SparkSession, sf_dir: str, dims: Model, years: tuple[int, int] | None = None, seen: Observation | None = None,
+                     sources: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Every order line with its ledger keys, its amount and, if it can't be posted, a reason (see REASONS).
 
     ``dims`` holds the channels, segments and products (names and ids).  All joins keep the line: a line that finds
     no partner gets a reason instead.  ``years`` (first, last) restricts the lines by shipment date, down to the scan.  ``seen``
-    observes what the scan has read: lines, first and last shipment date.
+    observes what the scan has read: lines, first and last shipment date.  ``sources`` are lines and orders in
+    another layout (``buckets``), as ``order_lines`` gives them.
     """
     items = dims.items
-    li = table(spark, sf_dir, "lineitem").select(
+    lineitem, orders = sources or order_lines(spark, sf_dir)
+    li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount",
         "l_shipdate")
     if years:
@@ -196,10 +206,7 @@ def classified_lines(spark: SparkSession, sf_dir: str, dims: Model, years: tuple
         li = li.observe(seen, F.count(F.lit(1)).alias("lines"), F.min(day).alias("first"), F.max(day).alias("last"))
     # market segments, brands and nations are looked up in bounded maps: no shuffle on a key of few values
     seg = small(dims.segments.select(F.col("segment_name").alias("c_mktsegment"), "segment_id"))
-    cust = (table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-            .join(seg, "c_mktsegment", "left").select("c_custkey", "segment_id"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    order_seg = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select("o_orderkey", "segment_id")
+    order_seg = orders.join(seg, "c_mktsegment", "left").select("o_orderkey", "segment_id")
     brand = small(dims.products.select(F.col("product_name").alias("p_brand"), "product_id"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand").join(brand, "p_brand", "left").select("p_partkey", "product_id")
     channel = small(channel_dim(spark, sf_dir).select("channel_id", "currency_id"))
