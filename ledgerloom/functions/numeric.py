@@ -34,10 +34,6 @@ def money(c) -> Column:
     return _c(c).cast(MONEY)
 
 
-def money_sum(c) -> Column:
-    return F.sum(_c(c)).cast(MONEY_SUM)
-
-
 def safe_ratio(num, den, digits: int = 6) -> Column:
     """num / den as a double rounded to ``digits``; NULL when den is 0 or NULL."""
     n = _c(num).cast("double")
@@ -70,7 +66,3 @@ def draw_from(digest: Column, slot: int, span) -> Column:
     span_c = F.lit(span) if isinstance(span, int) else span
     half = F.lit(span // 2) if isinstance(span, int) else F.floor(span / 2).cast("int")
     return (_word(digest, slot) % span_c).cast("int") - half
-
-
-def seeded_noise(seed, *keys, span) -> Column:
-    return draw_from(seeded_digest(seed, *keys), 0, span)

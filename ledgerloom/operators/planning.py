@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates as fd
-from ..functions.numeric import dec, draw_from, money, seeded_digest
+from ..functions.numeric import MONEY_SUM, dec, draw_from, money, safe_ratio, seeded_digest
 from ..sources import fixed
 from ..sources.model import leaves
 
@@ -52,9 +52,9 @@ def _case(key: Column, pairs, default, p: int, s: int) -> Column:
     return e.otherwise(dec(default, p, s))
 
 
-def channel_driver(channel_type: Column, channel_name: Column) -> Column:
-    """Flagship branch 3.0 (name LIKE '%Flagship%'), other branch 2.0, digital 1.5, remote 0.8, unit 2.5."""
-    flagship = F.when(channel_name.like(fixed.FLAGSHIP_PATTERN), dec(fixed.DRIVER_CHANNEL_FLAGSHIP, 3, 2))
+def channel_driver(channel_type: Column, channel_name: Column, flagships: str = fixed.FLAGSHIP_PATTERN) -> Column:
+    """Flagship branch 3.0 (name LIKE ``flagships``), other branch 2.0, digital 1.5, remote 0.8, unit 2.5."""
+    flagship = F.when(channel_name.like(flagships), dec(fixed.DRIVER_CHANNEL_FLAGSHIP, 3, 2))
     e = None
     for t, v in fixed.DRIVER_CHANNEL:
         val = flagship.otherwise(dec(v, 3, 2)) if t == "Branch" else dec(v, 3, 2)
@@ -143,8 +143,20 @@ def scenario_amounts(combos: DataFrame, channels: DataFrame, month_ends: DataFra
         money(F.abs(F.col("pd") + n_daily)).alias("daily_avg_eur"))
 
 
+def base_index(amounts: DataFrame, items: DataFrame, base_set: str) -> DataFrame:
+    """base_set, category, base, cells, mean, index: given amounts against the base driver of their category.
+
+    A cell is a row of ``amounts`` on a posting account; index = mean amount of a cell / base.
+    """
+    cats = leaves(items).select("budget_item_id", "category")
+    j = amounts.join(F.broadcast(cats), "budget_item_id").groupBy("category").agg(F.count(F.lit(1)).alias("cells"), F.sum("amount_eur").cast(MONEY_SUM).alias("total"))
+    base = base_driver(F.lit(base_set), F.col("category"))
+    return j.select(F.lit(base_set).alias("base_set"), "category", base.alias("base"), "cells", safe_ratio(F.col("total"), F.col("cells"), 2).alias("mean"),
+                    safe_ratio(F.col("total"), F.col("cells") * base).alias("index"))
+
+
 def driven_plan(base: DataFrame, channels: DataFrame, items: DataFrame, season_set: str,
-                measure: str = "amount_eur") -> DataFrame:
+                measure: str = "amount_eur", flagships: str = fixed.FLAGSHIP_PATTERN) -> DataFrame:
     """Drivers applied to given amounts: plan = amount x channel x segment x season x currency driver.
 
     ``base`` holds ledger rows (ids, date_id, ``measure``); returns them a year later with the
@@ -152,7 +164,7 @@ def driven_plan(base: DataFrame, channels: DataFrame, items: DataFrame, season_s
     Rows whose channel or account is unknown keep a driver of 1.  Dimensions are joined, the
     rows are not multiplied.
     """
-    ch = channels.select("channel_id", channel_driver(F.col("channel_type"), F.col("channel_name")).alias("by_channel"))
+    ch = channels.select("channel_id", channel_driver(F.col("channel_type"), F.col("channel_name"), flagships).alias("by_channel"))
     adj = items.select("budget_item_id", _case(F.col("category"), fixed.DRIVER_DAILY_ADJ, "1.00", 3, 2).alias("by_day"))
     one = dec("1.00", 3, 2)
     moved = base.withColumn("date_id", fd.shift_month_end("date_id", 12))

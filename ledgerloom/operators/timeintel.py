@@ -82,10 +82,15 @@ def opening(closing_df: DataFrame, keys: list[str]) -> DataFrame:
     return closing_df.withColumn("opening", F.when(prev_year == F.col("year") - 1, F.lag("closing").over(w)))
 
 
-def average(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Mean of month-end values per year (sum over months / number of months)."""
-    aggs = [F.round(F.sum(c).cast("double") / F.count(F.lit(1)), 6).alias(f"avg_{c}") for c in cols]
-    return df.groupBy(*keys, "year").agg(F.count(F.lit(1)).alias("months"), *aggs)
+def average(df: DataFrame, keys: list[str], cols: list[str], book_keys: list[str]) -> DataFrame:
+    """Mean of month-end values per year, over the months that the whole book (``book_keys``) has in the year.
+
+    ``df`` has a row for each key and month with a value; a month of the book in which a key has none counts as
+    zero, so averages of the keys add up to the average of the book.
+    """
+    months = df.groupBy(*book_keys, "year").agg(F.count_distinct("date_id").alias("months"))
+    sums = df.groupBy(*keys, "year").agg(*[F.sum(c).cast("double").alias(f"_{c}") for c in cols])
+    return sums.join(months, [*book_keys, "year"]).select(*keys, "year", "months", *[F.round(F.col(f"_{c}") / F.col("months"), 6).alias(f"avg_{c}") for c in cols])
 
 
 def per_day(df: DataFrame, value: str = "value") -> DataFrame:

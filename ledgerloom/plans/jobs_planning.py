@@ -10,8 +10,9 @@ from ..operators import planning
 from ..operators.variance import align
 from ..sources import fixed
 from ..sources.dates import calendar, month_end_spine
+from ..sources.model import default_fill
 from ..sources.store import stored_model
-from ..sources.tpch import BOTTOMUP_UPLIFT, BUDGET_UPLIFT, FORECAST_CUTOFF_MONTH, FORECAST_UPLIFT, TOPDOWN_UPLIFT
+from ..sources.tpch import BOTTOMUP_UPLIFT, BUDGET_UPLIFT, FLAGSHIPS, FORECAST_CUTOFF_MONTH, FORECAST_UPLIFT, TOPDOWN_UPLIFT
 from .oracle_sql import _values, q
 from .registry import job
 
@@ -141,7 +142,7 @@ moved AS (SELECT f.*, CAST(f.date_id // 10000 + 1 AS INTEGER) AS plan_year, CAST
           FROM fact f WHERE f.scenario_id = 1),
 p AS (
   SELECT m.plan_year, m.budget_item_id,
-         m.amount_eur * CAST(CAST(CASE WHEN ch.channel_name LIKE '{fixed.FLAGSHIP_PATTERN}' AND ch.channel_type = 'Branch'
+         m.amount_eur * CAST(CAST(CASE WHEN ch.channel_name LIKE '{FLAGSHIPS}' AND ch.channel_type = 'Branch'
              THEN {fixed.DRIVER_CHANNEL_FLAGSHIP} ELSE COALESCE(dc.v, 1.0) END AS DECIMAL(3,2))
            * CAST(COALESCE(ds.v, 1.0) AS DECIMAL(3,2)) * CAST(COALESCE(dn.v, 1.0) AS DECIMAL(3,2)) * CAST(COALESCE(du.v, 1.0) AS DECIMAL(3,2)) AS DECIMAL(12,8)) AS amount,
          CAST(COALESCE(da.v, 1.00) AS DECIMAL(3,2)) AS adj
@@ -160,12 +161,42 @@ FROM p GROUP BY plan_year, budget_item_id
 def driven_plan(spark, sf_dir):
     """Next year's plan: the planning drivers applied to the actual amounts, by year and account."""
     m = stored_model(spark, sf_dir)
-    rows = planning.driven_plan(m.fact.filter(F.col("scenario_id") == 1), m.channels, m.items, _SEASON)
+    rows = planning.driven_plan(m.fact.filter(F.col("scenario_id") == 1), m.channels, m.items, _SEASON, flagships=FLAGSHIPS)
     return rows.groupBy(fd.year_of("date_id").alias("year"), "budget_item_id").agg(
         F.sum("amount_eur").cast(MONEY_SUM).alias("amount_eur"), F.sum("daily_avg_eur").cast(MONEY_SUM).alias("daily_avg_eur"),
         F.count("*").alias("row_count"))
 
 
+@job("driver_base", q(f"""
+WITH d_base(base_set, category, v) AS (VALUES {_DRIVERS_SQL["base"]}),
+c AS (SELECT i.category, COUNT(*) AS cells, SUM(f.amount_eur) AS total FROM fact f JOIN items i ON i.budget_item_id = f.budget_item_id
+      WHERE f.scenario_id = 1 AND NOT i.is_subtotal GROUP BY i.category)
+SELECT 'A' AS base_set, c.category, CAST(b.v AS DOUBLE) AS base, c.cells, round(CAST(c.total AS DOUBLE) / c.cells, 2) AS mean,
+       round(CAST(c.total AS DOUBLE) / CAST(c.cells * b.v AS DOUBLE), 6) AS index
+FROM c LEFT JOIN d_base b ON b.base_set = 'A' AND b.category = c.category
+"""))
+def driver_base(spark, sf_dir):
+    """Actual amounts of a cell against the planning base of their category."""
+    m = stored_model(spark, sf_dir)
+    return planning.base_index(m.fact.filter(F.col("scenario_id") == 1), m.items, "A")
+
+
+@job("default_fill", q("""
+WITH k AS (SELECT year, channel_id, segment_id, product_id, currency_id, bool_or(scenario_id = 1) AS booked, bool_or(scenario_id = 2) AS planned
+           FROM fact WHERE scenario_id IN (1, 2) GROUP BY ALL)
+SELECT 2 AS scenario_id, year, channel_id, segment_id, product_id, currency_id, CAST(0 AS DOUBLE) AS amount_eur, CAST(0 AS DOUBLE) AS amount_nominal
+FROM k WHERE booked AND NOT planned
+"""))
+def default_fill_job(spark, sf_dir):
+    """Budget rows for combinations that are booked but not planned: their amounts are omitted, so the column defaults fill them."""
+    m = stored_model(spark, sf_dir)
+    keys = ["year", "channel_id", "segment_id", "product_id", "currency_id"]
+    sid = F.col("scenario_id")
+    both = m.fact.filter(sid.isin(1, 2)).groupBy(*keys).agg(F.bool_or(sid == 1).alias("booked"), F.bool_or(sid == 2).alias("planned"))
+    rows = both.where("booked AND NOT planned").select(F.lit(2).alias("scenario_id"), *keys)
+    return default_fill(rows, {c: F.lit(0).cast("decimal(22,2)") for c in ("amount_eur", "amount_nominal")})
+
+
 #: Growth of plan scenarios over the actuals of the year before.
 _GROWTH = [(2, BUDGET_UPLIFT), (5, TOPDOWN_UPLIFT), (6, BOTTOMUP_UPLIFT)]
 

@@ -186,15 +186,16 @@ def opening_balance(spark, sf_dir):
 
 
 @job("average_balance", q(f"""
-WITH {_ASSETS}
-SELECT scenario_id, channel_id, year, COUNT(*) AS months,
-       round(CAST(SUM(value) AS DOUBLE) / COUNT(*), 6) AS avg_value,
-       round(CAST(SUM(daily) AS DOUBLE) / COUNT(*), 6) AS avg_daily
-FROM assets GROUP BY scenario_id, channel_id, year
+WITH {_ASSETS},
+b AS (SELECT scenario_id, year, COUNT(DISTINCT date_id) AS months FROM assets GROUP BY scenario_id, year)
+SELECT a.scenario_id, a.channel_id, a.year, b.months,
+       round(CAST(SUM(a.value) AS DOUBLE) / b.months, 6) AS avg_value,
+       round(CAST(SUM(a.daily) AS DOUBLE) / b.months, 6) AS avg_daily
+FROM assets a JOIN b ON b.scenario_id = a.scenario_id AND b.year = a.year GROUP BY a.scenario_id, a.channel_id, a.year, b.months
 """))
 def average_balance(spark, sf_dir):
-    """Average of month-end Total Assets per year, on month-end and on daily-average EUR."""
-    return timeintel.average(_assets(spark, sf_dir), KEYS, ["value", "daily"])
+    """Average of month-end Total Assets per year over the scenario's months, on month-end and on daily-average EUR."""
+    return timeintel.average(_assets(spark, sf_dir), KEYS, ["value", "daily"], ["scenario_id"])
 
 
 @job("per_day", q(f"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,4 +160,4 @@ def default_fill(df: DataFrame, defaults: dict) -> DataFrame:
     A DEFAULT stands in for an omitted column only; an explicit NULL stays for the
     NOT NULL check to find.
     """
-    return df.withColumns({c: F.lit(v) for c, v in defaults.items() if c not in df.columns})
+    return df.withColumns({c: v if isinstance(v, Column) else F.lit(v) for c, v in defaults.items() if c not in df.columns})

@@ -51,6 +51,8 @@ TOPDOWN_UPLIFT = "1.15"
 BOTTOMUP_UPLIFT = "1.08"
 FORECAST_UPLIFT = "1.04"
 FORECAST_CUTOFF_MONTH = 9
+#: Names of the flagship channels (a branch among them plans with a driver of its own).
+FLAGSHIPS = "UNITED%"
 
 
 # Read schemas of the order tables (only the columns the ledger uses).  Declaring them

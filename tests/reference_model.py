@@ -1,18 +1,16 @@
 """The bank planning model itself: 595 coverage combinations x 31 leaves x 12 months x 11 blocks.
 
-Used by tests (row counts, closed-form totals with the noise off) and as a
-demonstration input; report jobs registered for the driver run on the
-order-table ledger instead (``tpch.py``), whose size follows the data.
+Used by tests: row counts, closed-form totals with the noise off.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..operators import fx, planning
-from . import fixed
-from . import model as md
-from .dates import calendar, month_end_spine
+from ledgerloom.operators import fx, planning
+from ledgerloom.sources import fixed
+from ledgerloom.sources import model as md
+from ledgerloom.sources.dates import calendar, month_end_spine
 
 
 def reference_model(spark: SparkSession, seed: int | None = 42, blocks=None, rate_seed: int = 42) -> md.Model:

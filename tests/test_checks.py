@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import checks, counts, variance
 from ledgerloom.sources import fixed
-from ledgerloom.sources.reference import reference_model
+from reference_model import reference_model
 
 
 def _clean(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates as fd
 from ledgerloom.operators import planning, statements
 from ledgerloom.sources import fixed
-from ledgerloom.sources.reference import reference_model
+from reference_model import reference_model
 
 
 def test_coverage_matrix_counts(spark):

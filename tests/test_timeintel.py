@@ -47,3 +47,10 @@ def test_a_book_closes_on_one_date(spark):
     s = timeintel.with_periods(spark.createDataFrame(rows, "scenario_id int, channel_id int, date_id int, value decimal(38,2)"))
     got = {(r.channel_id, r.closing_date_id): r.closing for r in timeintel.closing(s, ["scenario_id", "channel_id"], ["scenario_id"]).collect()}
     assert got == {(1, 20231231): Decimal("50.00")}  # channel 2 had nothing left at the year's close
+
+
+def test_averages_count_missing_months_of_the_book_as_zero(spark):
+    rows = [(1, 1, 20230131, Decimal("10.00")), (1, 1, 20230228, Decimal("20.00")), (1, 2, 20230228, Decimal("6.00")), (2, 1, 20230228, Decimal("8.00"))]
+    s = timeintel.with_periods(spark.createDataFrame(rows, "scenario_id int, channel_id int, date_id int, value decimal(38,2)"))
+    got = {(r.scenario_id, r.channel_id): (r.months, r.avg_value) for r in timeintel.average(s, ["scenario_id", "channel_id"], ["value"], ["scenario_id"]).collect()}
+    assert got == {(1, 1): (2, 15.0), (1, 2): (2, 3.0), (2, 1): (1, 8.0)}
