@@ -3,8 +3,8 @@
 Items of one length are alike, so the packing is planned on the histogram of lengths, which the longest
 permitted length bounds, not on documents.  Lengths go in descending order; each item takes the open bin with
 the least room that still holds it.  Where none does, a bin is opened in the size of least cost per packed
-token, all sizes being weighed for each length; when all is packed every bin is cut down to the smallest
-permitted length that holds its contents.  The plan lists, per length, runs of items that go to runs of bins
+token: every size is priced by what would fill it, this length and smaller ones that no open bin counts on; when all is
+packed every bin is cut down to the smallest permitted length that holds its contents.  The plan lists, per length, runs of items that go to runs of bins
 the same way.  Documents then only need their rank among the pieces of their length, which comes from counts
 of hash buckets, so a very common length is spread over many tasks.
 """
@@ -39,11 +39,30 @@ class Plan:
     n_bins: int = 0
 
 
+def filling(capacity: int, length: int, free: dict[int, int], known: list[int]) -> dict[int, int]:
+    """What would fill a bin opened for an item of ``length``: as many as fit of it, then of the longest that still fit.
+
+    ``free`` counts the items that no open bin counts on, by length; ``known`` are its lengths in ascending order.
+    """
+    taken = {length: min(max(free.get(length, 0), 1), capacity // length)}
+    room, below = capacity - taken[length] * length, length
+    while True:
+        at = min(bisect.bisect_right(known, room), bisect.bisect_left(known, below)) - 1
+        while at >= 0 and not free[known[at]]:
+            at -= 1
+        if at < 0:
+            return taken
+        below = known[at]
+        taken[below] = min(free[below], room // below)
+        room -= taken[below] * below
+
+
 def best_fit(histogram: dict[int, int], lengths: tuple[int, ...] = LENGTHS, bin_cost: int = BIN_COST) -> Plan:
     """Best-fit decreasing over (length: count); work and result grow with distinct lengths, not with items."""
     plan = Plan()
     open_runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # room -> (first bin, bins, used)
     rooms: list[int] = []
+    free, known = dict(histogram), sorted(histogram)
 
     def put(first: int, bins: int, used: int, room: int) -> None:
         if not open_runs[room]:
@@ -60,9 +79,15 @@ def best_fit(histogram: dict[int, int], lengths: tuple[int, ...] = LENGTHS, bin_
                 if not open_runs[room]:
                     rooms.pop(at)
             else:
-                room = min((c for c in lengths if c >= length),
-                           key=lambda c: ((c + bin_cost) / (min(left, c // length) * length), c))
-                first, bins, used = plan.n_bins, max(1, left // (room // length)), 0
+                fills = {c: filling(c, length, free, known) for c in lengths if c >= length}
+                room = min(fills, key=lambda c: ((c + bin_cost) / sum(n * k for n, k in fills[c].items()), c))
+                # as many alike as can be filled alike: each opening uses up a length, so there are few
+                alike = min(free[n] // k for n, k in fills[room].items())
+                first, bins, used = plan.n_bins, max(1, min(alike, left // fills[room][length])), 0
+                for n, k in fills[room].items():
+                    free[n] = max(0, free[n] - k * bins)
+                while known and not free[known[-1]]:
+                    known.pop()
                 plan.n_bins += bins
             each = min(left, room // length)
             taken = min(bins, left // each)

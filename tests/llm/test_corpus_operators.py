@@ -211,6 +211,71 @@ def test_best_fit_equals_one_by_one_packing():
     assert plan.n_bins == len(rooms)
 
 
+def plan_cost(histogram, lengths, cost):
+    """Cost of a plan after cutting its bins down, checked piece by piece."""
+    plan = packing.best_fit(dict(histogram), lengths, cost)
+    runs = defaultdict(list)
+    for length, rank, first, each, used in plan.runs:
+        runs[length].append((rank, first, each, used))
+    used_by = defaultdict(int)
+    for length, count in sorted(histogram.items(), reverse=True):
+        starts = sorted(runs[length])
+        for nth in range(count):
+            rank, first, each, used = [r for r in starts if r[0] <= nth][-1]
+            b = first + (nth - rank) // each
+            assert used_by[b] == used + (nth - rank) % each * length  # no gap, no overlap
+            used_by[b] += length
+    firsts = [f for f, _ in plan.bins]
+    for b, used in used_by.items():
+        assert used == plan.bins[np.searchsorted(firsts, b, "right") - 1][1] <= max(lengths)
+    assert len(used_by) == plan.n_bins
+    return sum(cost + min(c for c in lengths if c >= used) for used in used_by.values())
+
+
+def least_cost(items, lengths, cost):
+    """The optimum, by trying every partition of a few items."""
+    best = [float("inf")]
+
+    def go(i, bins):
+        if i == len(items):
+            best[0] = min(best[0], sum(cost + min(c for c in lengths if c >= b) for b in bins))
+            return
+        for j in range(len(bins)):
+            if bins[j] + items[i] <= max(lengths):
+                bins[j] += items[i]
+                go(i + 1, bins)
+                bins[j] -= items[i]
+        bins.append(items[i])
+        go(i + 1, bins)
+        bins.pop()
+
+    go(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_optimum_of_all_partitions():
+    rng = np.random.default_rng(8)
+    ratio = []
+    for _ in range(60):
+        lengths, cost = ((16, 40, 100), 8) if rng.random() < 0.5 else ((25, 50, 100), 0)
+        items = rng.integers(1, 60, 8).tolist()
+        best = least_cost(items, lengths, cost)
+        got = plan_cost(Counter(items), lengths, cost)
+        assert got >= best
+        ratio.append(got / best)
+    assert max(ratio) <= 1.5 and np.mean(ratio) < 1.08
+
+
+def test_bins_are_priced_by_all_that_can_fill_them():
+    # alone, an item of 60 is cheapest in a bin of 64; with the short items it fills one of 100
+    assert plan_cost({60: 10, 20: 20}, (64, 100), 16) == 10 * (100 + 16)
+    assert plan_cost({60: 10}, (64, 100), 16) == 10 * (64 + 16)
+    large = {int(n): int(k) for n, k in enumerate(np.random.default_rng(2).integers(0, 10**7, 8192)) if n and k}
+    plan = packing.best_fit(large)
+    assert len(plan.runs) < 20 * len(large)
+    plan_cost(Counter(np.random.default_rng(3).integers(1, 300, 3000).tolist()), packing.LENGTHS, packing.BIN_COST)
+
+
 def test_mixing_shares_and_shortages(spark):
     rows = [("a", "x", "s1", 100, 3), ("a", "x", "s2", 900, 1), ("a", "y", "s3", 50, 1), ("b", "x", "s4", 1000, 1)]
     leaves = spark.createDataFrame([(d, lang, s, n, k) for d, lang, s, n, k in rows], "domain string, lang string, source string, supply long, rows long")
