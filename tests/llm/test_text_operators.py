@@ -37,6 +37,50 @@ def test_toxicity_learns_held_in_labels_only(spark):
     assert {r.predicted for r in toxicity.scored(d.limit(3), labels.limit(0)).collect()} == {0}
 
 
+def plain_fit(texts, y, sizes=(3, 4, 5)):
+    """Scores of a plain classifier: distinct n-grams, log-count ratios with one added, balanced penalised logistic loss
+    minimised by many small steps; grams in one document and with ratios below 0.7 don't count."""
+    grams = [{t[i:i + n] for t in [f" {' '.join(x.lower().split())} "] for n in sizes for i in range(len(t) - n + 1)} for x in texts]
+    names = sorted(set().union(*grams))
+    x = np.array([[n in g for n in names] for g in grams], float)
+    y = np.array(y, float)
+    p, q = x[y == 1].sum(axis=0), x[y == 0].sum(axis=0)
+    ratio = np.log((p + 1) / (p.sum() + toxicity.BUCKETS)) - np.log((q + 1) / (q.sum() + toxicity.BUCKETS))
+    keep = (np.abs(ratio) > 0.7) & (p + q > 1)
+    x = x[:, keep] * ratio[keep]
+    balance = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    w, b = np.zeros(x.shape[1]), 0.0
+    step = 1 / (0.25 * (np.linalg.norm(x, 2) ** 2 + len(y)) * balance.max() / len(y) + toxicity.PENALTY)
+    for _ in range(60_000):
+        err = balance * (1 / (1 + np.exp(-(x @ w + b))) - y) / len(y)
+        w, b = w - step * (x.T @ err + toxicity.PENALTY * w), b - step * err.sum()
+    return 1 / (1 + np.exp(-(x @ w + b)))
+
+
+def test_toxicity_scores_equal_a_plain_fit(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "ROUNDS", 2000)
+    r = np.random.default_rng(4)
+    polite, rude = [f"kind{i}" for i in range(12)], [f"vile{i}" for i in range(6)]
+    rows = [(i, " ".join([*r.choice(polite, 5), *(r.choice(rude, 2) if i % 3 == 0 else r.choice(polite, 1))])) for i in range(90)]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    y = [int(i % 3 == 0 or i == 1) for i, _ in rows]  # one label of the other class
+    got = toxicity.scored(spark.createDataFrame(rows, "doc_id long, text string"),
+                          spark.createDataFrame([(i, k) for (i, _), k in zip(rows, y, strict=True)], "doc_id long, toxic int"))
+    got = {x.doc_id: x.score for x in got.collect()}
+    want = plain_fit([t for _, t in rows], y)
+    assert max(abs(got[i] - s) for (i, _), s in zip(rows, want, strict=True)) < 0.02
+
+
+def test_the_fit_is_bounded_by_its_most_telling_buckets(spark, monkeypatch):
+    rows = [(i, f"common words {i} " + ("dreadful insult " if i % 2 else "pleasant greeting ")) for i in range(80)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "MAX_ENTRIES", 200)
+    weights, _ = toxicity.fit(d, labels)
+    assert 0 < np.count_nonzero(weights) <= 10
+    assert {(x.doc_id % 2, x.predicted) for x in toxicity.scored(d, labels).collect()} == {(0, 0), (1, 1)}
+
+
 def plain_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
