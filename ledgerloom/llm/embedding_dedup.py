@@ -10,19 +10,22 @@ part of pairs, stays a leaf, however large.  Trees are added until, by this esti
 no more than ``MISSED`` of these pairs in a leaf, but for leaves with a share ``OPEN`` of the vectors; leaves whose pairs are found are left
 out of later trees.
 
-Trees are fitted on at most ``SAMPLE`` vectors (the smallest hashed ids), for each length; every vector is routed.  Leaves beyond
+Trees are fitted on at most ``SAMPLE`` vectors (the smallest hashed ids), for each length; every vector is routed.  A leaf that
+is still large gets a forest of its own, fitted on its own vectors, so leaves stay near ``LEAF`` at any size.  Leaves beyond
 ``BLOCK`` vectors are compared block by block, so no task holds more than two blocks.  Equal vectors are one class
 with a count.
 """
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, table
@@ -31,6 +34,10 @@ from .components import connected_components
 SAMPLE, SEED = 20_000, 17
 #: Vectors aimed at in a leaf, sampled vectors that it has at least, and vectors in a block of a larger leaf.
 LEAF, SAMPLED, BLOCK = 256, 16, 1024
+#: Vectors from which on a leaf gets a forest of its own, vectors that is fitted on, and vectors that one task routes.
+SPLIT, LEAF_SAMPLE, ROUTED = 8 * LEAF, 2000, 50_000
+#: Forests inside forests, at most (a hundredfold each).
+LEVELS = 6
 #: A split's spill on either side, in standard deviations of the projected difference of two vectors just linked.
 SPILL = 0.3
 #: Share of just linked pairs that all trees may miss in a leaf, and that one tree keeps on the way to a node.
@@ -210,12 +217,98 @@ def _route(shared) -> Callable:
                     for leaf, rows in route(tree, x):
                         for r in at[rows].tolist():
                             leaves[r].append(leaf)
-            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("copies"), b.column("raw"), pa.array([sorted(v) for v in leaves], pa.list_(pa.int32()))],
+            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("copies"), b.column("raw"), pa.array([sorted(v) for v in leaves], pa.list_(pa.int64()))],
                                              ["cls", "copies", "raw", "leaves"])
 
     return run
 
 
+# ---- forests inside large leaves ----------------------------------------------------------------
+
+def _packed(trees: list[tuple]) -> bytes:
+    return pickle.dumps([tuple(np.asarray(x) for x in t) for t in trees])
+
+
+def _leaf_forest(threshold: float) -> Callable:
+    """Sampled vectors of one leaf -> its forest; null where the forest doesn't part them."""
+    def run(table_: pa.Table) -> pa.Table:
+        leaf, n = table_["leaf"][0].as_py(), table_["n"][0].as_py()
+        raw = sorted(zip(table_["cls"].to_pylist(), table_["raw"].to_pylist(), strict=True))
+        same = len({len(v) for _, v in raw}) == 1  # leaves of rare lengths hold one length too
+        trees = [plain(t) for t in forest(_matrix([v for _, v in raw]), n, threshold)[0]] if same else []
+        blob = _packed(trees) if any(t[0] >= 0 for t in trees) else None
+        return pa.table({"leaf": pa.array([leaf], pa.int64()), "n": pa.array([n], pa.int64()), "trees": pa.array([blob], pa.binary())})
+
+    return run
+
+
+def _route_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by (leaf, part, trees first): each vector's leaves inside its leaf."""
+    at, trees = None, []
+
+    def routed(keys: list[int], raw: list[bytes]) -> pa.RecordBatch:
+        x = _matrix(raw)
+        cls, new = [], []
+        for k, tree in enumerate(trees):
+            for leaf, rows in route(tree, x):
+                # beyond all numbers of the first forests
+                name = int.from_bytes(hashlib.blake2b(f"{at}:{k}:{leaf}".encode(), digest_size=8).digest(), "little") >> 2 | 1 << 61
+                cls += [keys[i] for i in rows]
+                new += [name] * len(rows)
+        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(new, pa.int64())], ["cls", "leaf"])
+
+    for b in batches:
+        keys, raw = [], []
+        for leaf, blob, cls, vec in zip(*[b.column(c).to_pylist() for c in ("leaf", "trees", "cls", "raw")], strict=True):
+            if blob is not None or leaf != at:
+                if keys:
+                    yield routed(keys, raw)
+                keys, raw = [], []
+            if blob is not None:
+                at, trees = leaf, pickle.loads(blob)
+            else:
+                keys.append(cls)
+                raw.append(vec)
+        if keys:
+            yield routed(keys, raw)
+
+
+def refined(routed: DataFrame, threshold: float) -> DataFrame:
+    """``routed`` with leaves of SPLIT vectors or more parted by forests of their own, again and again.
+
+    A leaf's forest is fitted on at most LEAF_SAMPLE of its vectors in one task; a leaf that it doesn't part (a dense group)
+    stays.  Its vectors are routed in parts of about ROUTED, so a leaf of any size is spread over tasks.
+    """
+    done = None
+    for _ in range(LEVELS):
+        each = routed.select("cls", "raw", F.explode("leaves").alias("leaf"))
+        large = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= SPLIT)
+        large = stored(large if done is None else large.join(done, "leaf", "left_anti"), "large")
+        if large.isEmpty():
+            break
+        # about four times the sample by a hash, of these the first
+        share = F.pmod(F.xxhash64("cls"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        some = each.join(large, "leaf").where(share <= 4 * LEAF_SAMPLE / F.col("n"))
+        nth = F.row_number().over(Window.partitionBy("leaf").orderBy(F.xxhash64("cls"), "cls"))
+        sample = some.withColumn("nth", nth).where(F.col("nth") <= LEAF_SAMPLE).select("leaf", "n", "cls", "raw")
+        trees = stored(sample.groupBy("leaf").applyInArrow(_leaf_forest(threshold), "leaf long, n long, trees binary"), "leaf-forests")
+        whole = trees.where("trees IS NULL").select("leaf")
+        done = stored(whole if done is None else done.unionByName(whole), "whole-leaves")
+        parted = trees.where("trees IS NOT NULL").withColumn("parts", F.ceil(F.col("n") / ROUTED).cast("int"))
+        if parted.isEmpty():
+            break
+        copies = parted.select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "trees", F.lit(None).cast("long").alias("cls"), F.lit(None).cast("binary").alias("raw"))
+        dealt = each.join(parted.select("leaf", "parts"), "leaf").select(
+            "leaf", F.pmod(F.xxhash64("cls"), "parts").cast("int").alias("part"), F.lit(None).cast("binary").alias("trees"), "cls", "raw")
+        rows = copies.unionByName(dealt).withColumn("later", F.col("trees").isNull())
+        rows = rows.repartition("leaf", "part").sortWithinPartitions("leaf", "part", "later")
+        inner = rows.select("leaf", "trees", "cls", "raw").mapInArrow(_route_leaves, "cls long, leaf long")
+        rest = each.select("cls", "leaf").join(parted.select("leaf"), "leaf", "left_anti").select("cls", "leaf")
+        lists = rest.unionByName(inner).groupBy("cls").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))
+        routed = stored(routed.drop("leaves").join(lists, "cls"), "routed")
+    return routed
+
+
 def tile_links(leaf: int, x: np.ndarray, y: np.ndarray, own: list[list[int]], other: list[list[int]], threshold: float, same: bool) -> np.ndarray:
     """Links between two blocks of a leaf, but for pairs that share an earlier leaf."""
     links = x @ y.T >= threshold
@@ -303,11 +396,12 @@ def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     # at most SAMPLE vectors
     sample = classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("raw").toPandas()["raw"]
     shared = spark.sparkContext.broadcast(forests([bytes(v) for v in sample], n, threshold))
-    routed = stored(classes.select("cls", "copies", "raw").mapInArrow(_route(shared), "cls long, copies long, raw binary, leaves array<int>"), "routed")
+    routed = stored(classes.select("cls", "copies", "raw").mapInArrow(_route(shared), "cls long, copies long, raw binary, leaves array<long>"), "routed")
+    routed = refined(routed, threshold)
     each = routed.select("cls", "copies", "raw", "leaves", F.explode("leaves").alias("leaf"))
-    # as many rows as the forests have leaves, which SAMPLE bounds, and unsampled lengths
+    # a row a leaf: vectors x trees / LEAF at most, and unsampled lengths
     sizes = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = each.join(F.broadcast(sizes), "leaf").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    dealt = each.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
     dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiles = dealt.select("leaf", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "cls", "copies", "raw", "leaves")
     tiles = tiles.repartition("leaf", "i", "j").sortWithinPartitions("leaf", "i", "j")

@@ -157,6 +157,32 @@ def test_embedding_recall_in_dense_groups(spark, monkeypatch, typical):
     assert sum(got.values()) >= 0.98 * link.sum() > 0
 
 
+def test_large_leaves_get_forests_of_their_own(spark, monkeypatch):
+    """Comparisons grow about linearly with the vectors, with a forest fitted on few of them; recall stays."""
+    for k, v in {"SAMPLE": 320, "LEAF": 32, "SPLIT": 128, "LEAF_SAMPLE": 300, "ROUTED": 500, "MISSED": 0.02}.items():
+        monkeypatch.setattr(embedding_dedup, k, v)
+    work, recall = [], []
+    for n in (2000, 8000):
+        rng = np.random.default_rng(n)
+        x = rng.standard_normal((n, 24))
+        x[n // 2:] = x[:n // 2] + rng.standard_normal((n // 2, 24)) * 0.15
+        x[:n // 10] = x[0] + rng.standard_normal((n // 10, 24)) * 0.05  # a dense group, of which all pairs link
+        u = embedding_dedup.unit(x)
+        link = u @ u.T >= 0.95
+        np.fill_diagonal(link, False)
+        d = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        compared, plain_refined = [], embedding_dedup.refined
+        monkeypatch.setattr(embedding_dedup, "refined", lambda *a: compared.append(plain_refined(*a)) or compared[-1])
+        got = {r.vec_id: r.n_links for r in embedding_dedup.embedding_links(d).collect()}
+        monkeypatch.setattr(embedding_dedup, "refined", plain_refined)
+        sizes = [r["count"] for r in compared[0].select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect()]
+        assert all(got[i] <= k for i, k in enumerate(link.sum(axis=1)))
+        recall.append(sum(got.values()) / link.sum())
+        work.append(sum(k * k for k in sizes if k < n // 12))
+    assert min(recall) >= 0.95
+    assert work[1] < 8 * work[0]  # four times the vectors: sixteen times if quadratic
+
+
 def test_vectors_of_several_lengths_link(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "SAMPLE", 20)
     x = np.random.default_rng(2).standard_normal((60, 16)).tolist()
