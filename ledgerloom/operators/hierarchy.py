@@ -104,7 +104,9 @@ _EDGE_CACHE: dict = {}
 def cached_edges(items: DataFrame, with_formulas: bool = True) -> DataFrame:
     """``rollup_edges`` memoized per (items DataFrame, formulas) and cached: the edge list is
     bounded by the chart of accounts and reused by every statement of a session.
-    A cached block that is lost is recomputed from its lineage."""
+    A cached block that is lost is recomputed from its lineage.  Lists of sessions that have ended are let go."""
+    for old in [k for k, (kept, _) in _EDGE_CACHE.items() if kept.sparkSession is not items.sparkSession]:
+        del _EDGE_CACHE[old]
     key = (id(items), with_formulas)
     hit = _EDGE_CACHE.get(key)
     if hit is None or hit[0] is not items:

@@ -185,9 +185,9 @@ def variance_waterfall(spark, sf_dir):
     lines = statements.statement(m.fact.filter(F.col("scenario_id").isin(1, 2)), m.items, "PL",
                                  ["scenario_id", "year"])
     shown = _roots(m.items).filter((F.col("budget_item_id") == 21) | ~F.col("budget_item_id").isin(*_FORMULAS))
-    last = m.items.filter(F.col("statement_type") == "PL").agg(F.max("sort_order")).first()[0] + 1  # after every line
+    last = m.items.filter(F.col("statement_type") == "PL").agg((F.max("sort_order") + 1).alias("last"))  # one row: after every line
     g = variance.align(lines.join(F.broadcast(shown), "budget_item_id", "left_semi"),
-                       ["year", "budget_item_id", "sort_order", "item_name"], {"a": 1, "b": 2}, measure="signed")
+                       ["year", "budget_item_id", "sort_order", "item_name"], {"a": 1, "b": 2}, measure="signed").crossJoin(F.broadcast(last))
     ni = F.col("budget_item_id") == 21
 
     def bar(step, label, amount, total):
@@ -196,15 +196,15 @@ def variance_waterfall(spark, sf_dir):
 
     rows = F.array(F.when(ni, bar(F.lit(0), F.lit("Budget Net Income"), F.col("b"), True)),
                    F.when(~ni, bar(F.col("sort_order"), F.col("item_name"), F.col("a") - F.col("b"), False)),
-                   F.when(ni, bar(F.lit(last), F.lit("Actual Net Income"), F.col("a"), True)))
+                   F.when(ni, bar(F.col("last"), F.lit("Actual Net Income"), F.col("a"), True)))
     both = F.max(F.when(ni & F.col("a").isNotNull() & F.col("b").isNotNull(), F.lit(1))).over(
         Window.partitionBy("year"))
     steps = (g.withColumn("_both", both).filter(F.col("_both") == 1)
-             .select("year", F.explode(rows).alias("s")).filter(F.col("s").isNotNull())
-             .select("year", "s.step", "s.label", "s.amount", "s.is_total"))
+             .select("year", "last", F.explode(rows).alias("s")).filter(F.col("s").isNotNull())
+             .select("year", "last", "s.step", "s.label", "s.amount", "s.is_total"))
     # the opening total carries the running sum: a step for the window, a total for display
-    w = variance.waterfall(steps.withColumn("is_total", F.col("step") == last), ["year"])
-    return w.select("year", "step", "label", "amount", (F.col("step").isin(0, last)).alias("is_total"),
+    w = variance.waterfall(steps.withColumn("is_total", F.col("step") == F.col("last")), ["year"])
+    return w.select("year", "step", "label", "amount", ((F.col("step") == 0) | (F.col("step") == F.col("last"))).alias("is_total"),
                     F.when(F.col("step") == 0, F.lit(0).cast(MONEY_SUM)).otherwise(F.col("bar_start"))
                     .alias("bar_start"), "bar_end")
 
