@@ -56,7 +56,7 @@ FROM d
 
 def _fiscal(spark, sf_dir, left, right):
     m = stored_model(spark, sf_dir)
-    pairs = variance.version_pairs(variance.validity(m.fact, m.scenarios), F.expr(left), F.expr(right))
+    pairs = variance.version_pairs(m.versions, F.expr(left), F.expr(right))
     return variance.fiscal_variance(m.fact, m.items, pairs)
 
 

@@ -93,6 +93,7 @@ class Model:
     rates: DataFrame
     scenarios: DataFrame
     items: DataFrame
+    versions: DataFrame | None = None  # of a stored ledger: its scenarios by fiscal year
 
     def with_fact(self, fact: DataFrame) -> "Model":
         return replace(self, fact=fact)

@@ -5,7 +5,7 @@ The load (``append_fact``) writes the adapter ledger as Parquet under the shared
 report prune on the partition columns.  A ledger's folder is keyed by the source folder and by the code that builds it.
 
 Files are never changed.  Each load writes into folders of its own and then commits a manifest: for every partition
-the load that wrote it, its rows and its amount, besides the digest of the source files and the counts of lines
+the load that wrote it, its rows, amount and months, besides the digest of the source files and the counts of lines
 read, accepted and rejected.  Commits are numbered; one that already exists is not replaced, so of two writers that start
 from the same state one fails and can try again, and a load that dies part-way is never read.  ``reload`` derives
 single scenario-years anew and commits a manifest in which only these differ.
@@ -83,7 +83,7 @@ def ledger_path(spark: SparkSession, sf_dir: str) -> str:
 
 @dataclass(frozen=True)
 class Manifest:
-    """What makes up one state of a ledger.  ``partitions``: "scenario_id=1/year=1995" -> load, rows, amount."""
+    """What makes up one state of a ledger.  ``partitions``: "scenario_id=1/year=1995" -> load, rows, amount, months held."""
 
     number: int
     source: str
@@ -254,8 +254,20 @@ def _written(spark: SparkSession, path: str, run: str) -> dict:
     if not fs.exists(p):
         return {}
     rows = spark.read.schema(_FACT_WITH_YEAR).parquet(f"{path}/fact/load={run}").groupBy(*PARTITION_COLUMNS).agg(
-        F.count("*").alias("n"), F.sum("amount_eur").cast("decimal(38,2)").alias("amount")).collect()
-    return {_partition(r.scenario_id, r.year): {"load": run, "rows": r.n, "amount": str(r.amount)} for r in rows}
+        F.count("*").alias("n"), F.sum("amount_eur").cast("decimal(38,2)").alias("amount"), F.min("date_id").alias("first"),
+        F.max("date_id").alias("last"), F.count_distinct("date_id").alias("months")).collect()  # a row a scenario-year
+    return {_partition(r.scenario_id, r.year): {"load": run, "rows": r.n, "amount": str(r.amount), "scenario_id": r.scenario_id, "year": r.year,
+                                                "first": r["first"], "last": r["last"], "months": r.months} for r in rows}
+
+
+def versions(spark: SparkSession, manifest: Manifest, scenarios: DataFrame) -> DataFrame:
+    """``variance.validity`` of a committed ledger, from its manifest: no scan."""
+    schema = "scenario_id int, year int, first_month int, last_month int, months long, n long"
+    rows = [(p["scenario_id"], p["year"], p["first"], p["last"], p["months"], p["rows"]) for p in manifest.partitions.values()]
+    named = spark.createDataFrame(rows, schema).join(F.broadcast(scenarios.select("scenario_id", "scenario_name", "scenario_type")), "scenario_id")
+    fiscal = F.when(F.col("scenario_type") != "Actual", F.col("year"))
+    return named.groupBy("scenario_id", "scenario_name", "scenario_type", fiscal.alias("fiscal_year")).agg(
+        F.min("first_month").alias("first_month"), F.max("last_month").alias("last_month"), F.sum("months").alias("months"), F.sum("n").alias("row_count"))
 
 
 def _next(spark: SparkSession, path: str) -> int:
@@ -409,7 +421,8 @@ def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Mod
         if hit is not None and hit[1] == manifest.number:
             return hit[2]
         fact = read_fact(spark, path, manifest).withColumn("month", fd.month_of("date_id"))
-        model = Model(fact=fact, scenarios=scenario_dim(spark), items=budget_items(spark),
+        scenarios = scenario_dim(spark)
+        model = Model(fact=fact, scenarios=scenarios, items=budget_items(spark), versions=versions(spark, manifest, scenarios),
                       **read_dims(spark, f"{path}/dims/{manifest.dims}"))
         _MODELS[path] = (spark, manifest.number, model)
         return model

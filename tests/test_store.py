@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import fx
+from ledgerloom.operators import fx, variance
 from ledgerloom.sources import store
 from ledgerloom.sources.dates import month_end_spine
 
@@ -149,6 +149,12 @@ def test_rejected_lines_have_their_reason(spark, tmp_path):
     assert model.products.select("product_id").distinct().count() == model.products.count()
 
 
+def test_versions_of_the_manifest_are_those_of_the_rows(spark):
+    m = store.stored_model(spark, SF)
+    key = lambda r: (r.scenario_id, r.fiscal_year or 0)
+    assert sorted(m.versions.collect(), key=key) == sorted(variance.validity(m.fact, m.scenarios).collect(), key=key)
+
+
 def test_doubled_keys_stop_the_load(spark, tmp_path):
     sf = copied(tmp_path, supplier=lambda x: pd.concat([x, x.head(1)]))
     with pytest.raises(RuntimeError, match="doubled keys"):
