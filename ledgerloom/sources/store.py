@@ -416,7 +416,12 @@ def stored_model(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Mod
             del _MODELS[old]  # plans of sessions that have ended
         manifest = None if rebuild else current(spark, path)
         if manifest is None or manifest.source != source_key(spark, sf_dir):
-            manifest = load(spark, sf_dir, path)
+            try:
+                manifest = load(spark, sf_dir, path)
+            except ConcurrentCommit:  # another process has loaded the same sources meanwhile, or others
+                manifest = current(spark, path)
+                if manifest.source != source_key(spark, sf_dir):
+                    manifest = load(spark, sf_dir, path)
         hit = _MODELS.get(path)
         if hit is not None and hit[1] == manifest.number:
             return hit[2]

@@ -67,6 +67,21 @@ def test_a_taken_commit_number_is_refused(spark):
     assert store.current(spark, path) == now
 
 
+def test_two_processes_that_load_at_once_agree(spark, tmp_path, monkeypatch):
+    sf = copied(tmp_path)
+    path, plain = store.ledger_path(spark, sf), store.commit
+
+    def slower(spark_, path_, manifest):  # the other process commits first
+        monkeypatch.setattr(store, "commit", plain)
+        store.load(spark, sf)
+        plain(spark_, path_, manifest)
+
+    monkeypatch.setattr(store, "commit", slower)
+    model = store.stored_model(spark, sf)
+    now = store.current(spark, path)
+    assert now.number == 0 and model.fact.count() == sum(p["rows"] for p in now.partitions.values())
+
+
 def cents(manifest):
     return {k: (p["rows"], p["amount"]) for k, p in manifest.partitions.items()}
 
