@@ -45,7 +45,7 @@ COUNT_BLOCK = 4 << 20
 #: one shingle's classes whose pairs are counted; a longer run connects all its classes.
 SHARED, RUN = 4, 32
 #: A region of at most so many shingles, and so many times its inner members, is joined in one task.
-REGION_WEIGHT, REGION_WORK = 1 << 20, 1 << 30
+REGION_WEIGHT, REGION_WORK = 1 << 18, 1 << 28
 #: Members that a task compares directly, and pivots of a larger region in a task.
 DIRECT, CELLS = 4, 16
 #: Pivots a round of a larger region, rounds after which what is left is compared in blocks, rows of a block, and times
