@@ -1,9 +1,11 @@
 """Operators 3, 6, 7, 8, 9 and the pipeline on small corpora, against plain Python."""
 
+import hashlib
 import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -419,3 +421,64 @@ def test_the_pipeline_on_an_empty_table(spark, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def poured(budget, children):
+    """Shares of {name: (weight, cap)}: proportional, short children give what they can't use to the others; whole tokens."""
+    out, left, budget = {}, dict(children), Fraction(budget)
+    while left:
+        level = budget / sum(w for w, _ in left.values())
+        short = {c: cap for c, (w, cap) in left.items() if cap <= level * w}
+        if not short:
+            return out | {c: int(level * w) for c, (w, _) in left.items()}
+        out |= short
+        budget -= sum(short.values())
+        left = {c: v for c, v in left.items() if c not in short}
+    return out
+
+
+def plain_mix(rows, percent, seed):
+    """(doc_id, words kept) of rows (doc_id, lang, source, n): hierarchical budgets, then prefixes of each leaf in hash order."""
+    domain = lambda source: f"d{int(hashlib.md5((source or '').encode()).hexdigest()[0], 16) % 4}"
+    leaves = defaultdict(list)
+    for i, lang, source, n in rows:
+        leaves[domain(source), lang or "", source or ""].append((i, n))
+    cap = {leaf: sum(n for _, n in docs) for leaf, docs in leaves.items()}
+    below = lambda k: {x[:k] for x in cap}
+    total = lambda node: sum(c for leaf, c in cap.items() if leaf[:len(node)] == node)
+    budgets = {(): sum(cap.values()) * percent // 100}
+    for k, weights in ((1, mixing.DOMAIN_WEIGHTS), (2, mixing.LANG_WEIGHTS), (3, {})):
+        for node in below(k - 1):
+            kids = {c: (weights.get(c[-1], mixing.OTHER), total(c)) for c in below(k) if c[:-1] == node}
+            budgets |= poured(budgets[node], kids)
+    out = {}
+    for leaf, docs in leaves.items():
+        if not cap[leaf]:
+            continue
+        epochs, rest = divmod(budgets[leaf], cap[leaf])
+        for i, n in sorted(docs, key=lambda d: hashlib.md5(f"{seed}:{epochs}:{d[0]}".encode()).hexdigest()):
+            if epochs or n <= rest:
+                out[i] = n
+            elif rest > 0:
+                out[i] = rest
+            rest = max(0, rest - n)
+    return out
+
+
+def test_the_last_stages_equal_plain_ones(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = corpus_pipeline.STAGES[3][1](spark, docs, SF)
+    assert got.columns == docs.columns
+    texts = {r.doc_id: r for r in docs.collect()}
+    want = plain_mix([(r.doc_id, r.lang, r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))) for r in texts.values()], 80, mixing.SEED)
+    mine = {r.doc_id: r.text for r in got.collect()}
+    assert {i: len((t or "").split()) for i, t in mine.items()} == {i: n for i, n in want.items() if n or texts[i].text in (None, "") or i in mine}
+    assert all((texts[i].text or "").startswith(t or "") for i, t in mine.items())
+    rows = corpus_pipeline.STAGES[4][1](spark, got, SF).collect()
+    pieces = Counter()
+    for r in rows:
+        pieces[r.doc_id] += r.n_tokens
+    assert pieces == Counter({i: len((t or "").split()) for i, t in mine.items()})
+    histogram = Counter(r.n_tokens for r in rows if r.n_tokens)
+    bins = {r.bin_id: r.bin_size for r in rows if r.bin_id is not None}
+    assert sum(size + packing.BIN_COST for size in bins.values()) == plan_cost(histogram, packing.LENGTHS, packing.BIN_COST)
