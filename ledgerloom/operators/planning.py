@@ -208,8 +208,8 @@ def apportion(rows: DataFrame, group: list[str], keys: list[str], exact: str, ta
     """
     floors = F.floor(F.col(exact) * 100, 0).cast("decimal(38,0)")
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    cut = rows.withColumn("_floor", floors).withColumn("_rest", F.col(exact) * 100 - F.col("_floor")).withColumn("_digest", digest)
-    cut = cut.withColumn("_part", F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int"))
+    part = F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int")
+    cut = rows.withColumn("_floor", floors).withColumn("_rest", F.col(exact) * 100 - F.col("_floor"))
     same = [*group]
     totals = cut.groupBy(*same).agg(F.sum("_floor").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     left = (F.col("target") * 100 - F.col("_sum")).cast("long")
@@ -221,15 +221,16 @@ def apportion(rows: DataFrame, group: list[str], keys: list[str], exact: str, ta
     edge = (by_rest.withColumn("_before", before).join(need.select(*same, "_left"), same)
             .where((F.col("_before") <= F.col("_left")) & (F.col("_left") < F.col("_before") + F.col("_k")))
             .select(*same, F.col("_rest").alias("_edge"), (F.col("_left") - F.col("_before")).alias("_ties")))
-    tied = cut.join(F.broadcast(edge), same).where("_rest = _edge")
+    tied = cut.join(F.broadcast(edge), same).where("_rest = _edge").withColumn("_digest", digest).withColumn("_part", part)
     parts = tied.groupBy(*same, "_ties", "_part").agg(F.count(F.lit(1)).alias("_k"))
     ahead = F.coalesce(F.sum("_k").over(Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = (parts.withColumn("_ahead", ahead).where((F.col("_ahead") <= F.col("_ties")) & (F.col("_ties") < F.col("_ahead") + F.col("_k")))
             .select(*same, F.col("_part").alias("_last"), (F.col("_ties") - F.col("_ahead")).alias("_take")))
     # one row a group: the remainder from which on rows get a cent, the part up to which, and how many rows of that part
     rule = need.select(*same, "_left").join(edge, same, "left").join(last, same, "left")
-    judged = cut.join(F.broadcast(rule), same)
     at_edge, in_last = F.col("_rest") == F.col("_edge"), F.col("_part") == F.col("_last")
+    # only rows of the last remainder need a digest
+    judged = cut.join(F.broadcast(rule), same).withColumn("_digest", F.when(at_edge, digest)).withColumn("_part", part)
     rank = F.row_number().over(Window.partitionBy(*same, "_part").orderBy("_digest", *keys))
     sure = judged.where(~F.coalesce(at_edge & in_last, F.lit(False))).withColumn(
         "_cent", F.when(F.col("_edge").isNull(), F.col("_left") > 0).when(at_edge, F.coalesce(F.col("_part") < F.col("_last"), F.col("_ties") > 0))
