@@ -223,6 +223,8 @@ def _stage(spark: SparkSession, sf_dir: str, path: str, run: str, dims: Model, y
     lines = classified_lines(spark, sf_dir, dims, years, seen, found.read(spark) if found else None)
     staged = staged_ledger(lines).select(*[F.col(f.name).cast(f.dataType) for f in STAGED_SCHEMA.fields[:-1]], F.col("reason").isNotNull().alias("rejected"))
     staged.write.partitionBy("rejected").parquet(f"{path}/staged/{run}")
+    if read_staged(spark, path, run).isEmpty():  # no lines: a scan without tasks observes nothing
+        return 0, None, None
     got = seen.get
     return got["lines"], got["first"], got["last"]
 

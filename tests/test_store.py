@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import fx, variance
+from ledgerloom.operators import fx, statements, variance
 from ledgerloom.sources import store
 from ledgerloom.sources.dates import month_end_spine
 
@@ -202,3 +202,12 @@ def test_a_rewrite_of_the_same_size_is_a_new_source(spark, tmp_path):
     part.write_bytes(b"xyz")
     os.utime(part, (1, 1))
     assert store.source_key(spark, str(tmp_path)) != a
+
+
+def test_a_ledger_of_no_lines(spark, tmp_path):
+    sf = copied(tmp_path, lineitem=lambda x: x.head(0))
+    m = store.load(spark, sf)
+    assert m.lines == {"read": 0, "outcomes": {}} and m.partitions == {}
+    model = store.stored_model(spark, sf)
+    assert model.fact.count() == 0 and model.versions.count() == 0 and model.dates.count() == 0
+    assert statements.statement(model.fact, model.items, "PL", ["scenario_id"]).count() == 0
