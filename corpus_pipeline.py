@@ -18,7 +18,10 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """Rows of the last stage: where each piece of each remaining document is packed."""
+    """Rows of the last stage: where each piece of each remaining document is packed.
+
+    Each stage handles null, empty, long and repeated texts and ids as its docstring says; an empty table of documents gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

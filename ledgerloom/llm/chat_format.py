@@ -127,7 +127,11 @@ def unescaped(text: Column) -> Column:
 
 
 def formatted(canonical_rows: DataFrame) -> DataFrame:
-    """All columns, ``formatted`` (the text) and ``loss_spans``: (start, end) code points of assistants' texts."""
+    """All columns, ``formatted`` (the text) and ``loss_spans``: (start, end) code points of assistants' texts.
+
+    Rows without turns (null) have null text and spans, an empty list of turns an empty text without spans; repeated
+    rows are formatted alike, an empty table gives an empty one.  Columns of the two new names are replaced.
+    """
     turn = F.transform("turns", lambda t: F.struct(
         t["role"].alias("role"), F.concat(F.lit(BEGIN + SEP_OPEN), escaped(t["role"]), F.lit(SEP)).alias("head"), escaped(t["text"]).alias("body")))
     out = canonical_rows.withColumn("__t", turn)
@@ -144,7 +148,7 @@ def formatted(canonical_rows: DataFrame) -> DataFrame:
 
 
 def read_back(text: Column) -> Column:
-    """Turns (role, text) of a formatted text."""
+    """Turns (role, text) of a formatted text; none of an empty text, null of null."""
     parts = F.filter(F.split(text, END), lambda p: p != "")
     cut = F.transform(parts, lambda p: F.split(F.substring(p, len(BEGIN + SEP_OPEN) + 1, F.length(p)), r"\[/INST\]"))
     return F.transform(cut, lambda p: F.struct(unescaped(p[0]).alias("role"), unescaped(p[1]).alias("text")))

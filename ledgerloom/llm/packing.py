@@ -167,4 +167,5 @@ def query(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
+    """Where each piece of each document goes, words as tokens (see ``packed`` for null, repeated and missing rows)."""
     return packed(docs, n_words(F.col("text")))

@@ -181,7 +181,8 @@ def query(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Documents with personal data replaced; ``n_chars`` follows the new text."""
+    """Documents with personal data replaced; ``n_chars`` follows the new text.  Every row and column stays; null and
+    empty texts are left as they are."""
     out = redacted(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

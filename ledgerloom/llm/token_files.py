@@ -353,7 +353,11 @@ def _blocks(tables) -> Callable:
 
 
 def write_files(docs: DataFrame, path: str, spec: str, end_id: int) -> None:
-    """Write the files for ``docs`` (doc_id, text) under ``path``; null texts are empty, rows with one id keep any order."""
+    """Write the files for ``docs`` (doc_id, text; other columns unread) under ``path``.
+
+    Null and empty texts are one end id; null ids come first, rows with one id in any order, each a document of its own.
+    An empty table gives a codebook and blocks without rows.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(spec)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

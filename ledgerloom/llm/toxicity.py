@@ -51,14 +51,16 @@ def gram_buckets(text: str | None, sizes: tuple[int, ...] = SIZES, buckets: int
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> DataFrame:
-    """Bounded labelled sample (text, toxic); ids with several labels count as toxic if any says so."""
+    """Bounded labelled sample (text, toxic); ids with several labels count as toxic if any says so, of an id with
+    several texts the first in order is learned from."""
     known = (labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = known.where("toxic = 1").orderBy(*order).limit(max_per_class).union(
         known.where("toxic = 0").orderBy(*order).limit(max_per_class))
     # at most 2 * max_per_class rows of (id, label): the bound that makes the broadcast safe
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic", "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic", "doc_id")
 
 
 def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,6 +175,7 @@ def query(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Documents that the classifier does not call toxic."""
+    """Documents that the classifier does not call toxic, all their rows and columns; null and empty texts are scored by
+    the intercept, an empty table gives an empty one."""
     out = scored(docs, table(spark, sf_dir, "labels"))
     return out.where("predicted = 0").select(*docs.columns)

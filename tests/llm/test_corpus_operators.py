@@ -382,6 +382,18 @@ def test_token_files_round_trip(spark, tmp_path, monkeypatch):
     assert token_files.read_files(spark, str(tmp_path / "g")).count() == 0
 
 
+def test_token_files_of_null_and_repeated_ids(spark, tmp_path):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    d = spark.createDataFrame([(None, "a b"), (None, None), (7, "x y z"), (7, "x y z"), (7, "other"), (-1, "")], "doc_id long, text string")
+    token_files.write_files(d, str(tmp_path / "f"), spec, 2)
+    got = sorted(token_files.read_files(spark, str(tmp_path / "f")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, -1, 7, 7, 7]
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(6)]
+    library = Tokenizer.from_str(spec)
+    assert sorted(r.n_tokens for r in got) == sorted(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in ("a b", "", "x y z", "x y z", "other", ""))
+
+
 def test_code_lengths_are_limited_and_complete():
     counts = np.random.default_rng(1).integers(1, 1000, 300) ** 3
     bits = token_files.code_lengths(counts, 12)

@@ -71,6 +71,13 @@ def test_toxicity_scores_equal_a_plain_fit(spark, monkeypatch):
     assert max(abs(got[i] - s) for (i, _), s in zip(rows, want, strict=True)) < 0.02
 
 
+def test_repeated_ids_keep_the_sample_bounded(spark):
+    d = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, None), (2, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (2, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: (r.text, r.toxic) for r in toxicity.training_sample(d, labels).collect()}
+    assert got == {1: ("text 0", 0), 2: ("b", 1)}
+
+
 def test_the_fit_is_bounded_by_its_most_telling_buckets(spark, monkeypatch):
     rows = [(i, f"common words {i} " + ("dreadful insult " if i % 2 else "pleasant greeting ")) for i in range(80)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
