@@ -68,19 +68,24 @@ def fact_view(m: md.Model) -> DataFrame:
 def table_checks(name: str, rows: DataFrame, constraints: list[Constraint], key: list[str] | None) -> DataFrame:
     """table_name, check_name, kind, rows_checked, violations: all of a table's constraints and its key, one scan.
 
-    With a key, rows are first summed by it (a row whose key is NULL in part, or shared, violates it); without, the
+    With a key, rows are first counted by it (a row whose key is NULL in part, or shared, violates it), and violations by
+    their constraint alone, in the same aggregation: a key carries one count, not one a constraint.  Without, the
     counts are partial sums of the scan and no row is shuffled.
     """
-    bad = [F.sum(F.when(F.coalesce(F.expr(c.holds), F.lit(False)), 0).otherwise(1)).alias(f"c{i}") for i, c in enumerate(constraints)]
+    holds = [F.coalesce(F.expr(c.holds), F.lit(False)) for c in constraints]
     named = [(c.name, c.kind, F.col(f"c{i}")) for i, c in enumerate(constraints)]
     if key:
         null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-        groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), *bad)
-        one = groups.agg(F.sum("n").alias("n"), F.sum(F.when(null | (F.col("n") > 1), F.col("n")).otherwise(0)).alias("key"),
-                         *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(constraints))])
+        broken = F.array_compact(F.array(*[F.when(~h, F.lit(i)) for i, h in enumerate(holds)]).cast("array<int>"))
+        of, is_key = F.col("of"), F.col("of") < 0  # -1: the row's key, else the constraint that it violates
+        clean = reduce(lambda a, b: a & b, holds, F.lit(True))
+        counted = rows.select(*key, F.explode(F.when(clean, F.array(F.lit(-1))).otherwise(F.concat(F.array(F.lit(-1)), broken))).alias("of"))
+        groups = counted.select(*[F.when(is_key, F.col(k)).alias(k) for k in key], "of").groupBy(*key, "of").agg(F.count(F.lit(1)).alias("n"))
+        one = groups.agg(F.sum(F.when(is_key, F.col("n"))).alias("n"), F.sum(F.when(is_key & (null | (F.col("n") > 1)), F.col("n"))).alias("key"),
+                         *[F.sum(F.when(of == i, F.col("n"))).alias(f"c{i}") for i in range(len(constraints))])
         named.append((",".join(key), "key", F.col("key")))
     else:
-        one = rows.agg(F.count(F.lit(1)).alias("n"), *bad)
+        one = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.when(h, 0).otherwise(1)).alias(f"c{i}") for i, h in enumerate(holds)])
     zero = F.lit(0)
     stacked = F.array(*[F.struct(F.lit(n).alias("check_name"), F.lit(k).alias("kind"), F.coalesce(F.col("n"), zero).cast("long").alias("rows_checked"),
                                  F.coalesce(v, zero).cast("long").alias("violations")) for n, k, v in named])
