@@ -8,7 +8,8 @@ shingle sets are one class (distance 0).  The classes are joined by regions:
    distance 1 - 1/n to a shingle it holds, 1 otherwise, and a linked pair shares at least SHARED shingles (or
    its whole intersection) among the first n - ceil(t n) + SHARED of each side in one common order, rare
    shingles first, frequent ones last.  Classes that share so many are connected; a connected region holds
-   every link of its members.
+   every link of its members.  Regions too large for a task are parted again, as often as that helps: the shingles
+   that many of their members have in their prefixes go later in the order.
 2. *Voronoi cells.*  A region picks pivots among its members, measures every member's distance to each, and assigns
    each to its nearest pivot.  A linked pair x, y of cells i, j satisfies, by the triangle inequality, d(y, i) <= r + eps
    (r: the cell's radius) and d(y, i) <= d(y, j) + 2 eps; members in that window are copied into cell i.  Members about as
@@ -26,6 +27,7 @@ Links are united by connected components.  Shingles are 64-bit hashes, classes 6
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,11 +38,14 @@ from pyspark.sql import functions as F
 from .common import shingle_sets, small_batches, stored, table, text_bytes
 from .components import connected_components
 
-#: Frequent shingles that go last in the order: at most this many, by count over all documents.  Any order is
-#: right; this one keeps regions small.  8 bytes each are broadcast.
-FREQUENT = 1 << 17
-#: Shingles that a task counts at once for that list; those seen once there don't count.
-COUNT_BLOCK = 4 << 20
+#: Slots of the table that orders shingles, by the first bits of the hash: one byte each, the level of the most frequent
+#: shingle there.  Lower levels come first, then lower hashes.  Any order is right; this one keeps regions small.  The table
+#: is broadcast; it comes to the driver in pieces.
+SLOT_BITS, PIECE_BITS = 24, 16
+#: Shingles that a task counts at once for that table; those seen once there don't count, nor do sums below LEAST.
+COUNT_BLOCK, LEAST = 4 << 20, 4
+#: Passes that part large regions again.
+PASSES = 4
 #: Shingles that linked documents share at least in their prefixes (fewer for small sets), and the longest run of
 #: one shingle's classes whose pairs are counted; a longer run connects all its classes.
 SHARED, RUN = 4, 32
@@ -91,11 +96,34 @@ def _scan(k: int) -> Callable:
     return run
 
 
-def _prefixes(k: int, percent: int, frequent) -> Callable:
+def _levels(counts: DataFrame) -> np.ndarray:
+    """Table of levels, eight to a doubling, of shingles (long ``key``) and their counts (long ``n``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, np.ndarray] = {}
+        for b in batches:
+            slots, levels = np.asarray(b.column("slot")), np.asarray(b.column("level")).astype(np.uint8)
+            for p in np.unique(slots >> PIECE_BITS):
+                at = slots >> PIECE_BITS == p
+                np.maximum.at(pieces.setdefault(int(p), np.zeros(1 << PIECE_BITS, np.uint8)), slots[at] & ((1 << PIECE_BITS) - 1), levels[at])
+        for p, piece in pieces.items():
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([zlib.compress(piece.tobytes(), 1)], pa.binary())], ["piece", "levels"])
+
+    slot = F.shiftrightunsigned("key", 64 - SLOT_BITS).cast("int")
+    level = F.least(F.floor(8 * F.log2("n")) - 15, F.lit(255)).cast("int")
+    slots = counts.where(F.col("n") >= LEAST).select(slot.alias("slot"), level.alias("level"))
+    pieces = slots.repartition(F.shiftright("slot", PIECE_BITS)).mapInArrow(run, "piece int, levels binary")
+    table = np.zeros(1 << SLOT_BITS, np.uint8)
+    for r in pieces.collect():  # at most 2^SLOT_BITS bytes
+        at = r.piece << PIECE_BITS
+        table[at:at + (1 << PIECE_BITS)] = np.maximum(table[at:at + (1 << PIECE_BITS)], np.frombuffer(zlib.decompress(r.levels), np.uint8))
+    return table
+
+
+def _prefixes(k: int, percent: int, levels) -> Callable:
     """Rows (shingle, class, size) for the prefix of every set; a task gives each class once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("shingle", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())])
-        last = frequent.value  # sorted hashes, and their place in the order
+        table = levels.value
         seen: set[int] = set()
         for b in small_batches(batches):
             parts, owners, sizes = [], [], []
@@ -104,15 +132,13 @@ def _prefixes(k: int, percent: int, frequent) -> Callable:
                     continue
                 seen.add(c)
                 length = min(len(s), len(s) - -(-percent * len(s) // 100) + SHARED)
-                at = np.searchsorted(last[0], s)
-                common = last[0][np.minimum(at, len(last[0]) - 1)] == s if len(last[0]) else np.zeros(len(s), bool)
-                rare = s[~common]
-                if len(rare) < length:
-                    late = s[common][np.argsort(last[1][at[common]], kind="stable")]
-                    rare = np.concatenate((rare, late))
-                parts.append(rare[:length].view(np.int64))
-                owners.append(np.full(min(length, len(rare)), c))
-                sizes.append(np.full(min(length, len(rare)), len(s), np.int32))
+                level = table[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+                first = s[level == 0]
+                if len(first) < length:
+                    first = s[np.argsort(level, kind="stable")]
+                parts.append(first[:length].view(np.int64))
+                owners.append(np.full(length, c))
+                sizes.append(np.full(length, len(s), np.int32))
             if parts:
                 yield _batch(schema, np.concatenate(parts), np.concatenate(owners), np.concatenate(sizes))
 
@@ -352,44 +378,70 @@ def _blocks(members: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("region", F.least("i", "j"), F.greatest("i", "j")).alias("region"), "role", "cls", "n")
 
 
+def _prefix_rows(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 2^SLOT_BITS bytes
+    return docs.select("text").mapInArrow(_prefixes(k, percent, shared), "shingle long, cls long, n int")
+
+
+def _first_regions(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Columns cls, region: classes that share enough of their prefixes are connected, directly or by others."""
+    pairs = prefixes.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(
+        _pairs(percent), "a long, b long, shared int, need int")
+    near = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need")
+    return connected_components(stored(near.select("a", "b"), "near")).toDF("cls", "region")  # read more than once
+
+
+def _parted(members: DataFrame, texts: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataFrame:
+    """``members``, those of large regions in smaller first regions: by orders in which the shingles of longer runs come
+    later, as long as that halves the classes in large regions.  A region holds every link of its members in any order."""
+    large, before = F.col("weight") > REGION_WEIGHT, None
+    for _ in range(PASSES):
+        own = members.where(large)
+        n = own.count()
+        if not n or before and 2 * n > before:
+            break
+        before = n
+        own_texts = stored(texts.join(own.select("cls"), "cls", "left_semi").select("text"), "large")
+        runs = _prefix_rows(own_texts, levels, k, percent).groupBy(F.col("shingle").alias("key")).agg(F.count("*").alias("n")).where(F.col("n") > RUN)
+        levels = np.maximum(levels, _levels(runs))
+        region = _first_regions(_prefix_rows(own_texts, levels, k, percent), percent)
+        again = own.select("cls", "n").join(region, "cls").select("region", "cls", "n")
+        parted = members.where(~large).select("region", "cls", "n").unionByName(again).withColumn("role", F.lit(0))
+        members = stored(_sized(parted), "regions")
+    return members
+
+
 def labelled(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n, cls, text_hash) of ``docs``, and (cls, doc_id, label): each class's smallest doc_id and component.
 
     A class is a distinct shingle set (null without words), a component a set of classes that links connect.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     scanned = stored(docs.mapInArrow(_scan(k), "kind int, doc_id long, n long, key long, text_hash long"), "scan")
     docs = docs.drop("text_hash")
     each = scanned.where("kind = 0").select("doc_id", "n", F.col("key").alias("cls"), "text_hash")
     classes = each.where("doc_id IS NOT NULL AND cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
 
-    often = (scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT)
-             .select("key").toPandas()["key"].to_numpy(np.int64))  # at most FREQUENT longs
-    hashes = often[::-1].copy().view(np.uint64)
-    order = np.argsort(hashes)
-    frequent = spark.sparkContext.broadcast((hashes[order], order))  # at most 16 * FREQUENT bytes
-    prefixes = docs.where("doc_id IS NOT NULL").mapInArrow(_prefixes(k, percent, frequent), "shingle long, cls long, n int")
-    pairs = prefixes.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(
-        _pairs(percent), "a long, b long, shared int, need int")
-    near = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).where("shared >= need")
-    near = stored(near.select("a", "b"), "near")  # read more than once
-    region = connected_components(near).toDF("cls", "region")
-
-    members = classes.join(region, "cls").select("region", F.col("region").alias("origin"), F.lit(0).alias("role"), "cls", "n", "doc_id")
+    levels = _levels(scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")))
+    region = _first_regions(_prefix_rows(docs.where("doc_id IS NOT NULL"), levels, k, percent), percent)
+    members = classes.join(region, "cls").select("region", F.lit(0).alias("role"), "cls", "n", "doc_id")
     members = stored(_sized(members), "regions")
     texts = stored(docs.join(members.select("doc_id", "cls"), "doc_id").select("cls", "text"), "texts")
-    members = members.drop("doc_id")
+    members = _parted(members.drop("doc_id"), texts, levels, k, percent).withColumn("origin", F.col("region"))
     small = F.expr(f"weight <= {REGION_WEIGHT} AND inner * weight <= {REGION_WORK}")
-    found, met, anchors = [_local_links(members.where(small), texts, k, percent)], None, None
+
+    def local(regions: DataFrame) -> DataFrame:  # each on its own: one plan of all rounds would be large for the driver
+        return stored(_local_links(regions, texts, k, percent), "found")
+
+    found, met, anchors = [local(members.where(small))], None, None
     for _ in range(MAX_ROUNDS):
         members = members.where(~small)
         if members.isEmpty():
             break
         met, anchors, members, whole = _round(members, texts, met, anchors, k, percent)
-        found += [_local_links(members.where(small), texts, k, percent), _local_links(_blocks(whole), texts, k, percent)]
+        found += [local(members.where(small)), local(_blocks(whole))]
     else:
-        found.append(_local_links(_blocks(members.where(~small)), texts, k, percent))
+        found.append(local(_blocks(members.where(~small))))
     links = found[0]
     for more in [*found[1:], *([met] if met is not None else [])]:
         links = links.union(more)

@@ -88,6 +88,53 @@ def test_jaccard_join_is_exact(spark, monkeypatch, limits):
     assert bool(rounds) == bool(limits)
 
 
+def test_jaccard_join_parts_regions_that_common_passages_connect(spark, monkeypatch):
+    """Documents that share passages only: no task counts a shingle twice, so the first order knows none of the passages."""
+    monkeypatch.setattr(jaccard_join, "COUNT_BLOCK", 1)
+    monkeypatch.setattr(jaccard_join, "RUN", 2)
+    monkeypatch.setattr(jaccard_join, "REGION_WEIGHT", 1000)
+    rounds, plain_round = [], jaccard_join._round
+    monkeypatch.setattr(jaccard_join, "_round", lambda *a: rounds.append(1) or plain_round(*a))
+    rng = np.random.default_rng(12)
+    passages = [" ".join(f"p{i}w{j}" for j in range(15)) for i in range(6)]
+    rows = []
+    for i in range(120):
+        own = [f"d{i}w{j}" for j in range(40)]
+        rows.append((i, " ".join([*own[:20], passages[rng.integers(6)], *own[20:], passages[rng.integers(6)]])))
+    rows += [(200 + i, rows[i][1] + " end") for i in range(10)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d, 4, 85).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == plain_components(rows, 4, 85)
+    assert got[200][1] == 0 and len({c for _, c in got.values()}) == 120
+    assert not rounds
+
+
+def test_jaccard_join_brings_a_table_of_fixed_size_to_the_driver(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i // 2}x{j}" for j in range(60))) for i in range(40)]  # 20 x 57 shingles, all seen twice
+    d = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    brought, frame = [], type(d)
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(frame, name, lambda self, plain=getattr(frame, name): (lambda x: brought.append(len(x)) or x)(plain(self)))
+    out = jaccard_join.jaccard_components(d, 4, 85)
+    monkeypatch.undo()
+    assert max(brought, default=0) <= 256
+    assert {r.doc_id: r.component_id for r in out.collect()} == {i: i // 2 * 2 for i in range(40)}
+
+
+def test_levels_of_shingles(spark):
+    rng = np.random.default_rng(4)
+    keys, counts = rng.integers(-2**63, 2**63, 5000), (1 / (rng.random(5000) + 1e-9)).astype(np.int64) + 1
+    keys[:1000] = keys[1000:2000] ^ 1  # the same slots
+    want = np.zeros(1 << 24, np.int64)
+    np.maximum.at(want, (keys.view(np.uint64) >> np.uint64(40)).astype(np.int64), np.where(counts >= 4, np.minimum(255, np.floor(8 * np.log2(counts) + 1e-9) - 15), 0).astype(np.int64))
+    got = jaccard_join._levels(spark.createDataFrame(list(zip(keys.tolist(), counts.tolist(), strict=True)), "key long, n long").repartition(3))
+    assert got.dtype == np.uint8 and np.abs(got - want).max() <= 1 and ((got > 0) == (want > 0)).all()
+
+
 @pytest.mark.parametrize("n_inner", [1, 7, 40])
 def test_regions_connect_what_links_connect(n_inner):
     rng = np.random.default_rng(n_inner)
