@@ -113,6 +113,21 @@ def test_jaccard_join_parts_regions_that_common_passages_connect(spark, monkeypa
     assert not rounds
 
 
+def test_stage_parts_regions_that_common_passages_connect(spark, monkeypatch):
+    for name, value in (("COUNT_BLOCK", 1), ("RUN", 2), ("REGION_WEIGHT", 1000)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    monkeypatch.setattr(jaccard_join, "_round", lambda *a: pytest.fail("a large region is left"))
+    rows = [(i, " ".join([*[f"d{i}w{j}" for j in range(50)], *[f"p{i % 2}w{j}" for j in range(25)]])) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(5)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        got = sorted(r.doc_id for r in jaccard_join.stage(spark, d, SF).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == list(range(60))
+
+
 def test_jaccard_join_brings_a_table_of_fixed_size_to_the_driver(spark, monkeypatch):
     rows = [(i, " ".join(f"w{i // 2}x{j}" for j in range(60))) for i in range(40)]  # 20 x 57 shingles, all seen twice
     d = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
