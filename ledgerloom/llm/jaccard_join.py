@@ -44,8 +44,8 @@ from .components import connected_components
 SLOT_BITS, PIECE_BITS = 24, 16
 #: Shingles that a task counts at once for that table; those seen once there don't count, nor do sums below LEAST.
 COUNT_BLOCK, LEAST = 4 << 20, 4
-#: Passes that part large regions again.
-PASSES = 4
+#: Passes that part large regions again, and shingles of all large regions from which a pass is worth its jobs.
+PASSES, PART_WEIGHT = 4, 1 << 24
 #: Shingles that linked documents share at least in their prefixes (fewer for small sets), and the longest run of
 #: one shingle's classes whose pairs are counted; a longer run connects all its classes.
 SHARED, RUN = 4, 32
@@ -397,8 +397,8 @@ def _parted(members: DataFrame, texts: DataFrame, levels: np.ndarray, k: int, pe
     large, before = F.col("weight") > REGION_WEIGHT, None
     for _ in range(PASSES):
         own = members.where(large)
-        n = own.count()
-        if not n or before and 2 * n > before:
+        n, weight = own.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if weight <= PART_WEIGHT or before and 2 * n > before:
             break
         before = n
         own_texts = stored(texts.join(own.select("cls"), "cls", "left_semi").select("text"), "large")

@@ -93,6 +93,7 @@ def test_jaccard_join_parts_regions_that_common_passages_connect(spark, monkeypa
     monkeypatch.setattr(jaccard_join, "COUNT_BLOCK", 1)
     monkeypatch.setattr(jaccard_join, "RUN", 2)
     monkeypatch.setattr(jaccard_join, "REGION_WEIGHT", 1000)
+    monkeypatch.setattr(jaccard_join, "PART_WEIGHT", 1000)
     rounds, plain_round = [], jaccard_join._round
     monkeypatch.setattr(jaccard_join, "_round", lambda *a: rounds.append(1) or plain_round(*a))
     rng = np.random.default_rng(12)
@@ -114,7 +115,7 @@ def test_jaccard_join_parts_regions_that_common_passages_connect(spark, monkeypa
 
 
 def test_stage_parts_regions_that_common_passages_connect(spark, monkeypatch):
-    for name, value in (("COUNT_BLOCK", 1), ("RUN", 2), ("REGION_WEIGHT", 1000)):
+    for name, value in (("COUNT_BLOCK", 1), ("RUN", 2), ("REGION_WEIGHT", 1000), ("PART_WEIGHT", 1000)):
         monkeypatch.setattr(jaccard_join, name, value)
     monkeypatch.setattr(jaccard_join, "_round", lambda *a: pytest.fail("a large region is left"))
     rows = [(i, " ".join([*[f"d{i}w{j}" for j in range(50)], *[f"p{i % 2}w{j}" for j in range(25)]])) for i in range(60)]
